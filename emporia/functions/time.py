@@ -68,3 +68,8 @@ def event_time(ts, insert_time) -> Column:
     from_ts = F.when(short, (as_double * 1000).try_cast("long")).otherwise(as_double.try_cast("long"))
     ms = F.when(ts.isNotNull() & (ts != ""), from_ts).otherwise(_col(insert_time))
     return F.timestamp_millis(ms)
+
+
+def wall_clock(ts, tz: str = "UTC") -> Column:
+    """An instant (TIMESTAMP) as TIMESTAMP_NTZ wall clock in ``tz``."""
+    return F.convert_timezone(F.lit(_session_tz()), F.lit(tz), _col(ts).cast("timestamp_ntz"))

@@ -46,3 +46,58 @@ def q_cumulative_top_ids(spark, base):
 @query("cumulative_top_products")
 def q_cumulative_top_products(spark, base):
     return gmv.cumulative_top(inputs.sales_events(spark, base), "product_id", name="top5_product_ids")
+
+
+# ---- E1-E4: epoch handling -------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from emporia.functions import time as tfn  # noqa: E402
+from emporia.plans import logs  # noqa: E402
+from emporia.sources.tables import table  # noqa: E402
+
+
+@query("epoch_normalise")
+def q_epoch_normalise(spark, base):
+    rows = logs.normalise(inputs.log_events(spark, base))
+    return rows.select(
+        "event_id",
+        F.col("ts").alias("ts_ms"),
+        "log_date",
+        tfn.local_time_str("ts").alias("log_time"),
+    )
+
+
+@query("event_time_parse")
+def q_event_time_parse(spark, base):
+    return inputs.sales_strings(spark, base).select(
+        "event_id", tfn.wall_clock(tfn.event_time("ts", "insert_time"), "UTC").alias("event_time")
+    )
+
+
+# ---- M1-M5: behaviour-log metrics --------------------------------------------
+
+
+@query("page_views")
+def q_page_views(spark, base):
+    return logs.page_views(inputs.log_events(spark, base))
+
+
+@query("keyword_top10")
+def q_keyword_top10(spark, base):
+    return logs.keyword_top_n(inputs.log_events(spark, base), 10, search_type="click")
+
+
+@query("login_regions")
+def q_login_regions(spark, base):
+    return logs.login_regions(inputs.log_events(spark, base), inputs.ip_ranges(spark, base), login_type="signup")
+
+
+@query("path_transitions")
+def q_path_transitions(spark, base):
+    return logs.path_transitions(inputs.log_events(spark, base), order=("ts", "event_id"))
+
+
+@query("device_users")
+def q_device_users(spark, base):
+    return logs.device_users(inputs.log_events(spark, base))

@@ -131,3 +131,26 @@ def product_detail(spark: SparkSession, base: str) -> DataFrame:
     """Product dimension: part key as id, part name as description."""
     p = table(spark, base, "part", ["p_partkey", "p_name"])
     return p.select(F.col("p_partkey").cast("string").alias("product_id"), F.col("p_name").alias("product_desc"))
+
+
+def sales_strings(spark: SparkSession, base: str) -> DataFrame:
+    """Sales-table style string epochs from ``events`` (for E2).
+
+    By ``event_id % 6``: seconds, seconds with a 3-digit fraction,
+    milliseconds, empty, null (both fall back to insert_time in ms), and
+    unparsable text.
+    """
+    ev = table(spark, base, "events", ["event_id", "ts"])
+    ms = ntz_epoch_ms("ts", "UTC")
+    sec = F.floor(ms / 1000).cast("string")
+    frac = F.lpad(F.pmod(ms, F.lit(1000)).cast("string"), 3, "0")
+    m = F.pmod("event_id", F.lit(6))
+    ts = (
+        F.when(m == 0, sec)
+        .when(m == 1, F.concat(sec, F.lit("."), frac))
+        .when(m == 2, ms.cast("string"))
+        .when(m == 3, F.lit(""))
+        .when(m == 4, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("t"), F.col("event_id").cast("string")))
+    )
+    return ev.select("event_id", ts.alias("ts"), ms.alias("insert_time"))
