@@ -20,10 +20,12 @@ def joined_list(df: DataFrame, keys: list[str], value: str, order: str, name: st
     """``listagg(value, sep) WITHIN GROUP (ORDER BY order)`` per keys.
 
     Meant for bounded groups (after ``top_n`` or a per-day explode); nulls
-    are skipped like LISTAGG does.
+    are skipped and an all-null group gives null, like LISTAGG.
     """
-    pairs = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).cast("string").alias("v"))))
-    return df.groupBy(*keys).agg(F.array_join(F.transform(pairs, lambda s: s["v"]), sep).alias(name))
+    item = F.struct(F.col(order).alias("o"), F.col(value).cast("string").alias("v"))
+    pairs = F.array_sort(F.collect_list(F.when(F.col(value).isNotNull(), item)))
+    joined = F.array_join(F.transform(pairs, lambda s: s["v"]), sep)
+    return df.groupBy(*keys).agg(F.when(F.size(pairs) > 0, joined).alias(name))
 
 
 def latest_by(df: DataFrame, keys: list[str], order: list[str], cols: list[str] | None = None) -> DataFrame:

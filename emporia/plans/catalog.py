@@ -101,3 +101,37 @@ def q_path_transitions(spark, base):
 @query("device_users")
 def q_device_users(spark, base):
     return logs.device_users(inputs.log_events(spark, base))
+
+
+# ---- R1-R5: report SQL over the GMV report table ----------------------------
+
+from emporia.plans import reports  # noqa: E402
+
+
+def _report(spark, base):
+    return inputs.report_table(gmv.gmv_topn_report(inputs.sales_events(spark, base)))
+
+
+@query("latest_snapshot")
+def q_latest_snapshot(spark, base):
+    return reports.latest_snapshot(_report(spark, base)).select("ds", "window_end", "win_gmv", "top5_product_ids")
+
+
+@query("top5_products")
+def q_top5_products(spark, base):
+    return reports.top_products(_report(spark, base), inputs.product_detail(spark, base))
+
+
+@query("growth")
+def q_growth(spark, base):
+    return reports.growth(_report(spark, base), inputs.product_detail(spark, base))
+
+
+@query("repeat_rate")
+def q_repeat_rate(spark, base):
+    return reports.repeat_rate(_report(spark, base), inputs.product_detail(spark, base))
+
+
+@query("repeat_rate_desc")
+def q_repeat_rate_desc(spark, base):
+    return reports.repeat_rate(_report(spark, base), inputs.product_detail(spark, base), with_prev_descs=True)
