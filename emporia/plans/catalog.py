@@ -135,3 +135,25 @@ def q_repeat_rate(spark, base):
 @query("repeat_rate_desc")
 def q_repeat_rate_desc(spark, base):
     return reports.repeat_rate(_report(spark, base), inputs.product_detail(spark, base), with_prev_descs=True)
+
+
+# ---- C1-C4: change data -------------------------------------------------------
+
+from emporia.plans import changes  # noqa: E402
+
+CHANGE_ROW = inputs.CHANGE_ROW
+
+
+def _flat_changes(spark, base):
+    env = changes.filter_tables(changes.parse_changes(inputs.change_log(spark, base), CHANGE_ROW), "public", "events")
+    return changes.flatten_change(env, CHANGE_ROW)
+
+
+@query("change_flatten")
+def q_change_flatten(spark, base):
+    return _flat_changes(spark, base)
+
+
+@query("change_current_state")
+def q_change_current_state(spark, base):
+    return changes.current_state(_flat_changes(spark, base), ["user_id"])

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from emporia.functions.time import ntz_epoch_ms
 from emporia.functions.text import MISSING
@@ -154,3 +155,37 @@ def sales_strings(spark: SparkSession, base: str) -> DataFrame:
         .otherwise(F.concat(F.lit("t"), F.col("event_id").cast("string")))
     )
     return ev.select("event_id", ts.alias("ts"), ms.alias("insert_time"))
+
+
+# Row image carried by the derived change log.
+CHANGE_ROW = T.StructType(
+    [
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+    ]
+)
+CHANGE_OPS = {"signup": "c", "view": "u", "click": "u", "error": "d", "purchase": "r"}
+
+
+def change_log(spark: SparkSession, base: str) -> DataFrame:
+    """Change-event JSON lines (column ``value``) derived from ``events``.
+
+    op by event type (signup c, view/click u, error d, purchase r); key
+    user_id; ts_ms from ts; log position = event_id.  Updates carry no
+    before image and deletes carry only the key, as with a default replica
+    identity.
+    """
+    ev = table(spark, base, "events", ["event_id", "ts", "user_id", "event_type", "value"])
+    op = F.create_map(*[F.lit(x) for kv in CHANGE_OPS.items() for x in kv])[F.col("event_type")]
+    image = F.struct("user_id", "event_type", "value")
+    env = F.struct(
+        F.when(op == "d", F.struct("user_id", F.lit(None).cast("string").alias("event_type"),
+                                   F.lit(None).cast("double").alias("value"))).alias("before"),
+        F.when(op != "d", image).alias("after"),
+        op.alias("op"),
+        ntz_epoch_ms("ts", "UTC").alias("ts_ms"),
+        F.struct(F.lit("public").alias("schema"), F.lit("events").alias("table"),
+                 F.col("event_id").alias("lsn")).alias("source"),
+    )
+    return ev.select(F.to_json(env).alias("value"))
