@@ -157,3 +157,96 @@ def q_change_flatten(spark, base):
 @query("change_current_state")
 def q_change_current_state(spark, base):
     return changes.current_state(_flat_changes(spark, base), ["user_id"])
+
+
+# ---- H1-H32: layered warehouse --------------------------------------------------
+
+from emporia.plans import ods, warehouse as wh  # noqa: E402
+
+AS_OF = "2024-01-31"
+MONTH = "2024-01"
+DRILL_DAY = "2024-01-15"
+
+
+class Layers:
+    """The warehouse layers over one set of driver tables (plans only; no
+    query runs until an action)."""
+
+    def __init__(self, spark, base):
+        self.spark, self.base = spark, base
+
+    def sku(self):
+        s = self.spark, self.base
+        return wh.dim_sku(ods.ods_sku_info(*s), ods.ods_base_category3(*s), ods.ods_inventory(*s))
+
+    def users(self):
+        return wh.dim_user(ods.ods_user_info(self.spark, self.base), AS_OF)
+
+    def orders(self):
+        return ods.ods_order_info(self.spark, self.base)
+
+    def detail(self):
+        s = self.spark, self.base
+        return wh.dwd_order_detail(self.orders(), ods.ods_payment_info(*s), self.sku())
+
+    def page_log(self):
+        return wh.dwd_page_log(ods.ods_page_log(self.spark, self.base), self.sku())
+
+    def comments(self):
+        return wh.dwd_comment_detail(ods.ods_comment_info(self.orders()))
+
+    def sku_sales(self):
+        return wh.dws_sku_sales_day_sum(self.detail())
+
+    def comment_sum(self):
+        return wh.dws_comment_day_sum(self.comments())
+
+    def conversion(self):
+        return wh.sales_metrics(self.page_log(), self.sku_sales())
+
+
+def _wh(fn):
+    return lambda spark, base: fn(Layers(spark, base))
+
+
+WAREHOUSE = {
+    "dim_sku": lambda L: L.sku(),
+    "dim_user": lambda L: L.users(),
+    "dwd_order_detail": lambda L: L.detail(),
+    "dwd_log_detail": lambda L: L.page_log(),
+    "dwd_comment_detail": lambda L: L.comments(),
+    "dwd_cart_detail": lambda L: wh.dwd_action_detail(L.page_log(), "click"),
+    "dwd_favor_detail": lambda L: wh.dwd_action_detail(L.page_log(), "signup"),
+    "dws_user_action_day_sum": lambda L: wh.dws_user_action_day_sum(L.page_log()),
+    "dws_order_day_sum": lambda L: wh.dws_order_day_sum(L.detail()),
+    "dws_sku_sales_day_sum": lambda L: L.sku_sales(),
+    "dws_comment_day_sum": lambda L: L.comment_sum(),
+    "dws_favor_day_sum": lambda L: wh.dws_favor_day_sum(wh.dwd_action_detail(L.page_log(), "signup")),
+    "dws_store_category_daycount": lambda L: wh.dws_store_category_daycount(L.page_log(), L.detail()),
+    "dws_attr_distribution_analysis": lambda L: wh.dws_attr_distribution_analysis(L.page_log(), L.detail(), L.sku()),
+    "dws_store_source_daycount": lambda L: wh.dws_store_source_daycount(L.page_log()),
+    "dws_store_user_daycount": lambda L: wh.dws_store_audience_daycount(L.detail(), L.users(), "user_type"),
+    "dws_store_age_daycount": lambda L: wh.dws_store_audience_daycount(L.detail(), L.users(), "age_band"),
+    "dws_store_gender_daycount": lambda L: wh.dws_store_audience_daycount(L.detail(), L.users(), "gender"),
+    "dws_keyword_traffic_analysis": lambda L: wh.dws_keyword_traffic_analysis(L.page_log()),
+    "sales_metrics": lambda L: L.conversion(),
+    "traffic_metrics": lambda L: wh.traffic_metrics(L.page_log()),
+    "channel_pivot": lambda L: wh.channel_pivot(L.page_log()),
+    "price_metrics": lambda L: wh.price_metrics(L.sku_sales(), L.conversion()),
+    "customer_insight": lambda L: wh.customer_insight(L.page_log(), L.users()),
+    "core_summary": lambda L: wh.core_summary(wh.dws_store_category_daycount(L.page_log(), L.detail())),
+    "product_ranking": lambda L: wh.product_ranking(L.detail()),
+    "gmv_target_progress": lambda L: wh.gmv_target_progress(
+        L.detail(), wh.gmv_targets(L.spark, ods.ods_store_info(L.spark, L.base), MONTH)
+    ),
+    "gmv_contribution": lambda L: wh.gmv_contribution(L.detail()),
+    "category_rank": lambda L: wh.category_rank(L.detail(), MONTH),
+    "source_share": lambda L: wh.source_share(wh.dws_store_source_daycount(L.page_log())),
+    "audience_ratio": lambda L: wh.audience_ratio(L.page_log(), L.users()),
+    "ads_wide": lambda L: wh.ads_wide(L.sku_sales(), L.comment_sum(), L.conversion()),
+    "one_shot_ads": lambda L: wh.one_shot_ads(L.page_log(), L.detail(), L.comments()),
+    "drilldown_summary": lambda L: wh.drilldown_summary(L.detail()),
+    "drilldown_detail": lambda L: wh.drilldown_detail(L.detail(), DRILL_DAY),
+}
+for _name, _fn in WAREHOUSE.items():
+    QUERIES[_name] = _wh(_fn)
