@@ -47,13 +47,34 @@ def region_parts(region) -> tuple[Column, Column, Column]:
     return province, city, full
 
 
-def absolute_url(href, base: str) -> Column:
-    """``/x`` -> base + ``/x``; ``info/x`` -> base + ``/info/x``; else as is."""
-    href = F.trim(_col(href))
-    root = base.rstrip("/")
+def strip_ws(c) -> Column:
+    """Remove leading and trailing whitespace (not only spaces)."""
+    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+
+
+def unescape_html(c) -> Column:
+    """Decode the five predefined HTML entities (``&amp;`` last)."""
+    out = _col(c)
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        out = F.replace(out, F.lit(ent), F.lit(ch))
+    return out
+
+
+def url_origin(url) -> Column:
+    """``scheme://host[:port]`` of an absolute URL ('' when not absolute)."""
+    return F.regexp_extract(_col(url), r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+)", 1)
+
+
+def absolute_url(href, base) -> Column:
+    """``/x`` -> base + ``/x``; ``info/x`` -> base + ``/info/x``; else as is.
+
+    ``base`` is a site root (string) or a column of roots.
+    """
+    href = strip_ws(href)
+    root = F.lit(base.rstrip("/")) if isinstance(base, str) else _col(base)
     return (
-        F.when(href.startswith("/"), F.concat(F.lit(root), href))
-        .when(href.startswith("info/"), F.concat(F.lit(root + "/"), href))
+        F.when(href.startswith("/"), F.concat(root, href))
+        .when(href.startswith("info/"), F.concat(root, F.lit("/"), href))
         .otherwise(href)
     )
 

@@ -250,3 +250,15 @@ WAREHOUSE = {
 }
 for _name, _fn in WAREHOUSE.items():
     QUERIES[_name] = _wh(_fn)
+
+
+# ---- G5/A14/F23: links from stored pages ------------------------------------------
+
+from emporia.plans import links  # noqa: E402
+
+
+@query("page_links")
+def q_page_links(spark, base):
+    pages = table(spark, base, "pages", ["page_id", "url", "html"])
+    # The driver's pages carry neither target nor title attributes.
+    return links.page_links(pages, require_blank_target=False, require_title=False)
