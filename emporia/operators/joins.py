@@ -9,13 +9,22 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 2_000_000
 
 
+_CHECKED: dict[tuple[int, int], bool] = {}
+
+
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     Reads at most ``max_rows + 1`` rows, so the check stays cheap even when
-    the answer is no.
+    the answer is no.  Answers are remembered per plan (semantic hash) for
+    the session, so a dimension joined by several queries is counted once.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    key = (df.semanticHash(), max_rows)
+    if key not in _CHECKED:
+        if len(_CHECKED) > 1024:
+            _CHECKED.clear()
+        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _CHECKED[key]
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -161,6 +161,8 @@ def q_change_current_state(spark, base):
 
 # ---- H1-H32: layered warehouse --------------------------------------------------
 
+import functools  # noqa: E402
+
 from emporia.plans import ods, warehouse as wh  # noqa: E402
 
 AS_OF = "2024-01-31"
@@ -175,13 +177,21 @@ class Layers:
     def __init__(self, spark, base):
         self.spark, self.base = spark, base
 
-    def sku(self):
+    @functools.cached_property
+    def _sku(self):
         s = self.spark, self.base
         return wh.dim_sku(ods.ods_sku_info(*s), ods.ods_base_category3(*s), ods.ods_inventory(*s))
 
-    def users(self):
+    def sku(self):
+        return self._sku
+
+    @functools.cached_property
+    def _users(self):
         return wh.dim_user(ods.ods_user_info(self.spark, self.base), AS_OF)
 
+    def users(self):
+        return self._users
+
     def orders(self):
         return ods.ods_order_info(self.spark, self.base)
 

@@ -32,35 +32,39 @@ def prepare_sales(
     return df
 
 
-def gmv_topn_report(
+def pane_totals(
     sales: DataFrame,
     time_col: str = "event_time",
     amount_col: str = "total_amount",
     id_col: str = "id",
     product_col: str = "product_id",
-    n: int = 5,
     step_s: int = 600,
     size_s: int = DAY,
     day: str | dt.date | None = None,
     ops: tuple[str, ...] | None = None,
 ) -> DataFrame:
-    """T5: one row per (window_start, window_end) with GMV and Top-N lists.
-
-    ``time_col`` is wall-clock TIMESTAMP_NTZ.  Amounts are cast to
-    DECIMAL(18,2) before summing (exact, order-independent); GMV leaves as
-    DECIMAL(38,2).  Missing lists become ``''``.  Columns: order_date,
-    window_start, window_end, gmv, top{n}_ids, top{n}_product_ids.
-    """
+    """A6 pre-aggregate: DECIMAL(18,2) amount summed per (window_start,
+    pane, id, product).  All three report branches read this one aggregate,
+    so the source is scanned and shuffled once."""
     amount = F.col(amount_col).cast("decimal(18,2)")
-    base = assign_panes(
-        prepare_sales(sales, time_col, day, ops).select(time_col, amount.alias("_amt"), id_col, product_col),
-        time_col,
-        step_s,
-        size_s,
-    )
-    gmv = cumulative_measure(base, F.col("_amt"), "gmv", None, step_s, size_s)
-    ids = cumulative_top_n(base, id_col, F.col("_amt"), n, f"top{n}_ids", step_s, size_s)
-    products = cumulative_top_n(base, product_col, F.col("_amt"), n, f"top{n}_product_ids", step_s, size_s)
+    base = prepare_sales(sales, time_col, day, ops).select(time_col, amount.alias("amt"), id_col, product_col)
+    base = assign_panes(base, time_col, step_s, size_s)
+    return base.groupBy("window_start", "pane", id_col, product_col).agg(F.sum("amt").alias("amt"))
+
+
+def report_from_panes(
+    panes: DataFrame,
+    id_col: str = "id",
+    product_col: str = "product_id",
+    n: int = 5,
+    step_s: int = 600,
+    size_s: int = DAY,
+) -> DataFrame:
+    """T5 from pane totals: GMV and Top-N lists per cumulative window."""
+    amt = F.col("amt")
+    gmv = cumulative_measure(panes, amt, "gmv", None, step_s, size_s)
+    ids = cumulative_top_n(panes, id_col, amt, n, f"top{n}_ids", step_s, size_s)
+    products = cumulative_top_n(panes, product_col, amt, n, f"top{n}_product_ids", step_s, size_s)
     on = ["window_start", "window_end"]
     out = gmv.join(ids, on, "left").join(products, on, "left")
     return out.select(
@@ -73,6 +77,29 @@ def gmv_topn_report(
     )
 
 
+def gmv_topn_report(
+    sales: DataFrame,
+    time_col: str = "event_time",
+    amount_col: str = "total_amount",
+    id_col: str = "id",
+    product_col: str = "product_id",
+    n: int = 5,
+    step_s: int = 600,
+    size_s: int = DAY,
+    day: str | dt.date | None = None,
+    ops: tuple[str, ...] | None = None,
+) -> DataFrame:
+    """T5: one row per (window_start, window_end) with GMV and Top-N lists.
+
+    ``time_col`` is wall-clock TIMESTAMP_NTZ.  Amounts are cast to
+    DECIMAL(18,2) before summing (exact, order-independent); GMV leaves as
+    DECIMAL(38,2).  Missing lists become ``''``.  Columns: order_date,
+    window_start, window_end, gmv, top{n}_ids, top{n}_product_ids.
+    """
+    panes = pane_totals(sales, time_col, amount_col, id_col, product_col, step_s, size_s, day, ops)
+    return report_from_panes(panes, id_col, product_col, n, step_s, size_s)
+
+
 def cumulative_gmv(sales: DataFrame, time_col: str = "event_time", amount_col: str = "total_amount", **kw) -> DataFrame:
     """Cumulative GMV per (window_start, window_end)."""
     step_s, size_s = kw.get("step_s", 600), kw.get("size_s", DAY)

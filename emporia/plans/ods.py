@@ -43,7 +43,8 @@ def ods_sku_info(spark: SparkSession, base: str) -> DataFrame:
 
 def ods_base_category3(spark: SparkSession, base: str) -> DataFrame:
     p = table(spark, base, "part", ["p_type"])
-    return p.select(F.col("p_type").alias("category3_id"), F.lower("p_type").alias("category3_name")).distinct()
+    # Unique on category3_id, so a join that uses no category column is pruned.
+    return p.groupBy(F.col("p_type").alias("category3_id")).agg(F.min(F.lower("p_type")).alias("category3_name"))
 
 
 def ods_inventory(spark: SparkSession, base: str) -> DataFrame:
