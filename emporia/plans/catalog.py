@@ -272,3 +272,66 @@ def q_page_links(spark, base):
     pages = table(spark, base, "pages", ["page_id", "url", "html"])
     # The driver's pages carry neither target nor title attributes.
     return links.page_links(pages, require_blank_target=False, require_title=False)
+
+
+# ---- T6-T14: the same pipelines as streams (file stream of events) ------------------
+
+import uuid  # noqa: E402
+
+from emporia.session import scratch_path  # noqa: E402
+from emporia.streaming import jobs, store  # noqa: E402
+
+
+def _stream(spark, starter, reader):
+    """Drain the stream once (availableNow) into a fresh folder of the
+    shared checkpoint area and read its result table."""
+    root = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    q = starter(f"{root}/out", f"{root}/checkpoint")
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return reader(f"{root}/out")
+
+
+@query("stream_page_views")
+def q_stream_page_views(spark, base):
+    logs_s = inputs.log_rows(inputs.events_stream(spark, base))
+    return _stream(spark, lambda o, c: jobs.start_page_views(logs_s, o, c),
+                   lambda o: store.latest(spark, o, ["log_date", "log_type"]))
+
+
+@query("stream_keyword_top10")
+def q_stream_keyword_top10(spark, base):
+    logs_s = inputs.log_rows(inputs.events_stream(spark, base))
+    return _stream(spark, lambda o, c: jobs.start_keyword_top_n(logs_s, o, c, 10, "click"),
+                   lambda o: spark.read.parquet(f"{o}/top").select("log_date", "rn", "keyword", "cnt"))
+
+
+@query("stream_device_users")
+def q_stream_device_users(spark, base):
+    logs_s = inputs.log_rows(inputs.events_stream(spark, base))
+    return _stream(spark, lambda o, c: jobs.start_device_users(logs_s, o, c),
+                   lambda o: store.latest(spark, o, ["dt", "plat", "brand", "platv"]))
+
+
+@query("stream_path_transitions")
+def q_stream_path_transitions(spark, base):
+    logs_s = inputs.log_rows(inputs.events_stream(spark, base))
+    return _stream(spark, lambda o, c: jobs.start_path_transitions(logs_s, o, c, seq="event_id"),
+                   lambda o: store.summed(spark, o, ["log_date", "path"], ["cnt"]))
+
+
+@query("stream_gmv_topn_report")
+def q_stream_gmv_topn_report(spark, base):
+    sales_s = inputs.sales_rows(inputs.events_stream(spark, base))
+    return _stream(spark, lambda o, c: jobs.start_gmv_report(sales_s, o, c),
+                   lambda o: spark.read.parquet(f"{o}/report").select(
+                       "order_date", "window_start", "window_end", "gmv", "top5_ids", "top5_product_ids"))
+
+
+@query("stream_change_current_state")
+def q_stream_change_current_state(spark, base):
+    env = changes.parse_changes(inputs.change_rows(inputs.events_stream(spark, base)), CHANGE_ROW)
+    flat = changes.flatten_change(changes.filter_tables(env, "public", "events"), CHANGE_ROW)
+    return _stream(spark, lambda o, c: jobs.start_current_state(flat, o, c, ["user_id"]),
+                   lambda o: jobs.read_current_state(spark, o, ["user_id"]))

@@ -24,9 +24,29 @@ def _k() -> Column:
     return F.get_json_object("props", "$.k").cast("long")
 
 
+EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def events(spark: SparkSession, base: str) -> DataFrame:
+    return table(spark, base, "events", EVENT_COLS)
+
+
+def events_stream(spark: SparkSession, base: str, max_files: int | None = None) -> DataFrame:
+    """``events`` as a file stream (the glob keeps the file source on the one
+    table even though the folder holds every table)."""
+    schema = spark.read.parquet(f"{base}/events.parquet").select(*EVENT_COLS).schema
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(f"{base}/events.parque[t]")
+
+
 def sales_events(spark: SparkSession, base: str) -> DataFrame:
+    return sales_rows(events(spark, base))
+
+
+def sales_rows(ev: DataFrame) -> DataFrame:
     """Purchases as sales rows: id = user_id, product = k, amount = value."""
-    ev = table(spark, base, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
     return ev.filter(F.col("event_type") == "purchase").select(
         F.col("user_id").cast("string").alias("id"),
         _k().cast("string").alias("product_id"),
@@ -36,6 +56,10 @@ def sales_events(spark: SparkSession, base: str) -> DataFrame:
 
 
 def log_events(spark: SparkSession, base: str) -> DataFrame:
+    return log_rows(events(spark, base))
+
+
+def log_rows(ev: DataFrame) -> DataFrame:
     """Behaviour-log rows from ``events``.
 
     ``ts`` is epoch seconds for even event ids and milliseconds for odd ones
@@ -44,7 +68,6 @@ def log_events(spark: SparkSession, base: str) -> DataFrame:
     gis.ip is a dotted address hashed from user_id; device fields come from
     user_id and k, with some nulls.
     """
-    ev = table(spark, base, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
     ms = ntz_epoch_ms("ts", "UTC")
     k = _k()
     ipn = F.pmod(F.col("user_id") * F.lit(IP_HASH), F.lit(1 << 32))
@@ -169,6 +192,10 @@ CHANGE_OPS = {"signup": "c", "view": "u", "click": "u", "error": "d", "purchase"
 
 
 def change_log(spark: SparkSession, base: str) -> DataFrame:
+    return change_rows(events(spark, base))
+
+
+def change_rows(ev: DataFrame) -> DataFrame:
     """Change-event JSON lines (column ``value``) derived from ``events``.
 
     op by event type (signup c, view/click u, error d, purchase r); key
@@ -176,7 +203,6 @@ def change_log(spark: SparkSession, base: str) -> DataFrame:
     before image and deletes carry only the key, as with a default replica
     identity.
     """
-    ev = table(spark, base, "events", ["event_id", "ts", "user_id", "event_type", "value"])
     op = F.create_map(*[F.lit(x) for kv in CHANGE_OPS.items() for x in kv])[F.col("event_type")]
     image = F.struct("user_id", "event_type", "value")
     env = F.struct(
