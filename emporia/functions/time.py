@@ -73,3 +73,19 @@ def event_time(ts, insert_time) -> Column:
 def wall_clock(ts, tz: str = "UTC") -> Column:
     """An instant (TIMESTAMP) as TIMESTAMP_NTZ wall clock in ``tz``."""
     return F.convert_timezone(F.lit(_session_tz()), F.lit(tz), _col(ts).cast("timestamp_ntz"))
+
+
+def day_window_offset(tz: str = DEFAULT_TZ, on: str = "2024-01-01") -> str:
+    """``startTime`` that aligns ``window(ts, '1 day')`` to local midnight in
+    ``tz`` (fixed-offset zones; e.g. '16 hours' for UTC+8)."""
+    import datetime as dt
+    from zoneinfo import ZoneInfo
+
+    off = dt.datetime.fromisoformat(on).replace(tzinfo=ZoneInfo(tz)).utcoffset() or dt.timedelta(0)
+    minutes = int((-off.total_seconds() // 60) % (24 * 60))
+    return f"{minutes} minutes"
+
+
+def daily_window(ts, tz: str = DEFAULT_TZ) -> Column:
+    """Tumbling one-day event-time window aligned to local midnight."""
+    return F.window(_col(ts), "1 day", startTime=day_window_offset(tz))

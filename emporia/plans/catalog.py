@@ -335,3 +335,40 @@ def q_stream_change_current_state(spark, base):
     flat = changes.flatten_change(changes.filter_tables(env, "public", "events"), CHANGE_ROW)
     return _stream(spark, lambda o, c: jobs.start_current_state(flat, o, c, ["user_id"]),
                    lambda o: jobs.read_current_state(spark, o, ["user_id"]))
+
+
+# ---- E10-E12, S11-S12: views, preview and full scan -------------------------------
+
+from emporia.sources import tables as tbl  # noqa: E402
+
+
+@query("daily_sales")
+def q_daily_sales(spark, base):
+    """E10-E12 on one day: live change rows (r, +I, +U) of the sales table
+    as the 8-column view.  op by event type: purchase r, view +I, click +U,
+    signup -U, error -D."""
+    ev = inputs.events(spark, base)
+    op = F.create_map(*[F.lit(x) for kv in inputs.SALES_OPS.items() for x in kv])[F.col("event_type")]
+    sales = ev.select(
+        F.col("event_id").cast("string").alias("id"),
+        (F.col("event_id") * 7).cast("string").alias("order_id"),
+        F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("user_name"),
+        F.get_json_object("props", "$.k").alias("product_id"),
+        F.lit(1).cast("long").alias("sale_num"),
+        F.col("value").cast("decimal(10,2)").alias("total_amount"),
+        F.col("ts").alias("event_time"),
+        op.alias("op"),
+    )
+    return gmv.daily_sales(sales, inputs.SALES_DAY)
+
+
+@query("preview")
+def q_preview(spark, base):
+    """The first 100 report rows in a stated order."""
+    return tbl.preview(gmv.gmv_topn_report(inputs.sales_events(spark, base)), ["window_start", "window_end"], 100)
+
+
+@query("scan")
+def q_scan(spark, base):
+    """Full scan of the log message table."""
+    return tbl.scan(spark, base, "events")

@@ -115,3 +115,9 @@ def cumulative_top(
     step_s, size_s = kw.get("step_s", 600), kw.get("size_s", DAY)
     base = assign_panes(prepare_sales(sales, time_col, kw.get("day"), kw.get("ops")), time_col, step_s, size_s)
     return cumulative_top_n(base, key, F.col(amount_col).cast("decimal(18,2)"), n, kw.get("name"), step_s, size_s)
+
+
+def daily_sales(sales: DataFrame, day: str | dt.date, time_col: str = "event_time") -> DataFrame:
+    """The 8-column view of live rows (E10) on one day."""
+    live = prepare_sales(sales, time_col, day, LIVE_OPS)
+    return live.select("id", "order_id", "user_name", "product_id", "sale_num", "total_amount", time_col, "op")

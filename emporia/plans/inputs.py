@@ -215,3 +215,8 @@ def change_rows(ev: DataFrame) -> DataFrame:
                  F.col("event_id").alias("lsn")).alias("source"),
     )
     return ev.select(F.to_json(env).alias("value"))
+
+
+# Change ops given to events for the sales view (E10), and the day it keeps.
+SALES_OPS = {"purchase": "r", "view": "+I", "click": "+U", "signup": "-U", "error": "-D"}
+SALES_DAY = "2024-01-15"

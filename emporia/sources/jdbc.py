@@ -23,23 +23,28 @@ def read_table(
     """One table through JDBC; bounds for a partitioned read are taken from
     the table itself (a single MIN/MAX query)."""
     props = dict(properties or {})
-    reader = spark.read.format("jdbc").option("url", url).option("fetchsize", fetch_size).options(**props)
+
+    def reader():  # DataFrameReader is a mutable builder: one per read
+        return spark.read.format("jdbc").option("url", url).option("fetchsize", fetch_size).options(**props)
+
     if partition_column:
         bounds = (
-            reader.option("query", f"SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi FROM {table}")
+            reader()
+            .option("query", f"SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi FROM {table}")
             .load()
             .first()
         )
         if bounds and bounds[0] is not None:
             return (
-                reader.option("dbtable", table)
+                reader()
+                .option("dbtable", table)
                 .option("partitionColumn", partition_column)
                 .option("lowerBound", int(bounds[0]))
                 .option("upperBound", int(bounds[1]) + 1)
                 .option("numPartitions", num_partitions)
                 .load()
             )
-    return reader.option("dbtable", table).load()
+    return reader().option("dbtable", table).load()
 
 
 def sync_table(
