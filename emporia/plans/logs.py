@@ -78,16 +78,21 @@ def path_transitions(
     tz: str = DEFAULT_TZ,
     order: tuple[str, ...] = ("ts",),
     bucket_ms: int = 3_600_000,
+    slice_ms: int | None = None,
 ) -> DataFrame:
     """M4: count of page-type changes per (log_date, path).
 
     Per user in event-time order, each row paired with the row before it
     emits ``prev→type`` when both types are set and differ, dated by the
     later row.  ``order`` adds tie-breaks after ``ts`` (e.g. an event id).
+    ``slice_ms`` (T8) pairs rows only inside per-user tumbling event-time
+    slices of that length (the source used 10 s slices), so pairs that
+    straddle a slice edge are not counted.
     """
     rows = normalise(df, tz).select("user_id", "log_type", "log_date", *dict.fromkeys(("ts",) + tuple(order)))
+    width = slice_ms or bucket_ms
     paired = transitions(rows, "user_id", list(dict.fromkeys(("ts",) + tuple(order))), "log_type",
-                         F.floor(F.col("ts") / bucket_ms), "prev")
+                         F.floor(F.col("ts") / width), "prev", carry=slice_ms is None)
     moves = paired.filter(
         F.col("prev").isNotNull() & F.col("log_type").isNotNull() & (F.col("prev") != F.col("log_type"))
     )

@@ -70,3 +70,12 @@ def test_device_users_rules(spark):
     ]
     got = {(r.brand, r.platv, r.users) for r in logs.device_users(_logs(spark, rows)).collect()}
     assert got == {("apple", "17", 2), (None, None, 1)}
+
+
+def test_path_transitions_event_time_slices(spark):
+    base = (S // 10) * 10  # start of a 10 s slice
+    rows = [row(base + 1, "home"), row(base + 2, "cart"), row(base + 11, "pay"), row(base + 12, "home")]
+    whole = {(r.path, r.cnt) for r in logs.path_transitions(_logs(spark, rows)).collect()}
+    assert whole == {("home→cart", 1), ("cart→pay", 1), ("pay→home", 1)}
+    sliced = {(r.path, r.cnt) for r in logs.path_transitions(_logs(spark, rows), slice_ms=10_000).collect()}
+    assert sliced == {("home→cart", 1), ("pay→home", 1)}

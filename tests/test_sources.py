@@ -76,3 +76,39 @@ def test_jdbc_sync_round_trip(spark, tmp_path):
     want = spark.read.parquet(os.path.join(SMALL, "nation.parquet"))
     assert got.rdd.getNumPartitions() > 1  # partitioned range reads
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_sales_stream_fixture_cases(spark, tmp_path):
+    """Typed sales rows from JSON lines; a malformed line is
+    dropped by the lenient reader only if nothing parses, a bad field is
+    null with the other fields kept, and every ts form resolves."""
+    import json
+
+    src = tmp_path / "sales"
+    src.mkdir()
+    rows = [
+        {"id": "1", "product_id": "p1", "total_amount": 10.5, "ts": "1761192000", "op": "r"},
+        {"id": "2", "product_id": "p1", "total_amount": 1.25, "ts": "1761192000.123", "op": "+I"},
+        {"id": "3", "product_id": "p2", "total_amount": 2, "ts": "1761192000123", "op": "+U"},
+        {"id": "4", "product_id": "p2", "total_amount": 3, "ts": "", "insert_time": 1761192000999, "op": "-D"},
+        {"id": "5", "product_id": "p3", "total_amount": "oops", "ts": "1761192001", "op": "r"},
+    ]
+    (src / "a.json").write_text("\n".join(json.dumps(r) for r in rows) + "\n{not json\n")
+    s = streams.read_sales_stream(spark, {"format": "text", "path": str(src)})
+    q = s.writeStream.format("memory").queryName("sales_fixture").trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = {r.id: r for r in spark.sql("SELECT * FROM sales_fixture").collect() if r.id}
+    assert set(got) == {"1", "2", "3", "4", "5"}
+    assert got["5"].total_amount is None and got["5"].product_id == "p3"
+    wall = lambda r: r.event_time.replace(tzinfo=None)
+    assert wall(got["1"]) == dt.datetime(2025, 10, 23, 4, 0)
+    assert wall(got["2"]).microsecond == 123000 and wall(got["3"]).microsecond == 123000
+    assert wall(got["4"]).microsecond == 999000
+
+
+def test_dim_activity(spark):
+    from emporia.plans.warehouse import dim_activity
+
+    a = spark.createDataFrame([(1, "sale", dt.date(2024, 1, 1), dt.date(2024, 1, 7))],
+                              "activity_id int, activity_name string, start_date date, end_date date")
+    assert dim_activity(a).first().days == 7
