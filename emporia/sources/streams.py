@@ -87,3 +87,11 @@ def read_sales_stream(spark: SparkSession, source: dict, watermark: str = "5 sec
 
 def fresh_group_id(prefix: str) -> str:
     return f"{prefix}-{int(time.time() * 1000)}"
+
+
+def read_change_events(spark: SparkSession, source: dict, row: T.StructType, mode: str = "PERMISSIVE") -> DataFrame:
+    """Change-event envelopes (before/after/op/ts_ms/source) from Kafka
+    or files, e.g. as written by a log-based capture connector."""
+    from emporia.plans.changes import parse_changes
+
+    return parse_changes(read_text_stream(spark, source), row, "value", mode)

@@ -34,3 +34,14 @@ def preview(df: DataFrame, order_by: list[str], n: int = 100) -> DataFrame:
     its own top ``n`` and only those reach the final merge.
     """
     return df.orderBy(*order_by).limit(n)
+
+
+def use_database(spark: SparkSession, database: str) -> None:
+    """Make ``database`` the current namespace (``USE database``)."""
+    spark.catalog.setCurrentDatabase(database)
+
+
+def catalog_table(spark: SparkSession, name: str, columns: list[str] | None = None) -> DataFrame:
+    """A catalog table by (optionally database-qualified) name."""
+    df = spark.table(name)
+    return df.select(*columns) if columns else df
