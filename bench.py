@@ -43,7 +43,11 @@ def main() -> None:
         f"local[{cpus}]",
         app="emporia-bench",
         shuffle_partitions=2 * cpus,
-        conf={"spark.driver.memory": "16g", "spark.sql.files.maxPartitionBytes": "64m"},
+        conf={
+            "spark.driver.memory": "16g",
+            "spark.sql.files.maxPartitionBytes": "64m",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": os.environ.get("BENCH_MIN_PART", "1m"),
+        },
     )
     QUERIES["page_views"](spark, base).write.format("noop").mode("overwrite").save()  # warm-up
     times = {}

@@ -27,8 +27,11 @@ def prepare_sales(
         df = df.filter(F.col("op").isin(*ops))
     if day is not None:
         d = dt.date.fromisoformat(str(day))
-        lo = dt.datetime.combine(d, dt.time())
-        df = df.filter((F.col(time_col) >= F.lit(lo)) & (F.col(time_col) < F.lit(lo + dt.timedelta(days=1))))
+        # Wall-clock literals (TIMESTAMP_NTZ parsed from text) do not move
+        # with the session time zone the way Python datetime literals do.
+        lo = F.to_timestamp_ntz(F.lit(f"{d.isoformat()} 00:00:00"))
+        hi = F.to_timestamp_ntz(F.lit(f"{(d + dt.timedelta(days=1)).isoformat()} 00:00:00"))
+        df = df.filter((F.col(time_col) >= lo) & (F.col(time_col) < hi))
     return df
 
 
