@@ -336,8 +336,7 @@ def q_stream_path_transitions(spark, base):
 def q_stream_gmv_topn_report(spark, base):
     sales_s = inputs.sales_rows(inputs.events_stream(spark, base))
     return _stream(spark, lambda o, c: jobs.start_gmv_report(sales_s, o, c),
-                   lambda o: spark.read.parquet(f"{o}/report").select(
-                       "order_date", "window_start", "window_end", "gmv", "top5_ids", "top5_product_ids"))
+                   lambda o: jobs.read_gmv_report(spark, o))
 
 
 @query("stream_change_current_state")

@@ -35,6 +35,11 @@ STAGES = {"search": "click", "visit": "view", "pay": "purchase"}
 RATING = {"1": "good", "2": "neutral", "3": "bad"}
 
 
+def money_sum(col: str) -> Column:
+    """Money total as DECIMAL(38,4): exact, and wide enough for any table."""
+    return F.sum(col).cast("decimal(38,4)")
+
+
 def ratio(num, den) -> Column:
     """num / den as DOUBLE; null for a zero or null denominator."""
     num = F.col(num) if isinstance(num, str) else num
@@ -148,13 +153,13 @@ def dws_user_action_day_sum(page_log: DataFrame) -> DataFrame:
 def dws_order_day_sum(detail: DataFrame) -> DataFrame:
     """Orders, ordering users, items and amount per day."""
     per_order = detail.groupBy("dt", "order_id", "user_id").agg(
-        F.sum("quantity").alias("items"), F.sum("amount").alias("amount")
+        F.sum("quantity").alias("items"), money_sum("amount").alias("amount")
     )
     return per_order.groupBy("dt").agg(
         F.count(F.lit(1)).alias("order_count"),
         F.count_distinct("user_id").alias("user_count"),
         F.sum("items").alias("item_num"),
-        F.sum("amount").alias("order_amount"),
+        money_sum("amount").alias("order_amount"),
     )
 
 
@@ -164,7 +169,7 @@ def dws_sku_sales_day_sum(detail: DataFrame) -> DataFrame:
     return paid.groupBy("dt", "sku_id").agg(
         F.sum("quantity").alias("pay_item_num"),
         F.count_distinct("user_id").alias("pay_user_num"),
-        F.sum("amount").alias("total_sales"),
+        money_sum("amount").alias("total_sales"),
         F.sum(F.col("is_refund").cast("int")).alias("refund_num"),
     )
 
@@ -201,7 +206,7 @@ def dws_store_category_daycount(page_log: DataFrame, detail: DataFrame) -> DataF
     sales = detail.filter("is_paid").groupBy(*keys).agg(
         F.count_distinct("user_id").alias("pay_user_count"),
         F.sum("quantity").alias("pay_item_num"),
-        F.sum("amount").alias("payment_amount"),
+        money_sum("amount").alias("payment_amount"),
     )
     out = _full(_visitors(page_log, keys), sales, keys)
     return out.withColumn("pay_rate", ratio("pay_user_count", "visitor_count"))
@@ -214,7 +219,7 @@ def dws_attr_distribution_analysis(page_log: DataFrame, detail: DataFrame, sku:
     log = with_dimension(page_log, sku.select("sku_id", "attr_value"), "sku_id")
     paid = detail.filter("is_paid")
     users = paid.groupBy(*keys).agg(
-        F.count_distinct("user_id").alias("payment_user_count"), F.sum("amount").alias("payment_amount")
+        F.count_distinct("user_id").alias("payment_user_count"), money_sum("amount").alias("payment_amount")
     )
     skus = paid.groupBy(*keys).agg(F.count_distinct("sku_id").alias("action_num"))
     out = _full(_full(_visitors(log, keys), users, keys), skus, keys)
@@ -243,7 +248,7 @@ def dws_store_audience_daycount(detail: DataFrame, users: DataFrame, attribute:
     ``user_type`` (new/old), ``age_band`` or ``gender``."""
     paid = with_dimension(detail.filter("is_paid"), users.select("user_id", attribute), "user_id")
     return paid.groupBy("dt", "store_id", attribute).agg(
-        F.count_distinct("user_id").alias("pay_user_count"), F.sum("amount").alias("payment_amount")
+        F.count_distinct("user_id").alias("pay_user_count"), money_sum("amount").alias("payment_amount")
     )
 
 
@@ -348,7 +353,7 @@ def product_ranking(detail: DataFrame, category3_id: str | None = None) -> DataF
     paid = detail.filter("is_paid")
     if category3_id is not None:
         paid = paid.filter(F.col("category3_id") == category3_id)
-    agg = paid.groupBy("store_id", "category3_id", "sku_id").agg(F.sum("amount").alias("payment_amount"))
+    agg = paid.groupBy("store_id", "category3_id", "sku_id").agg(money_sum("amount").alias("payment_amount"))
     w = Window.partitionBy("store_id", "category3_id").orderBy(F.desc("payment_amount"))
     return agg.withColumn("rk", F.rank().over(w))
 
@@ -361,7 +366,7 @@ def gmv_target_progress(detail: DataFrame, targets: DataFrame) -> DataFrame:
     """Month-to-date paid GMV per shop against a target table
     (store_id, month, target_gmv); progress = gmv / target."""
     gmv = detail.filter("is_paid").groupBy("store_id", month_of(F.col("dt")).alias("month")).agg(
-        F.sum("amount").alias("current_month_gmv")
+        money_sum("amount").alias("current_month_gmv")
     )
     out = gmv.join(targets, ["store_id", "month"], "left")
     return out.withColumn("progress", ratio("current_month_gmv", "target_gmv"))
@@ -370,7 +375,7 @@ def gmv_target_progress(detail: DataFrame, targets: DataFrame) -> DataFrame:
 def gmv_contribution(detail: DataFrame) -> DataFrame:
     """A category's share of its shop's paid GMV per month."""
     agg = detail.filter("is_paid").groupBy("store_id", month_of(F.col("dt")).alias("month"), "category3_id").agg(
-        F.sum("amount").alias("category_gmv")
+        money_sum("amount").alias("category_gmv")
     )
     w = Window.partitionBy("store_id", "month")
     agg = agg.withColumn("store_gmv", F.sum("category_gmv").over(w))
@@ -383,7 +388,7 @@ def category_rank(detail: DataFrame, month: str) -> DataFrame:
     start = dt.date.fromisoformat(month + "-01")
     end = (start.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
     paid = detail.filter("is_paid").filter((F.col("dt") >= F.lit(start)) & (F.col("dt") < F.lit(end)))
-    agg = paid.groupBy("store_id", "category3_id").agg(F.sum("amount").alias("payment_amount"))
+    agg = paid.groupBy("store_id", "category3_id").agg(money_sum("amount").alias("payment_amount"))
     return agg.withColumn("rk", F.rank().over(Window.partitionBy("store_id").orderBy(F.desc("payment_amount"))))
 
 
@@ -451,7 +456,7 @@ def one_shot_ads(page_log: DataFrame, detail: DataFrame, comments: DataFrame) ->
     )
     paid = detail.filter("is_paid").groupBy(*keys).agg(
         F.count_distinct("user_id").alias("pay_buyer_num"),
-        F.sum("amount").alias("total_sales"),
+        money_sum("amount").alias("total_sales"),
         F.sum(F.col("is_refund").cast("int")).alias("refund_num"),
     )
     com = comments.groupBy(*keys).agg(
@@ -475,7 +480,7 @@ def one_shot_ads(page_log: DataFrame, detail: DataFrame, comments: DataFrame) ->
 def drilldown_summary(detail: DataFrame) -> DataFrame:
     """Month summary rows (orders, amount) for the drill-down report."""
     return detail.groupBy(month_of(F.col("dt")).alias("month")).agg(
-        F.count_distinct("order_id").alias("order_count"), F.sum("amount").alias("order_amount")
+        F.count_distinct("order_id").alias("order_count"), money_sum("amount").alias("order_amount")
     )
 
 

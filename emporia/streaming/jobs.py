@@ -213,6 +213,16 @@ def start_gmv_report(sales: DataFrame, out: str, checkpoint: str, id_col: str =
     return _start(panes, flush, checkpoint, "update", trigger, None)
 
 
+def read_gmv_report(spark, out: str) -> DataFrame:
+    """The stream's report table with its columns and types as in batch
+    (``order_date`` is the partition folder, read back as text)."""
+    df = spark.read.parquet(f"{out}/report")
+    return df.select(
+        F.col("order_date").cast("string").alias("order_date"),
+        "window_start", "window_end", "gmv", "top5_ids", "top5_product_ids",
+    )
+
+
 # ---- C4: current state from a change stream --------------------------------------------------
 
 
@@ -238,6 +248,7 @@ __all__ = [
     "changes",
     "device_user_counts",
     "read_current_state",
+    "read_gmv_report",
     "start_current_state",
     "start_device_users",
     "start_gmv_report",

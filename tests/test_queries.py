@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from oracle.check import digest
+from oracle.types import duck_type
 from emporia.sources.tables import TABLES, table_path
 
 SMALL = "/root/testdata/sf0.001"
@@ -33,6 +34,9 @@ def test_query_matches_oracle(spark, con, name):
     sql = E.oracle_sql().get(name)
     if sql is None:
         pytest.skip("no SQL oracle")
+    rel = con.sql(sql)
+    otypes = {c: duck_type(t) for c, t in zip(rel.columns, rel.types)}
+    assert {f.name: f.dataType.simpleString() for f in df.schema.fields} == otypes
     cur = con.execute(sql)
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
