@@ -39,9 +39,16 @@ def with_dimension(
     on: str | list[str] | Column,
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
-    """Fact-to-dimension join; fans out on duplicate dimension keys."""
-    return df.join(broadcast_if_small(dim, max_rows), on, how)
+    """Fact-to-dimension join; fans out on duplicate dimension keys.
+
+    ``small`` passes a size check already made on the dimension's source
+    (a projection has the same row count), saving a count per projection.
+    """
+    if small is None:
+        small = is_small(dim, max_rows)
+    return df.join(F.broadcast(dim) if small else dim, on, how)
 
 
 def prev_day_join(cur: DataFrame, prev: DataFrame, day: str, how: str = "left") -> DataFrame:

@@ -174,6 +174,7 @@ def q_change_current_state(spark, base):
 
 import functools  # noqa: E402
 
+from emporia.operators.joins import is_small  # noqa: E402
 from emporia.plans import ods, warehouse as wh  # noqa: E402
 
 AS_OF = "2024-01-31"
@@ -188,10 +189,19 @@ class Layers:
     def __init__(self, spark, base):
         self.spark, self.base = spark, base
 
+    @functools.cached_property
+    def sku_small(self):
+        """One size check for the sku dimension and every projection of it."""
+        return is_small(ods.ods_sku_info(self.spark, self.base))
+
+    @functools.cached_property
+    def users_small(self):
+        return is_small(ods.ods_user_info(self.spark, self.base))
+
     @functools.cached_property
     def _sku(self):
         s = self.spark, self.base
-        return wh.dim_sku(ods.ods_sku_info(*s), ods.ods_base_category3(*s), ods.ods_inventory(*s))
+        return wh.dim_sku(ods.ods_sku_info(*s), ods.ods_base_category3(*s), ods.ods_inventory(*s), self.sku_small)
 
     def sku(self):
         return self._sku
@@ -208,10 +218,10 @@ class Layers:
 
     def detail(self):
         s = self.spark, self.base
-        return wh.dwd_order_detail(self.orders(), ods.ods_payment_info(*s), self.sku())
+        return wh.dwd_order_detail(self.orders(), ods.ods_payment_info(*s), self.sku(), self.sku_small)
 
     def page_log(self):
-        return wh.dwd_page_log(ods.ods_page_log(self.spark, self.base), self.sku())
+        return wh.dwd_page_log(ods.ods_page_log(self.spark, self.base), self.sku(), small=self.sku_small)
 
     def comments(self):
         return wh.dwd_comment_detail(ods.ods_comment_info(self.orders()))
@@ -244,17 +254,19 @@ WAREHOUSE = {
     "dws_comment_day_sum": lambda L: L.comment_sum(),
     "dws_favor_day_sum": lambda L: wh.dws_favor_day_sum(wh.dwd_action_detail(L.page_log(), "signup")),
     "dws_store_category_daycount": lambda L: wh.dws_store_category_daycount(L.page_log(), L.detail()),
-    "dws_attr_distribution_analysis": lambda L: wh.dws_attr_distribution_analysis(L.page_log(), L.detail(), L.sku()),
+    "dws_attr_distribution_analysis": lambda L: wh.dws_attr_distribution_analysis(
+        L.page_log(), L.detail(), L.sku(), L.sku_small
+    ),
     "dws_store_source_daycount": lambda L: wh.dws_store_source_daycount(L.page_log()),
-    "dws_store_user_daycount": lambda L: wh.dws_store_audience_daycount(L.detail(), L.users(), "user_type"),
-    "dws_store_age_daycount": lambda L: wh.dws_store_audience_daycount(L.detail(), L.users(), "age_band"),
-    "dws_store_gender_daycount": lambda L: wh.dws_store_audience_daycount(L.detail(), L.users(), "gender"),
+    "dws_store_user_daycount": lambda L: wh.dws_store_audience_daycount(L.detail(), L.users(), "user_type", L.users_small),
+    "dws_store_age_daycount": lambda L: wh.dws_store_audience_daycount(L.detail(), L.users(), "age_band", L.users_small),
+    "dws_store_gender_daycount": lambda L: wh.dws_store_audience_daycount(L.detail(), L.users(), "gender", L.users_small),
     "dws_keyword_traffic_analysis": lambda L: wh.dws_keyword_traffic_analysis(L.page_log()),
     "sales_metrics": lambda L: L.conversion(),
     "traffic_metrics": lambda L: wh.traffic_metrics(L.page_log()),
     "channel_pivot": lambda L: wh.channel_pivot(L.page_log()),
     "price_metrics": lambda L: wh.price_metrics(L.sku_sales(), L.conversion()),
-    "customer_insight": lambda L: wh.customer_insight(L.page_log(), L.users()),
+    "customer_insight": lambda L: wh.customer_insight(L.page_log(), L.users(), L.users_small),
     "core_summary": lambda L: wh.core_summary(wh.dws_store_category_daycount(L.page_log(), L.detail())),
     "product_ranking": lambda L: wh.product_ranking(L.detail()),
     "gmv_target_progress": lambda L: wh.gmv_target_progress(
@@ -263,7 +275,7 @@ WAREHOUSE = {
     "gmv_contribution": lambda L: wh.gmv_contribution(L.detail()),
     "category_rank": lambda L: wh.category_rank(L.detail(), MONTH),
     "source_share": lambda L: wh.source_share(wh.dws_store_source_daycount(L.page_log())),
-    "audience_ratio": lambda L: wh.audience_ratio(L.page_log(), L.users()),
+    "audience_ratio": lambda L: wh.audience_ratio(L.page_log(), L.users(), L.users_small),
     "ads_wide": lambda L: wh.ads_wide(L.sku_sales(), L.comment_sum(), L.conversion()),
     "one_shot_ads": lambda L: wh.one_shot_ads(L.page_log(), L.detail(), L.comments()),
     "drilldown_summary": lambda L: wh.drilldown_summary(L.detail()),

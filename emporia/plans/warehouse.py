@@ -50,9 +50,11 @@ def ratio(num, den) -> Column:
 # ---- DIM ----------------------------------------------------------------------
 
 
-def dim_sku(sku: DataFrame, category3: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Sku ⋈ category3 ⋈ inventory (left joins; stock 0 when absent)."""
-    out = with_dimension(sku, category3, "category3_id").join(inventory, "sku_id", "left")
+def dim_sku(sku: DataFrame, category3: DataFrame, inventory: DataFrame, small: bool | None = None) -> DataFrame:
+    """Sku ⋈ category3 ⋈ inventory (left joins; stock 0 when absent).
+
+    ``small``: the sku table passed a size check (category3 is no larger)."""
+    out = with_dimension(sku, category3, "category3_id", small=small).join(inventory, "sku_id", "left")
     return out.withColumn("stock", F.coalesce("stock", F.lit(0)))
 
 
@@ -87,7 +89,7 @@ def dim_activity(activity: DataFrame) -> DataFrame:
 # ---- DWD ----------------------------------------------------------------------
 
 
-def dwd_order_detail(orders: DataFrame, payments: DataFrame, sku: DataFrame) -> DataFrame:
+def dwd_order_detail(orders: DataFrame, payments: DataFrame, sku: DataFrame, small: bool | None = None) -> DataFrame:
     """Cleaned order lines with the sku's shop, category, brand
     and attribute, a paid flag (payment exists) and a refund flag.
 
@@ -100,7 +102,7 @@ def dwd_order_detail(orders: DataFrame, payments: DataFrame, sku: DataFrame) ->
     paid = payments.select("order_id", F.lit(True).alias("is_paid")).dropDuplicates(["order_id"])
     out = clean.join(paid, "order_id", "left")
     dims = sku.select("sku_id", "store_id", "category3_id", "brand", "attr_value")
-    out = with_dimension(out, dims, "sku_id")
+    out = with_dimension(out, dims, "sku_id", small=small)
     return out.select(
         "order_id",
         "line_no",
@@ -118,7 +120,7 @@ def dwd_order_detail(orders: DataFrame, payments: DataFrame, sku: DataFrame) ->
     )
 
 
-def dwd_page_log(raw: DataFrame, sku: DataFrame, col: str = "line") -> DataFrame:
+def dwd_page_log(raw: DataFrame, sku: DataFrame, col: str = "line", small: bool | None = None) -> DataFrame:
     """H8: JSON log lines -> typed page log with the sku's shop and category.
 
     Unparsable lines are dropped; a session is (user, local date).
@@ -126,7 +128,7 @@ def dwd_page_log(raw: DataFrame, sku: DataFrame, col: str = "line") -> DataFrame
     rec = raw.select(F.from_json(F.col(col), PAGE_LOG).alias("r")).filter(F.col("r.action").isNotNull()).select("r.*")
     rec = rec.withColumn("ts", F.to_timestamp_ntz("ts")).withColumn("dt", F.to_date("ts"))
     rec = rec.withColumn("session_id", F.concat_ws("-", F.col("user_id").cast("string"), F.col("dt").cast("string")))
-    return with_dimension(rec, sku.select("sku_id", "store_id", "category3_id", "brand"), "sku_id")
+    return with_dimension(rec, sku.select("sku_id", "store_id", "category3_id", "brand"), "sku_id", small=small)
 
 
 def dwd_action_detail(page_log: DataFrame, action: str) -> DataFrame:
@@ -212,11 +214,13 @@ def dws_store_category_daycount(page_log: DataFrame, detail: DataFrame) -> DataF
     return out.withColumn("pay_rate", ratio("pay_user_count", "visitor_count"))
 
 
-def dws_attr_distribution_analysis(page_log: DataFrame, detail: DataFrame, sku: DataFrame) -> DataFrame:
+def dws_attr_distribution_analysis(
+    page_log: DataFrame, detail: DataFrame, sku: DataFrame, small: bool | None = None
+) -> DataFrame:
     """By (dt, category3, attribute value): visitors, paying users,
     amount, conversion and ``action_num`` (skus with paid sales)."""
     keys = ["dt", "category3_id", "attr_value"]
-    log = with_dimension(page_log, sku.select("sku_id", "attr_value"), "sku_id")
+    log = with_dimension(page_log, sku.select("sku_id", "attr_value"), "sku_id", small=small)
     paid = detail.filter("is_paid")
     users = paid.groupBy(*keys).agg(
         F.count_distinct("user_id").alias("payment_user_count"), money_sum("amount").alias("payment_amount")
@@ -243,10 +247,12 @@ def dws_store_source_daycount(page_log: DataFrame) -> DataFrame:
     return out.withColumn("conversion_rate", ratio("payment_user_count", "visitor_count"))
 
 
-def dws_store_audience_daycount(detail: DataFrame, users: DataFrame, attribute: str) -> DataFrame:
+def dws_store_audience_daycount(
+    detail: DataFrame, users: DataFrame, attribute: str, small: bool | None = None
+) -> DataFrame:
     """Paying users and amount per (dt, store, <user attribute>) for
     ``user_type`` (new/old), ``age_band`` or ``gender``."""
-    paid = with_dimension(detail.filter("is_paid"), users.select("user_id", attribute), "user_id")
+    paid = with_dimension(detail.filter("is_paid"), users.select("user_id", attribute), "user_id", small=small)
     return paid.groupBy("dt", "store_id", attribute).agg(
         F.count_distinct("user_id").alias("pay_user_count"), money_sum("amount").alias("payment_amount")
     )
@@ -312,11 +318,11 @@ def price_metrics(sku_sales: DataFrame, conversion: DataFrame) -> DataFrame:
     ).join(conv, keys, "left")
 
 
-def customer_insight(page_log: DataFrame, users: DataFrame) -> DataFrame:
+def customer_insight(page_log: DataFrame, users: DataFrame, small: bool | None = None) -> DataFrame:
     """Per (dt, category3): visitors (view), male and female share and
     new-to-old ratio of the visitors."""
     views = page_log.filter(F.col("action") == "view").select("dt", "category3_id", "user_id").distinct()
-    v = with_dimension(views, users.select("user_id", "gender", "user_type"), "user_id")
+    v = with_dimension(views, users.select("user_id", "gender", "user_type"), "user_id", small=small)
     out = v.groupBy("dt", "category3_id").agg(
         F.count(F.lit(1)).alias("total_visitor_num"),
         F.sum((F.col("gender") == "male").cast("int")).alias("_m"),
@@ -407,12 +413,12 @@ def source_share(source_daycount: DataFrame) -> DataFrame:
     )
 
 
-def audience_ratio(page_log: DataFrame, users: DataFrame) -> DataFrame:
+def audience_ratio(page_log: DataFrame, users: DataFrame, small: bool | None = None) -> DataFrame:
     """For each behaviour stage (search, visit, pay) and day, users and
     their share by gender, age band and new/old."""
     stage = F.create_map(*[F.lit(x) for s, a in STAGES.items() for x in (a, s)])[F.col("action")]
     staged = page_log.select("dt", stage.alias("stage"), "user_id").filter(F.col("stage").isNotNull()).distinct()
-    u = with_dimension(staged, users.select("user_id", "gender", "age_band", "user_type"), "user_id")
+    u = with_dimension(staged, users.select("user_id", "gender", "age_band", "user_type"), "user_id", small=small)
     long = u.select(
         "dt",
         "stage",

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -16,9 +17,21 @@ def table_path(base: str, name: str) -> str:
     return os.path.join(base, f"{name}.parquet") if "://" not in base else f"{base}/{name}.parquet"
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, base: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """Read ``<base>/<name>.parquet``; ``columns`` narrows the ReadSchema."""
-    df = spark.read.parquet(table_path(base, name))
+    """Read ``<base>/<name>.parquet``; ``columns`` narrows the ReadSchema.
+
+    The schema found on the first read of a path is passed on later reads,
+    which skips the footer-reading job schema inference runs each time.
+    """
+    path = table_path(base, name)
+    if path in _SCHEMAS:
+        df = spark.read.schema(_SCHEMAS[path]).parquet(path)
+    else:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
     return df.select(*columns) if columns else df
 
 
