@@ -117,20 +117,22 @@ def _pair_with_previous(key, frames, state):
     """Per user: order this batch's rows, pair each with the row before it
     (the last row of earlier batches comes from state), keep the last row."""
     pdf = pd.concat(list(frames), ignore_index=True).sort_values(["ts", "seq"], kind="stable")
+    types = pdf["log_type"].reset_index(drop=True).astype(object)
+    prev = types.shift(1)
+    has_prev = pd.Series(True, index=types.index)
     if state.exists:
-        _, _, prev = state.get
-        has_prev = True
+        prev.iloc[0] = state.get[2]
     else:
-        prev, has_prev = None, False
-    out_dates, out_paths = [], []
-    for typ, day in zip(pdf["log_type"].tolist(), pdf["log_date"].tolist()):
-        if has_prev and prev is not None and typ is not None and prev != typ:
-            out_dates.append(day)
-            out_paths.append(f"{prev}{PATH_ARROW}{typ}")
-        prev, has_prev = typ, True
+        has_prev.iloc[0] = False
+    keep = has_prev & prev.notna() & types.notna() & (prev != types)
     last = pdf.iloc[-1]
     state.update((int(last["ts"]), int(last["seq"]), last["log_type"]))
-    yield pd.DataFrame({"log_date": out_dates, "path": out_paths})
+    yield pd.DataFrame(
+        {
+            "log_date": pdf["log_date"].reset_index(drop=True)[keep],
+            "path": prev[keep].astype(str) + PATH_ARROW + types[keep].astype(str),
+        }
+    )
 
 
 def transition_rows(log_stream: DataFrame, tz: str = DEFAULT_TZ, seq: str | None = None) -> DataFrame:
