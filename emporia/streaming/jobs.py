@@ -54,18 +54,17 @@ def start_page_views(log_stream: DataFrame, out: str, checkpoint: str, tz: str =
 def start_keyword_top_n(log_stream: DataFrame, out: str, checkpoint: str, n: int = 10, search_type: str = "search",
                         tz: str = DEFAULT_TZ, trigger: dict | None = None) -> StreamingQuery:
     """True keyword counts kept by the streaming aggregate; each
-    batch re-ranks only the days it touched and overwrites those days'
+    batch merges its updated counts into the touched days' snapshots
+    (``out/counts``), re-ranks only those days and overwrites their
     partitions of ``out/top`` (one current Top-N per day, dates ascending
     on read)."""
     counts = logs.keyword_counts(log_stream, search_type, tz)
     count_path, top_path = f"{out}/counts", f"{out}/top"
 
     def flush(batch: DataFrame, epoch: int) -> None:
-        store.append_epoch(batch, count_path, epoch, ("log_date",))
-        days = store.touched(batch, "log_date")
-        if not days:
+        cur = store.merge_snapshot(batch, count_path, "log_date", ["keyword"], epoch)
+        if cur is None:
             return
-        cur = store.latest(batch.sparkSession, count_path, ["log_date", "keyword"], where=F.col("log_date").isin(days))
         ranked = top_n(cur, ["log_date"], [F.desc("cnt"), F.asc("keyword")], n, "rn")
         (ranked.select("log_date", F.col("rn").cast("int").alias("rn"), "keyword", "cnt")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("log_date").parquet(top_path))
@@ -185,11 +184,11 @@ def pane_stream(sales: DataFrame, time_col: str = "event_time", amount_col: str
 def start_gmv_report(sales: DataFrame, out: str, checkpoint: str, id_col: str = "id", product_col: str = "product_id",
                      n: int = 5, step_s: int = 600, watermark: str = "5 seconds", time_col: str = "event_time",
                      amount_col: str = "total_amount", trigger: dict | None = None) -> StreamingQuery:
-    """T2-T5 on a stream.  Updated pane totals go to ``out/panes`` (by day);
-    the touched days' cumulative rows are recomputed from all their panes
-    and overwrite those days in ``out/report`` (partitioned by order_date).
-    A late row that still passes the watermark corrects every later window
-    of its day."""
+    """T2-T5 on a stream.  Updated pane totals are merged into per-day
+    snapshots in ``out/panes``; the touched days' cumulative rows are
+    recomputed from their snapshot and overwrite those days in
+    ``out/report`` (partitioned by order_date).  A late row that still
+    passes the watermark corrects every later window of its day."""
     panes = pane_stream(sales, time_col, amount_col, id_col, product_col, step_s, watermark)
     pane_path, report_path = f"{out}/panes", f"{out}/report"
     keys = ["window_start", "pane", id_col, product_col]
@@ -203,12 +202,10 @@ def start_gmv_report(sales: DataFrame, out: str, checkpoint: str, id_col: str =
             product_col,
             "amt",
         ).withColumn("day", F.to_date("window_start"))
-        store.append_epoch(rows, pane_path, epoch, ("day",))
-        days = store.touched(rows, "day")
-        if not days:
+        cur = store.merge_snapshot(rows, pane_path, "day", keys, epoch)
+        if cur is None:
             return
-        cur = store.latest(batch.sparkSession, pane_path, keys, where=F.col("day").isin(days)).drop("day")
-        report = gmv.report_from_panes(cur, id_col, product_col, n, step_s, DAY)
+        report = gmv.report_from_panes(cur.drop("day"), id_col, product_col, n, step_s, DAY)
         (report.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("order_date").parquet(report_path))
 

@@ -47,3 +47,75 @@ def summed(spark: SparkSession, path: str, keys: list[str], measures: list[str],
 def touched(batch: DataFrame, col: str) -> list:
     """Distinct values of a partition column in one micro-batch (a few days)."""
     return [r[0] for r in batch.select(col).distinct().collect()]
+
+
+# ---- per-partition snapshots -------------------------------------------------
+#
+# Jobs that must see *all* rows of the partitions (days) a batch touched use
+# snapshots instead of deltas: batch ``e`` merges each touched day's newest
+# snapshot older than ``e`` with its own rows and writes the result as the
+# day's snapshot at ``e``.  A batch reads one snapshot per day, however many
+# batches came before; a replayed batch reads the snapshot before its own
+# epoch and overwrites its own output.  Superseded snapshot folders are
+# never read again and can be removed by a retention job.
+
+
+def snapshot_epochs(spark: SparkSession, path: str, part: str, values: list, before: int | None = None) -> dict:
+    """Newest snapshot epoch (< ``before``) of each partition value, from
+    the file listing of those partitions only (no data is read)."""
+    import re
+
+    out = {}
+    for v in values:
+        folder = f"{path.rstrip('/')}/{part}={v}"
+        try:
+            files = spark.read.parquet(folder).inputFiles()
+        except Exception:  # no snapshot yet for this partition
+            continue
+        epochs = {int(m.group(1)) for f in files for m in [re.search(rf"/{EPOCH}=(\d+)/", f)] if m}
+        epochs = {e for e in epochs if before is None or e < before}
+        if epochs:
+            out[str(v)] = max(epochs)
+    return out
+
+
+def read_snapshots(spark: SparkSession, path: str, part: str, epochs: dict) -> DataFrame | None:
+    """Rows of the given (partition value -> epoch) snapshots; partition
+    pruning limits the scan to exactly those folders."""
+    if not epochs:
+        return None
+    cond = None
+    for v, e in epochs.items():
+        c = (F.col(part).cast("string") == F.lit(v)) & (F.col(EPOCH) == F.lit(e))
+        cond = c if cond is None else cond | c
+    return spark.read.parquet(path).filter(cond)
+
+
+def merge_snapshot(batch_rows: DataFrame, path: str, part: str, keys: list[str], epoch_id: int) -> DataFrame | None:
+    """Write the new snapshot of every partition in ``batch_rows`` (which
+    carry full values for their keys) and return it as read back; None for
+    an empty batch."""
+    spark = batch_rows.sparkSession
+    values = [str(v) for v in touched(batch_rows, part)]
+    if not values:
+        return None
+    prev = read_snapshots(spark, path, part, snapshot_epochs(spark, path, part, values, before=epoch_id))
+    rows = batch_rows.withColumn(EPOCH, F.lit(int(epoch_id)))
+    if prev is not None:
+        rows = prev.select(*rows.columns).unionByName(rows)
+    snap = latest_by(rows, [part, *keys], [EPOCH]).drop(EPOCH)
+    append_epoch(snap, path, epoch_id, (part,))
+    return read_snapshots(spark, path, part, {v: int(epoch_id) for v in values}).drop(EPOCH)
+
+
+def latest_snapshots(spark: SparkSession, path: str, part: str) -> DataFrame:
+    """The newest snapshot of every partition (for final readers)."""
+    import re
+
+    files = spark.read.parquet(path).inputFiles()
+    newest: dict = {}
+    for f in files:
+        m = re.search(rf"/{part}=([^/]+)/{EPOCH}=(\d+)/", f)
+        if m:
+            newest[m.group(1)] = max(newest.get(m.group(1), -1), int(m.group(2)))
+    return read_snapshots(spark, path, part, newest).drop(EPOCH)

@@ -48,6 +48,11 @@ def test_stream_equals_batch(spark, split_events, tmp_path):
     assert len(os.listdir(out)) > 2  # several micro-batches ran
     _same(store.latest(spark, out, ["log_date", "log_type"]), logs.page_views(log_b))
 
+    out, ck = str(tmp_path / "kw"), str(tmp_path / "kw_ck")
+    jobs.start_keyword_top_n(log_s, out, ck, 10, "click").awaitTermination()
+    _same(spark.read.parquet(f"{out}/top").select("log_date", "rn", "keyword", "cnt"),
+          logs.keyword_top_n(log_b, 10, "click"))
+
     out, ck = str(tmp_path / "path"), str(tmp_path / "path_ck")
     jobs.start_path_transitions(log_s, out, ck, seq="event_id").awaitTermination()
     _same(store.summed(spark, out, ["log_date", "path"], ["cnt"]),
@@ -68,3 +73,16 @@ def test_stream_equals_batch(spark, split_events, tmp_path):
     jobs.start_current_state(flat, out, ck, ["user_id"]).awaitTermination()
     batch_flat = changes.flatten_change(changes.parse_changes(inputs.change_log(spark, SMALL), CHANGE_ROW), CHANGE_ROW)
     _same(jobs.read_current_state(spark, out, ["user_id"]), changes.current_state(batch_flat, ["user_id"]))
+
+
+def test_snapshot_merge_is_replay_safe(spark, tmp_path):
+    path = str(tmp_path / "snap")
+    schema = "day string, k string, v long"
+    b0 = spark.createDataFrame([("d1", "a", 1), ("d1", "b", 1), ("d2", "a", 5)], schema)
+    b1 = spark.createDataFrame([("d1", "a", 3), ("d1", "c", 1)], schema)
+    store.merge_snapshot(b0, path, "day", ["k"], 0)
+    first = sorted(map(tuple, store.merge_snapshot(b1, path, "day", ["k"], 1).select("day", "k", "v").collect()))
+    again = sorted(map(tuple, store.merge_snapshot(b1, path, "day", ["k"], 1).select("day", "k", "v").collect()))
+    assert first == again == [("d1", "a", 3), ("d1", "b", 1), ("d1", "c", 1)]
+    final = sorted(map(tuple, store.latest_snapshots(spark, path, "day").select("day", "k", "v").collect()))
+    assert final == [("d1", "a", 3), ("d1", "b", 1), ("d1", "c", 1), ("d2", "a", 5)]
