@@ -1,9 +1,12 @@
 """Time the headline queries and print one JSON line.
 
-    BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
+    BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 BENCH_RUNS=3 python bench.py
 
 Each query runs to completion through the ``noop`` sink (full execution,
-nothing collected to the driver).  One warm-up query absorbs JVM start-up.
+nothing collected to the driver).  The numbers are steady-state: every
+headline query first runs once on the smallest scale factor next to
+``BENCH_SF_DIR`` (JVM start-up, JIT and code generation), then each is
+timed ``BENCH_RUNS`` times at the target scale and the median is reported.
 """
 
 from __future__ import annotations
@@ -11,6 +14,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import time
 
@@ -49,12 +53,20 @@ def main() -> None:
             "spark.sql.adaptive.coalescePartitions.minPartitionSize": os.environ.get("BENCH_MIN_PART", "1m"),
         },
     )
-    QUERIES["page_views"](spark, base).write.format("noop").mode("overwrite").save()  # warm-up
+    runs = max(1, int(os.environ.get("BENCH_RUNS", "3")))
+    warm = os.path.join(os.path.dirname(base.rstrip("/")), "sf0.001")
+    if not os.path.isdir(warm):
+        warm = base
+    for name in names:
+        QUERIES[name](spark, warm).write.format("noop").mode("overwrite").save()
     times = {}
     for name in names:
-        t0 = time.perf_counter()
-        QUERIES[name](spark, base).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        samples = []
+        for _ in range(runs):
+            t0 = time.perf_counter()
+            QUERIES[name](spark, base).write.format("noop").mode("overwrite").save()
+            samples.append(time.perf_counter() - t0)
+        times[name] = round(statistics.median(samples), 3)
     spark.stop()
     m = re.search(r"sf([0-9.]+)", base)
     print(
@@ -66,6 +78,8 @@ def main() -> None:
                 "queries": times,
                 "sf": float(m.group(1)) if m else base,
                 "cpus": cpus,
+                "runs": runs,
+                "warmup": os.path.basename(warm.rstrip("/")),
             }
         )
     )
