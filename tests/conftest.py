@@ -10,10 +10,12 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from emporia.session import get_session
 
-    s = get_session("local[4]", app="emporia-tests", shuffle_partitions=4)
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
+    s = get_session("local[4]", app="emporia-tests", shuffle_partitions=4,
+                    conf={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 
