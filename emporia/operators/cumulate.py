@@ -79,13 +79,19 @@ def cumulative_measure(
     keys: list[str] | None = None,
     step_s: int = 600,
     size_s: int = DAY,
+    preaggregated: bool = False,
 ) -> DataFrame:
     """Cumulative ``sum(measure)`` per (window_start, window_end, *keys).
 
     ``df`` must carry ``window_start`` and ``pane`` (see ``assign_panes``).
+    ``preaggregated`` says ``df`` already holds one row per (window_start,
+    pane, *keys), so no aggregation (and no shuffle) precedes the window.
     """
     keys = keys or []
-    panes = df.groupBy("window_start", "pane", *keys).agg(F.sum(measure).alias(name))
+    if preaggregated:
+        panes = df.select("window_start", "pane", *keys, measure.alias(name))
+    else:
+        panes = df.groupBy("window_start", "pane", *keys).agg(F.sum(measure).alias(name))
     return _expand(panes, keys, name, step_s, size_s)
 
 
@@ -97,6 +103,7 @@ def cumulative_top_n(
     name: str | None = None,
     step_s: int = 600,
     size_s: int = DAY,
+    preaggregated: bool = False,
 ) -> DataFrame:
     """Top-``n`` values of ``key`` by cumulative ``sum(measure)`` per window.
 
@@ -109,6 +116,6 @@ def cumulative_top_n(
     from emporia.operators.ranking import joined_list, top_n
 
     name = name or f"top{n}_{key}s"
-    cum = cumulative_measure(df, measure, "_cum", [key], step_s, size_s)
+    cum = cumulative_measure(df, measure, "_cum", [key], step_s, size_s, preaggregated)
     ranked = top_n(cum, ["window_start", "window_end"], [F.desc("_cum"), F.asc(key)], n)
     return joined_list(ranked, ["window_start", "window_end"], key, "_rn", name)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporia.operators.cumulate import DAY, assign_panes, cumulative_measure, cumulative_top_n
+from emporia.operators.ranking import top_n
 
 LIVE_OPS = ("r", "+I", "+U")
 
@@ -35,6 +36,36 @@ def prepare_sales(
     return df
 
 
+# grouping_id() of each grouping set in pane_sets (bit set = column rolled up,
+# over the columns window_start, pane, id, product).
+GMV_SET, ID_SET, PRODUCT_SET = 3, 1, 2
+
+
+def pane_sets(
+    sales: DataFrame,
+    time_col: str = "event_time",
+    amount_col: str = "total_amount",
+    id_col: str = "id",
+    product_col: str = "product_id",
+    step_s: int = 600,
+    size_s: int = DAY,
+    day: str | dt.date | None = None,
+    ops: tuple[str, ...] | None = None,
+) -> DataFrame:
+    """A6/A7 pre-aggregates for all three report branches in one pass.
+
+    Grouping sets (day, pane), (day, pane, id) and (day, pane, product):
+    one scan, map-side partial sums for each set, one shuffle.  ``_gid``
+    tells the sets apart (a null id is data, not a rolled-up column).
+    """
+    amount = F.col(amount_col).cast("decimal(18,2)")
+    base = prepare_sales(sales, time_col, day, ops).select(time_col, amount.alias("amt"), id_col, product_col)
+    base = assign_panes(base, time_col, step_s, size_s)
+    cols = ["window_start", "pane", id_col, product_col]
+    sets = [["window_start", "pane"], ["window_start", "pane", id_col], ["window_start", "pane", product_col]]
+    return base.groupingSets(sets, *cols).agg(F.sum("amt").alias("amt"), F.grouping_id().alias("_gid"))
+
+
 def pane_totals(
     sales: DataFrame,
     time_col: str = "event_time",
@@ -55,6 +86,21 @@ def pane_totals(
     return base.groupBy("window_start", "pane", id_col, product_col).agg(F.sum("amt").alias("amt"))
 
 
+def _sets_from_totals(panes: DataFrame, id_col: str, product_col: str) -> DataFrame:
+    """Grouping-set rows from one-row-per-(window_start, pane, id, product)
+    totals (the streaming pane store)."""
+    cols = ["window_start", "pane", id_col, product_col]
+    sets = [["window_start", "pane"], ["window_start", "pane", id_col], ["window_start", "pane", product_col]]
+    return panes.groupingSets(sets, *cols).agg(F.sum("amt").alias("amt"), F.grouping_id().alias("_gid"))
+
+
+def _ranked_list(gid: int, n: int) -> F.Column:
+    """Keys of one grouping set in rank order, comma-joined ('' if none)."""
+    item = F.when((F.col("_gid") == gid) & F.col("_key").isNotNull(), F.struct("_rn", "_key"))
+    ordered = F.array_sort(F.collect_list(item))
+    return F.array_join(F.transform(ordered, lambda x: x["_key"]), ",")
+
+
 def report_from_panes(
     panes: DataFrame,
     id_col: str = "id",
@@ -63,13 +109,27 @@ def report_from_panes(
     step_s: int = 600,
     size_s: int = DAY,
 ) -> DataFrame:
-    """T5 from pane totals: GMV and Top-N lists per cumulative window."""
-    amt = F.col("amt")
-    gmv = cumulative_measure(panes, amt, "gmv", None, step_s, size_s)
-    ids = cumulative_top_n(panes, id_col, amt, n, f"top{n}_ids", step_s, size_s)
-    products = cumulative_top_n(panes, product_col, amt, n, f"top{n}_product_ids", step_s, size_s)
-    on = ["window_start", "window_end"]
-    out = gmv.join(ids, on, "left").join(products, on, "left")
+    """T5 from pane totals: GMV and Top-N lists per cumulative window.
+
+    ``panes`` is the grouping-set output of ``pane_sets`` or one row per
+    (window_start, pane, id, product).  All three sets run through a single
+    pipeline keyed by (set, key): one cumulative window per (day, set, key),
+    one Top-N per (window, set), and one aggregate per window that turns the
+    sets into the GMV and the two lists.  No branch re-reads the input and
+    no join is needed.
+    """
+    if "_gid" not in panes.columns:
+        panes = _sets_from_totals(panes, id_col, product_col)
+    gid = F.col("_gid")
+    key = F.when(gid == ID_SET, F.col(id_col).cast("string")).when(gid == PRODUCT_SET, F.col(product_col).cast("string"))
+    rows = panes.select("window_start", "pane", "_gid", key.alias("_key"), "amt")
+    cum = cumulative_measure(rows, F.col("amt"), "_cum", ["_gid", "_key"], step_s, size_s, preaggregated=True)
+    ranked = top_n(cum, ["window_start", "window_end", "_gid"], [F.desc("_cum"), F.asc("_key")], n, "_rn")
+    out = ranked.groupBy("window_start", "window_end").agg(
+        F.max(F.when(gid == GMV_SET, F.col("_cum"))).alias("gmv"),
+        _ranked_list(ID_SET, n).alias(f"top{n}_ids"),
+        _ranked_list(PRODUCT_SET, n).alias(f"top{n}_product_ids"),
+    )
     return out.select(
         F.date_format("window_start", "yyyy-MM-dd").alias("order_date"),
         "window_start",
@@ -99,7 +159,7 @@ def gmv_topn_report(
     DECIMAL(38,2).  Missing lists become ``''``.  Columns: order_date,
     window_start, window_end, gmv, top{n}_ids, top{n}_product_ids.
     """
-    panes = pane_totals(sales, time_col, amount_col, id_col, product_col, step_s, size_s, day, ops)
+    panes = pane_sets(sales, time_col, amount_col, id_col, product_col, step_s, size_s, day, ops)
     return report_from_panes(panes, id_col, product_col, n, step_s, size_s)
 
 
