@@ -16,16 +16,20 @@ def top_n(df: DataFrame, keys: list[str], order: list[Column], n: int, rank_col:
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= n)
 
 
-def joined_list(df: DataFrame, keys: list[str], value: str, order: str, name: str, sep: str = ",") -> DataFrame:
-    """``listagg(value, sep) WITHIN GROUP (ORDER BY order)`` per keys.
-
-    Meant for bounded groups (after ``top_n`` or a per-day explode); nulls
-    are skipped and an all-null group gives null, like LISTAGG.
-    """
+def listagg(value: str, order: str, sep: str = ",") -> Column:
+    """A8/A9 as an aggregate expression: ``listagg(value, sep) WITHIN GROUP
+    (ORDER BY order)``.  Meant for bounded groups (after ``top_n`` or a
+    per-day explode); nulls are skipped and an all-null group gives null,
+    like LISTAGG."""
     item = F.struct(F.col(order).alias("o"), F.col(value).cast("string").alias("v"))
     pairs = F.array_sort(F.collect_list(F.when(F.col(value).isNotNull(), item)))
     joined = F.array_join(F.transform(pairs, lambda s: s["v"]), sep)
-    return df.groupBy(*keys).agg(F.when(F.size(pairs) > 0, joined).alias(name))
+    return F.when(F.size(pairs) > 0, joined)
+
+
+def joined_list(df: DataFrame, keys: list[str], value: str, order: str, name: str, sep: str = ",") -> DataFrame:
+    """``listagg`` per ``keys`` as a DataFrame."""
+    return df.groupBy(*keys).agg(listagg(value, order, sep).alias(name))
 
 
 def latest_by(df: DataFrame, keys: list[str], order: list[str], cols: list[str] | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from emporia.functions.text import MISSING, growth_rate, percent_text
 from emporia.operators.generators import explode_split
 from emporia.operators.joins import prev_day_join, with_dimension
-from emporia.operators.ranking import joined_list, latest_by
+from emporia.operators.ranking import latest_by, listagg
 
 SNAPSHOT_COLS = ["window_start", "window_end", "win_gmv", "top5_product_ids"]
 TOP_N = 5.0
@@ -46,9 +46,10 @@ def day_summary(report: DataFrame, products: DataFrame) -> DataFrame:
     rows = exploded_ids(report)
     rows = with_dimension(rows, products, rows["exploded_product_id"] == products["product_id"], "left")
     keys = ["ds", "window_start", "window_end", "win_gmv"]
-    descs = joined_list(rows, keys, "product_desc", "pos", "top5_product_descs")
-    ids = joined_list(rows, keys, "exploded_product_id", "pos", "top5_product_ids")
-    return descs.join(ids, keys)
+    return rows.groupBy(*keys).agg(
+        listagg("product_desc", "pos").alias("top5_product_descs"),
+        listagg("exploded_product_id", "pos").alias("top5_product_ids"),
+    )
 
 
 def growth(report: DataFrame, products: DataFrame) -> DataFrame:
