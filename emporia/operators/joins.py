@@ -6,19 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Rows a dimension may hold and still be broadcast (checked, not assumed).
-BROADCAST_ROWS = 2_000_000
+# A cluster sets its own bound with the session conf ``emporia.broadcast.maxRows``.
+BROADCAST_ROWS = 1_000_000
+BROADCAST_CONF = "emporia.broadcast.maxRows"
+
+
+def broadcast_rows(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(BROADCAST_CONF, str(BROADCAST_ROWS)))
 
 
 _CHECKED: dict[tuple[int, int], bool] = {}
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     Reads at most ``max_rows + 1`` rows, so the check stays cheap even when
     the answer is no.  Answers are remembered per plan (semantic hash) for
     the session, so a dimension joined by several queries is counted once.
     """
+    max_rows = broadcast_rows(df) if max_rows is None else max_rows
     key = (df.semanticHash(), max_rows)
     if key not in _CHECKED:
         if len(_CHECKED) > 1024:
@@ -27,7 +34,7 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return _CHECKED[key]
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Hint a broadcast only behind a row-count bound; otherwise leave the
     choice to the planner and AQE (sort-merge with skew splitting)."""
     return F.broadcast(df) if is_small(df, max_rows) else df
@@ -38,7 +45,7 @@ def with_dimension(
     dim: DataFrame,
     on: str | list[str] | Column,
     how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
+    max_rows: int | None = None,
     small: bool | None = None,
 ) -> DataFrame:
     """Fact-to-dimension join; fans out on duplicate dimension keys.
@@ -79,7 +86,7 @@ def ip_region_join(
     ip_num: str,
     ranges: DataFrame,
     bucket_bits: int = 16,
-    max_rows: int = BROADCAST_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Left range join ``ip BETWEEN start_ip AND end_ip`` -> ``region``.
 

@@ -104,3 +104,15 @@ def test_generators(spark):
     df = spark.createDataFrame([("a,b",), ("",), (None,)], "s string")
     got = [(r.pos, r.item) for r in explode_split(df, "s").collect()]
     assert got == [(0, "a"), (1, "b"), (0, "")]
+
+
+def test_broadcast_bound_is_checked_and_configurable(spark):
+    from emporia.operators.joins import BROADCAST_CONF, is_small
+
+    df = spark.range(50)
+    assert is_small(df) and not is_small(df, 10)
+    spark.conf.set(BROADCAST_CONF, "20")
+    try:
+        assert not is_small(spark.range(30))
+    finally:
+        spark.conf.unset(BROADCAST_CONF)
