@@ -216,15 +216,18 @@ class Layers:
     def orders(self):
         return ods.ods_order_info(self.spark, self.base)
 
+    def lines(self):
+        return ods.ods_order_detail(self.spark, self.base)
+
     def detail(self):
         s = self.spark, self.base
-        return wh.dwd_order_detail(self.orders(), ods.ods_payment_info(*s), self.sku(), self.sku_small)
+        return wh.dwd_order_detail(self.lines(), self.orders(), ods.ods_payment_info(*s), self.sku(), self.sku_small)
 
     def page_log(self):
         return wh.dwd_page_log(ods.ods_page_log(self.spark, self.base), self.sku(), small=self.sku_small)
 
     def comments(self):
-        return wh.dwd_comment_detail(ods.ods_comment_info(self.orders()))
+        return wh.dwd_comment_detail(ods.ods_comment_info(self.lines(), self.orders()))
 
     def sku_sales(self):
         return wh.dws_sku_sales_day_sum(self.detail())

@@ -1,7 +1,7 @@
 """ODS landing tables derived from the driver tables (H1).
 
 Mapping: sku = part (the sku's shop is ``p_partkey % 10``), user =
-customer, store = supplier, order lines = orders ⋈ lineitem, payment =
+customer, store = supplier, orders = orders, order lines = lineitem, payment =
 orders in status F, comments = one per order line, page log = events
 (as JSON lines).  Order dates (1995-2001) are folded into the events'
 month, ``2024-01-01 + (days since 1995-01-01) % 30``, so traffic and
@@ -77,23 +77,30 @@ def _order_time(d: Column) -> Column:
 
 
 def ods_order_info(spark: SparkSession, base: str) -> DataFrame:
-    """Order lines; amount = price * (1 - discount), exact in DECIMAL."""
+    """Orders (one row per order in the source system)."""
     o = table(spark, base, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
+    return o.select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("user_id"),
+        F.col("o_orderstatus").alias("status"),
+        _order_time(F.col("o_orderdate")).alias("created_at"),
+    )
+
+
+def ods_order_detail(spark: SparkSession, base: str) -> DataFrame:
+    """Order lines; amount = price * (1 - discount), exact in DECIMAL."""
     li = table(
         spark, base, "lineitem",
         ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag"],
     )
     amount = F.col("l_extendedprice").cast("decimal(18,2)") * (1 - F.col("l_discount").cast("decimal(18,2)"))
-    return li.join(o, li["l_orderkey"] == o["o_orderkey"]).select(
+    return li.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_no"),
-        F.col("o_custkey").alias("user_id"),
         F.col("l_partkey").alias("sku_id"),
         F.col("l_quantity").cast("long").alias("quantity"),
         amount.cast("decimal(18,4)").alias("amount"),
-        F.col("o_orderstatus").alias("status"),
         F.col("l_returnflag").alias("return_flag"),
-        _order_time(F.col("o_orderdate")).alias("created_at"),
     )
 
 
@@ -109,9 +116,10 @@ def ods_payment_info(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def ods_comment_info(orders: DataFrame) -> DataFrame:
-    """One comment per order line; rating code 1-3 from the line number."""
-    return orders.select(
+def ods_comment_info(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """One comment per order line by the order's buyer on the order's day;
+    rating code 1-3 from the line number."""
+    return lines.join(orders.select("order_id", "user_id", "created_at"), "order_id").select(
         (F.col("order_id") * 8 + F.col("line_no")).alias("comment_id"),
         "sku_id",
         "user_id",

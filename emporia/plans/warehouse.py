@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emporia.operators.joins import with_dimension
+from emporia.operators.ranking import latest_by
 
 PAGE_LOG = T.StructType(
     [
@@ -89,18 +90,27 @@ def dim_activity(activity: DataFrame) -> DataFrame:
 # ---- DWD ----------------------------------------------------------------------
 
 
-def dwd_order_detail(orders: DataFrame, payments: DataFrame, sku: DataFrame, small: bool | None = None) -> DataFrame:
-    """Cleaned order lines with the sku's shop, category, brand
-    and attribute, a paid flag (payment exists) and a refund flag.
-
-    Cleaning drops lines without an id or with a non-positive quantity and
-    removes exact duplicate rows (line numbers alone are not unique in the
-    source data, so a key-based dedupe would drop real lines).
+def dwd_order_detail(
+    lines: DataFrame, orders: DataFrame, payments: DataFrame, sku: DataFrame, small: bool | None = None
+) -> DataFrame:
+    """Cleaned order lines joined to their order, with the sku's
+    shop, category, brand and attribute, a paid flag (payment exists) and a
+    refund flag.
+
+    Cleaning drops lines without an order id or with a non-positive
+    quantity and removes exact duplicate lines (line numbers alone are not
+    unique in the source data, so a key-based dedupe would drop real
+    lines); orders keep one version per order id (the latest).  Both are
+    deduplicated before the join, so copies collapse map-side instead of
+    meeting in the join's partition for their order; the order dedupe is
+    keyed by order id, so the join reuses its partitioning.
     """
-    clean = orders.filter(F.col("order_id").isNotNull() & (F.col("quantity") > 0) & F.col("amount").isNotNull())
+    clean = lines.filter(F.col("order_id").isNotNull() & (F.col("quantity") > 0) & F.col("amount").isNotNull())
     clean = clean.dropDuplicates()
+    current = latest_by(orders.filter(F.col("order_id").isNotNull()), ["order_id"], ["created_at"])
+    out = clean.join(current, "order_id")
     paid = payments.select("order_id", F.lit(True).alias("is_paid")).dropDuplicates(["order_id"])
-    out = clean.join(paid, "order_id", "left")
+    out = out.join(paid, "order_id", "left")
     dims = sku.select("sku_id", "store_id", "category3_id", "brand", "attr_value")
     out = with_dimension(out, dims, "sku_id", small=small)
     return out.select(
