@@ -101,12 +101,14 @@ def path_transitions(
     )
 
 
-def device_users(df: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
+def device_users(df: DataFrame, tz: str = DEFAULT_TZ, approx_rsd: float | None = None) -> DataFrame:
     """M5: exact distinct users per (dt, plat, brand, platv).
 
     Null ``userkey`` or ``plat`` is dropped; null ``brand``/``platv`` form
     their own groups.  Spark plans the distinct as two aggregations keyed by
-    (group, user) then group, both with map-side combine.
+    (group, user) then group, both with map-side combine.  ``approx_rsd``
+    switches to a HyperLogLog++ sketch with that relative standard
+    deviation (one fixed-size sketch per group; no per-user shuffle).
     """
     rows = normalise(df, tz).filter(
         F.col("device").isNotNull() & F.col("device.userkey").isNotNull() & F.col("device.plat").isNotNull()
@@ -116,4 +118,7 @@ def device_users(df: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
         F.col("device.plat").alias("plat"),
         F.col("device.brand").alias("brand"),
         F.col("device.platv").alias("platv"),
-    ).agg(F.count_distinct("device.userkey").alias("users"))
+    ).agg(
+        (F.approx_count_distinct("device.userkey", approx_rsd) if approx_rsd else F.count_distinct("device.userkey"))
+        .alias("users")
+    )

@@ -79,3 +79,10 @@ def test_path_transitions_event_time_slices(spark):
     assert whole == {("home→cart", 1), ("cart→pay", 1), ("pay→home", 1)}
     sliced = {(r.path, r.cnt) for r in logs.path_transitions(_logs(spark, rows), slice_ms=10_000).collect()}
     assert sliced == {("home→cart", 1), ("pay→home", 1)}
+
+
+def test_device_users_approximate_option(spark):
+    rows = [row(S, device=(f"k{i}", "apple", "ios", "17")) for i in range(200)]
+    exact = logs.device_users(_logs(spark, rows)).first().users
+    approx = logs.device_users(_logs(spark, rows), approx_rsd=0.02).first().users
+    assert exact == 200 and abs(approx - 200) <= 20
