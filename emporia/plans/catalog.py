@@ -7,11 +7,22 @@ work grows with the input.  Oracle SQL for the same names is in
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from emporia.plans import gmv, inputs
+from pyspark.sql import functions as F
+
+from emporia.functions import time as tfn
+from emporia.operators.joins import is_small
+from emporia.plans import changes, gmv, inputs, links, logs, ods, reports
+from emporia.plans import warehouse as wh
+from emporia.session import scratch_path
+from emporia.sources import sinks
+from emporia.sources import tables as tbl
+from emporia.sources.tables import table
+from emporia.streaming import jobs, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -50,12 +61,6 @@ def q_cumulative_top_products(spark, base):
 
 # ---- E1-E4: epoch handling -------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from emporia.functions import time as tfn  # noqa: E402
-from emporia.plans import logs  # noqa: E402
-from emporia.sources.tables import table  # noqa: E402
-
 
 @query("epoch_normalise")
 def q_epoch_normalise(spark, base):
@@ -105,12 +110,6 @@ def q_device_users(spark, base):
 
 # ---- R1-R5: report SQL over the GMV report table ----------------------------
 
-import uuid  # noqa: E402
-
-from emporia.plans import reports  # noqa: E402
-from emporia.session import scratch_path  # noqa: E402
-from emporia.sources import sinks  # noqa: E402
-
 
 def _report(spark, base):
     """The report table as the GMV job leaves it: written once (Parquet by
@@ -150,7 +149,6 @@ def q_repeat_rate_desc(spark, base):
 
 # ---- C1-C4: change data -------------------------------------------------------
 
-from emporia.plans import changes  # noqa: E402
 
 CHANGE_ROW = inputs.CHANGE_ROW
 
@@ -172,10 +170,6 @@ def q_change_current_state(spark, base):
 
 # ---- H1-H32: layered warehouse --------------------------------------------------
 
-import functools  # noqa: E402
-
-from emporia.operators.joins import is_small  # noqa: E402
-from emporia.plans import ods, warehouse as wh  # noqa: E402
 
 AS_OF = "2024-01-31"
 MONTH = "2024-01"
@@ -290,8 +284,6 @@ for _name, _fn in WAREHOUSE.items():
 
 # ---- G5/A14/F23: links from stored pages ------------------------------------------
 
-from emporia.plans import links  # noqa: E402
-
 
 @query("page_links")
 def q_page_links(spark, base):
@@ -302,11 +294,6 @@ def q_page_links(spark, base):
 
 # ---- T6-T14: the same pipelines as streams (file stream of events) ------------------
 
-import uuid  # noqa: E402
-
-from emporia.session import scratch_path  # noqa: E402
-from emporia.streaming import jobs, store  # noqa: E402
-
 
 def _stream(spark, starter, reader):
     """Drain the stream once (availableNow) into a fresh folder of the
@@ -364,8 +351,6 @@ def q_stream_change_current_state(spark, base):
 
 # ---- E10-E12, S11-S12: views, preview and full scan -------------------------------
 
-from emporia.sources import tables as tbl  # noqa: E402
-
 
 @query("daily_sales")
 def q_daily_sales(spark, base):
