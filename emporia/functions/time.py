@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+# Fixed values that must equal the reference's behaviour: local dates are
+# taken in Asia/Shanghai, and an epoch below 10^12 is in seconds (at or
+# above it, milliseconds).
 DEFAULT_TZ = "Asia/Shanghai"
-# Epoch values below 10^12 are taken as seconds, at or above as milliseconds.
 SECONDS_LIMIT = 10**12
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from emporia.operators.cumulate import DAY, assign_panes, cumulative_measure, cumulative_top_n
 from emporia.operators.ranking import top_n
 
+# Fixed values that must equal the reference's: the change ops of live rows.
 LIVE_OPS = ("r", "+I", "+U")
 
 
