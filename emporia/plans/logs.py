@@ -27,17 +27,30 @@ def normalise(df: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
     )
 
 
-def page_views(df: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
+def _by_day(df: DataFrame, lateness: str | None) -> tuple[DataFrame, list[str]]:
+    """Grouping prefix for per-day aggregates.  With ``lateness`` (streams)
+    the day's start becomes an event-time key with a watermark, so state
+    for a day is dropped once the stream is that far past it; batch plans
+    ignore the watermark."""
+    if not lateness:
+        return df, ["log_date"]
+    df = df.withColumn("_day_ts", F.col("log_date").cast("timestamp")).withWatermark("_day_ts", lateness)
+    return df, ["_day_ts", "log_date"]
+
+
+def page_views(df: DataFrame, tz: str = DEFAULT_TZ, lateness: str | None = None) -> DataFrame:
     """M1: PV per (log_date, log_type); a null type is its own group."""
-    return normalise(df, tz).groupBy("log_date", "log_type").agg(F.count(F.lit(1)).alias("pv"))
+    rows, day = _by_day(normalise(df, tz), lateness)
+    return rows.groupBy(*day, "log_type").agg(F.count(F.lit(1)).alias("pv")).drop("_day_ts")
 
 
-def keyword_counts(df: DataFrame, search_type: str = "search", tz: str = DEFAULT_TZ) -> DataFrame:
+def keyword_counts(
+    df: DataFrame, search_type: str = "search", tz: str = DEFAULT_TZ, lateness: str | None = None
+) -> DataFrame:
     """A2: true count per (log_date, keyword) over search rows."""
     rows = normalise(df.filter(F.col("log_type") == search_type), tz)
-    return explode_keywords(rows.select("log_date", "keywords")).groupBy("log_date", "keyword").agg(
-        F.count(F.lit(1)).alias("cnt")
-    )
+    rows, day = _by_day(explode_keywords(rows.select("log_date", "keywords")), lateness)
+    return rows.groupBy(*day, "keyword").agg(F.count(F.lit(1)).alias("cnt")).drop("_day_ts")
 
 
 def keyword_top_n(df: DataFrame, n: int = 10, search_type: str = "search", tz: str = DEFAULT_TZ) -> DataFrame:

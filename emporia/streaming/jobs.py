@@ -39,12 +39,13 @@ def _session_tz(df: DataFrame) -> str:
 
 
 def start_page_views(log_stream: DataFrame, out: str, checkpoint: str, tz: str = DEFAULT_TZ,
-                     trigger: dict | None = None) -> StreamingQuery:
-    """M1 on a stream: running PV per (log_date, log_type), ``update`` mode.
+                     trigger: dict | None = None, lateness: str = "1 day") -> StreamingQuery:
+    """M1 on a stream: running PV per (log_date, log_type), ``update`` mode;
+    a day's counts leave the state ``lateness`` after the day.
 
     Read the result with ``store.latest(spark, out, ['log_date', 'log_type'])``.
     """
-    counts = logs.page_views(log_stream, tz)
+    counts = logs.page_views(log_stream, tz, lateness)
     return _start(counts, lambda b, e: store.append_epoch(b, out, e), checkpoint, "update", trigger, None)
 
 
@@ -52,13 +53,13 @@ def start_page_views(log_stream: DataFrame, out: str, checkpoint: str, tz: str =
 
 
 def start_keyword_top_n(log_stream: DataFrame, out: str, checkpoint: str, n: int = 10, search_type: str = "search",
-                        tz: str = DEFAULT_TZ, trigger: dict | None = None) -> StreamingQuery:
+                        tz: str = DEFAULT_TZ, trigger: dict | None = None, lateness: str = "1 day") -> StreamingQuery:
     """True keyword counts kept by the streaming aggregate; each
     batch merges its updated counts into the touched days' snapshots
     (``out/counts``), re-ranks only those days and overwrites their
     partitions of ``out/top`` (one current Top-N per day, dates ascending
     on read)."""
-    counts = logs.keyword_counts(log_stream, search_type, tz)
+    counts = logs.keyword_counts(log_stream, search_type, tz, lateness)
     count_path, top_path = f"{out}/counts", f"{out}/top"
 
     def flush(batch: DataFrame, epoch: int) -> None:
