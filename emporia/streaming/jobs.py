@@ -9,7 +9,10 @@ timers).
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +26,10 @@ from emporia.operators.ranking import top_n
 from emporia.plans import changes, gmv, logs
 from emporia.streaming import store
 
+# The per-user state function runs in Python workers, which may not have
+# this package on their path; ship this module's functions by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _start(df: DataFrame, fn, checkpoint: str, mode: str, trigger: dict | None, name: str | None) -> StreamingQuery:
     w = df.writeStream.outputMode(mode).foreachBatch(fn).option("checkpointLocation", checkpoint)
@@ -31,6 +38,30 @@ def _start(df: DataFrame, fn, checkpoint: str, mode: str, trigger: dict | None,
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def stop_when_drained(query: StreamingQuery, timeout_s: float = 600.0, poll_s: float = 0.5) -> None:
+    """Stop ``query`` once a batch finds no new input.  For queries whose
+    state timeouts keep no-data batches coming (``processAllAvailable`` and
+    ``availableNow`` do not return then)."""
+    import time
+
+    deadline = time.monotonic() + timeout_s
+    while time.monotonic() < deadline:
+        if query.exception():
+            raise query.exception()
+        p = query.lastProgress
+        # A completed no-data batch (no new offset from any source, no input
+        # rows) means the input is exhausted; with state timeouts one runs
+        # every trigger.
+        if p and p["sources"] and p["numInputRows"] == 0 and all(
+            src.get("latestOffset") in (None, "None") for src in p["sources"]
+        ):
+            query.stop()
+            return
+        time.sleep(poll_s)
+    query.stop()
+    raise TimeoutError("stream did not drain in time")
+
+
 def _session_tz(df: DataFrame) -> str:
     return df.sparkSession.conf.get("spark.sql.session.timeZone")
 
@@ -113,6 +144,18 @@ _LAST_STATE = T.StructType(
 )
 
 
+def _pairing(idle_ms: int | None):
+    def pair(key, frames, state):
+        if state.hasTimedOut:  # idle user: forget the last row
+            state.remove()
+            return
+        yield from _pair_with_previous(key, frames, state)
+        if idle_ms:
+            state.setTimeoutDuration(idle_ms)
+
+    return pair
+
+
 def _pair_with_previous(key, frames, state):
     """Per user: order this batch's rows, pair each with the row before it
     (the last row of earlier batches comes from state), keep the last row."""
@@ -135,24 +178,31 @@ def _pair_with_previous(key, frames, state):
     )
 
 
-def transition_rows(log_stream: DataFrame, tz: str = DEFAULT_TZ, seq: str | None = None) -> DataFrame:
+def transition_rows(log_stream: DataFrame, tz: str = DEFAULT_TZ, seq: str | None = None,
+                    idle_ms: int | None = None) -> DataFrame:
     """M4 on a stream: one row per page-type change.
 
     Rows are paired in (ts, seq) order within a micro-batch and in arrival
     order across batches; a row older than its user's last seen row is
     paired on arrival (the source paired by arrival window).  State holds
-    one row per user.
+    one row per user; ``idle_ms`` drops it after that much processing time
+    without rows for the user (the next row then starts a new path).  With
+    a timeout, run the query on a processing-time trigger and end it with
+    ``stop_when_drained``: pending timeouts keep ``availableNow`` and
+    ``processAllAvailable`` from returning.
     """
     rows = logs.normalise(log_stream, tz)
     rows = rows.select("user_id", "ts", (F.col(seq) if seq else F.lit(0)).cast("long").alias("seq"), "log_type",
                        "log_date")
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if idle_ms else GroupStateTimeout.NoTimeout
     return rows.groupBy("user_id").applyInPandasWithState(
-        _pair_with_previous, _TRANSITION_OUT, _LAST_STATE, "append", GroupStateTimeout.NoTimeout
+        _pairing(idle_ms), _TRANSITION_OUT, _LAST_STATE, "append", timeout
     )
 
 
 def start_path_transitions(log_stream: DataFrame, out: str, checkpoint: str, tz: str = DEFAULT_TZ,
-                           seq: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+                           seq: str | None = None, trigger: dict | None = None,
+                           idle_ms: int | None = None) -> StreamingQuery:
     """Per batch, transitions are counted per (log_date, path) and stored as
     increments; read with ``store.summed(spark, out, keys, ['cnt'])``."""
 
@@ -160,7 +210,7 @@ def start_path_transitions(log_stream: DataFrame, out: str, checkpoint: str, tz:
         inc = batch.groupBy("log_date", "path").agg(F.count(F.lit(1)).alias("cnt"))
         store.append_epoch(inc, out, epoch)
 
-    return _start(transition_rows(log_stream, tz, seq), flush, checkpoint, "append", trigger, None)
+    return _start(transition_rows(log_stream, tz, seq, idle_ms), flush, checkpoint, "append", trigger, None)
 
 
 # ---- T1-T5: cumulative GMV report ---------------------------------------------------------
@@ -255,5 +305,6 @@ __all__ = [
     "start_keyword_top_n",
     "start_page_views",
     "start_path_transitions",
+    "stop_when_drained",
     "transition_rows",
 ]
