@@ -38,15 +38,17 @@ def extract_links(
     origin).  Without a ``title`` attribute the anchor text (tags removed)
     is the title.  Entities in both are decoded; whitespace is stripped.
     """
-    found = pages.select(
-        "page_id",
-        "url",
-        F.arrays_zip(
-            F.regexp_extract_all("html", F.lit(LI_ANCHOR), 1).alias("attrs"),
-            F.regexp_extract_all("html", F.lit(LI_ANCHOR), 2).alias("text"),
-        ).alias("_a"),
+    # One pass over each (whole) page: collect the matching anchors, then
+    # split attributes and text out of each short match.
+    found = pages.select("page_id", "url", F.regexp_extract_all("html", F.lit(LI_ANCHOR), 0).alias("_a"))
+    rows = found.select("page_id", "url", F.posexplode("_a").alias("pos", "_hit"))
+    rows = rows.withColumn(
+        "_m",
+        F.struct(
+            F.regexp_extract("_hit", LI_ANCHOR, 1).alias("attrs"),
+            F.regexp_extract("_hit", LI_ANCHOR, 2).alias("text"),
+        ),
     )
-    rows = found.select("page_id", "url", F.posexplode("_a").alias("pos", "_m"))
     attrs = F.col("_m.attrs")
     keep = _has(attrs, "href")
     if require_title:
