@@ -116,3 +116,11 @@ def test_broadcast_bound_is_checked_and_configurable(spark):
         assert not is_small(spark.range(30))
     finally:
         spark.conf.unset(BROADCAST_CONF)
+
+
+def test_ipv4_to_long_rejects_malformed(spark):
+    from emporia.operators.joins import ipv4_to_long
+
+    rows = [("1.0.0.5",), ("255.255.255.255",), ("1.2.3",), ("256.1.1.1",), ("a.b.c.d",), ("",), (None,), ("1.2.3.4.5",)]
+    got = [r[0] for r in spark.createDataFrame(rows, "ip string").select(ipv4_to_long("ip")).collect()]
+    assert got == [16777221, 4294967295, None, None, None, None, None, None]
