@@ -61,15 +61,17 @@ def flatten_change(df: DataFrame, row: T.StructType) -> DataFrame:
 
 
 def union_snapshot_changes(snapshot: DataFrame, changes: DataFrame, ts_ms: int = 0) -> DataFrame:
-    """Initial snapshot rows (as op 'r') followed by the change log."""
+    """Initial snapshot rows (as op 'r', at ``ts_ms`` and log position
+    0, so any later change wins) followed by the change log."""
+    row = T.StructType([snapshot.schema[c] for c in snapshot.columns])
     snap = snapshot.select(
-        F.lit(None).alias("before"),
+        F.lit(None).cast(row).alias("before"),
         F.struct(*snapshot.columns).alias("after"),
         F.lit("r").alias("op"),
         F.lit(ts_ms).cast("long").alias("ts_ms"),
-        F.lit(None).cast(SOURCE).alias("source"),
+        F.struct(F.lit(None).cast("string").alias("schema"), F.lit(None).cast("string").alias("table"),
+                 F.lit(0).cast("long").alias("lsn")).alias("source"),
     )
-    snap = snap.withColumn("before", F.lit(None).cast(snap.schema["after"].dataType))
     return snap.unionByName(changes.select("before", "after", "op", "ts_ms", "source"))
 
 

@@ -38,5 +38,5 @@ def test_union_snapshot_changes(spark):
                                 CHANGE_ROW)
     both = changes.union_snapshot_changes(snap, chg)
     assert sorted(r.op for r in both.collect()) == ["r", "u"]
-    flat = changes.flatten_change(both.fillna({"ts_ms": 0}), CHANGE_ROW).fillna({"lsn": 0})
+    flat = changes.flatten_change(both, CHANGE_ROW)
     assert changes.current_state(flat, ["user_id"]).first().event_type == "b"
