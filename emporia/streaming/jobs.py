@@ -23,7 +23,7 @@ from emporia.functions.text import PATH_ARROW
 from emporia.functions.time import DEFAULT_TZ, seconds_of_day, wall_clock
 from emporia.operators.cumulate import DAY
 from emporia.operators.ranking import top_n
-from emporia.plans import changes, gmv, logs
+from emporia.plans import gmv, logs
 from emporia.streaming import store
 
 # The per-user state function runs in Python workers, which may not have
@@ -295,7 +295,6 @@ def read_current_state(spark, out: str, keys: list[str], order: tuple[str, ...]
 
 
 __all__ = [
-    "changes",
     "device_user_counts",
     "read_current_state",
     "read_gmv_report",
