@@ -8,8 +8,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import licences, mixing, tokens
-from emporia.llm.sql import MIX_SQL, LICENCE_SQL
+from emporia.llm import jaccard, licences, mixing, substrings, tokens
+from emporia.llm.sql import JACCARD_SQL, LICENCE_SQL, MIX_SQL, SUBSTRING_SQL
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,11 @@ def tokenizer_json(path: str | None = None) -> str:
     return Path(path).read_text(encoding="utf-8")
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose 4-word shingle sets have a Jaccard similarity of 0.85 or more."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=4, percent=85)
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their source's target and the words that the mix takes."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -38,6 +43,13 @@ def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_digest(tokens.write_shards(docs, tokenizer_json()))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stay when later copies of 13-word windows go."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = substrings.drop_repeats(docs, 13)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences of every document, lists as text."""
     found = licences.scan_licences(table(spark, sf_dir, "documents"))
@@ -45,12 +57,16 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op4_mix_sources": op4_mix_sources,
     "op6_token_shards": op6_token_shards,
+    "op8_substring_dedup": op8_substring_dedup,
     "op10_licence_scan": op10_licence_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_ngram_jaccard": JACCARD_SQL,
     "op4_mix_sources": MIX_SQL,
+    "op8_substring_dedup": SUBSTRING_SQL,
     "op10_licence_scan": LICENCE_SQL,
 }

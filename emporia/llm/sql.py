@@ -35,3 +35,25 @@ SELECT doc_id, sentence_ids, array_to_string(list_sort(list_distinct(held)), '|'
 
 
 LICENCE_SQL = licence_sql()
+
+SUBSTRING_SQL = r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS pos, unnest(w) AS word FROM t),
+win AS (SELECT doc_id, pos, md5(array_to_string([word, lead(word, 1) OVER d, lead(word, 2) OVER d, lead(word, 3) OVER d, lead(word, 4) OVER d, lead(word, 5) OVER d, lead(word, 6) OVER d,
+    lead(word, 7) OVER d, lead(word, 8) OVER d, lead(word, 9) OVER d, lead(word, 10) OVER d, lead(word, 11) OVER d, lead(word, 12) OVER d], ' ')) AS h,
+    lead(word, 12) OVER d AS last FROM p WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+firsts AS (SELECT h, min(doc_id) AS first FROM win WHERE last IS NOT NULL GROUP BY h),
+gone AS (SELECT DISTINCT win.doc_id, win.pos + k.k AS pos FROM win JOIN firsts USING (h), range(13) k(k) WHERE win.last IS NOT NULL AND firsts.first < win.doc_id),
+kept AS (SELECT p.doc_id, count(*) AS n_kept, string_agg(p.word, ' ' ORDER BY p.pos) AS kept FROM p LEFT JOIN gone USING (doc_id, pos) WHERE gone.pos IS NULL GROUP BY p.doc_id)
+SELECT t.doc_id, CAST(len(t.w) AS BIGINT) AS n_words, CAST(len(t.w) - coalesce(n_kept, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM t LEFT JOIN kept USING (doc_id)"""
+
+JACCARD_SQL = r"""
+WITH RECURSIVE t AS (SELECT doc_id, list_transform(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'), lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' ')) END) AS g FROM t),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)),
+both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach(doc_id, r) AS (SELECT doc_id, doc_id FROM t UNION SELECT reach.doc_id, both_ways.b FROM reach JOIN both_ways ON reach.r = both_ways.a)
+SELECT t.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id FROM t LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)"""
