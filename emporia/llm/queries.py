@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import jaccard, licences, mixing, substrings, tokens
+from emporia.llm import jaccard, licences, mixing, pivots, substrings, tokens
 from emporia.llm.sql import JACCARD_SQL, LICENCE_SQL, MIX_SQL, SUBSTRING_SQL
 
 
@@ -50,6 +50,11 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_pivot_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of vectors with a cosine of 0.9 or more."""
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 0.9)
+
+
 def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences of every document, lists as text."""
     found = licences.scan_licences(table(spark, sf_dir, "documents"))
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mix_sources": op4_mix_sources,
     "op6_token_shards": op6_token_shards,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_pivot_neardup": op9_pivot_neardup,
     "op10_licence_scan": op10_licence_scan,
 }
 
