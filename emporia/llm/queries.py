@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import jaccard, licences, mixing, pivots, substrings, tokens
+from emporia.llm import bytecnn, jaccard, licences, mixing, pivots, substrings, tokens
 from emporia.llm.sql import JACCARD_SQL, LICENCE_SQL, MIX_SQL, SUBSTRING_SQL
 
 
@@ -37,6 +37,14 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op5_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of whole texts by a byte-level network fitted on the other folds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = bytecnn.train(docs, table(spark, sf_dir, "labels"))
+    scored = bytecnn.score_quality(docs, model)
+    return scored.select("doc_id", (bytecnn.fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as token ids and read back from the shards."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -64,6 +72,7 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op4_mix_sources": op4_mix_sources,
+    "op5_byte_cnn": op5_byte_cnn,
     "op6_token_shards": op6_token_shards,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_pivot_neardup": op9_pivot_neardup,
