@@ -29,7 +29,7 @@ from emporia.llm.scratch import fresh_folder
 from emporia.llm.words import slices, span_hashes
 
 FRAME = 65_536
-SLICE = 6_000_000
+SLICE = 2_000_000
 
 # Fixed values of the zstandard seekable format.
 SKIPPABLE_MAGIC = 0x184D2A5E
@@ -124,7 +124,7 @@ _MARK = np.array([0x20 < b < 0x7F and not chr(b).isalnum() and b != 0x27 for b i
 class Pieces:
     """Ids of pieces that were encoded before, by hash; at most ``most`` of them."""
 
-    def __init__(self, most: int = 2_000_000):
+    def __init__(self, most: int = 1_000_000):
         self.most = most
         self.clear()
 
@@ -225,14 +225,15 @@ def write_shards(docs: DataFrame, tokenizer_json: str, end_id: int = 0, folder:
         path = f"{folder}/shard-{part:06d}-{uuid.uuid4().hex}.zst"
 
         def encode(pieces: list[str]) -> list[list[int]]:
-            return [x.ids for k in range(0, len(pieces), 20_000) for x in tokenizer.encode_batch_fast(pieces[k : k + 20_000], add_special_tokens=False)]
+            return [x.ids for k in range(0, len(pieces), 5_000) for x in tokenizer.encode_batch_fast(pieces[k : k + 5_000], add_special_tokens=False)]
 
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             if writer is None:
-                tokenizer = Tokenizer.from_str(text.value)
-                seen = process_memo(f"pieces_{zlib.crc32(text.value.encode()):08x}", Pieces)
+                name = f"{zlib.crc32(text.value.encode()):08x}"
+                tokenizer = process_memo(f"tokenizer_{name}", lambda: Tokenizer.from_str(text.value))
+                seen = process_memo(f"pieces_{name}", Pieces)
                 special = tuple(x.content.encode() for x in tokenizer.get_added_tokens_decoder().values())
                 width = 2 if max(tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1) <= 1 << 16 else 4
                 writer = ShardWriter(path, width)

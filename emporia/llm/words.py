@@ -94,6 +94,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     two = padded[:-1].astype(np.uint16) | padded[1:].astype(np.uint16) << np.uint16(8)
     four = two[:-2].astype(np.uint32) | two[2:].astype(np.uint32) << np.uint32(16)
     eight = four[:-4].astype(_U) | four[4:].astype(_U) << _U(32)
+    del padded, two, four
     live, at, left = np.arange(len(starts)), starts, ends - starts
     while True:
         chunk = eight[at] & _MASK[np.minimum(left, 8)]
