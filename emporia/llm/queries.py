@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import bytecnn, jaccard, licences, mixing, pivots, substrings, tokens
+from emporia.llm import bytecnn, jaccard, licences, lm, mixing, pivots, substrings, tokens
 from emporia.llm.sql import JACCARD_SQL, LICENCE_SQL, MIX_SQL, SUBSTRING_SQL
 
 
@@ -30,6 +30,11 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=4, percent=85)
 
 
+def op2_gru_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and recurrent-model log probabilities of whole texts."""
+    return lm.score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their source's target and the words that the mix takes."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -71,6 +76,7 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_gru_score": op2_gru_score,
     "op4_mix_sources": op4_mix_sources,
     "op5_byte_cnn": op5_byte_cnn,
     "op6_token_shards": op6_token_shards,
