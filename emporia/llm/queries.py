@@ -8,8 +8,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import bytecnn, jaccard, licences, lm, mixing, pivots, substrings, tokens
-from emporia.llm.sql import JACCARD_SQL, LICENCE_SQL, MIX_SQL, SUBSTRING_SQL
+from emporia.llm import bytecnn, jaccard, licences, lines, lm, mixing, pivots, substrings, tokens
+from emporia.llm.sql import JACCARD_SQL, LICENCE_SQL, LINES_SQL, MIX_SQL, SUBSTRING_SQL
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,12 @@ def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_digest(tokens.write_shards(docs, tokenizer_json()))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that stay when later copies of line runs go."""
+    kept = lines.drop_line_copies(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed", "longest_shared", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that stay when later copies of 13-word windows go."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -80,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mix_sources": op4_mix_sources,
     "op5_byte_cnn": op5_byte_cnn,
     "op6_token_shards": op6_token_shards,
+    "op7_line_dedup": op7_line_dedup,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_pivot_neardup": op9_pivot_neardup,
     "op10_licence_scan": op10_licence_scan,
@@ -88,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_ngram_jaccard": JACCARD_SQL,
     "op4_mix_sources": MIX_SQL,
+    "op7_line_dedup": LINES_SQL,
     "op8_substring_dedup": SUBSTRING_SQL,
     "op10_licence_scan": LICENCE_SQL,
 }
