@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import bytecnn, jaccard, licences, lines, lm, mixing, pivots, substrings, tokens
+from emporia.llm import bytecnn, jaccard, latent, licences, lines, lm, mixing, pivots, substrings, tokens
 from emporia.llm.sql import JACCARD_SQL, LICENCE_SQL, LINES_SQL, MIX_SQL, SUBSTRING_SQL
 
 
@@ -35,6 +35,11 @@ def op2_gru_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_latent_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a copy or paraphrase of a benchmark item, with the item."""
+    return latent.find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their source's target and the words that the mix takes."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -83,6 +88,7 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_gru_score": op2_gru_score,
+    "op3_latent_decontaminate": op3_latent_decontaminate,
     "op4_mix_sources": op4_mix_sources,
     "op5_byte_cnn": op5_byte_cnn,
     "op6_token_shards": op6_token_shards,
