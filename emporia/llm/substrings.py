@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 from emporia.llm.scratch import stored
 from emporia.llm.words import Texts, Words, gram_hashes, slices, word_hashes, words_of
 
-ROWS = "deal long, h long, key long, doc_id long, at int, known boolean"
+# ``place`` packs the row's tag, the word and whether the row is answered already.
+ROWS = "h long, doc_id long, place long"
+TAG, WORD = 1 << 40, 2
 
 
 def window_anchors(texts: Texts, words: Words, hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -44,13 +46,8 @@ def window_anchors(texts: Texts, words: Words, hashes: np.ndarray, length: int)
     return windows, anchor[windows], grams
 
 
-def _rows(h, key, doc, at, known) -> pa.RecordBatch:
-    signed = h.view(np.int64)
-    deal = np.where(known, key ^ (at.astype(np.int64) << 20), signed)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(deal), pa.array(signed), pa.array(key), pa.array(doc), pa.array(at.astype(np.int32)), pa.array(known)],
-        names=["deal", "h", "key", "doc_id", "at", "known"],
-    )
+def _rows(h: np.ndarray, doc: np.ndarray, place: np.ndarray, known: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(doc), pa.array(place + known)], names=["h", "doc_id", "place"])
 
 
 def _first_of(h: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,33 +59,36 @@ def _first_of(h: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return by, run
 
 
+def _runs(first: np.ndarray) -> np.ndarray:
+    """For each row, the last row of its run."""
+    ends = np.flatnonzero(np.append(first[1:] != first[:-1], len(first) > 0))
+    return ends[np.searchsorted(ends, np.arange(len(first)))]
+
+
 def _anchor_rows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column("key").to_numpy(zero_copy_only=False)
+            docs, tags = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "tag"))
             parts = []
             for t in slices(batch.column("text")):
                 w = words_of(t)
                 _, anchors, grams = window_anchors(t, w, word_hashes(t, w), length)
                 at = np.unique(anchors)
                 owner = np.searchsorted(w.bounds, at, side="right") - 1
-                parts.append((grams[at], keys[t.first + owner], at - w.bounds[owner]))
+                parts.append((grams[at], t.first + owner, (at - w.bounds[owner]) * WORD))
             if not parts:
                 continue
-            h, key, at = map(np.concatenate, zip(*parts, strict=True))
+            h, row, place = map(np.concatenate, zip(*parts, strict=True))
             if not len(h):
                 continue
-            by, first = _first_of(h, key)
-            h, key, at = h[by], key[by], at[by]
-            # A hash with two keys in this batch repeats; one row of it goes on.
-            last = np.append(first[1:] != first[:-1], True)
-            ends = np.flatnonzero(last)
-            many = key[first] != key[ends[np.searchsorted(ends, np.arange(len(h)))]]
-            known = many & (first != np.arange(len(h)))
-            yield _rows(h, key, np.zeros(len(h), np.int64), at, known)
-            lead = many & ~known
-            if lead.any():
-                yield _rows(h[lead], key[lead], np.zeros(int(lead.sum()), np.int64), at[lead], np.ones(int(lead.sum()), bool))
+            by, first = _first_of(h, row)
+            h, row, place = h[by], row[by], place[by]
+            # A hash with two rows of this batch repeats; its first row also asks the others.
+            many = row[first] != row[_runs(first)]
+            lead = many & (first == np.arange(len(h)))
+            doc, place = docs[row], place + tags[row] * TAG
+            yield _rows(h, doc, place, many & ~lead)
+            yield _rows(h[lead], doc[lead], place[lead], np.ones(int(lead.sum()), np.int64))
 
     return run
 
@@ -96,11 +96,8 @@ def _anchor_rows(length: int):
 def _window_rows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column("key").to_numpy(zero_copy_only=False)
-            docs = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            lists = batch.column("anchors")
-            if isinstance(lists, pa.ChunkedArray):
-                lists = lists.combine_chunks()
+            docs, tags = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "tag"))
+            lists = batch.column("ats")
             bounds, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
             parts = []
             for t in slices(batch.column("text")):
@@ -109,18 +106,19 @@ def _window_rows(length: int):
                 windows, anchors, _ = window_anchors(t, w, hashes, length)
                 n = len(t.offsets) - 1
                 repeats = np.zeros(len(hashes) + 1, bool)
-                a, b = bounds[t.first], bounds[t.first + n]
-                repeats[values[a:b] + np.repeat(w.bounds[:-1], np.diff(bounds[t.first : t.first + n + 1]))] = True
+                own = np.diff(bounds[t.first : t.first + n + 1])
+                repeats[values[bounds[t.first] : bounds[t.first + n]] + np.repeat(w.bounds[:-1], own)] = True
                 windows = windows[repeats[anchors]]
                 owner = np.searchsorted(w.bounds, windows, side="right") - 1
-                parts.append((gram_hashes(hashes, length)[windows], keys[t.first + owner], docs[t.first + owner], windows - w.bounds[owner]))
+                parts.append((gram_hashes(hashes, length)[windows], t.first + owner, (windows - w.bounds[owner]) * WORD))
             if not parts:
                 continue
-            h, key, doc, at = map(np.concatenate, zip(*parts, strict=True))
+            h, row, place = map(np.concatenate, zip(*parts, strict=True))
             if len(h):
+                doc, place = docs[row], place + tags[row] * TAG
                 by, first = _first_of(h, doc)
-                h, key, doc, at = h[by], key[by], doc[by], at[by]
-                yield _rows(h, key, doc, at, doc > doc[first])
+                h, doc, place = h[by], doc[by], place[by]
+                yield _rows(h, doc, place, doc > doc[first])
 
     return run
 
@@ -130,20 +128,30 @@ def _whole(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
     return pa.Table.from_batches(got).combine_chunks() if got else None
 
 
+def _answers(doc: np.ndarray, place: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
+    tag, at = place // TAG, (place % TAG // WORD).astype(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(tag), pa.array(at), pa.array(h)], names=["doc_id", "tag", "at", "h"])
+
+
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a hash that has two keys, and rows that are known to be such."""
+    """Rows of a hash that stands in two rows of the table, and rows that are known to
+    be such.  A row that asks for known ones counts like them."""
     table = _whole(batches)
     if table is None:
         return
-    h, key, at, known = (table.column(c).to_numpy() for c in ("h", "key", "at", "known"))
-    open_ = ~known
-    ho, ko, ao = h[open_], key[open_], at[open_]
-    by, first = _first_of(ho, ko)
-    ho, ko, ao = ho[by], ko[by], ao[by]
-    ends = np.flatnonzero(np.append(first[1:] != first[:-1], len(first) > 0))
-    many = ko[first] != ko[ends[np.searchsorted(ends, np.arange(len(ho)))]] if len(ho) else np.zeros(0, bool)
-    out = pa.RecordBatch.from_arrays([pa.array(np.concatenate([key[known], ko[many]])), pa.array(np.concatenate([at[known], ao[many]]))], names=["key", "at"])
-    yield out
+    h, doc, place = (table.column(c).to_numpy() for c in ("h", "doc_id", "place"))
+    known = place % WORD == 1
+    yield _answers(doc[known], place[known], h[known])
+    h, doc, place = h[~known], doc[~known], place[~known]
+    if len(h):
+        # Sorted by doc_id, then tag: a run that begins and ends with one row has no other.
+        by = np.lexsort((place // TAG, doc, h))
+        h, doc, place = h[by], doc[by], place[by]
+        new = np.append(True, h[1:] != h[:-1])
+        first = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
+        last = _runs(first)
+        many = (doc[first] != doc[last]) | (place[first] // TAG != place[last] // TAG)
+        yield _answers(doc[many], place[many], h[many])
 
 
 def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,51 +159,60 @@ def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table = _whole(batches)
     if table is None:
         return
-    h, key, doc, at, known = (table.column(c).to_numpy() for c in ("h", "key", "doc_id", "at", "known"))
-    open_ = ~known
-    ho, ko, do, ao = h[open_], key[open_], doc[open_], at[open_]
-    by, first = _first_of(ho, do)
-    later = do[by] > do[by][first] if len(ho) else np.zeros(0, bool)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([key[known], ko[by][later]])), pa.array(np.concatenate([at[known], ao[by][later]])), pa.array(np.concatenate([h[known], ho[by][later]]))],
-        names=["key", "at", "h"],
-    )
+    h, doc, place = (table.column(c).to_numpy() for c in ("h", "doc_id", "place"))
+    known = place % WORD == 1
+    yield _answers(doc[known], place[known], h[known])
+    h, doc, place = h[~known], doc[~known], place[~known]
+    if len(h):
+        by, first = _first_of(h, doc)
+        h, doc, place = h[by], doc[by], place[by]
+        later = doc > doc[first]
+        yield _answers(doc[later], place[later], h[later])
+
+
+ANSWERS = "doc_id long, tag long, at int, h long"
+
+
+def tagged(docs: DataFrame) -> DataFrame:
+    """(doc_id, tag, text); the tag, 23 bits of the text's hash, tells rows apart that
+    share a doc_id."""
+    tag = F.coalesce(F.xxhash64("text"), F.lit(0)).bitwiseAND(F.lit((1 << 23) - 1))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), tag.alias("tag"), "text")
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """(key, doc_id, text); the key tells rows apart that share a doc_id."""
-    return docs.select(F.xxhash64("doc_id", "text").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _dealt(rows: DataFrame) -> DataFrame:
+    """By hash; answered rows anywhere, so that they don't gather."""
+    return rows.repartition(F.when(F.col("place") % WORD == 1, F.xxhash64("doc_id", "place")).otherwise(F.col("h")))
 
 
-def _by_key(rows: DataFrame, name: str) -> DataFrame:
-    return rows.groupBy("key").agg(F.collect_list("at").alias(name))
+def _by_row(answers: DataFrame) -> DataFrame:
+    return answers.groupBy("doc_id", "tag").agg(F.collect_list("at").alias("ats"))
 
 
 def repeated_windows(docs: DataFrame, length: int = 13) -> DataFrame:
-    """(key, at, h): windows of ``length`` words, from word ``at`` on, whose words
-    also start in a row with a smaller doc_id.  ``docs`` is what ``keyed`` returns."""
+    """(doc_id, tag, at, h): windows of ``length`` words, from word ``at`` on, whose words
+    also start in a row with a smaller doc_id.  ``docs`` is what ``tagged`` returns."""
     usable = docs.where("doc_id is not null")
-    rows = usable.select("key", "text").mapInArrow(_anchor_rows(length), ROWS).repartition("deal")
-    anchors = stored(_by_key(rows.mapInArrow(_repeated, "key long, at int"), "anchors"), "anchors")
-    with_anchors = usable.join(anchors, "key")
-    rows = with_anchors.mapInArrow(_window_rows(length), ROWS).repartition("deal")
-    return rows.mapInArrow(_later, "key long, at int, h long")
+    anchors = _dealt(usable.mapInArrow(_anchor_rows(length), ROWS)).mapInArrow(_repeated, ANSWERS)
+    # Written, so that the rows sent by hash need not be kept for what follows.
+    candidates = usable.join(stored(_by_row(anchors), "anchors"), ["doc_id", "tag"])
+    return _dealt(candidates.mapInArrow(_window_rows(length), ROWS)).mapInArrow(_later, ANSWERS)
 
 
 def longer_repeats(windows: DataFrame, length: int = 13) -> DataFrame:
-    """(key, at, length): ``windows`` (key, at, h), doubled until no candidate
+    """(doc_id, tag, at, length): ``windows`` as above, doubled until no candidate
     survives.  Two repeated windows of one row, one straight behind the other, make
     a candidate of twice the length; it survives if another place has the same two."""
-    level = stored(windows.select("key", "at", "h").distinct(), "level")
-    found = level.select("key", "at", F.lit(length).alias("length"))
+    level = stored(windows.select("doc_id", "tag", "at", "h").distinct(), "level")
+    found = level.select("doc_id", "tag", "at", F.lit(length).alias("length"))
     while True:
-        behind = level.select("key", (F.col("at") - length).alias("at"), F.col("h").alias("next"))
-        twice = stored(level.join(behind, ["key", "at"]).select("key", "at", F.xxhash64("h", "next").alias("h")), "level")
+        behind = level.select("doc_id", "tag", (F.col("at") - length).alias("at"), F.col("h").alias("next"))
+        twice = stored(level.join(behind, ["doc_id", "tag", "at"]).select("doc_id", "tag", "at", F.xxhash64("h", "next").alias("h")), "level")
         again = twice.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
         level, length = stored(twice.join(again, "h", "left_semi"), "level"), 2 * length
         if level.isEmpty():
             return found
-        found = found.union(level.select("key", "at", F.lit(length).alias("length")))
+        found = found.union(level.select("doc_id", "tag", "at", F.lit(length).alias("length")))
 
 
 def _kept(length: int):
@@ -227,6 +244,6 @@ def drop_repeats(docs: DataFrame, length: int = 13) -> DataFrame:
     doc_id keep their words.  A null text has no words; a row with a null doc_id
     takes no part and keeps all words.  Other columns are not read.
     """
-    rows = keyed(docs)
-    gone = _by_key(repeated_windows(rows, length).select("key", "at"), "ats")
-    return rows.join(gone, "key", "left").mapInArrow(_kept(length), "doc_id long, n_words long, n_removed long, kept string")
+    rows = tagged(docs)
+    gone = stored(_by_row(repeated_windows(rows, length)), "gone")
+    return rows.join(gone, ["doc_id", "tag"], "left").mapInArrow(_kept(length), "doc_id long, n_words long, n_removed long, kept string")
