@@ -2,6 +2,6 @@
 
 from emporia.operators.cumulate import assign_panes, cumulative_measure, cumulative_top_n  # noqa: F401
 from emporia.operators.ranking import joined_list, latest_by, top_n  # noqa: F401
-from emporia.operators.joins import broadcast_if_small, ip_region_join, prev_day_join, with_dimension  # noqa: F401
+from emporia.operators.joins import ip_region_join, null_safe_on, prev_day_join, with_dimension  # noqa: F401
 from emporia.operators.sequence import transitions  # noqa: F401
 from emporia.operators.generators import explode_keywords, explode_split  # noqa: F401

@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Characters up to the space, as the source's trim takes off both ends.
+WHITE_SPACE = "".join(map(chr, range(33)))
+
+
 def explode_keywords(df: DataFrame, col: str = "keywords", out: str = "keyword") -> DataFrame:
     """G1: one row per trimmed, non-empty array element; null/empty array -> no row."""
     return (
         df.withColumn(out, F.explode(F.col(col)))
-        .withColumn(out, F.trim(F.col(out)))
+        .withColumn(out, F.btrim(F.col(out), F.lit(WHITE_SPACE)))
         .filter(F.length(F.col(out)) > 0)
     )
 

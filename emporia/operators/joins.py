@@ -1,61 +1,35 @@
-"""Joins: size-checked broadcast, day-over-day, IP range lookup."""
+"""Joins: dimensions, null-safe keys, day-over-day, IP range lookup."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows a dimension may hold and still be broadcast (checked, not assumed).
-# A cluster sets its own bound with the session conf ``emporia.broadcast.maxRows``.
-BROADCAST_ROWS = 1_000_000
-BROADCAST_CONF = "emporia.broadcast.maxRows"
 
+def with_dimension(df: DataFrame, dim: DataFrame, on: str | list[str] | Column, how: str = "left") -> DataFrame:
+    """Fact-to-dimension join; fans out on duplicate dimension keys.
 
-def broadcast_rows(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(BROADCAST_CONF, str(BROADCAST_ROWS)))
-
-
-_CHECKED: dict[tuple[int, int], bool] = {}
-
+    The planner picks the join by bytes (``autoBroadcastJoinThreshold``, and AQE
+    by the sizes it meets); a shuffled join's hot keys are split by AQE.
+    """
+    return df.join(dim, on, how)
 
-def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
 
-    Reads at most ``max_rows + 1`` rows, so the check stays cheap even when
-    the answer is no.  Answers are remembered per plan (semantic hash) for
-    the session, so a dimension joined by several queries is counted once.
-    """
-    max_rows = broadcast_rows(df) if max_rows is None else max_rows
-    key = (df.semanticHash(), max_rows)
-    if key not in _CHECKED:
-        if len(_CHECKED) > 1024:
-            _CHECKED.clear()
-        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _CHECKED[key]
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Hint a broadcast only behind a row-count bound; otherwise leave the
-    choice to the planner and AQE (sort-merge with skew splitting)."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
-def with_dimension(
-    df: DataFrame,
-    dim: DataFrame,
-    on: str | list[str] | Column,
-    how: str = "left",
-    max_rows: int | None = None,
-    small: bool | None = None,
-) -> DataFrame:
-    """Fact-to-dimension join; fans out on duplicate dimension keys.
+def null_safe_on(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on ``keys`` with null equal to null, each key once in the result.
 
-    ``small`` passes a size check already made on the dimension's source
-    (a projection has the same row count), saving a count per projection.
+    ``using`` never matches a null key, so an outer join would give it a row
+    from each side; ``<=>`` is still an equi-join (hash or sort-merge).
     """
-    if small is None:
-        small = is_small(dim, max_rows)
-    return df.join(F.broadcast(dim) if small else dim, on, how)
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+        cond = c if cond is None else cond & c
+    out = left.join(renamed, cond, how)
+    rest = [c for c in left.columns if c not in keys] + [c for c in right.columns if c not in keys]
+    merged = [F.coalesce(k, f"_r_{k}").alias(k) if how == "full_outer" else F.col(k) for k in keys]
+    return out.select(*merged, *rest)
 
 
 def prev_day_join(cur: DataFrame, prev: DataFrame, day: str, how: str = "left") -> DataFrame:
@@ -81,30 +55,23 @@ def ipv4_to_long(ip) -> Column:
     return F.when(valid, number)
 
 
-def ip_region_join(
-    df: DataFrame,
-    ip_num: str,
-    ranges: DataFrame,
-    bucket_bits: int = 16,
-    max_rows: int | None = None,
-) -> DataFrame:
+def ip_region_join(df: DataFrame, ip_num: str, ranges: DataFrame, bucket_bits: int = 16) -> DataFrame:
     """Left range join ``ip BETWEEN start_ip AND end_ip`` -> ``region``.
 
     A bare BETWEEN join is a nested loop.  Each range is copied into the
-    ``2^bucket_bits``-address buckets it overlaps, and the join runs on the
-    bucket (an equi-key) plus the BETWEEN test, so it can hash-join or
-    broadcast.  The range side is broadcast only when its bucketed size is
-    under ``max_rows``; otherwise both sides shuffle on the bucket and AQE
-    splits a hot bucket.
+    ``2^bucket_bits``-address buckets it overlaps, a bucket's ranges become one
+    row (narrowest first), and the join runs on the bucket alone.  A row
+    matches one bucket row, so overlapping ranges never copy it: the narrowest
+    range that holds the address wins (then the lowest start, then the region
+    text).  Rows without an address meet no bucket and are spread by a key of
+    their own instead of gathering under null.
     """
-    r = ranges.select(
-        F.col("start_ip").alias("_lo"),
-        F.col("end_ip").alias("_hi"),
-        F.col("region"),
+    bucketed = ranges.select(
         F.explode(F.sequence(F.shiftright("start_ip", bucket_bits), F.shiftright("end_ip", bucket_bits))).alias("_b"),
+        F.struct((F.col("end_ip") - F.col("start_ip")).alias("width"), "start_ip", "end_ip", "region").alias("r"),
     )
-    left = df.withColumn("_b", F.shiftright(F.col(ip_num), bucket_bits))
-    r = broadcast_if_small(r, max_rows)
-    cond = (left["_b"] == r["_b"]) & (left[ip_num] >= r["_lo"]) & (left[ip_num] <= r["_hi"])
-    out = left.join(r, cond, "left")
-    return out.drop(left["_b"]).drop(r["_b"]).drop("_lo", "_hi")
+    rows = bucketed.groupBy("_b").agg(F.array_sort(F.collect_set("r")).alias("_ranges"))
+    ip = F.col(ip_num)
+    left = df.withColumn("_b", F.coalesce(F.shiftright(ip, bucket_bits), -F.pmod(F.xxhash64(*df.columns), F.lit(1 << 20)) - 1))
+    hit = F.filter("_ranges", lambda r: (r["start_ip"] <= ip) & (ip <= r["end_ip"]))
+    return left.join(rows, "_b", "left").withColumn("region", F.get(hit, 0)["region"]).drop("_b", "_ranges")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from emporia.operators.joins import null_safe_on
+
 
 def transitions(
     df: DataFrame, key: str, order: list[str], value: str, bucket: Column, prev: str = "prev", carry: bool = True
@@ -35,7 +37,7 @@ def transitions(
     across = Window.partitionBy(key).orderBy("_b")
     carry = last.select(key, "_b", F.lag("_last", 1).over(across).alias("_carry"))
 
-    firsts = b.filter(F.col("_p").isNull()).join(carry, [key, "_b"], "left")
+    firsts = null_safe_on(b.filter(F.col("_p").isNull()), carry, [key, "_b"], "left")
     firsts = firsts.withColumn("_p", F.col("_carry")).drop("_carry")
     rest = b.filter(F.col("_p").isNotNull())
     out = rest.unionByName(firsts)

@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporia.functions import time as tfn
-from emporia.operators.joins import is_small
 from emporia.plans import changes, gmv, inputs, links, logs, ods, reports
 from emporia.plans import warehouse as wh
 from emporia.session import scratch_path
 from emporia.sources import sinks
 from emporia.sources import tables as tbl
+from emporia.sources.streams import read_sales_stream
 from emporia.sources.tables import table
 from emporia.streaming import jobs, store
 
@@ -183,19 +183,10 @@ class Layers:
     def __init__(self, spark, base):
         self.spark, self.base = spark, base
 
-    @functools.cached_property
-    def sku_small(self):
-        """One size check for the sku dimension and every projection of it."""
-        return is_small(ods.ods_sku_info(self.spark, self.base))
-
-    @functools.cached_property
-    def users_small(self):
-        return is_small(ods.ods_user_info(self.spark, self.base))
-
     @functools.cached_property
     def _sku(self):
         s = self.spark, self.base
-        return wh.dim_sku(ods.ods_sku_info(*s), ods.ods_base_category3(*s), ods.ods_inventory(*s), self.sku_small)
+        return wh.dim_sku(ods.ods_sku_info(*s), ods.ods_base_category3(*s), ods.ods_inventory(*s))
 
     def sku(self):
         return self._sku
@@ -215,10 +206,10 @@ class Layers:
 
     def detail(self):
         s = self.spark, self.base
-        return wh.dwd_order_detail(self.lines(), self.orders(), ods.ods_payment_info(*s), self.sku(), self.sku_small)
+        return wh.dwd_order_detail(self.lines(), self.orders(), ods.ods_payment_info(*s), self.sku())
 
     def page_log(self):
-        return wh.dwd_page_log(ods.ods_page_log(self.spark, self.base), self.sku(), small=self.sku_small)
+        return wh.dwd_page_log(ods.ods_page_log(self.spark, self.base), self.sku())
 
     def comments(self):
         return wh.dwd_comment_detail(ods.ods_comment_info(self.lines(), self.orders()))
@@ -233,8 +224,20 @@ class Layers:
         return wh.sales_metrics(self.page_log(), self.sku_sales())
 
 
-def _wh(fn):
-    return lambda spark, base: fn(Layers(spark, base))
+class NullLayers(Layers):
+    """The same layers over a page log with derived nulls: no user in every 13th
+    second, no sku (nor its shop, category and brand) in every 17th."""
+
+    def page_log(self):
+        log, second = super().page_log(), F.second("ts")
+        sku = ["sku_id", "store_id", "category3_id", "brand"]
+        return log.withColumn("user_id", F.when(second % 13 != 0, F.col("user_id"))).withColumns(
+            {c: F.when(second % 17 != 0, F.col(c)) for c in sku}
+        )
+
+
+def _wh(fn, layers=Layers):
+    return lambda spark, base: fn(layers(spark, base))
 
 
 WAREHOUSE = {
@@ -251,19 +254,17 @@ WAREHOUSE = {
     "dws_comment_day_sum": lambda L: L.comment_sum(),
     "dws_favor_day_sum": lambda L: wh.dws_favor_day_sum(wh.dwd_action_detail(L.page_log(), "signup")),
     "dws_store_category_daycount": lambda L: wh.dws_store_category_daycount(L.page_log(), L.detail()),
-    "dws_attr_distribution_analysis": lambda L: wh.dws_attr_distribution_analysis(
-        L.page_log(), L.detail(), L.sku(), L.sku_small
-    ),
+    "dws_attr_distribution_analysis": lambda L: wh.dws_attr_distribution_analysis(L.page_log(), L.detail(), L.sku()),
     "dws_store_source_daycount": lambda L: wh.dws_store_source_daycount(L.page_log()),
-    "dws_store_user_daycount": lambda L: wh.dws_store_audience_daycount(L.detail(), L.users(), "user_type", L.users_small),
-    "dws_store_age_daycount": lambda L: wh.dws_store_audience_daycount(L.detail(), L.users(), "age_band", L.users_small),
-    "dws_store_gender_daycount": lambda L: wh.dws_store_audience_daycount(L.detail(), L.users(), "gender", L.users_small),
+    "dws_store_user_daycount": lambda L: wh.dws_store_audience_daycount(L.detail(), L.users(), "user_type"),
+    "dws_store_age_daycount": lambda L: wh.dws_store_audience_daycount(L.detail(), L.users(), "age_band"),
+    "dws_store_gender_daycount": lambda L: wh.dws_store_audience_daycount(L.detail(), L.users(), "gender"),
     "dws_keyword_traffic_analysis": lambda L: wh.dws_keyword_traffic_analysis(L.page_log()),
     "sales_metrics": lambda L: L.conversion(),
     "traffic_metrics": lambda L: wh.traffic_metrics(L.page_log()),
     "channel_pivot": lambda L: wh.channel_pivot(L.page_log()),
     "price_metrics": lambda L: wh.price_metrics(L.sku_sales(), L.conversion()),
-    "customer_insight": lambda L: wh.customer_insight(L.page_log(), L.users(), L.users_small),
+    "customer_insight": lambda L: wh.customer_insight(L.page_log(), L.users()),
     "core_summary": lambda L: wh.core_summary(wh.dws_store_category_daycount(L.page_log(), L.detail())),
     "product_ranking": lambda L: wh.product_ranking(L.detail()),
     "gmv_target_progress": lambda L: wh.gmv_target_progress(
@@ -272,7 +273,7 @@ WAREHOUSE = {
     "gmv_contribution": lambda L: wh.gmv_contribution(L.detail()),
     "category_rank": lambda L: wh.category_rank(L.detail(), MONTH),
     "source_share": lambda L: wh.source_share(wh.dws_store_source_daycount(L.page_log())),
-    "audience_ratio": lambda L: wh.audience_ratio(L.page_log(), L.users(), L.users_small),
+    "audience_ratio": lambda L: wh.audience_ratio(L.page_log(), L.users()),
     "ads_wide": lambda L: wh.ads_wide(L.sku_sales(), L.comment_sum(), L.conversion()),
     "one_shot_ads": lambda L: wh.one_shot_ads(L.page_log(), L.detail(), L.comments()),
     "drilldown_summary": lambda L: wh.drilldown_summary(L.detail()),
@@ -280,6 +281,8 @@ WAREHOUSE = {
 }
 for _name, _fn in WAREHOUSE.items():
     QUERIES[_name] = _wh(_fn)
+for _name in ["ads_wide", "one_shot_ads", "audience_ratio", "dws_store_source_daycount", "dws_store_category_daycount"]:
+    QUERIES[f"{_name}_nulls"] = _wh(WAREHOUSE[_name], NullLayers)
 
 
 # ---- G5/A14/F23: links from stored pages ------------------------------------------
@@ -292,6 +295,15 @@ def q_page_links(spark, base):
     return links.page_links(pages, require_blank_target=False, require_title=False)
 
 
+@query("page_links_strict")
+def q_page_links_strict(spark, base):
+    """The source's own rule.  On pages with an even id the anchors get what it asks
+    for, behind another element and beside misleading attributes."""
+    pages = table(spark, base, "pages", ["page_id", "url", "html"])
+    full = F.replace("html", F.lit("<li><a href="), F.lit("<LI class='x'><span>-</span><A target='_blank' data-href=\"/wrong\" title=\"T\" HREF="))
+    return links.page_links(pages.withColumn("html", F.when(F.col("page_id") % 2 == 0, full).otherwise(F.col("html"))))
+
+
 # ---- T6-T14: the same pipelines as streams (file stream of events) ------------------
 
 
@@ -303,6 +315,7 @@ def _stream(spark, starter, reader):
     q.awaitTermination()
     if q.exception():
         raise q.exception()
+    jobs.fail_on_drops(q)
     return reader(f"{root}/out")
 
 
@@ -317,7 +330,14 @@ def q_stream_page_views(spark, base):
 def q_stream_keyword_top10(spark, base):
     logs_s = inputs.log_rows(inputs.events_stream(spark, base))
     return _stream(spark, lambda o, c: jobs.start_keyword_top_n(logs_s, o, c, 10, "click"),
-                   lambda o: spark.read.parquet(f"{o}/top").select("log_date", "rn", "keyword", "cnt"))
+                   lambda o: jobs.read_keyword_top_n(spark, o))
+
+
+@query("stream_login_regions")
+def q_stream_login_regions(spark, base):
+    logs_s = inputs.log_rows(inputs.events_stream(spark, base))
+    return _stream(spark, lambda o, c: jobs.start_login_regions(logs_s, inputs.ip_ranges(spark, base), o, c, "signup"),
+                   lambda o: store.latest(spark, o, ["log_date", "full_region"]))
 
 
 @query("stream_device_users")
@@ -331,7 +351,7 @@ def q_stream_device_users(spark, base):
 def q_stream_path_transitions(spark, base):
     logs_s = inputs.log_rows(inputs.events_stream(spark, base))
     return _stream(spark, lambda o, c: jobs.start_path_transitions(logs_s, o, c, seq="event_id"),
-                   lambda o: store.summed(spark, o, ["log_date", "path"], ["cnt"]))
+                   lambda o: jobs.read_path_transitions(spark, o))
 
 
 @query("stream_gmv_topn_report")
@@ -341,6 +361,20 @@ def q_stream_gmv_topn_report(spark, base):
                    lambda o: jobs.read_gmv_report(spark, o))
 
 
+@query("stream_sales_report")
+def q_stream_sales_report(spark, base):
+    """Sales rows as JSON lines, read back as the sales stream in several
+    micro-batches, reported by the wall clock in Shanghai for live ops, Top-3."""
+    folder = scratch_path(spark, f"sales-{uuid.uuid4().hex}")
+    inputs.sales_json(spark, base).repartition(3, "value").write.text(folder)
+    sales = read_sales_stream(spark, {"format": "text", "path": folder, "maxFilesPerTrigger": 1})
+    return _stream(
+        spark,
+        lambda o, c: jobs.start_gmv_report(sales, o, c, n=3, tz="Asia/Shanghai", ops=gmv.LIVE_OPS, json_sink={"path": f"{o}/json"}),
+        lambda o: jobs.read_gmv_report(spark, o, 3),
+    )
+
+
 @query("stream_change_current_state")
 def q_stream_change_current_state(spark, base):
     env = changes.parse_changes(inputs.change_rows(inputs.events_stream(spark, base)), CHANGE_ROW)

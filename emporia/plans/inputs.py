@@ -111,6 +111,24 @@ def log_rows(ev: DataFrame) -> DataFrame:
     )
 
 
+def sales_json(spark: SparkSession, base: str) -> DataFrame:
+    """Sales change rows as JSON lines (column ``value``) derived from ``events``: ts in
+    seconds for even event ids, else null with insert_time in milliseconds; op by
+    event type as in ``SALES_OPS``."""
+    ms = ntz_epoch_ms("ts", "UTC")
+    op = F.create_map(*[F.lit(x) for kv in SALES_OPS.items() for x in kv])[F.col("event_type")]
+    row = F.struct(
+        F.col("user_id").cast("string").alias("id"),
+        F.col("event_id").cast("string").alias("order_id"),
+        _k().cast("string").alias("product_id"),
+        F.col("value").cast("decimal(10,2)").alias("total_amount"),
+        F.when(F.pmod("event_id", F.lit(2)) == 0, F.floor(ms / 1000).cast("string")).alias("ts"),
+        ms.alias("insert_time"),
+        op.alias("op"),
+    )
+    return events(spark, base).select(F.to_json(row).alias("value"))
+
+
 def ip_ranges(spark: SparkSession, base: str) -> DataFrame:
     """One IP range per nation: [n * 2^27, n * 2^27 + 2^26 - 1]; the rest of
     the space is unmatched.  Region text by ``n % 5``: province only,

@@ -1,29 +1,40 @@
 """Link extraction from stored pages.
 
-The source crawled one site with a browser and kept list items whose link
-has ``target="_blank"``, a ``title`` and an ``href``.  Here the pages are
-rows of a table and extraction is a JVM-side regular expression over each
-page, so it scales with the table.  An anchor counts when it is the first
-element inside an ``<li>``.
+The source crawled one site with a browser and kept list items with a child link
+that has ``target="_blank"``, a ``title`` and an ``href``.  Here the pages are rows
+of a table and extraction is JVM-side regular expressions over each page, so it
+scales with the table: list items first, then the anchors directly in each item.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emporia.functions.text import absolute_url, strip_ws, unescape_html, url_origin
 
-# <li ...> optional whitespace <a attrs>text</a>; group 1 = attributes, 2 = text.
-LI_ANCHOR = r"(?s)<li[^>]*>\s*<a\s([^>]*)>(.*?)</a>"
+# A tag's attributes, quoted values included.
+ATTRS = r"""(?:"[^"]*"|'[^']*'|[^'">])*"""
+# An item ends at its end tag, at the next item, or with the page.
+ITEM = rf"(?is)<li(?=[\s>/]){ATTRS}>(.*?)(?=<li[\s>/]|</li\s*>|\z)"
+# Other elements inside an item, with what they hold: their anchors are not the item's own.
+NESTED = rf"(?is)<(span|div|p|b|i|em|strong|small|font|section|h[1-6]|table|script|style)(?=[\s>]){ATTRS}>.*?</\1\s*>"
+ANCHOR = rf"(?is)<a(?=\s)({ATTRS})>(.*?)(?=</a\s*>|<a\s|\z)"
+ATTR = r"""([^\s=>"'/]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
-def _attr(attrs, name: str):
-    return F.regexp_extract(attrs, rf'(?i)\b{name}\s*=\s*"([^"]*)"', 1)
+def _anchor(hit: Column) -> Column:
+    """An anchor as (href, title, target, text); an attribute it lacks is null."""
+    attrs = F.regexp_extract(hit, ANCHOR, 1)
+    found = F.regexp_extract_all(attrs, F.lit(ATTR), 0)
 
+    def value(name: str) -> Column:
+        mine = F.filter(found, lambda x: F.lower(F.regexp_extract(x, ATTR, 1)) == name)
+        raw = F.regexp_extract(F.get(mine, 0), ATTR, 2)
+        return F.when(F.size(mine) > 0, F.regexp_replace(raw, r"""^["']|["']$""", ""))
 
-def _has(attrs, name: str):
-    return attrs.rlike(rf'(?i)\b{name}\s*=\s*"')
+    text = F.regexp_replace(F.regexp_extract(hit, ANCHOR, 2), "<[^>]*>", "")
+    return F.struct(value("href").alias("href"), value("title").alias("title"), value("target").alias("target"), text.alias("text"))
 
 
 def extract_links(
@@ -32,37 +43,35 @@ def extract_links(
     require_blank_target: bool = True,
     require_title: bool = True,
 ) -> DataFrame:
-    """One row per qualifying anchor: page_id, pos, href, title.
-
-    ``href`` is made absolute against ``base`` (default: the page's own
-    origin).  Without a ``title`` attribute the anchor text (tags removed)
-    is the title.  Entities in both are decoded; whitespace is stripped.
+    """One row per qualifying list item: page_id, pos, href, title.
+
+    An item qualifies when one anchor directly in it has an href, and a title and
+    ``target="_blank"`` where these are required.  Its href is the first anchor's that
+    has one, its title the first anchor's that has one (else the text of the first
+    with an href).  Tag and attribute names match in any case, values in either
+    quotes or none.  ``pos`` counts the page's items.  ``href`` is made absolute
+    against ``base`` (default: the page's own origin); entities in both are decoded
+    and whitespace around them is stripped.
     """
-    # One pass over each (whole) page: collect the matching anchors, then
-    # split attributes and text out of each short match.
-    found = pages.select("page_id", "url", F.regexp_extract_all("html", F.lit(LI_ANCHOR), 0).alias("_a"))
-    rows = found.select("page_id", "url", F.posexplode("_a").alias("pos", "_hit"))
-    rows = rows.withColumn(
-        "_m",
-        F.struct(
-            F.regexp_extract("_hit", LI_ANCHOR, 1).alias("attrs"),
-            F.regexp_extract("_hit", LI_ANCHOR, 2).alias("text"),
-        ),
-    )
-    attrs = F.col("_m.attrs")
-    keep = _has(attrs, "href")
-    if require_title:
-        keep &= _has(attrs, "title")
-    if require_blank_target:
-        keep &= _attr(attrs, "target") == "_blank"
-    rows = rows.filter(keep)
-    text = F.regexp_replace("_m.text", "<[^>]*>", "")
-    title = F.when(_has(attrs, "title"), _attr(attrs, "title")).otherwise(text)
+    items = pages.select("page_id", "url", F.posexplode(F.regexp_extract_all("html", F.lit(ITEM), 1)).alias("pos", "_item"))
+    own = F.regexp_replace("_item", NESTED, "")
+    rows = items.withColumn("_a", F.transform(F.regexp_extract_all(own, F.lit(ANCHOR), 0), _anchor))
+
+    def fits(x: Column) -> Column:
+        keep = x["href"].isNotNull()
+        if require_title:
+            keep &= x["title"].isNotNull()
+        if require_blank_target:
+            keep &= F.coalesce(x["target"], F.lit("")) == "_blank"
+        return keep
+
+    linked, titled = F.filter("_a", lambda x: x["href"].isNotNull()), F.filter("_a", lambda x: x["title"].isNotNull())
     root = F.lit(base.rstrip("/")) if base else url_origin("url")
-    return rows.select(
+    title = F.coalesce(F.get(titled, 0)["title"], F.get(linked, 0)["text"])
+    return rows.filter(F.exists("_a", fits)).select(
         "page_id",
         "pos",
-        absolute_url(unescape_html(_attr(attrs, "href")), root).alias("href"),
+        absolute_url(unescape_html(F.get(linked, 0)["href"]), root).alias("href"),
         strip_ws(unescape_html(title)).alias("title"),
     )
 

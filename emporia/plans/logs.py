@@ -72,7 +72,12 @@ def with_region(df: DataFrame, ranges: DataFrame, bucket_bits: int = 16) -> Data
 
 
 def login_regions(
-    df: DataFrame, ranges: DataFrame, login_type: str = "login", tz: str = DEFAULT_TZ, bucket_bits: int = 16
+    df: DataFrame,
+    ranges: DataFrame,
+    login_type: str = "login",
+    tz: str = DEFAULT_TZ,
+    bucket_bits: int = 16,
+    lateness: str | None = None,
 ) -> DataFrame:
     """M3: logins per (log_date, full_region).
 
@@ -82,8 +87,8 @@ def login_regions(
     """
     rows = normalise(df.filter(F.col("log_type") == login_type), tz)
     rows = rows.filter(F.col("gis").isNotNull() & F.col("gis.ip").isNotNull() & (F.col("gis.ip") != ""))
-    located = with_region(rows.select("log_date", "gis"), ranges, bucket_bits)
-    return located.groupBy("log_date", "full_region").agg(F.count(F.lit(1)).alias("logins"))
+    located, day = _by_day(with_region(rows.select("log_date", "gis"), ranges, bucket_bits), lateness)
+    return located.groupBy(*day, "full_region").agg(F.count(F.lit(1)).alias("logins")).drop("_day_ts")
 
 
 def path_transitions(
@@ -100,12 +105,17 @@ def path_transitions(
     later row.  ``order`` adds tie-breaks after ``ts`` (e.g. an event id).
     ``slice_ms`` (T8) pairs rows only inside per-user tumbling event-time
     slices of that length (the source used 10 s slices), so pairs that
-    straddle a slice edge are not counted.
+    straddle a slice edge are not counted.  Rows without a user have no path.
     """
-    rows = normalise(df, tz).select("user_id", "log_type", "log_date", *dict.fromkeys(("ts",) + tuple(order)))
+    rows = normalise(df.filter(F.col("user_id").isNotNull()), tz).select("user_id", "log_type", "log_date", *dict.fromkeys(("ts",) + tuple(order)))
     width = slice_ms or bucket_ms
     paired = transitions(rows, "user_id", list(dict.fromkeys(("ts",) + tuple(order))), "log_type",
                          F.floor(F.col("ts") / width), "prev", carry=slice_ms is None)
+    return count_moves(paired)
+
+
+def count_moves(paired: DataFrame) -> DataFrame:
+    """Rows with ``prev`` -> count per (log_date, path) of type changes."""
     moves = paired.filter(
         F.col("prev").isNotNull() & F.col("log_type").isNotNull() & (F.col("prev") != F.col("log_type"))
     )

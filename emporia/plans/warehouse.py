@@ -3,8 +3,8 @@
 The source documents name the tables and metrics but give no SQL; each
 formula is pinned in the docstring.  Every table is a groupBy/agg/join over
 the layer below.  Distinct counts use one distinct column per aggregate so
-Spark plans them as two hash aggregations (no Expand); dimensions go
-through a row-count-checked broadcast.  Ratios are plain DOUBLE divisions,
+Spark plans them as two hash aggregations (no Expand); dimension joins
+are left to the planner.  Ratios are plain DOUBLE divisions,
 null when the denominator is 0 or missing.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emporia.operators.joins import with_dimension
+from emporia.operators.joins import null_safe_on, with_dimension
 from emporia.operators.ranking import latest_by
 
 PAGE_LOG = T.StructType(
@@ -51,11 +51,9 @@ def ratio(num, den) -> Column:
 # ---- DIM ----------------------------------------------------------------------
 
 
-def dim_sku(sku: DataFrame, category3: DataFrame, inventory: DataFrame, small: bool | None = None) -> DataFrame:
-    """Sku ⋈ category3 ⋈ inventory (left joins; stock 0 when absent).
-
-    ``small``: the sku table passed a size check (category3 is no larger)."""
-    out = with_dimension(sku, category3, "category3_id", small=small).join(inventory, "sku_id", "left")
+def dim_sku(sku: DataFrame, category3: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Sku ⋈ category3 ⋈ inventory (left joins; stock 0 when absent)."""
+    out = with_dimension(sku, category3, "category3_id").join(inventory, "sku_id", "left")
     return out.withColumn("stock", F.coalesce("stock", F.lit(0)))
 
 
@@ -91,7 +89,7 @@ def dim_activity(activity: DataFrame) -> DataFrame:
 
 
 def dwd_order_detail(
-    lines: DataFrame, orders: DataFrame, payments: DataFrame, sku: DataFrame, small: bool | None = None
+    lines: DataFrame, orders: DataFrame, payments: DataFrame, sku: DataFrame
 ) -> DataFrame:
     """Cleaned order lines joined to their order, with the sku's
     shop, category, brand and attribute, a paid flag (payment exists) and a
@@ -112,7 +110,7 @@ def dwd_order_detail(
     paid = payments.select("order_id", F.lit(True).alias("is_paid")).dropDuplicates(["order_id"])
     out = out.join(paid, "order_id", "left")
     dims = sku.select("sku_id", "store_id", "category3_id", "brand", "attr_value")
-    out = with_dimension(out, dims, "sku_id", small=small)
+    out = with_dimension(out, dims, "sku_id")
     return out.select(
         "order_id",
         "line_no",
@@ -130,7 +128,7 @@ def dwd_order_detail(
     )
 
 
-def dwd_page_log(raw: DataFrame, sku: DataFrame, col: str = "line", small: bool | None = None) -> DataFrame:
+def dwd_page_log(raw: DataFrame, sku: DataFrame, col: str = "line") -> DataFrame:
     """H8: JSON log lines -> typed page log with the sku's shop and category.
 
     Unparsable lines are dropped; a session is (user, local date).
@@ -138,7 +136,7 @@ def dwd_page_log(raw: DataFrame, sku: DataFrame, col: str = "line", small: bool
     rec = raw.select(F.from_json(F.col(col), PAGE_LOG).alias("r")).filter(F.col("r.action").isNotNull()).select("r.*")
     rec = rec.withColumn("ts", F.to_timestamp_ntz("ts")).withColumn("dt", F.to_date("ts"))
     rec = rec.withColumn("session_id", F.concat_ws("-", F.col("user_id").cast("string"), F.col("dt").cast("string")))
-    return with_dimension(rec, sku.select("sku_id", "store_id", "category3_id", "brand"), "sku_id", small=small)
+    return with_dimension(rec, sku.select("sku_id", "store_id", "category3_id", "brand"), "sku_id")
 
 
 def dwd_action_detail(page_log: DataFrame, action: str) -> DataFrame:
@@ -176,13 +174,13 @@ def dws_order_day_sum(detail: DataFrame) -> DataFrame:
 
 
 def dws_sku_sales_day_sum(detail: DataFrame) -> DataFrame:
-    """Paid items, paying users, sales and refunded lines per (dt, sku)."""
+    """Paid items, paying users, sales and orders with a refund per (dt, sku)."""
     paid = detail.filter("is_paid")
     return paid.groupBy("dt", "sku_id").agg(
         F.sum("quantity").alias("pay_item_num"),
         F.count_distinct("user_id").alias("pay_user_num"),
         money_sum("amount").alias("total_sales"),
-        F.sum(F.col("is_refund").cast("int")).alias("refund_num"),
+        F.count_distinct(F.when(F.col("is_refund"), F.col("order_id"))).alias("refund_num"),
     )
 
 
@@ -202,13 +200,13 @@ def dws_favor_day_sum(favors: DataFrame) -> DataFrame:
 
 
 def _visitors(page_log: DataFrame, keys: list[str], name: str = "visitor_count") -> DataFrame:
-    views = page_log.filter(F.col("action") == "view")
+    views = page_log.filter((F.col("action") == "view") & F.col("user_id").isNotNull())
     return views.groupBy(*keys).agg(F.count_distinct("user_id").alias(name))
 
 
 def _full(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Full outer join on ``keys`` (``using`` coalesces the keys)."""
-    return left.join(right, keys, "full_outer")
+    """Full outer join on ``keys``; null keys meet."""
+    return null_safe_on(left, right, keys, "full_outer")
 
 
 def dws_store_category_daycount(page_log: DataFrame, detail: DataFrame) -> DataFrame:
@@ -225,12 +223,12 @@ def dws_store_category_daycount(page_log: DataFrame, detail: DataFrame) -> DataF
 
 
 def dws_attr_distribution_analysis(
-    page_log: DataFrame, detail: DataFrame, sku: DataFrame, small: bool | None = None
+    page_log: DataFrame, detail: DataFrame, sku: DataFrame
 ) -> DataFrame:
     """By (dt, category3, attribute value): visitors, paying users,
     amount, conversion and ``action_num`` (skus with paid sales)."""
     keys = ["dt", "category3_id", "attr_value"]
-    log = with_dimension(page_log, sku.select("sku_id", "attr_value"), "sku_id", small=small)
+    log = with_dimension(page_log, sku.select("sku_id", "attr_value"), "sku_id")
     paid = detail.filter("is_paid")
     users = paid.groupBy(*keys).agg(
         F.count_distinct("user_id").alias("payment_user_count"), money_sum("amount").alias("payment_amount")
@@ -242,9 +240,10 @@ def dws_attr_distribution_analysis(
 
 def dws_store_source_daycount(page_log: DataFrame) -> DataFrame:
     """Per (dt, store, source): visitors (view), cart (click), favor
-    (signup) and paying (purchase) users, conversion = paying / visitors."""
+    (signup) and paying (purchase) users, conversion = paying / visitors.
+    Rows without a user are no visitors, as in every distinct user count."""
     keys = ["dt", "store_id", "source_type"]
-    flags = page_log.groupBy(*keys, "user_id").agg(
+    flags = page_log.filter(F.col("user_id").isNotNull()).groupBy(*keys, "user_id").agg(
         *[F.max((F.col("action") == a).cast("int")).alias(n) for n, a in
           [("v", "view"), ("c", "click"), ("f", "signup"), ("p", "purchase")]]
     )
@@ -258,11 +257,11 @@ def dws_store_source_daycount(page_log: DataFrame) -> DataFrame:
 
 
 def dws_store_audience_daycount(
-    detail: DataFrame, users: DataFrame, attribute: str, small: bool | None = None
+    detail: DataFrame, users: DataFrame, attribute: str
 ) -> DataFrame:
     """Paying users and amount per (dt, store, <user attribute>) for
     ``user_type`` (new/old), ``age_band`` or ``gender``."""
-    paid = with_dimension(detail.filter("is_paid"), users.select("user_id", attribute), "user_id", small=small)
+    paid = with_dimension(detail.filter("is_paid"), users.select("user_id", attribute), "user_id")
     return paid.groupBy("dt", "store_id", attribute).agg(
         F.count_distinct("user_id").alias("pay_user_count"), money_sum("amount").alias("payment_amount")
     )
@@ -283,7 +282,7 @@ def sales_metrics(page_log: DataFrame, sku_sales: DataFrame) -> DataFrame:
     """H19 (ads_sku_conversion_sales_day): per (dt, sku): paying buyers,
     cart buyers, paid items, visitors and pay conversion = buyers / visitors."""
     keys = ["dt", "sku_id"]
-    carts = page_log.filter(F.col("action") == "click").groupBy(*keys).agg(
+    carts = page_log.filter((F.col("action") == "click") & F.col("user_id").isNotNull()).groupBy(*keys).agg(
         F.count_distinct("user_id").alias("cart_buyer_num")
     )
     sales = sku_sales.select(*keys, F.col("pay_user_num").alias("pay_buyer_num"), "pay_item_num")
@@ -292,48 +291,54 @@ def sales_metrics(page_log: DataFrame, sku_sales: DataFrame) -> DataFrame:
 
 
 def traffic_metrics(page_log: DataFrame) -> DataFrame:
-    """H20 (ads_sku_traffic_day): per day: unique visitors, sessions and
-    jump rate = sessions with exactly one page view / sessions."""
-    sessions = page_log.groupBy("dt", "session_id").agg(F.count(F.lit(1)).alias("pv"))
-    per_day = sessions.groupBy("dt").agg(
-        F.count(F.lit(1)).alias("session_count"), F.sum((F.col("pv") == 1).cast("int")).alias("jump_sessions")
+    """H20 (ads_sku_traffic_day): over page views (``action`` view), per day: unique
+    visitors, sessions and jump rate = sessions with exactly one page view /
+    sessions.  A session is one user's day, so one grouping gives all three; views
+    without a user are one session of no visitor."""
+    sessions = page_log.filter(F.col("action") == "view").groupBy("dt", "session_id", "user_id").agg(F.count(F.lit(1)).alias("pv"))
+    out = sessions.groupBy("dt").agg(
+        F.count("user_id").alias("total_uv"),
+        F.count(F.lit(1)).alias("session_count"),
+        F.sum((F.col("pv") == 1).cast("int")).alias("jump_sessions"),
     )
-    uv = page_log.groupBy("dt").agg(F.count_distinct("user_id").alias("total_uv"))
-    return uv.join(per_day, "dt").withColumn("jump_rate", ratio("jump_sessions", "session_count"))
+    return out.withColumn("jump_rate", ratio("jump_sessions", "session_count"))
 
 
 def channel_pivot(page_log: DataFrame) -> DataFrame:
-    """PV and UV per channel (app, pc, wx, h5) as columns, per day.
-
-    The channel list is fixed, so ``pivot`` needs no extra pass to find it.
-    """
-    pv = page_log.groupBy("dt").pivot("channel", CHANNELS).agg(F.count(F.lit(1)))
-    pv = pv.select("dt", *[F.coalesce(F.col(c), F.lit(0)).alias(f"{c}_pv") for c in CHANNELS])
-    uv = page_log.groupBy("dt").pivot("channel", CHANNELS).agg(F.count_distinct("user_id"))
-    uv = uv.select("dt", *[F.coalesce(F.col(c), F.lit(0)).alias(f"{c}_uv") for c in CHANNELS])
-    return pv.join(uv, "dt")
+    """Page views (``action`` view) and their users per channel (app, pc, wx, h5)
+    as columns, per day.  One grouping by (day, channel, user) feeds both numbers;
+    the channel list is fixed, so no pass is needed to find it."""
+    views = page_log.filter((F.col("action") == "view") & F.col("channel").isin(*CHANNELS))
+    per_user = views.groupBy("dt", "channel", "user_id").agg(F.count(F.lit(1)).alias("pv"))
+    on = {c: F.col("channel") == c for c in CHANNELS}
+    return per_user.groupBy("dt").agg(
+        *[F.coalesce(F.sum(F.when(on[c], F.col("pv"))), F.lit(0)).alias(f"{c}_pv") for c in CHANNELS],
+        *[F.count(F.when(on[c], F.col("user_id"))).alias(f"{c}_uv") for c in CHANNELS],
+    )
 
 
 def price_metrics(sku_sales: DataFrame, conversion: DataFrame) -> DataFrame:
-    """Per (dt, sku): paying users, refunded lines, sales, items sold
+    """Per (dt, sku): paying users, orders with a refund, sales, items sold
     and the pay conversion rate of H19."""
     keys = ["dt", "sku_id"]
     conv = conversion.select(*keys, "pay_conversion_rate")
-    return sku_sales.select(
-        *keys,
-        F.col("pay_user_num"),
-        "refund_num",
-        "total_sales",
-        F.col("pay_item_num").alias("sale_num"),
-    ).join(conv, keys, "left")
+    sales = sku_sales.select(*keys, "pay_user_num", "refund_num", "total_sales", F.col("pay_item_num").alias("sale_num"))
+    return null_safe_on(sales, conv, keys, "left")
+
+
+def _staged(page_log: DataFrame, *keys: str) -> DataFrame:
+    """Distinct users of each behaviour stage (search, visit, pay) per ``keys``."""
+    stage = F.create_map(*[F.lit(x) for s, a in STAGES.items() for x in (a, s)])[F.col("action")]
+    rows = page_log.select(*keys, stage.alias("stage"), "user_id")
+    return rows.filter(F.col("stage").isNotNull() & F.col("user_id").isNotNull()).distinct()
 
 
-def customer_insight(page_log: DataFrame, users: DataFrame, small: bool | None = None) -> DataFrame:
-    """Per (dt, category3): visitors (view), male and female share and
-    new-to-old ratio of the visitors."""
-    views = page_log.filter(F.col("action") == "view").select("dt", "category3_id", "user_id").distinct()
-    v = with_dimension(views, users.select("user_id", "gender", "user_type"), "user_id", small=small)
-    out = v.groupBy("dt", "category3_id").agg(
+def customer_insight(page_log: DataFrame, users: DataFrame) -> DataFrame:
+    """Per (dt, category3, stage): the category's searchers, visitors or payers,
+    their male and female share and new-to-old ratio."""
+    keys = ["dt", "category3_id", "stage"]
+    v = with_dimension(_staged(page_log, "dt", "category3_id"), users.select("user_id", "gender", "user_type"), "user_id")
+    out = v.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_visitor_num"),
         F.sum((F.col("gender") == "male").cast("int")).alias("_m"),
         F.sum((F.col("gender") == "female").cast("int")).alias("_f"),
@@ -341,8 +346,7 @@ def customer_insight(page_log: DataFrame, users: DataFrame, small: bool | None =
         F.sum((F.col("user_type") == "old").cast("int")).alias("_o"),
     )
     return out.select(
-        "dt",
-        "category3_id",
+        *keys,
         "total_visitor_num",
         ratio("_m", "total_visitor_num").alias("male_ratio"),
         ratio("_f", "total_visitor_num").alias("female_ratio"),
@@ -423,26 +427,17 @@ def source_share(source_daycount: DataFrame) -> DataFrame:
     )
 
 
-def audience_ratio(page_log: DataFrame, users: DataFrame, small: bool | None = None) -> DataFrame:
-    """For each behaviour stage (search, visit, pay) and day, users and
+def audience_ratio(page_log: DataFrame, users: DataFrame) -> DataFrame:
+    """For each category, behaviour stage (search, visit, pay) and day, users and
     their share by gender, age band and new/old."""
-    stage = F.create_map(*[F.lit(x) for s, a in STAGES.items() for x in (a, s)])[F.col("action")]
-    staged = page_log.select("dt", stage.alias("stage"), "user_id").filter(F.col("stage").isNotNull()).distinct()
-    u = with_dimension(staged, users.select("user_id", "gender", "age_band", "user_type"), "user_id", small=small)
-    long = u.select(
-        "dt",
-        "stage",
-        "user_id",
-        F.explode(
-            F.array(
-                *[F.struct(F.lit(a).alias("dimension"), F.col(a).alias("value")) for a in ("gender", "age_band", "user_type")]
-            )
-        ).alias("d"),
-    )
-    agg = long.groupBy("dt", "stage", F.col("d.dimension").alias("dimension"), F.col("d.value").alias("value")).agg(
+    keys = ["dt", "category3_id", "stage"]
+    u = with_dimension(_staged(page_log, "dt", "category3_id"), users.select("user_id", "gender", "age_band", "user_type"), "user_id")
+    dims = F.array(*[F.struct(F.lit(a).alias("dimension"), F.col(a).alias("value")) for a in ("gender", "age_band", "user_type")])
+    long = u.select(*keys, F.explode(dims).alias("d"))
+    agg = long.groupBy(*keys, F.col("d.dimension").alias("dimension"), F.col("d.value").alias("value")).agg(
         F.count(F.lit(1)).alias("users")
     )
-    w = Window.partitionBy("dt", "stage", "dimension")
+    w = Window.partitionBy(*keys, "dimension")
     return agg.withColumn("share", ratio(F.col("users"), F.sum("users").over(w)))
 
 
@@ -450,18 +445,16 @@ def ads_wide(sku_sales: DataFrame, comments: DataFrame, conversion: DataFrame) -
     """One wide row per (dt, sku) from the DWS/ADS tables (left joins
     onto the conversion table, which holds every traffic or sales key)."""
     keys = ["dt", "sku_id"]
-    return (
-        conversion.select(*keys, "visitor_num", "cart_buyer_num", "pay_buyer_num", "pay_conversion_rate")
-        .join(sku_sales.select(*keys, "total_sales", "refund_num"), keys, "left")
-        .join(comments.select(*keys, "comment_num", "good_num"), keys, "left")
-    )
+    wide = conversion.select(*keys, "visitor_num", "cart_buyer_num", "pay_buyer_num", "pay_conversion_rate")
+    wide = null_safe_on(wide, sku_sales.select(*keys, "total_sales", "refund_num"), keys, "left")
+    return null_safe_on(wide, comments.select(*keys, "comment_num", "good_num"), keys, "left")
 
 
 def one_shot_ads(page_log: DataFrame, detail: DataFrame, comments: DataFrame) -> DataFrame:
     """The wide table straight from DWD in a single plan, no stored
     layers; must equal ``ads_wide``."""
     keys = ["dt", "sku_id"]
-    log = page_log.groupBy(*keys, "user_id").agg(
+    log = page_log.filter(F.col("user_id").isNotNull()).groupBy(*keys, "user_id").agg(
         F.max((F.col("action") == "view").cast("int")).alias("v"), F.max((F.col("action") == "click").cast("int")).alias("c")
     )
     log = log.groupBy(*keys).agg(F.sum("v").alias("visitor_num"), F.sum("c").alias("cart_buyer_num"))
@@ -473,13 +466,13 @@ def one_shot_ads(page_log: DataFrame, detail: DataFrame, comments: DataFrame) ->
     paid = detail.filter("is_paid").groupBy(*keys).agg(
         F.count_distinct("user_id").alias("pay_buyer_num"),
         money_sum("amount").alias("total_sales"),
-        F.sum(F.col("is_refund").cast("int")).alias("refund_num"),
+        F.count_distinct(F.when(F.col("is_refund"), F.col("order_id"))).alias("refund_num"),
     )
     com = comments.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("comment_num"), F.sum((F.col("rating") == "good").cast("int")).alias("good_num")
     )
     out = log.filter(F.col("visitor_num").isNotNull() | F.col("cart_buyer_num").isNotNull())
-    out = out.join(paid, keys, "full_outer").join(com, keys, "left")
+    out = null_safe_on(null_safe_on(out, paid, keys, "full_outer"), com, keys, "left")
     return out.select(
         *keys,
         "visitor_num",
@@ -501,8 +494,8 @@ def drilldown_summary(detail: DataFrame) -> DataFrame:
 
 
 def drilldown_detail(detail: DataFrame, day: str) -> DataFrame:
-    """The detail rows behind one day of the summary (a pushed-down
-    equality on ``dt``)."""
+    """The detail rows behind one day of the summary; on a detail table stored
+    by ``dt`` only that day's folder is read."""
     return detail.filter(F.col("dt") == F.lit(dt.date.fromisoformat(day)))
 
 

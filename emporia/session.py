@@ -52,14 +52,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/S3) folder and
-    is used as is.  Only when nothing is configured (tests, a laptop) do we
-    fall back to a fresh temporary folder.
+    is used as is.  A fresh temporary folder is made only for a local master
+    (tests, a laptop); elsewhere an unset folder is an error, since executors
+    would write to disks that nobody else can read.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc_dir = spark.sparkContext.getCheckpointDir()
     if sc_dir:
         return sc_dir
     if not conf_dir:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="emporia-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     spark.sparkContext.setCheckpointDir(conf_dir)

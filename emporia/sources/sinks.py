@@ -34,6 +34,15 @@ def write_json_stream(df: DataFrame, sink: dict, checkpoint: str) -> DataStreamW
     return w.option("checkpointLocation", checkpoint).outputMode("append")
 
 
+def send_json(df: DataFrame, sink: dict) -> None:
+    """S3 for one micro-batch: its rows as JSON to a topic or, appended, to a folder."""
+    out = as_json_value(df)
+    if sink.get("format") == "kafka":
+        out.write.format("kafka").option("kafka.bootstrap.servers", sink["servers"]).option("topic", sink["topic"]).option("kafka.acks", "all").save()
+    else:
+        out.write.mode("append").text(sink["path"])
+
+
 def to_console(df: DataFrame, mode: str = "update", rows: int = 50) -> DataStreamWriter:
     """Print each micro-batch (debugging only)."""
     return df.writeStream.format("console").outputMode(mode).option("numRows", rows).option("truncate", "false")

@@ -7,8 +7,6 @@ for tests.  Every reader declares its schema; nothing is inferred.
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,17 +15,20 @@ from emporia.functions.time import event_time
 from emporia.schemas import LOG_EVENT, SALES_EVENT
 
 
-def kafka_options(servers: str, topic: str, group_id: str | None = None, starting: str = "earliest") -> dict:
+def kafka_options(
+    servers: str, topic: str, group_id: str | None = None, starting: str = "earliest", fail_on_data_loss: bool = True
+) -> dict:
     """Options for ``readStream.format('kafka')``.
 
     A fresh group id per run (the source appended the run's time) is what
-    Spark does by default; pass ``group_id`` to pin one.
+    Spark does by default; pass ``group_id`` to pin one.  Offsets that have expired
+    fail the query; ``fail_on_data_loss=False`` skips them.
     """
     opts = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if group_id:
         opts["kafka.group.id"] = group_id
@@ -74,19 +75,16 @@ def read_log_stream(spark: SparkSession, source: dict, schema: T.StructType = LO
     return parse_json(read_text_stream(spark, source), schema, mode)
 
 
-def with_event_time(df: DataFrame, watermark: str = "5 seconds") -> DataFrame:
-    """Derived ``event_time`` (E2) with a watermark on it."""
-    return df.withColumn("event_time", event_time("ts", "insert_time")).withWatermark("event_time", watermark)
+def with_event_time(df: DataFrame) -> DataFrame:
+    """Derived ``event_time`` (E2), an instant.  The job that aggregates owns the
+    watermark; a stream may define it only once."""
+    return df.withColumn("event_time", event_time("ts", "insert_time"))
 
 
-def read_sales_stream(spark: SparkSession, source: dict, watermark: str = "5 seconds") -> DataFrame:
+def read_sales_stream(spark: SparkSession, source: dict) -> DataFrame:
     """Sales change rows with unparsable fields as nulls (other fields
-    kept), the derived event time and a 5-second watermark."""
-    return with_event_time(parse_json(read_text_stream(spark, source), SALES_EVENT, "null"), watermark)
-
-
-def fresh_group_id(prefix: str) -> str:
-    return f"{prefix}-{int(time.time() * 1000)}"
+    kept) and the derived event time."""
+    return with_event_time(parse_json(read_text_stream(spark, source), SALES_EVENT, "null"))
 
 
 def read_change_events(spark: SparkSession, source: dict, row: T.StructType, mode: str = "PERMISSIVE") -> DataFrame:

@@ -1,5 +1,9 @@
 """Streaming jobs: log metrics, cumulative GMV report, change current state.
 
+No job drops late rows unless it is told to: ``lateness`` or ``watermark`` bounds
+the state and is None by default.  ``fail_on_drops`` raises when a query that was
+given one has dropped rows.
+
 Every ``start_*`` function returns a started ``StreamingQuery`` that writes
 into ``out`` (a folder) with its checkpoint under ``checkpoint``.  Pass
 ``trigger={"availableNow": True}`` to drain the input and stop, or
@@ -13,7 +17,7 @@ import sys
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -23,7 +27,9 @@ from emporia.functions.text import PATH_ARROW
 from emporia.functions.time import DEFAULT_TZ, seconds_of_day, wall_clock
 from emporia.operators.cumulate import DAY
 from emporia.operators.ranking import top_n
+from emporia.operators.sequence import transitions
 from emporia.plans import gmv, logs
+from emporia.sources.sinks import send_json
 from emporia.streaming import store
 
 # The per-user state function runs in Python workers, which may not have
@@ -62,6 +68,18 @@ def stop_when_drained(query: StreamingQuery, timeout_s: float = 600.0, poll_s: f
     raise TimeoutError("stream did not drain in time")
 
 
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that the query's stateful operators dropped as too late, in the batches
+    that ``recentProgress`` still has."""
+    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for p in query.recentProgress for op in p["stateOperators"])
+
+
+def fail_on_drops(query: StreamingQuery) -> None:
+    n = dropped_rows(query)
+    if n:
+        raise RuntimeError(f"{n} rows came later than the watermark allows and were dropped")
+
+
 def _session_tz(df: DataFrame) -> str:
     return df.sparkSession.conf.get("spark.sql.session.timeZone")
 
@@ -70,9 +88,9 @@ def _session_tz(df: DataFrame) -> str:
 
 
 def start_page_views(log_stream: DataFrame, out: str, checkpoint: str, tz: str = DEFAULT_TZ,
-                     trigger: dict | None = None, lateness: str = "1 day") -> StreamingQuery:
+                     trigger: dict | None = None, lateness: str | None = None) -> StreamingQuery:
     """M1 on a stream: running PV per (log_date, log_type), ``update`` mode;
-    a day's counts leave the state ``lateness`` after the day.
+    with ``lateness`` a day's counts leave the state that long after the day.
 
     Read the result with ``store.latest(spark, out, ['log_date', 'log_type'])``.
     """
@@ -84,12 +102,13 @@ def start_page_views(log_stream: DataFrame, out: str, checkpoint: str, tz: str =
 
 
 def start_keyword_top_n(log_stream: DataFrame, out: str, checkpoint: str, n: int = 10, search_type: str = "search",
-                        tz: str = DEFAULT_TZ, trigger: dict | None = None, lateness: str = "1 day") -> StreamingQuery:
+                        tz: str = DEFAULT_TZ, trigger: dict | None = None,
+                        lateness: str | None = None) -> StreamingQuery:
     """True keyword counts kept by the streaming aggregate; each
     batch merges its updated counts into the touched days' snapshots
     (``out/counts``), re-ranks only those days and overwrites their
-    partitions of ``out/top`` (one current Top-N per day, dates ascending
-    on read)."""
+    partitions of ``out/top`` (one current Top-N per day).  ``read_keyword_top_n``
+    gives the sorted flush: days ascending, ranks within."""
     counts = logs.keyword_counts(log_stream, search_type, tz, lateness)
     count_path, top_path = f"{out}/counts", f"{out}/top"
 
@@ -104,16 +123,32 @@ def start_keyword_top_n(log_stream: DataFrame, out: str, checkpoint: str, n: int
     return _start(counts, flush, checkpoint, "update", trigger, None)
 
 
+def read_keyword_top_n(spark, out: str) -> DataFrame:
+    """The current Top-N of every day, sorted by day and rank."""
+    return spark.read.parquet(f"{out}/top").select("log_date", "rn", "keyword", "cnt").orderBy("log_date", "rn")
+
+
+# ---- M3: login regions -------------------------------------------------------------------
+
+
+def start_login_regions(log_stream: DataFrame, ranges: DataFrame, out: str, checkpoint: str, login_type: str = "login",
+                        tz: str = DEFAULT_TZ, trigger: dict | None = None, lateness: str | None = None) -> StreamingQuery:
+    """M3/T14 on a stream: running logins per (log_date, full_region), earlier days
+    included; ``ranges`` is a static table.  Read with ``store.latest``."""
+    counts = logs.login_regions(log_stream, ranges, login_type, tz, lateness=lateness)
+    return _start(counts, lambda b, e: store.append_epoch(b, out, e), checkpoint, "update", trigger, None)
+
+
 # ---- M5: distinct device users ---------------------------------------------------------
 
 
-def device_user_counts(log_stream: DataFrame, tz: str = DEFAULT_TZ, lateness: str = "1 day") -> DataFrame:
+def device_user_counts(log_stream: DataFrame, tz: str = DEFAULT_TZ, lateness: str | None = None) -> DataFrame:
     """M5/T13 on a stream: exact distinct users per (dt, plat, brand, platv).
 
     A direct streaming distinct count is not supported, so users are first
-    deduplicated per day (``dropDuplicates`` state keyed by the day, which
-    the watermark on the day's start evicts once the day is ``lateness``
-    past) and then counted.
+    deduplicated per day (``dropDuplicates`` state keyed by the day; with
+    ``lateness`` a watermark on the day's start evicts it that long after
+    the day) and then counted.
     """
     rows = logs.normalise(log_stream, tz).filter(
         F.col("device").isNotNull() & F.col("device.userkey").isNotNull() & F.col("device.plat").isNotNull()
@@ -125,14 +160,15 @@ def device_user_counts(log_stream: DataFrame, tz: str = DEFAULT_TZ, lateness: st
         F.col("device.brand").alias("brand"),
         F.col("device.platv").alias("platv"),
         F.col("device.userkey").alias("userkey"),
-    ).withWatermark("day_ts", lateness)
+    )
+    rows = rows.withWatermark("day_ts", lateness) if lateness else rows
     firsts = rows.dropDuplicates(["day_ts", "dt", "plat", "brand", "platv", "userkey"])
     return firsts.groupBy("day_ts", "dt", "plat", "brand", "platv").agg(F.count(F.lit(1)).alias("users")).drop("day_ts")
 
 
 def start_device_users(log_stream: DataFrame, out: str, checkpoint: str, tz: str = DEFAULT_TZ,
-                       trigger: dict | None = None) -> StreamingQuery:
-    return _start(device_user_counts(log_stream, tz), lambda b, e: store.append_epoch(b, out, e), checkpoint,
+                       trigger: dict | None = None, lateness: str | None = None) -> StreamingQuery:
+    return _start(device_user_counts(log_stream, tz, lateness), lambda b, e: store.append_epoch(b, out, e), checkpoint,
                   "update", trigger, None)
 
 
@@ -201,45 +237,85 @@ def transition_rows(log_stream: DataFrame, tz: str = DEFAULT_TZ, seq: str | None
 
 
 def start_path_transitions(log_stream: DataFrame, out: str, checkpoint: str, tz: str = DEFAULT_TZ,
-                           seq: str | None = None, trigger: dict | None = None,
-                           idle_ms: int | None = None) -> StreamingQuery:
-    """Per batch, transitions are counted per (log_date, path) and stored as
-    increments; read with ``store.summed(spark, out, keys, ['cnt'])``."""
+                           seq: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """M4 on a stream, the same as in batch whatever order rows arrive in.
+
+    Each batch stores its rows by day (``out/rows``) and recomputes the days it touched:
+    transitions inside a user's day (``out/inside``) and the user's first and last row
+    of the day (``out/edges``).  Read with ``read_path_transitions``, which joins
+    the days of a user from their edges.  Both writes replace whole days, so a
+    replayed batch changes nothing.
+    """
+    rows = logs.normalise(log_stream, tz).select(
+        "user_id", "ts", (F.col(seq) if seq else F.lit(0)).cast("long").alias("seq"), "log_type", "log_date"
+    )
 
     def flush(batch: DataFrame, epoch: int) -> None:
-        inc = batch.groupBy("log_date", "path").agg(F.count(F.lit(1)).alias("cnt"))
-        store.append_epoch(inc, out, epoch)
+        spark = batch.sparkSession
+        store.append_epoch(batch, f"{out}/rows", epoch, ("log_date",))
+        days = store.touched(batch, "log_date")
+        if not days:
+            return
+        stored = spark.read.parquet(f"{out}/rows").filter(F.col("log_date").isin(days))
+        edge = F.struct("ts", "seq", "log_type")
+        edges = stored.groupBy("user_id", "log_date").agg(F.min(edge).alias("first"), F.max(edge).alias("last"))
+        keyed = stored.withColumn("user_day", F.struct("user_id", "log_date"))
+        inside = logs.count_moves(transitions(keyed, "user_day", ["ts", "seq"], "log_type", F.floor(F.col("ts") / 3_600_000)))
+        for df, name in ((edges, "edges"), (inside, "inside")):
+            df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("log_date").parquet(f"{out}/{name}")
+
+    return _start(rows, flush, checkpoint, "append", trigger, None)
+
 
-    return _start(transition_rows(log_stream, tz, seq, idle_ms), flush, checkpoint, "append", trigger, None)
+def read_path_transitions(spark, out: str) -> DataFrame:
+    """Counts per (log_date, path), sorted by day, falling count and path."""
+    inside = spark.read.parquet(f"{out}/inside")
+    day = Window.partitionBy("user_id").orderBy("log_date")
+    edges = spark.read.parquet(f"{out}/edges").withColumn("prev", F.lag("last").over(day)["log_type"])
+    across = logs.count_moves(edges.select("log_date", "prev", F.col("first.log_type").alias("log_type")))
+    total = inside.select("log_date", "path", "cnt").unionByName(across).groupBy("log_date", "path").agg(F.sum("cnt").alias("cnt"))
+    return total.orderBy("log_date", F.desc("cnt"), "path")
 
 
 # ---- T1-T5: cumulative GMV report ---------------------------------------------------------
 
 
 def pane_stream(sales: DataFrame, time_col: str = "event_time", amount_col: str = "total_amount", id_col: str = "id",
-                product_col: str = "product_id", step_s: int = 600, watermark: str = "5 seconds") -> DataFrame:
+                product_col: str = "product_id", step_s: int = 600, watermark: str | None = None) -> DataFrame:
     """T6 + A6 on a stream: amount per (10-minute pane, id, product).
 
-    ``time_col`` is wall-clock TIMESTAMP_NTZ; its session-time-zone instant
-    carries the watermark, and the pane is an event-time window on it, so
-    state for a pane is dropped once the watermark passes its end.
+    ``time_col`` is wall-clock TIMESTAMP_NTZ; the pane is an event-time window on its
+    session-time-zone instant.  With ``watermark`` a pane's state is dropped once the
+    watermark passes its end, and rows that come later are lost.
     """
     et = F.col(time_col).cast("timestamp")
     amt = F.col(amount_col).cast("decimal(18,2)")
-    rows = sales.select(et.alias("_et"), amt.alias("amt"), id_col, product_col).withWatermark("_et", watermark)
+    rows = sales.select(et.alias("_et"), amt.alias("amt"), id_col, product_col)
+    rows = rows.withWatermark("_et", watermark) if watermark else rows
     return rows.groupBy(F.window("_et", f"{step_s} seconds").alias("_w"), id_col, product_col).agg(
         F.sum("amt").alias("amt")
     )
 
 
 def start_gmv_report(sales: DataFrame, out: str, checkpoint: str, id_col: str = "id", product_col: str = "product_id",
-                     n: int = 5, step_s: int = 600, watermark: str = "5 seconds", time_col: str = "event_time",
-                     amount_col: str = "total_amount", trigger: dict | None = None) -> StreamingQuery:
+                     n: int = 5, step_s: int = 600, watermark: str | None = None, time_col: str = "event_time",
+                     amount_col: str = "total_amount", trigger: dict | None = None, tz: str | None = None,
+                     day: str | None = None, ops: tuple[str, ...] | None = None,
+                     json_sink: dict | None = None) -> StreamingQuery:
     """T2-T5 on a stream.  Updated pane totals are merged into per-day
     snapshots in ``out/panes``; the touched days' cumulative rows are
     recomputed from their snapshot and overwrite those days in
-    ``out/report`` (partitioned by order_date).  A late row that still
-    passes the watermark corrects every later window of its day."""
+    ``out/report`` (partitioned by order_date).  A late row corrects every
+    later window of its day.
+
+    ``time_col`` may be an instant (as ``read_sales_stream`` gives it), which is cut
+    into days and panes by its wall clock in ``tz`` (default: the session's), or
+    a wall clock already.  ``day`` and ``ops`` keep one day and some change ops.  With
+    ``json_sink`` (as for ``sinks.send_json``) the touched days' rows also go out as
+    JSON."""
+    if isinstance(sales.schema[time_col].dataType, T.TimestampType):
+        sales = sales.withColumn(time_col, wall_clock(time_col, tz or _session_tz(sales)))
+    sales = gmv.prepare_sales(sales, time_col, day, ops)
     panes = pane_stream(sales, time_col, amount_col, id_col, product_col, step_s, watermark)
     pane_path, report_path = f"{out}/panes", f"{out}/report"
     keys = ["window_start", "pane", id_col, product_col]
@@ -259,17 +335,20 @@ def start_gmv_report(sales: DataFrame, out: str, checkpoint: str, id_col: str =
         report = gmv.report_from_panes(cur.drop("day"), id_col, product_col, n, step_s, DAY)
         (report.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("order_date").parquet(report_path))
+        if json_sink:
+            send_json(read_gmv_report(batch.sparkSession, out, n).filter(F.col("order_date").isin(
+                [str(d) for d in store.touched(rows, "day")])), json_sink)
 
     return _start(panes, flush, checkpoint, "update", trigger, None)
 
 
-def read_gmv_report(spark, out: str) -> DataFrame:
+def read_gmv_report(spark, out: str, n: int = 5) -> DataFrame:
     """The stream's report table with its columns and types as in batch
     (``order_date`` is the partition folder, read back as text)."""
     df = spark.read.parquet(f"{out}/report")
     return df.select(
         F.col("order_date").cast("string").alias("order_date"),
-        "window_start", "window_end", "gmv", "top5_ids", "top5_product_ids",
+        "window_start", "window_end", "gmv", f"top{n}_ids", f"top{n}_product_ids",
     )
 
 
@@ -296,12 +375,17 @@ def read_current_state(spark, out: str, keys: list[str], order: tuple[str, ...]
 
 __all__ = [
     "device_user_counts",
+    "dropped_rows",
+    "fail_on_drops",
     "read_current_state",
     "read_gmv_report",
+    "read_keyword_top_n",
+    "read_path_transitions",
     "start_current_state",
     "start_device_users",
     "start_gmv_report",
     "start_keyword_top_n",
+    "start_login_regions",
     "start_page_views",
     "start_path_transitions",
     "stop_when_drained",

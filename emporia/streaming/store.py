@@ -9,6 +9,7 @@ sum per key (for streams that emit increments).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,7 +71,11 @@ def snapshot_epochs(spark: SparkSession, path: str, part: str, values: list, bef
         folder = f"{path.rstrip('/')}/{part}={v}"
         try:
             files = spark.read.parquet(folder).inputFiles()
-        except Exception:  # no snapshot yet for this partition
+        except AnalysisException as e:
+            # Only a missing folder means "no snapshot yet"; any other failure
+            # must fail the batch, or it would overwrite the day with its own rows.
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             continue
         epochs = {int(m.group(1)) for f in files for m in [re.search(rf"/{EPOCH}=(\d+)/", f)] if m}
         epochs = {e for e in epochs if before is None or e < before}

@@ -19,3 +19,23 @@ def test_link_rules(spark):
     }
     loose = links.page_links(pages, require_blank_target=False, require_title=False)
     assert {r.href for r in loose.collect()} >= {"https://a.example/x", "https://a.example/info/1.htm"}
+
+
+def test_links_behind_other_elements_and_odd_attributes(spark):
+    page = (
+        "<link rel='x'><ul>"
+        '<li><span>new <a href="/nested">n</a></span><a target="_blank" title="After span" href="/a">x</a></li>'
+        "<LI class='c'><A TARGET='_blank' Title='Single > quotes' HREF='/b'>x</A></LI>"
+        '<li><a target="_blank" title="Data" data-href="/wrong" href="/right">x</a></li>'
+        '<li><a href="/first">x</a><a target="_blank" title="Second" href="/second">y</a>'
+        '<li><a target=_blank title=Bare href=/bare>z</a></li></ul>'
+    )
+    pages = spark.createDataFrame([(1, "https://s.example/", page)], "page_id long, url string, html string")
+    got = {(r.pos, r.href, r.title) for r in links.extract_links(pages).collect()}
+    assert got == {
+        (0, "https://s.example/a", "After span"),
+        (1, "https://s.example/b", "Single > quotes"),
+        (2, "https://s.example/right", "Data"),
+        (3, "https://s.example/first", "Second"),
+        (4, "https://s.example/bare", "Bare"),
+    }

@@ -106,16 +106,20 @@ def test_generators(spark):
     assert got == [(0, "a"), (1, "b"), (0, "")]
 
 
-def test_broadcast_bound_is_checked_and_configurable(spark):
-    from emporia.operators.joins import BROADCAST_CONF, is_small
-
-    df = spark.range(50)
-    assert is_small(df) and not is_small(df, 10)
-    spark.conf.set(BROADCAST_CONF, "20")
-    try:
-        assert not is_small(spark.range(30))
-    finally:
-        spark.conf.unset(BROADCAST_CONF)
+def test_overlapping_ip_ranges_take_the_narrowest(spark):
+    ranges = spark.createDataFrame([(0, 200_000, "wide"), (100, 300, "narrow"), (70_000, 70_001, "tiny")], "start_ip long, end_ip long, region string")
+    rows = spark.createDataFrame([(1, 150), (2, 99), (3, 70_000), (4, 999_999), (5, None)], "i int, ip long")
+    got = {r.i: r.region for r in ip_region_join(rows, "ip", ranges).collect()}
+    assert got == {1: "narrow", 2: "wide", 3: "tiny", 4: None, 5: None}
+
+
+def test_null_keys_meet_in_outer_joins(spark):
+    from emporia.operators.joins import null_safe_on
+
+    a = spark.createDataFrame([(1, None, 5), (1, 2, 6)], "d int, k int, x int")
+    b = spark.createDataFrame([(1, None, 7), (2, 3, 8)], "d int, k int, y int")
+    got = sorted(null_safe_on(a, b, ["d", "k"], "full_outer").collect(), key=str)
+    assert sorted(map(tuple, got), key=str) == sorted([(1, None, 5, 7), (1, 2, 6, None), (2, 3, None, 8)], key=str)
 
 
 def test_ipv4_to_long_rejects_malformed(spark):
