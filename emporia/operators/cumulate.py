@@ -55,16 +55,21 @@ def _window_end(step_s: int) -> Column:
     )
 
 
-def _expand(panes: DataFrame, keys: list[str], value: str, step_s: int, size_s: int) -> DataFrame:
-    """Running sum over the panes of (window_start, *keys), expanded to ends."""
+def _running(panes: DataFrame, keys: list[str], value: str, step_s: int, size_s: int) -> DataFrame:
+    """Running sum over the panes of (window_start, *keys); each row holds for the ends
+    from ``pane`` to ``_next`` - 1."""
     last = size_s // step_s
     w = Window.partitionBy("window_start", *keys).orderBy("pane")
-    run = panes.withColumns(
+    return panes.withColumns(
         {
             value: F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
             "_next": F.lead("pane", 1, last + 1).over(w),
         }
     )
+
+
+def _expand(run: DataFrame, step_s: int) -> DataFrame:
+    """One row per window end that a running sum holds for."""
     return (
         run.withColumn("pane", F.explode(F.sequence(F.col("pane"), F.col("_next") - 1)))
         .drop("_next")
@@ -72,6 +77,32 @@ def _expand(panes: DataFrame, keys: list[str], value: str, step_s: int, size_s:
     )
 
 
+def prune_below_top(run: DataFrame, group: list[str], key: str, value: str, n: int, block: int = 12) -> DataFrame:
+    """Running sums without those that can be in no window's Top-``n``.
+
+    Window ends are taken in blocks.  A key whose largest sum in a block is below the
+    ``n``-th largest of the smallest sums, over the keys that are present all
+    through the block, is below ``n`` keys in each of its windows.  Ties stay, and
+    sums may fall (refunds).  Only what is left need be expanded to window ends; a
+    key has at most one row a block more than before.
+    """
+    blocks = F.sequence(F.floor((F.col("pane") - 1) / block), F.floor((F.col("_next") - 2) / block))
+    cut = run.withColumn("_blk", F.explode(blocks))
+    low = F.greatest(F.col("pane"), F.col("_blk") * block + 1).cast("int")
+    high = F.least(F.col("_next") - 1, F.col("_blk") * block + block).cast("int")
+    cut = cut.withColumns({"pane": low, "_next": high + 1})
+    w = Window.partitionBy("window_start", *group, key, "_blk")
+    cut = cut.withColumns({"_max": F.max(value).over(w), "_min": F.min(value).over(w), "_from": F.min("pane").over(w)})
+    slot = ["window_start", *group, "_blk"]
+    present = (F.col("_from") == F.col("_blk") * block + 1) & (F.col("pane") == F.col("_from"))
+    best = Window.partitionBy(*slot).orderBy(F.desc("_min"))
+    # The n-th row of a slot; a slot with fewer keys has none and keeps everything.
+    bar = cut.filter(present).select(*slot, "_min", F.row_number().over(best).alias("_rn")).filter(F.col("_rn") <= n)
+    bar = bar.groupBy(*slot).agg(F.min("_min").alias("_bar"), F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == n)
+    kept = cut.join(bar.drop("_n"), slot, "left").filter(F.col("_bar").isNull() | (F.col("_max") >= F.col("_bar")))
+    return kept.select(*run.columns)
+
+
 def cumulative_measure(
     df: DataFrame,
     measure: Column,
@@ -92,7 +123,19 @@ def cumulative_measure(
         panes = df.select("window_start", "pane", *keys, measure.alias(name))
     else:
         panes = df.groupBy("window_start", "pane", *keys).agg(F.sum(measure).alias(name))
-    return _expand(panes, keys, name, step_s, size_s)
+    return _expand(_running(panes, keys, name, step_s, size_s), step_s)
+
+
+def cumulative_top(
+    panes: DataFrame, group: list[str], key: str, value: str, n: int, step_s: int = 600, size_s: int = DAY, rank: str = "_rn"
+) -> DataFrame:
+    """Rows of the Top-``n`` keys by cumulative ``value`` per (window_start, window_end,
+    *group), with ``rank``; from one row per (window_start, pane, *group, key).  Ties
+    break on the key."""
+    from emporia.operators.ranking import top_n
+
+    run = prune_below_top(_running(panes, [*group, key], value, step_s, size_s), group, key, value, n)
+    return top_n(_expand(run, step_s), ["window_start", "window_end", *group], [F.desc(value), F.asc(key)], n, rank)
 
 
 def cumulative_top_n(
@@ -113,9 +156,12 @@ def cumulative_top_n(
     ahead of the shuffle, so each task forwards at most ``n`` rows per
     window.
     """
-    from emporia.operators.ranking import joined_list, top_n
+    from emporia.operators.ranking import joined_list
 
     name = name or f"top{n}_{key}s"
-    cum = cumulative_measure(df, measure, "_cum", [key], step_s, size_s, preaggregated)
-    ranked = top_n(cum, ["window_start", "window_end"], [F.desc("_cum"), F.asc(key)], n)
+    if preaggregated:
+        panes = df.select("window_start", "pane", key, measure.alias("_cum"))
+    else:
+        panes = df.groupBy("window_start", "pane", key).agg(F.sum(measure).alias("_cum"))
+    ranked = cumulative_top(panes, [], key, "_cum", n, step_s, size_s)
     return joined_list(ranked, ["window_start", "window_end"], key, "_rn", name)

@@ -112,14 +112,8 @@ def q_device_users(spark, base):
 
 
 def _report(spark, base):
-    """The report table as the GMV job leaves it: written once (Parquet by
-    ``ds`` in the shared checkpoint area) and read back, so the report SQL
-    scans a stored table instead of re-running the job for each branch."""
-    report = inputs.report_table(gmv.gmv_topn_report(inputs.sales_events(spark, base)))
-    path = scratch_path(spark, f"report-{uuid.uuid4().hex}")
-    # One file per day: cluster the (small) report rows by ds before writing.
-    sinks.write_layer(report.repartition("ds"), path, "ads", "report_window_gmv_topn", dt_col="ds")
-    return spark.read.parquet(f"{path}/ads/report_window_gmv_topn").select(*report.columns)
+    """The report table; every query below reads it once or twice."""
+    return inputs.report_table(gmv.gmv_topn_report(inputs.sales_events(spark, base)))
 
 
 @query("latest_snapshot")
@@ -224,6 +218,50 @@ class Layers:
         return wh.sales_metrics(self.page_log(), self.sku_sales())
 
 
+class StoredLayers(Layers):
+    """The layers as stored tables: DWD, DWS and ADS tables are landed by ``dt`` below the
+    shared folder, and the next layer reads them back, pruned to the days it needs."""
+
+    @functools.cached_property
+    def root(self):
+        return scratch_path(self.spark, f"warehouse-{uuid.uuid4().hex}")
+
+    def _land(self, layer, name, df):
+        # Rebalanced by day: large days are split into several files, small tasks merged.
+        path = sinks.write_layer(df.hint("rebalance", "dt"), self.root, layer, name)
+        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+    @functools.cached_property
+    def _detail(self):
+        return self._land("dwd", "dwd_order_detail", super().detail())
+
+    def detail(self):
+        return self._detail
+
+    @functools.cached_property
+    def _page_log(self):
+        return self._land("dwd", "dwd_page_log", super().page_log())
+
+    def page_log(self):
+        return self._page_log
+
+    def comments(self):
+        return self._land("dwd", "dwd_comment_detail", super().comments())
+
+    @functools.cached_property
+    def _sku_sales(self):
+        return self._land("dws", "dws_sku_sales_day_sum", super().sku_sales())
+
+    def sku_sales(self):
+        return self._sku_sales
+
+    def comment_sum(self):
+        return self._land("dws", "dws_comment_day_sum", super().comment_sum())
+
+    def conversion(self):
+        return self._land("ads", "ads_sku_conversion_sales_day", super().conversion())
+
+
 class NullLayers(Layers):
     """The same layers over a page log with derived nulls: no user in every 13th
     second, no sku (nor its shop, category and brand) in every 17th."""
@@ -281,6 +319,8 @@ WAREHOUSE = {
 }
 for _name, _fn in WAREHOUSE.items():
     QUERIES[_name] = _wh(_fn)
+for _name in ["ads_wide", "price_metrics", "drilldown_summary", "drilldown_detail"]:
+    QUERIES[_name] = _wh(WAREHOUSE[_name], StoredLayers)
 for _name in ["ads_wide", "one_shot_ads", "audience_ratio", "dws_store_source_daycount", "dws_store_category_daycount"]:
     QUERIES[f"{_name}_nulls"] = _wh(WAREHOUSE[_name], NullLayers)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporia.operators.cumulate import DAY, assign_panes, cumulative_measure, cumulative_top_n
-from emporia.operators.ranking import top_n
+from emporia.operators.cumulate import cumulative_top as cumulative_top_rows
 
 # Fixed values that must equal the reference's: the change ops of live rows.
 LIVE_OPS = ("r", "+I", "+U")
@@ -67,26 +67,6 @@ def pane_sets(
     return base.groupingSets(sets, *cols).agg(F.sum("amt").alias("amt"), F.grouping_id().alias("_gid"))
 
 
-def pane_totals(
-    sales: DataFrame,
-    time_col: str = "event_time",
-    amount_col: str = "total_amount",
-    id_col: str = "id",
-    product_col: str = "product_id",
-    step_s: int = 600,
-    size_s: int = DAY,
-    day: str | dt.date | None = None,
-    ops: tuple[str, ...] | None = None,
-) -> DataFrame:
-    """A6 pre-aggregate: DECIMAL(18,2) amount summed per (window_start,
-    pane, id, product).  All three report branches read this one aggregate,
-    so the source is scanned and shuffled once."""
-    amount = F.col(amount_col).cast("decimal(18,2)")
-    base = prepare_sales(sales, time_col, day, ops).select(time_col, amount.alias("amt"), id_col, product_col)
-    base = assign_panes(base, time_col, step_s, size_s)
-    return base.groupBy("window_start", "pane", id_col, product_col).agg(F.sum("amt").alias("amt"))
-
-
 def _sets_from_totals(panes: DataFrame, id_col: str, product_col: str) -> DataFrame:
     """Grouping-set rows from one-row-per-(window_start, pane, id, product)
     totals (the streaming pane store)."""
@@ -115,7 +95,7 @@ def report_from_panes(
     ``panes`` is the grouping-set output of ``pane_sets`` or one row per
     (window_start, pane, id, product).  All three sets run through a single
     pipeline keyed by (set, key): one cumulative window per (day, set, key),
-    one Top-N per (window, set), and one aggregate per window that turns the
+    pruned before it is expanded to windows, one Top-N per (window, set), and one aggregate per window that turns the
     sets into the GMV and the two lists.  No branch re-reads the input and
     no join is needed.
     """
@@ -124,8 +104,7 @@ def report_from_panes(
     gid = F.col("_gid")
     key = F.when(gid == ID_SET, F.col(id_col).cast("string")).when(gid == PRODUCT_SET, F.col(product_col).cast("string"))
     rows = panes.select("window_start", "pane", "_gid", key.alias("_key"), "amt")
-    cum = cumulative_measure(rows, F.col("amt"), "_cum", ["_gid", "_key"], step_s, size_s, preaggregated=True)
-    ranked = top_n(cum, ["window_start", "window_end", "_gid"], [F.desc("_cum"), F.asc("_key")], n, "_rn")
+    ranked = cumulative_top_rows(rows.withColumnRenamed("amt", "_cum"), ["_gid"], "_key", "_cum", n, step_s, size_s)
     out = ranked.groupBy("window_start", "window_end").agg(
         F.max(F.when(gid == GMV_SET, F.col("_cum"))).alias("gmv"),
         _ranked_list(ID_SET, n).alias(f"top{n}_ids"),

@@ -42,20 +42,26 @@ def top_products(report: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def day_summary(report: DataFrame, products: DataFrame) -> DataFrame:
-    """Per day: latest window, GMV, ids and descriptions joined in list order."""
-    rows = exploded_ids(report)
+    """Per day: latest window, GMV, ids and descriptions joined in list order, and the
+    list as an array (``_ids``, the sentinel included).  ``_listed`` counts the ids
+    that are not the sentinel."""
+    rows = exploded_ids(report, drop_missing=False)
     rows = with_dimension(rows, products, rows["exploded_product_id"] == products["product_id"], "left")
+    real = F.col("exploded_product_id") != MISSING
+    rows = rows.withColumns({"_desc": F.when(real, F.col("product_desc")), "_id": F.when(real, F.col("exploded_product_id"))})
     keys = ["ds", "window_start", "window_end", "win_gmv"]
     return rows.groupBy(*keys).agg(
-        listagg("product_desc", "pos").alias("top5_product_descs"),
-        listagg("exploded_product_id", "pos").alias("top5_product_ids"),
+        listagg("_desc", "pos").alias("top5_product_descs"),
+        listagg("_id", "pos").alias("top5_product_ids"),
+        F.collect_set("exploded_product_id").alias("_ids"),
+        F.count("_id").alias("_listed"),
     )
 
 
 def growth(report: DataFrame, products: DataFrame) -> DataFrame:
     """Day-over-day GMV growth with descriptions; null without a
     previous day or with a zero previous GMV."""
-    cur = day_summary(report, products)
+    cur = day_summary(report, products).filter("_listed > 0")
     prev = cur.select("ds", F.col("win_gmv").alias("_prev_gmv"))
     out = prev_day_join(cur, prev, "ds")
     return out.select(
@@ -68,28 +74,26 @@ def growth(report: DataFrame, products: DataFrame) -> DataFrame:
     ).orderBy("ds")
 
 
-def overlap_counts(report: DataFrame, drop_missing: bool = False) -> DataFrame:
-    """Distinct ids a day shares with the previous day.
-
-    By default the sentinel is *not* dropped here (as in the source), so two
-    days that both miss data share it.  Days without overlap have no row.
-    """
-    ids = exploded_ids(report, drop_missing).select("ds", F.col("exploded_product_id").alias("pid"))
-    prev = ids.withColumn("ds", F.date_add("ds", 1))
-    return ids.join(prev, ["ds", "pid"]).groupBy("ds").agg(F.count_distinct("pid").alias("_shared"))
-
-
 def repeat_rate(
     report: DataFrame, products: DataFrame, with_prev_descs: bool = False, drop_missing_in_overlap: bool = False
 ) -> DataFrame:
-    """R4 (R5 with ``with_prev_descs``): growth plus yesterday's ids and the
-    Top-5 repeat rate ``shared / 5``; null, not 0 %, when nothing is shared."""
-    cur = day_summary(report, products)
-    prev_cols = [F.col("ds"), F.col("win_gmv").alias("_prev_gmv"), F.col("top5_product_ids").alias("last_day_product_ids")]
-    if with_prev_descs:
-        prev_cols.append(F.col("top5_product_descs").alias("last_day_product_descs"))
-    out = prev_day_join(cur, cur.select(*prev_cols), "ds")
-    out = out.join(overlap_counts(report, drop_missing_in_overlap), "ds", "left")
+    """R4/J5/J6 (R5 with ``with_prev_descs``): growth plus yesterday's ids and the Top-5
+    repeat rate ``shared / 5``; null, not 0 %, when nothing is shared.
+
+    The previous day is attached once, and the overlap is the size of an array
+    intersection.  The sentinel is *not* dropped there by default (as in the
+    source), so two days that both miss data share it; a day that lists nothing but
+    the sentinel has no row and, as a previous day, no GMV or lists.
+    """
+    days = day_summary(report, products)
+    known = F.col("_listed") > 0
+    last = {"last_day_product_ids": "top5_product_ids", "last_day_product_descs": "top5_product_descs", "_prev_gmv": "win_gmv"}
+    prev = days.select("ds", F.col("_ids").alias("_prev_ids"), *[F.when(known, F.col(c)).alias(n) for n, c in last.items()])
+    out = prev_day_join(days.filter(known), prev, "ds")
+    shared = F.array_intersect("_ids", "_prev_ids")
+    if drop_missing_in_overlap:
+        shared = F.array_remove(shared, MISSING)
+    n = F.when(F.size(shared) > 0, F.size(shared))
     cols = [
         "ds",
         "window_start",
@@ -104,5 +108,5 @@ def repeat_rate(
     return out.select(
         *cols,
         percent_text(growth_rate("win_gmv", "_prev_gmv")).alias("mon_rate"),
-        percent_text(F.col("_shared") / F.lit(TOP_N) * 100).alias("repeat_rate"),
+        percent_text(n / F.lit(TOP_N) * 100).alias("repeat_rate"),
     ).orderBy("ds")

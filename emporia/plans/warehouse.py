@@ -104,7 +104,8 @@ def dwd_order_detail(
     keyed by order id, so the join reuses its partitioning.
     """
     clean = lines.filter(F.col("order_id").isNotNull() & (F.col("quantity") > 0) & F.col("amount").isNotNull())
-    clean = clean.dropDuplicates()
+    # One shuffle by order id serves the dedupe and both joins.
+    clean = clean.repartition("order_id").dropDuplicates()
     current = latest_by(orders.filter(F.col("order_id").isNotNull()), ["order_id"], ["created_at"])
     out = clean.join(current, "order_id")
     paid = payments.select("order_id", F.lit(True).alias("is_paid")).dropDuplicates(["order_id"])

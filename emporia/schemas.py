@@ -2,8 +2,8 @@
 
 from pyspark.sql import types as T
 
-# Sales change rows read by the cumulative GMV job (typed table with a
-# derived event time).
+# Fixed values that must equal the wire format: sales change rows read by the
+# cumulative GMV job (typed table with a derived event time).
 SALES_EVENT = T.StructType(
     [
         T.StructField("id", T.StringType()),
@@ -25,18 +25,6 @@ SALES_EVENT = T.StructType(
     ]
 )
 
-# Output row of the cumulative GMV + Top-N job.
-GMV_TOPN = T.StructType(
-    [
-        T.StructField("order_date", T.StringType()),
-        T.StructField("window_start", T.TimestampNTZType()),
-        T.StructField("window_end", T.TimestampNTZType()),
-        T.StructField("gmv", T.DecimalType(38, 2)),
-        T.StructField("top5_ids", T.StringType()),
-        T.StructField("top5_product_ids", T.StringType()),
-    ]
-)
-
 # Union of the behaviour-log fields the five metric jobs read.
 LOG_EVENT = T.StructType(
     [
