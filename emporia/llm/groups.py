@@ -51,8 +51,8 @@ def by_group(rows: DataFrame, keys: list[str], each: Callable[[pa.Table], Iterat
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 mark = tuple(marks[:, a].tolist())
                 if held and mark != last:
-                    out.extend(each(pa.Table.from_batches(held)))
-                    held = []
+                    group, held = pa.Table.from_batches(held), []
+                    out.extend(each(group))
                 held.append(batch.slice(a, b - a))
                 last = mark
                 if len(out) > 20_000:

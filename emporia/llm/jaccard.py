@@ -13,35 +13,38 @@ group of near copies costs about one test a copy and no list of all pairs.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporia.llm.components import components
-from emporia.llm.counttree import counts, needed, pack, spanning_links, unpack
+from emporia.llm.counttree import Overlaps, counts, needed, pack, spanning_links, unpack
+from emporia.llm.groups import by_group, in_blocks
 from emporia.llm.scratch import stored
 from emporia.llm.words import gram_hashes, mix, slices, word_hashes, words_of
 
-BLOCK = 4096
+BLOCK = 2048
 
 SETS = "doc_id long, n_shingles long, d1 long, d2 long, point binary, head array<long>"
 
 
-def shingle_sets(column: pa.Array, shingle: int) -> Iterator[np.ndarray]:
-    """Per text the sorted hashes of its distinct shingles; with fewer words, one of
-    the whole sequence; without words, none."""
+def shingle_sets(column: pa.Array, shingle: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """By slices, the place of the first text and every text's sorted hashes of distinct
+    shingles; with fewer words, one of the whole sequence; without words, none."""
     for t in slices(column, lower=True):
         w = words_of(t)
         hashes = word_hashes(t, w)
         grams = gram_hashes(hashes, shingle)
+        sets = []
         for a, b in zip(w.bounds[:-1].tolist(), w.bounds[1:].tolist(), strict=True):
             if b - a >= shingle:
-                yield np.unique(grams[a : b - shingle + 1])
+                sets.append(np.unique(grams[a : b - shingle + 1]))
             else:
-                yield gram_hashes(hashes[a:b], b - a) if b > a else np.empty(0, np.uint64)
+                sets.append(gram_hashes(hashes[a:b], b - a) if b > a else np.empty(0, np.uint64))
+        yield t.first, sets
 
 
 def head_lengths(n: int, percent: int) -> tuple[int, int]:
@@ -57,19 +60,22 @@ def _set_rows(shingle: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
         for batch in batches:
-            n, d1, d2, points, heads = [], [], [], [], []
-            for s in shingle_sets(batch.column("text"), shingle):
-                n.append(len(s))
-                d1.append(np.add.reduce(mix(s ^ one), dtype=np.uint64))
-                d2.append(np.add.reduce(mix(s ^ two), dtype=np.uint64))
-                points.append(pack(counts(s)))
-                heads.append(_signed(s[: head_lengths(len(s), percent)[1]] if len(s) else s))
-            sizes = np.fromiter(map(len, heads), np.int64, len(heads))
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(np.concatenate([*heads, np.empty(0, np.int64)])))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), *(pa.array(_signed(np.array(d, np.uint64))) for d in (d1, d2)), pa.array(points, pa.binary()), lists],
-                names=["doc_id", "n_shingles", "d1", "d2", "point", "head"],
-            )
+            for first, sets in shingle_sets(batch.column("text"), shingle):
+                d1 = np.array([np.add.reduce(mix(s ^ one), dtype=np.uint64) for s in sets])
+                d2 = np.array([np.add.reduce(mix(s ^ two), dtype=np.uint64) for s in sets])
+                heads = [_signed(s[: head_lengths(len(s), percent)[1]] if len(s) else s) for s in sets]
+                ends = np.cumsum([0, *map(len, heads)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").slice(first, len(sets)),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array(_signed(d1)),
+                        pa.array(_signed(d2)),
+                        pa.array([pack(counts(s)) for s in sets], pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(heads))),
+                    ],
+                    names=["doc_id", "n_shingles", "d1", "d2", "point", "head"],
+                )
 
     return run
 
@@ -114,65 +120,13 @@ def _shared_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     yield pa.RecordBatch.from_arrays([pa.array(_signed(np.repeat(name, size))), pa.array(doc[rows])], names=["tree", "doc_id"])
 
 
-def in_blocks(rows: DataFrame, group: str, block: int = BLOCK) -> DataFrame:
-    """``rows`` (a stored table) with columns low and high: a group of up to ``block`` rows is one task
-    (0, 0); a larger one is dealt to blocks by a hash of doc_id, and a row goes to
-    every pair of blocks that its own is part of."""
-    n = rows.groupBy(group).agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks"))
-    mine = F.pmod(F.xxhash64("doc_id"), F.col("_blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")
-    return (
-        rows.join(n, group)
-        .withColumn("_mine", mine)
-        .select("*", other)
-        .withColumn("low", F.least("_mine", "_other"))
-        .withColumn("high", F.greatest("_mine", "_other"))
-        .drop("_blocks", "_other", "_mine")
-    )
-
-
-def by_group(rows: DataFrame, keys: list[str | Column], each: Callable[[pa.Table], Iterator[tuple]], schema: str, names: list[str]) -> DataFrame:
-    """``each`` of the rows that agree in ``keys``, as an Arrow table, gives tuples of
-    longs.  Groups follow each other in sorted partitions and are held one at a time."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        last, out = None, []
-
-        def emit():
-            cols = list(zip(*out, strict=True))
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=names)
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            marks = np.stack([batch.column(k).to_numpy() for k in keys])
-            cuts = [0, *(np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                mark = tuple(marks[:, a].tolist())
-                if held and mark != last:
-                    out.extend(each(pa.Table.from_batches(held)))
-                    held = []
-                held.append(batch.slice(a, b - a))
-                last = mark
-                if len(out) > 20_000:
-                    yield emit()
-                    out = []
-        if held:
-            out.extend(each(pa.Table.from_batches(held)))
-        if out:
-            yield emit()
-
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
-
-
 def _may_link(percent: int):
     def each(group: pa.Table) -> Iterator[tuple]:
         if group.num_rows < 2:
             return
         doc = group.column("doc_id").to_numpy()
-        points = unpack(group.column("point").to_pylist())
-        for i, j in spanning_links(points, points.sum(axis=1), percent):
+        points = [unpack(x) for x in group.column("point").to_pylist()]
+        for i, j in spanning_links(points, np.array([p.sum() for p in points]), percent):
             yield int(doc[i]), int(doc[j])
 
     return each
@@ -183,16 +137,9 @@ def _do_link(shingle: int, percent: int):
         if group.num_rows < 2:
             return
         doc = group.column("doc_id").to_numpy()
-        sets = list(shingle_sets(group.column("text"), shingle))
+        sets = [s for _, part in shingle_sets(group.column("text"), shingle) for s in part]
         sizes = np.array([len(s) for s in sets])
-
-        def test(i: int, j: int) -> bool:
-            a, b = (sets[i], sets[j]) if sizes[i] <= sizes[j] else (sets[j], sets[i])
-            place = np.minimum(np.searchsorted(b, a), len(b) - 1)
-            shared = int((b[place] == a).sum())
-            return 100 * shared >= percent * (len(a) + len(b) - shared)
-
-        for i, j in spanning_links(np.stack([counts(s) for s in sets]), sizes, percent, test):
+        for i, j in spanning_links([counts(s) for s in sets], sizes, percent, Overlaps(sets, percent)):
             yield int(doc[i]), int(doc[j])
 
     return each
@@ -218,12 +165,12 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, blo
     heads = reps.select("doc_id", "n_shingles", "head").mapInArrow(_head_rows(percent), "token long, doc_id long, early boolean")
     trees = stored(heads.repartition("token").mapInArrow(_shared_heads, "tree long, doc_id long").distinct(), "trees")
     # A doc_id with several texts has several points; each stands below the tree.
-    placed = in_blocks(trees, "tree", block).join(reps.select("doc_id", "point"), "doc_id")
-    maybe = by_group(placed, ["tree", "low", "high"], _may_link(percent), "a long, b long", ["a", "b"])
+    placed = in_blocks(trees, "tree", "doc_id", block).join(reps.select("doc_id", "point"), "doc_id")
+    maybe = by_group(placed, ["tree", "low", "high"], _may_link(percent), "a long, b long")
     parts = components(maybe).select(F.col("node").alias("doc_id"), F.col("root").alias("part"))
 
-    found = in_blocks(parts, "part", block).join(named, "doc_id")
-    links = by_group(found, ["part", "low", "high"], _do_link(shingle, percent), "a long, b long", ["a", "b"])
+    found = in_blocks(parts, "part", "doc_id", block).join(named, "doc_id")
+    links = by_group(found, ["part", "low", "high"], _do_link(shingle, percent), "a long, b long")
     # Classes of equal sets are links too.
     roots = components(links.union(member.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))))
     out = sets.select("doc_id", "n_shingles").join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left")
