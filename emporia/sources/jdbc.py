@@ -1,14 +1,27 @@
 """Relational table sync into the lake.
 
-Reads run on the executors; a numeric ``partition_column`` splits a large
-table into ``num_partitions`` parallel range reads instead of one
-connection reading everything.
+Reads run on the executors and a table is split into ``num_partitions`` parallel
+range reads of an integer column: a named one, or by default the table's first.
+Only a table without one (or ``partition_column=None``) is read over one connection.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+AUTO = "auto"
+
+
+def integer_column(df: DataFrame) -> str | None:
+    """The first column of an integer type (DECIMAL without a fraction counts)."""
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.IntegralType) or isinstance(f.dataType, T.DecimalType) and f.dataType.scale == 0:
+            return f.name
+    return None
 
 
 def read_table(
@@ -16,17 +29,20 @@ def read_table(
     url: str,
     table: str,
     properties: dict | None = None,
-    partition_column: str | None = None,
+    partition_column: str | None = AUTO,
     num_partitions: int = 8,
     fetch_size: int = 1000,
 ) -> DataFrame:
     """One table through JDBC; bounds for a partitioned read are taken from
-    the table itself (a single MIN/MAX query)."""
+    the table itself (a single MIN/MAX query).  Rows with a null in the column
+    are read with the first range."""
     props = dict(properties or {})
 
     def reader():  # DataFrameReader is a mutable builder: one per read
         return spark.read.format("jdbc").option("url", url).option("fetchsize", fetch_size).options(**props)
 
+    if partition_column == AUTO:
+        partition_column = integer_column(reader().option("dbtable", table).load())
     if partition_column:
         bounds = (
             reader()
@@ -49,7 +65,7 @@ def read_table(
 
 def sync_table(
     spark: SparkSession, url: str, table: str, dest: str, properties: dict | None = None,
-    partition_column: str | None = None, num_partitions: int = 8, dt: str | None = None,
+    partition_column: str | None = AUTO, num_partitions: int = 8, dt: str | None = None,
 ) -> str:
     """Copy one table to Parquet at ``dest/<table>`` (``dt`` adds a
     load-date partition for a daily full snapshot)."""
@@ -72,8 +88,12 @@ def list_tables(spark: SparkSession, url: str, catalog_query: str, properties: d
 def sync_database(
     spark: SparkSession, url: str, dest: str, tables: list[str] | None = None,
     catalog_query: str | None = None, properties: dict | None = None, partition_columns: dict | None = None,
+    at_once: int = 4,
 ) -> dict[str, str]:
-    """Sync every named table (or every table the catalog query lists)."""
+    """Sync every named table (or every table the catalog query lists), ``at_once``
+    tables at a time; each is a Spark job of its own."""
     names = tables if tables is not None else list_tables(spark, url, catalog_query, properties)
     parts = partition_columns or {}
-    return {t: sync_table(spark, url, t, dest, properties, parts.get(t)) for t in names}
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        paths = pool.map(lambda t: sync_table(spark, url, t, dest, properties, parts.get(t, AUTO)), names)
+        return dict(zip(names, paths, strict=True))

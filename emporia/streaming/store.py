@@ -58,7 +58,7 @@ def touched(batch: DataFrame, col: str) -> list:
 # day's snapshot at ``e``.  A batch reads one snapshot per day, however many
 # batches came before; a replayed batch reads the snapshot before its own
 # epoch and overwrites its own output.  Superseded snapshot folders are
-# never read again and can be removed by a retention job.
+# never read again; ``drop_superseded`` removes them.
 
 
 def snapshot_epochs(spark: SparkSession, path: str, part: str, values: list, before: int | None = None) -> dict:
@@ -114,13 +114,26 @@ def merge_snapshot(batch_rows: DataFrame, path: str, part: str, keys: list[str],
 
 
 def latest_snapshots(spark: SparkSession, path: str, part: str) -> DataFrame:
-    """The newest snapshot of every partition (for final readers)."""
-    import re
-
-    files = spark.read.parquet(path).inputFiles()
-    newest: dict = {}
-    for f in files:
-        m = re.search(rf"/{part}=([^/]+)/{EPOCH}=(\d+)/", f)
-        if m:
-            newest[m.group(1)] = max(newest.get(m.group(1), -1), int(m.group(2)))
-    return read_snapshots(spark, path, part, newest).drop(EPOCH)
+    """The newest snapshot of every partition (for final readers).  Newest epochs come
+    from the partition columns alone and prune the read."""
+    rows = spark.read.parquet(path)
+    newest = rows.groupBy(part).agg(F.max(EPOCH).alias(EPOCH))
+    return rows.join(newest, [part, EPOCH], "left_semi").drop(EPOCH)
+
+
+def drop_superseded(spark: SparkSession, path: str, part: str, keep: int = 2) -> int:
+    """Retention: delete all but the newest ``keep`` snapshots of every partition; returns
+    how many.  Two are needed at least: a replayed batch reads the one before its own."""
+    if keep < 2:
+        raise ValueError("keep at least two snapshots")
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    gone = 0
+    for day in files.listStatus(root):
+        if day.isDirectory() and day.getPath().getName().startswith(f"{part}="):
+            epochs = {int(e.getPath().getName().split("=")[1]): e.getPath() for e in files.listStatus(day.getPath()) if e.getPath().getName().startswith(f"{EPOCH}=")}
+            for e in sorted(epochs)[:-keep]:
+                files.delete(epochs[e], True)
+                gone += 1
+    return gone

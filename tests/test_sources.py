@@ -69,7 +69,7 @@ def test_jdbc_sync_round_trip(spark, tmp_path):
         ).save()
     paths = jdbc.sync_database(
         spark, url, str(tmp_path), catalog_query="SELECT TABLENAME FROM SYS.SYSTABLES WHERE TABLETYPE = 'T'",
-        properties=props, partition_columns={"NATION": "N_NATIONKEY"},
+        properties=props,
     )
     assert set(paths) == {"REGION", "NATION"}
     got = spark.read.parquet(paths["NATION"])

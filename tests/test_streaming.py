@@ -87,6 +87,9 @@ def test_snapshot_merge_is_replay_safe(spark, tmp_path):
     assert first == again == [("d1", "a", 3), ("d1", "b", 1), ("d1", "c", 1)]
     final = sorted(map(tuple, store.latest_snapshots(spark, path, "day").select("day", "k", "v").collect()))
     assert final == [("d1", "a", 3), ("d1", "b", 1), ("d1", "c", 1), ("d2", "a", 5)]
+    store.merge_snapshot(b1, path, "day", ["k"], 2)
+    assert store.drop_superseded(spark, path, "day") == 1
+    assert sorted(map(tuple, store.latest_snapshots(spark, path, "day").select("day", "k", "v").collect())) == final
 
 
 @pytest.fixture(scope="module")
