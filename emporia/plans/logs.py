@@ -7,7 +7,7 @@ every source job; dates are local dates in ``tz``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emporia.functions.text import PATH_ARROW, region_parts
@@ -15,7 +15,6 @@ from emporia.functions.time import DEFAULT_TZ, epoch_ms, local_date
 from emporia.operators.generators import explode_keywords
 from emporia.operators.joins import ip_region_join, ipv4_to_long
 from emporia.operators.ranking import top_n
-from emporia.operators.sequence import transitions
 
 
 def normalise(df: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
@@ -106,12 +105,23 @@ def path_transitions(
     ``slice_ms`` (T8) pairs rows only inside per-user tumbling event-time
     slices of that length (the source used 10 s slices), so pairs that
     straddle a slice edge are not counted.  Rows without a user have no path.
+
+    The rows are shuffled once, by (user, hour), for the pairs inside an hour.  Pairs
+    across hours come from each hour's first and last row, an aggregate that leaves
+    a row per user, hour and task, so no user's whole history meets in one task.
     """
-    rows = normalise(df.filter(F.col("user_id").isNotNull()), tz).select("user_id", "log_type", "log_date", *dict.fromkeys(("ts",) + tuple(order)))
-    width = slice_ms or bucket_ms
-    paired = transitions(rows, "user_id", list(dict.fromkeys(("ts",) + tuple(order))), "log_type",
-                         F.floor(F.col("ts") / width), "prev", carry=slice_ms is None)
-    return count_moves(paired)
+    keys = list(dict.fromkeys(("ts",) + tuple(order)))
+    rows = normalise(df.filter(F.col("user_id").isNotNull()), tz).select("user_id", "log_type", "log_date", *keys)
+    rows = rows.withColumn("_b", F.floor(F.col("ts") / (slice_ms or bucket_ms)))
+    inside = rows.withColumn("prev", F.lag("log_type").over(Window.partitionBy("user_id", "_b").orderBy(*keys)))
+    pairs = inside.select("log_date", "prev", "log_type")
+    if slice_ms is None:
+        edge = F.struct(*keys, "log_date", "log_type")
+        edges = rows.groupBy("user_id", "_b").agg(F.min(edge).alias("first"), F.max(edge).alias("last"))
+        before = F.lag("last").over(Window.partitionBy("user_id").orderBy("_b"))
+        across = edges.withColumn("_before", before)
+        pairs = pairs.union(across.select("first.log_date", "_before.log_type", "first.log_type"))
+    return count_moves(pairs)
 
 
 def count_moves(paired: DataFrame) -> DataFrame:
