@@ -64,7 +64,8 @@ def suffix_intervals(lines: DataFrame) -> DataFrame:
     while True:
         level = suffixes.where("open")
         # Equal ranks with this many lines left have all of them in common.
-        originals = level.groupBy("rank").agg(F.min(F.struct("doc_id", "at", "tag")).alias("original"))
+        # Written, so that the join's sides are plain shuffles and a hot rank can be split.
+        originals = stored(level.groupBy("rank").agg(F.min(F.struct("doc_id", "at", "tag")).alias("original")), "originals")
         marked = stored(
             level.join(originals, "rank").select(F.lit(length).alias("length"), *ROW, "at", "rank", (F.struct("doc_id", "at", "tag") > F.col("original")).alias("later")),
             "intervals",
