@@ -132,16 +132,15 @@ class ByteCNN:
             g["embed"] += per @ self.p["filters"][w].T
         return g
 
-    def fit(self, texts: list[bytes], label: np.ndarray, share: np.ndarray, rounds: int, batch: int = 64, rate: float = 0.01, seed: int = 11) -> None:
-        """Adam over shuffled batches."""
+    def fit(self, texts: list[bytes], label: np.ndarray, share: np.ndarray, steps: int, batch: int = 64, rate: float = 0.01, seed: int = 11) -> None:
+        """``steps`` of Adam over shuffled batches, as many rounds as that takes."""
         rng = np.random.default_rng(seed)
         prior = np.clip((label * share).sum() / share.sum(), 0.01, 0.99)
         self.p["offset"][:] = np.log(prior / (1 - prior))
         m, v, t = {k: np.zeros_like(x) for k, x in self.p.items()}, {k: np.zeros_like(x) for k, x in self.p.items()}, 0
-        steps = rounds * -(-len(texts) // batch)
-        for _ in range(rounds):
+        while t < steps:
             order = rng.permutation(len(texts))
-            for at in range(0, len(order), batch):
+            for at in range(0, min(len(order), batch * (steps - t)), batch):
                 some = order[at : at + batch]
                 offsets = np.cumsum([0, *(len(texts[i]) for i in some)])
                 data = np.frombuffer(b"".join(texts[i] for i in some), np.uint8)
@@ -169,7 +168,7 @@ def fold(doc_id: str, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(folds))
 
 
-def train(docs: DataFrame, labels: DataFrame, rows_per_label: int = 1500, longest: int = 50_000, rounds: int = 12) -> bytes:
+def train(docs: DataFrame, labels: DataFrame, rows_per_label: int = 1500, longest: int = 50_000, steps: int = 560) -> bytes:
     """Fit on labelled rows whose fold is not 0; returns the model's weights.
 
     Of each label, ``rows_per_label`` ids with the smallest hashes are taken, less those
@@ -200,11 +199,12 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_label: int = 1500, longes
             seen = np.array([(label == 0).sum(), (label == 1).sum()])
             total = np.array([totals.get(0, 0), totals.get(1, 0)])
             share = (total / total.sum() / np.maximum(seen, 1) * len(rows))[label.astype(int)]
-            model.fit([r[1].encode() for r in rows], label, share, rounds)
+            model.fit([r[1].encode() for r in rows], label, share, steps)
         yield pa.RecordBatch.from_arrays([pa.array([model.dump()], pa.binary())], names=["model"])
 
     sample = chosen.select("_label", "text").repartition(1).sortWithinPartitions("_label", "text")
-    return sample.mapInArrow(run, "model binary").first()["model"]
+    got = sample.mapInArrow(run, "model binary").first()
+    return got["model"] if got else ByteCNN().dump()
 
 
 def _scores(model: bytes):
