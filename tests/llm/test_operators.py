@@ -1,0 +1,407 @@
+"""Operators against brute force on small random tables."""
+
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from emporia.llm import bytecnn, components, gru, jaccard, latent, licences, lines, lm, mixing, pivots, substrings, tokens, words
+from emporia.llm.counttree import CountTree, Overlaps, counts, fold, needed, pack, spanning_links, unpack
+from emporia.llm.queries import tokenizer_json
+
+
+def frame(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+
+
+def near_copies(seed, groups=12, copies=6, size=60, change=0.03):
+    rng = random.Random(seed)
+    out = []
+    for _ in range(groups):
+        base = [f"w{rng.randrange(400)}" for _ in range(rng.randrange(3, size))]
+        for _ in range(copies):
+            out.append(" ".join(x if rng.random() > change else f"n{rng.randrange(9999)}" for x in base))
+    out += out[:7] + ["", "a", "a b", "A  B"]
+    rng.shuffle(out)
+    return out
+
+
+def shingles(text, n):
+    w = [x.decode() for x in text.encode().lower().split()]
+    return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set()
+
+
+def linked_roots(pairs, n):
+    root = list(range(n))
+    for _ in range(n):
+        changed = False
+        for a, b in pairs:
+            low = min(root[a], root[b])
+            changed |= root[a] != low or root[b] != low
+            root[a] = root[b] = low
+        if not changed:
+            return root
+    return root
+
+
+@pytest.mark.parametrize("block", [4, 2048])
+def test_jaccard_components(spark, block):
+    texts = near_copies(3)
+    sets = [shingles(t, 5) for t in texts]
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a) if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    want = linked_roots(pairs, len(sets))
+    got = jaccard.jaccard_components(frame(spark, texts), 5, 80, block).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(s), want[i]) for i, s in enumerate(sets)}
+
+
+def test_tree_finds_what_the_bound_allows():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in rng.integers(1, 200, 300)]
+    sets += [np.unique(np.append(s[: max(1, int(len(s) * 0.95))], rng.integers(0, 2**63, 3).astype(np.uint64))) for s in sets[:100]]
+    sets += [np.unique(rng.integers(0, 2**63, 9000).astype(np.uint64))]
+    sets += [np.append(sets[-1][:8000], np.uint64(2**63 + 5))]
+    full, sizes = [counts(s) for s in sets], np.array([len(s) for s in sets])
+    assert all(np.array_equal(unpack(pack(p)), p) and p.sum() == n for p, n in zip(full, sizes))
+    assert len(full[-1]) > 64 and unpack(pack(np.array([300]))).tolist() == [300]
+    points = np.stack([fold(p, 64) for p in full])
+    tree = CountTree(points, sizes, 80)
+    for i in range(0, 402, 7):
+        near = set(tree.find(points[i], int(sizes[i])).tolist())
+        bound = np.minimum(points, points[i]).sum(axis=1)
+        assert near >= {j for j in range(402) if len(np.intersect1d(sets[i], sets[j])) * 100 >= 80 * len(np.union1d(sets[i], sets[j]))}
+        assert all(bound[j] >= needed(sizes[i], sizes[j], 80) for j in near)
+    exact = Overlaps(sets, 80)
+    links = spanning_links(full, sizes, 80, exact, hubs=1)
+    assert all(exact.links(a, b) for a, b in links)
+    all_links = [(a, b) for a in range(402) for b in range(a) if exact.links(a, b)]
+    assert linked_roots(links, 402) == linked_roots(all_links, 402)
+
+
+def test_components(spark):
+    rng = random.Random(5)
+    pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 460)]
+    got = {r.node: r.root for r in components.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    want = linked_roots(pairs, 461)
+    assert got == {x: want[x] for p in pairs if p[0] != p[1] for x in p}
+
+
+def test_word_hashes_match_a_plain_split():
+    texts = ["Aa b\tc\x0bd\x1ee  f", None, "", "é x 漢", "x" * 5000 + " y", " lead and trail "]
+    for t in words.slices(pa.array(texts, pa.string()), lower=True, size=20):
+        w = words.words_of(t)
+        raw = t.data.tobytes()
+        for k, (a, b) in enumerate(zip(w.bounds[:-1], w.bounds[1:])):
+            text = (texts[t.first + k] or "").encode().lower()
+            assert [raw[i:j] for i, j in zip(w.starts[a:b], w.ends[a:b])] == text.split()
+
+
+def test_gru_gradient_state_and_probability():
+    rng = np.random.default_rng(0)
+    model = gru.GRU(rng.integers(1, 50, gru.TOKENS))
+    model.p = {k: v.astype(np.float64) for k, v in model.p.items()}
+    texts = [rng.integers(0, gru.TOKENS, int(n)) for n in (5, 40, 33, 100)]
+    w, h = next(gru.windows(texts, 4)), rng.normal(0, 0.1, (4, gru.HIDDEN))
+
+    def loss():
+        inside = w.targets >= 0
+        return -model.log_probs(model.run(w, h)[0].astype(np.float64)[inside], w.targets[inside]).mean()
+
+    g, _ = model.gradient(w, h)
+    for k in gru.NAMES:
+        at = np.unravel_index(np.abs(g[k]).argmax(), g[k].shape)
+        old, e = model.p[k][at], 1e-3
+        model.p[k][at] = old + e
+        up = loss()
+        model.p[k][at] = old - e
+        down = loss()
+        model.p[k][at] = old
+        assert abs((up - down) / 2 / e - g[k][at]) < 1e-5
+    # Windows, lanes and their order change nothing.
+    alone = [model.score([t], 1)[0] for t in texts]
+    assert np.allclose(model.score(texts, 2), alone, rtol=1e-5)
+    total = np.exp(model.log_probs(np.repeat(rng.normal(0, 1, (1, gru.HIDDEN)), gru.TOKENS, 0), np.arange(gru.TOKENS))).sum()
+    assert abs(total - 1) < 1e-4
+
+
+def test_lm_base_and_gain(spark):
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice([f"a{k} b{k}", f"c{k} d{k}"]) for k in (rng.randrange(40) for _ in range(rng.randrange(1, 90)))) for _ in range(300)]
+    got = {r.doc_id: r for r in lm.score_texts(frame(spark, texts)).collect()}
+    held = {i for i in range(300) if zlib.crc32(str(i).encode()) % 10 == 0}
+    c = Counter(x for i, t in enumerate(texts) if i not in held for x in [*t.split(), "\n"])
+    n, v = sum(c.values()), len(c)
+    for i, t in enumerate(texts):
+        toks = [*t.split(), "\n"]
+        r = got[i]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (i in held, len(toks), sum(c[x] > 0 for x in toks), n)
+        assert abs(r.base_score - sum(np.log10((c[x] + 0.1) / (n + 0.1 * (v + 1))) for x in toks)) < 1e-6
+    assert sum(got[i].score for i in held) > sum(got[i].base_score for i in held)
+
+
+def test_lm_rare_words_meet_their_counts(spark, monkeypatch):
+    monkeypatch.setattr(lm, "FREQUENT", 3)
+    texts = ["x y z q", "x y r", "x x", "only", "x unseen"] * 3
+    got = {r.doc_id: r for r in lm.score_texts(frame(spark, texts)).collect()}
+    held = {i for i in range(15) if zlib.crc32(str(i).encode()) % 10 == 0}
+    c = Counter(x for i, t in enumerate(texts) if i not in held for x in [*t.split(), "\n"])
+    n, v = sum(c.values()), len(c)
+    for i, t in enumerate(texts):
+        want = sum(np.log10((c[x] + 0.1) / (n + 0.1 * (v + 1))) for x in [*t.split(), "\n"])
+        assert abs(got[i].base_score - want) < 1e-9
+
+
+def test_latent_finds_copies_and_paraphrases(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    bench = spark.read.parquet(f"{small}/benchmark.parquet")
+    rng = random.Random(4)
+    items = {r.item_id: r.text.split() for r in bench.collect()}
+    hosts = [r.text.split() for r in docs.where("length(text) > 1500").orderBy("doc_id").limit(len(items)).collect()]
+    planted = []
+    for k, (i, w) in enumerate(sorted(items.items())):
+        changed = [x if rng.random() > 0.1 else rng.choice(hosts[0]) for x in w]
+        host = hosts[k % len(hosts)]
+        planted.append((10_000 + i, " ".join(host[: len(host) // 2] + changed + host[len(host) // 2 :])))
+    got = {(r.doc_id, r.item_id) for r in latent.find_leaks(docs.union(spark.createDataFrame(planted, docs.schema)), bench).collect()}
+    assert sum((10_000 + i, i) in got for i in items) >= 0.9 * len(items)
+    norm = {r.doc_id: " ".join(r.text.lower().split()) for r in docs.collect()}
+    verbatim = {(d, i) for d, t in norm.items() for i, w in items.items() if " ".join(w).lower() in t}
+    assert verbatim <= got and {(d, i) for d, i in got if d < 10_000} == verbatim
+
+
+def test_common_subsequence():
+    rng = random.Random(6)
+    for _ in range(50):
+        a, b = ([rng.randrange(6) for _ in range(rng.randrange(0, 25))] for _ in range(2))
+        t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                t[i + 1][j + 1] = t[i][j] + 1 if x == y else max(t[i][j + 1], t[i + 1][j])
+        assert latent.common_subsequence(np.array(a, np.int64), np.array(b, np.int64)) == t[-1][-1]
+
+
+def test_svd_matches_numpy():
+    rng = np.random.default_rng(2)
+    a = np.zeros((200, latent.DIMS))
+    a[:, :50] = rng.normal(size=(200, 50)) * np.linspace(5, 0.1, 50)
+    w = latent.random_directions()
+    got = latent.solve(np.ones(latent.DIMS), a.T @ (a @ w), w)
+    assert np.allclose(got.singular[:40], np.linalg.svd(a, compute_uv=False)[:40], rtol=1e-3)
+
+
+def waterfill(sizes, weights, most):
+    target, free = {}, set(sizes)
+    total = sum(sizes.values())
+    while True:
+        left = total - sum(target.values())
+        share = {s: left * weights[s] / sum(weights[x] for x in free) for s in free}
+        over = {s for s in free if share[s] > most * sizes[s]}
+        if not over:
+            return target | share
+        for s in over:
+            target[s] = most * sizes[s]
+        free -= over
+
+
+def test_mixing_targets(spark):
+    rng = random.Random(8)
+    rows = [(i, " ".join(["w"] * rng.randrange(1, 80)), rng.choice([None, "b", "a", "huge", "huge", "huge", "c", "é"])) for i in range(900)]
+    rows.append((5000, "one word", "tiny"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix_sources(df).collect()
+    sizes = Counter()
+    for _, t, s in rows:
+        sizes[s] += len(t.split())
+    order = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [None]
+    want = waterfill(sizes, {s: k % 3 + 1 for k, s in enumerate(order)}, 3)
+    taken = Counter()
+    for r in got:
+        assert abs(r.target - want[r.source]) < 1e-6 * want[r.source] and r.copies in (int(r.rate), int(r.rate) + 1) and r.copies <= 3
+        taken[r.source] += r.copies * r.size
+    # One draw a document, so about a hundred documents a source scatter by a tenth.
+    assert all(abs(taken[s] - want[s]) < 0.35 * want[s] + 2 for s in sizes)
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mix_sources(df.repartition(7)).collect()))
+
+
+def test_cnn_pooling_and_learning():
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.integers(97, 123, n).astype(np.uint8)) for n in (0, 3, 8, 9, 511, 512, 513, 3000)]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    s = bytecnn.spans(data, offsets)
+    net = bytecnn.ByteCNN()
+    out = net.outputs(s)
+    assert np.array_equal(bytecnn.pooled(out, s), np.array([out[a:b].max(axis=0) for a, b in zip(s.first, s.last)]))
+    # Every byte lies under a filter, and every filter place in a chunk.
+    assert all(set(np.flatnonzero(s.owner == t)) for t in range(len(texts)))
+    covered = np.zeros(len(out), bool)
+    for a, b in zip(s.first, s.last):
+        covered[a:b] = True
+    assert covered.all()
+    one = [net.score(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0] for t in texts]
+    assert np.allclose(net.score(data, offsets), one)
+    clean = [b"plain words in a row with nothing odd about them " * int(n) for n in rng.integers(1, 30, 150)]
+    junk = [b"wo### rds$$$ in&&& a*** row%%% " * int(n) for n in rng.integers(1, 30, 150)]
+    label = np.array([1.0] * 150 + [0.0] * 150)
+    net.fit(clean + junk, label, np.ones(300), 60)
+    both = clean + junk
+    got = net.score(np.frombuffer(b"".join(both), np.uint8), np.cumsum([0, *map(len, both)]))
+    assert ((got > 0.5) == (label == 1)).mean() > 0.97
+    assert np.allclose(bytecnn.ByteCNN.load(net.dump()).score(data, offsets), net.score(data, offsets))
+
+
+def test_cnn_gradient():
+    rng = np.random.default_rng(4)
+    texts = [bytes(rng.integers(0, 256, n).astype(np.uint8)) for n in (30, 700, 1500)]
+    s = bytecnn.spans(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
+    net = bytecnn.ByteCNN()
+    net.p["weight"] = rng.normal(size=2 * bytecnn.FILTERS)
+    label, share = np.array([1.0, 0.0, 1.0]), np.array([0.2, 0.3, 0.5])
+
+    def loss():
+        f = bytecnn.summary(np.maximum(bytecnn.pooled(net.outputs(s), s), 0), s)
+        z = f @ net.p["weight"] + net.p["offset"][0]
+        return (share * (np.log1p(np.exp(z)) - label * z)).sum()
+
+    g = net.gradient(s, label, share)
+    for k in bytecnn.NAMES:
+        at = np.unravel_index(np.abs(g[k]).argmax(), g[k].shape)
+        old, e = net.p[k][at], 1e-3
+        net.p[k][at] = old + e
+        up = loss()
+        net.p[k][at] = old - e
+        down = loss()
+        net.p[k][at] = old
+        assert abs((up - down) / 2 / e - g[k][at]) < 0.03 * abs(g[k][at]) + 1e-4
+
+
+def test_quality_on_held_out_rows(spark):
+    d = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
+    model = bytecnn.train(docs, labels)
+    rows = bytecnn.score_quality(docs, model).join(labels, "doc_id").where(bytecnn.fold("doc_id", 5) == 0).collect()
+    assert np.mean([(r.score >= 0.3) == (r.quality == 1) for r in rows]) > 0.9
+
+
+def test_token_shards_round_trip(spark, tmp_path):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(["the", "naïve", "3.14", "don't", "x,y", "<|endoftext|>", "a b", "\n\n", "tab\tbed", "###", "漢字"]) for _ in range(rng.randrange(0, 60))) for _ in range(200)]
+    texts[17] = " ".join(f"word{i % 5000}" for i in range(80_000))
+    folder = f"file://{tmp_path}/shards"
+    index = tokens.write_shards(frame(spark, texts), tokenizer_json(), 0, folder)
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_str(tokenizer_json())
+    start = 0
+    for r, t in zip(tokens.token_digest(index).orderBy("doc_id").collect(), texts, strict=True):
+        ids = [*plain.encode(t, add_special_tokens=False).ids, 0]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    row = index.where("doc_id = 17").first()
+    reader = tokens.ShardReader(row.shard, row.width)
+    assert reader.read(row.at + 70_000, 10).tolist() == [*plain.encode(texts[17], add_special_tokens=False).ids, 0][70_000:70_010]
+    # One frame was read; a changed byte in another is found by its checksum only there.
+    assert reader.last[0] == (row.at + 70_000) // tokens.FRAME
+    path = row.shard.removeprefix("file://")
+    raw = bytearray(open(path, "rb").read())
+    raw[40] ^= 0xFF
+    (tmp_path / "bad.zst").write_bytes(raw)
+    bad = tokens.ShardReader(str(tmp_path / "bad.zst"), row.width)
+    with pytest.raises(Exception):
+        bad.read(0, 5)
+    assert len(bad.read(tokens.FRAME, 5)) == 5
+
+
+def test_line_runs(spark):
+    rng = random.Random(10)
+    pool = [f"line {i}" for i in range(25)] + ["x" * 150, ""]
+    texts = ["\n".join(rng.choice(pool) for _ in range(rng.randrange(0, 30))) for _ in range(60)]
+    texts += [texts[3], texts[4] + "\n" + texts[5], "a\nb\na\nb\na\nb"]
+    got = {r.doc_id: r for r in lines.drop_line_copies(frame(spark, texts)).collect()}
+    seqs = [[x.strip() for x in t.split("\n") if x.strip()] for t in texts]
+    first, longest, gone = {}, Counter(), [set() for _ in seqs]
+    for k in range(6):
+        n = 2**k
+        seen = {}
+        for d, s in enumerate(seqs):
+            for i in range(len(s) - n + 1):
+                run = tuple(s[i : i + n])
+                if run in seen:
+                    longest[d] = max(longest[d], n)
+                    if n == 2 or n == 1 and len(run[0]) >= 100:
+                        gone[d].update(range(i, i + n))
+                seen.setdefault(run, (d, i))
+    for d, s in enumerate(seqs):
+        kept = [x for i, x in enumerate(s) if i not in gone[d]]
+        r = got[d]
+        assert (r.n_lines, r.n_removed, r.longest_shared) == (len(s), len(gone[d]), longest[d])
+        assert [x.strip() for x in r.kept.split("\n") if x.strip()] == kept
+
+
+def test_suffix_ranks_are_the_suffix_array(spark):
+    rng = random.Random(11)
+    texts = ["\n".join(rng.choice("abc") for _ in range(rng.randrange(1, 14))) for _ in range(25)]
+    rows = lines.line_ids(lines.tagged(frame(spark, texts))).cache()
+    h = {(r.doc_id, r.at): r.h for r in rows.collect()}
+    found = lines.suffix_intervals(rows).collect()
+    for n in {r.length for r in found}:
+        level = [(r.rank, tuple(h.get((r.doc_id, r.at + k)) for k in range(n))) for r in found if r.length == n]
+        assert all((a[0] < b[0]) == (a[1] < b[1]) for a in level for b in level if a[0] != b[0])
+        assert len({x for x, _ in level}) == len({x for _, x in level})
+
+
+def test_substrings_and_doubling(spark):
+    rng = random.Random(12)
+    passage = [f"p{i}" for i in range(70)]
+    texts = []
+    for i in range(80):
+        w = [f"v{rng.randrange(60)}" for _ in range(rng.randrange(0, 60))]
+        if i % 3 == 0:
+            a = rng.randrange(0, 40)
+            at = rng.randrange(0, len(w) + 1)
+            w[at:at] = passage[a : a + rng.randrange(5, 60)]
+        texts.append("  ".join(w))
+    df = frame(spark, texts)
+    got = {r.doc_id: r for r in substrings.drop_repeats(df, 13).collect()}
+    first, gone = {}, [set() for _ in texts]
+    for d, t in enumerate(texts):
+        w = t.split()
+        for i in range(len(w) - 12):
+            if first.setdefault(tuple(w[i : i + 13]), d) < d:
+                gone[d].update(range(i, i + 13))
+    for d, t in enumerate(texts):
+        w = t.split()
+        assert (got[d].n_words, got[d].n_removed, got[d].kept) == (len(w), len(gone[d]), " ".join(x for i, x in enumerate(w) if i not in gone[d]))
+    levels = {r.length for r in substrings.longer_repeats(substrings.repeated_windows(substrings.tagged(df), 13)).collect()}
+    assert 26 in levels and all(n in (13, 26, 52) for n in levels)
+
+
+def test_pivot_recall_and_counts(spark):
+    rng = np.random.default_rng(13)
+    base = rng.normal(size=(150, 32))
+    rows = [b + rng.normal(size=32) * 0.22 * rng.random() for b in base for _ in range(4)] + [base[0]] * 5
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    unit = np.array(rows) / np.linalg.norm(rows, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    for block in (8, 4096):
+        got = {r.vec_id: r for r in pivots.near_duplicates(df, 0.9, block=block).collect()}
+        links = np.array([got[i].n_links for i in range(len(rows))])
+        assert (links <= near.sum(axis=1) - 1).all() and links.sum() >= 0.9 * (near.sum() - len(rows))
+        assert all(got[i].kept == (got[i].component_id == i) for i in got)
+        assert len({got[i].component_id for i in range(600, 605)}) == 1
+
+
+def test_licence_rules(spark):
+    grant, notice, warranty = (licences.SENTENCES[k] for k in ("mit-grant", "mit-notice", "mit-warranty"))
+    texts = [
+        "Some words. Released under the MIT License.\nMore.",
+        f"{grant.upper()}. Other things stand here!\n({notice})\n{warranty}; and more",
+        f"{notice}. {grant}. {warranty}.",
+        "Licensed under the Apache License, Version 2.0. This work is licensed under the GNU General Public License, version 3.",
+        "Not released under the MIT License",
+    ]
+    got = {r.doc_id: (r.licences, r.sentence_ids) for r in licences.scan_licences(frame(spark, texts)).collect()}
+    assert got[0] == (["MIT"], ["mit-released"]) and got[1] == (["MIT"], ["mit-grant", "mit-notice", "mit-warranty"])
+    assert got[2][0] == [] and got[3][0] == ["Apache-2.0", "GPL-3.0"] and got[4] == ([], [])
