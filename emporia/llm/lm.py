@@ -80,8 +80,9 @@ class Frequent(NamedTuple):
 
 
 def train(docs: DataFrame, frequent: Frequent, texts: int = 1500, longest: int = 20_000, rounds: int = 2) -> bytes:
-    """Fit on ``texts`` texts of ``docs`` (key, text) with the smallest hashes among those
-    of up to ``longest`` characters, which bounds the sample; one task, weights back."""
+    """Fit on the ``texts`` rows of ``docs`` (key, text) whose keys have the smallest hashes
+    among those of up to ``longest`` characters, which bounds the sample, equal rows
+    once; one task, weights back."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lanes = []
@@ -95,9 +96,13 @@ def train(docs: DataFrame, frequent: Frequent, texts: int = 1500, longest: int =
             model.fit(lanes, rounds)
         yield pa.RecordBatch.from_arrays([pa.array([model.dump()], pa.binary())], names=["model"])
 
-    order = [F.xxhash64("key", F.lit("lm")), F.col("text")]
-    sample = docs.where(F.length("text") <= longest).orderBy(*order).limit(texts).select("key", "text")
-    return sample.repartition(1).sortWithinPartitions(*order).mapInArrow(run, "model binary").first()["model"]
+    # Keys are chosen first, so only the sample's few keys meet the texts.
+    order = F.xxhash64("key", F.lit("lm"))
+    short = docs.where(F.length("text") <= longest)
+    keys = short.select("key").orderBy(order).limit(texts).distinct()
+    sample = short.join(keys, "key").groupBy("key").agg(F.min("text").alias("text"))
+    got = sample.repartition(1).sortWithinPartitions(order).mapInArrow(run, "model binary").first()
+    return got["model"] if got else GRU(frequent.per_token).dump()
 
 
 ROWS = "key long, doc_id long, held_out boolean, n_tokens long, n_unknown long, known long, base double, unknown_base double, score double, rare_h array<long>, rare_n array<int>"
