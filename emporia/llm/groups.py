@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emporia.llm.scratch import stored
+
 BLOCK = 4096
 
 
@@ -19,7 +21,8 @@ def in_blocks(rows: DataFrame, group: str, key: str, block: int = BLOCK) -> Data
     blocks by a hash of ``key``, and a row goes to every pair of blocks (low, high)
     that its own is part of, so all pairs of rows meet, each task with two blocks.
     """
-    n = rows.groupBy(group).agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks"))
+    # Written, so that the join is between plain shuffles and a hot group can be split.
+    n = stored(rows.groupBy(group).agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks")), "blocks")
     return (
         rows.join(n, group)
         .withColumn("own", F.pmod(F.xxhash64(key), F.col("_blocks")).cast("int"))
