@@ -169,7 +169,8 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, blo
     maybe = by_group(placed, ["tree", "low", "high"], _may_link(percent), "a long, b long")
     parts = components(maybe).select(F.col("node").alias("doc_id"), F.col("root").alias("part"))
 
-    found = in_blocks(parts, "part", "doc_id", block).join(named, "doc_id")
+    # The parts grow with the corpus: no broadcast, at any size.
+    found = in_blocks(parts, "part", "doc_id", block).hint("merge").join(named, "doc_id")
     links = by_group(found, ["part", "low", "high"], _do_link(shingle, percent), "a long, b long")
     # Classes of equal sets are links too.
     roots = components(links.union(member.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))))
