@@ -30,7 +30,9 @@ def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     with a null doc_id is in no group and stays."""
     groups = jaccard.jaccard_components(docs, shingle=5, percent=80)
     later = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.distinct().join(later, "doc_id", "left_anti").select(*docs.columns)
+    # Texts are shuffled once, by doc_id, for the join and for equal rows; the ids grow
+    # with the corpus, so they are not broadcast.
+    return docs.join(later.hint("merge"), "doc_id", "left_anti").select(*docs.columns).distinct()
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
