@@ -42,6 +42,26 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], max_rate: int) ->
     return tried.select("source", "source_size", F.least(F.col("cap").cast("double"), level * F.col("weight")).alias("target"))
 
 
+ADDED = ["size", "source_size", "target", "rate", "copies"]
+
+
+def _mixed(docs: DataFrame, weights: tuple[int, ...], max_rate: int, seed: str, prefix: str) -> DataFrame:
+    """``docs`` with ``ADDED``, each name behind ``prefix``."""
+    size, whole, target, rate, copies = (prefix + x for x in ADDED)
+    sized = docs.withColumn(size, text_size())
+    targets = source_targets(sized.select("source", F.col(size).alias("size")), weights, max_rate)
+    targets = targets.select(F.col("source").alias(prefix + "source"), F.col("source_size").alias(whole), F.col("target").alias(target))
+    share = F.when(F.col(whole) > 0, F.col(target) / F.col(whole)).otherwise(F.lit(0.0))
+    draw = F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13), 16, 10)
+    once_more = draw.cast("double") / F.lit(float(2**52)) < F.col(rate) - F.floor(rate)
+    return (
+        sized.join(targets, F.col("source").eqNullSafe(F.col(prefix + "source")))
+        .drop(prefix + "source")
+        .withColumn(rate, share)
+        .withColumn(copies, F.floor(rate) + once_more.cast("long"))
+    )
+
+
 def mix_sources(
     docs: DataFrame,
     weights: tuple[int, ...] = (1, 2, 3),
@@ -56,21 +76,17 @@ def mix_sources(
     target and copies 0; a null source is a source; a null doc_id draws as the
     empty string.  Columns of ``docs`` with one of the five names are replaced.
     """
-    names = ["size", "source_size", "target", "rate", "copies"]
-    sized = docs.drop(*names).withColumn("size", text_size())
-    targets = source_targets(sized.select("source", "size"), weights, max_rate).withColumnRenamed("source", "_source")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    draw = F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13), 16, 10)
-    extra = draw.cast("double") / F.lit(float(2**52)) < F.col("rate") - F.floor("rate")
-    return (
-        sized.join(targets, F.col("source").eqNullSafe(F.col("_source")))
-        .drop("_source")
-        .withColumn("rate", rate)
-        .withColumn("copies", F.floor("rate") + extra.cast("long"))
-    )
+    mixed = _mixed(docs.drop(*ADDED), weights, max_rate, seed, "_mix_")
+    return mixed.withColumnsRenamed({"_mix_" + x: x for x in ADDED})
 
 
-def emit_mix(docs: DataFrame, **settings) -> DataFrame:
+def emit_mix(
+    docs: DataFrame,
+    weights: tuple[int, ...] = (1, 2, 3),
+    max_rate: int = 3,
+    seed: str = "mix",
+) -> DataFrame:
     """Every row of ``docs`` as often as the mix takes it, with its own columns."""
-    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_copy")
-    return mix_sources(docs, **settings).where("copies > 0").select(*[f"`{c}`" for c in docs.columns], copies).drop("_copy")
+    mixed = _mixed(docs, weights, max_rate, seed, "_mix_").where("_mix_copies > 0")
+    copy = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_copies"))).alias("_mix_copy")
+    return mixed.select(*[F.col(f"`{c}`") for c in docs.columns], copy).drop("_mix_copy")

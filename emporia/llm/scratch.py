@@ -7,7 +7,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Shuffle work is sized by bytes, not by a fixed number of rows per task.
 CONF = "spark.checkpoint.dir"
 
 
@@ -20,7 +19,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     base = spark.conf.get(CONF, None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError(f"set {CONF} to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="emporia-llm-")
         spark.conf.set(CONF, base)

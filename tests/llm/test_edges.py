@@ -78,6 +78,7 @@ def test_mixing(docs, none):
     assert all(0 <= c <= 3 for _, _, c in got)
     emitted = mixing.emit_mix(docs)
     assert emitted.columns == docs.columns and emitted.count() == sum(c for _, _, c in got)
+    assert {r.copies for r in emitted.collect()} == {"clash"}
     assert mixing.mix_sources(none).count() == 0
 
 
@@ -131,3 +132,22 @@ def test_vectors(spark):
     assert pivots.near_duplicates(df).count() == len(rows)
     assert pivots.near_duplicates(df.limit(0)).count() == 0
     assert pivots.near_duplicates(df.where(F.col("vec_id") == 1)).count() == 1
+
+
+def test_pipeline_stages(spark, docs, none, tmp_path):
+    """Stages on the same rows and on none: columns stay, nothing crashes."""
+    import corpus_pipeline
+
+    for name, schema, rows in [
+        ("labels", "doc_id long, quality int, toxic int", [(5, 1, 0), (7, 0, 0), (None, 1, 0)]),
+        ("benchmark", "item_id long, text string", [(1, "an item that no document holds at all in any of its lines"), (2, None)]),
+    ]:
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    by_name = dict(corpus_pipeline.STAGES)
+    single = by_name["near_duplicates"](spark, docs, str(tmp_path))
+    assert sorted((r.doc_id for r in single.collect()), key=str) == sorted([1, 2, 3, 4, 5, 7, 8, None], key=str)
+    for table in (docs, none):
+        for name, stage in corpus_pipeline.STAGES:
+            got = stage(spark, table, str(tmp_path))
+            assert name == "token_shards" or got.columns == docs.columns
+            assert got.count() >= (0 if table is none else name != "quality")
