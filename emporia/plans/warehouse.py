@@ -368,15 +368,17 @@ def core_summary(store_category: DataFrame) -> DataFrame:
     )
 
 
-def product_ranking(detail: DataFrame, category3_id: str | None = None) -> DataFrame:
+def product_ranking(detail: DataFrame, category3_id: str | None = None, n: int | None = None) -> DataFrame:
     """Skus of a shop's category ranked by paid amount (rank, ties
-    share a rank).  ``category3_id`` None ranks every category."""
+    share a rank).  ``category3_id`` None ranks every category; ``n`` keeps the first
+    ranks only, which Spark cuts in every task before the shuffle."""
     paid = detail.filter("is_paid")
     if category3_id is not None:
         paid = paid.filter(F.col("category3_id") == category3_id)
     agg = paid.groupBy("store_id", "category3_id", "sku_id").agg(money_sum("amount").alias("payment_amount"))
     w = Window.partitionBy("store_id", "category3_id").orderBy(F.desc("payment_amount"))
-    return agg.withColumn("rk", F.rank().over(w))
+    ranked = agg.withColumn("rk", F.rank().over(w))
+    return ranked.filter(F.col("rk") <= n) if n else ranked
 
 
 def month_of(d: Column) -> Column:
