@@ -45,18 +45,12 @@ RULES = [
 SENTENCE_END = r"[\r\n]+|[.!?;:]+(?:\s|$)"
 
 
-def sentences(text: Column) -> Column:
-    """Normal forms of a text's sentences, in order, empty ones left out.
+def sentence_ids(text: Column, known: dict[str, str]) -> Column:
+    """Identifiers of the known sentences of a text, in their order.
 
-    The normal form is lower case with every run of characters other than a-z and
-    0-9 as one space.
+    A sentence's normal form is lower case with every run of characters other than a-z
+    and 0-9 as one space.
     """
-    cut = F.split(F.lower(F.coalesce(text, F.lit(""))), SENTENCE_END)
-    return F.filter(F.transform(cut, lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " "))), lambda s: s != "")
-
-
-def sentence_ids(text: Column, known: dict[str, str]) -> Column:
-    """Identifiers of the known sentences of a text, in their order."""
     table = F.create_map(*[F.lit(x) for name, s in known.items() for x in (s, name)])
     # A filter on a cheap test first keeps the map lookups to plausible sentences.
     firsts = sorted({s.split(" ")[0] for s in known.values()})

@@ -7,7 +7,6 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
 from emporia.llm import bytecnn, components, gru, jaccard, latent, licences, lines, lm, mixing, pivots, substrings, tokens, words
 from emporia.llm.counttree import CountTree, Overlaps, counts, fold, needed, pack, spanning_links, unpack
