@@ -171,6 +171,38 @@ def test_latent_finds_copies_and_paraphrases(spark, small):
     assert verbatim <= got and {(d, i) for d, i in got if d < 10_000} == verbatim
 
 
+def copies_of_an_item(rows, hot, words=40):
+    """``rows`` texts of which the ``hot`` first hold item 1 and the next one item 2."""
+    rng = random.Random(21)
+    text = lambda n, tag: [f"{tag}{rng.randrange(5000)}" for _ in range(n)]
+    items = {1: " ".join(text(30, "q")) + ".", 2: " ".join(text(30, "r")) + "."}
+    texts = []
+    for i in range(rows):
+        w = text(words, "w")
+        texts.append(" ".join([*w[: words // 2], *([items[1 if i < hot else 2]] if i <= hot else []), *w[words // 2 :]]))
+    return texts, items, {(i, 1) for i in range(hot)} | {(hot, 2)}
+
+
+@pytest.mark.parametrize("rows, hot", [(10, 2), (10, 9), (40, 3), (600, 200), (600, 100)])
+def test_latent_finds_common_leaks_and_those_of_small_tables(spark, rows, hot):
+    texts, items, want = copies_of_an_item(rows, hot)
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    docs = frame(spark, texts)
+    assert {(r.doc_id, r.item_id) for r in latent.find_leaks(docs, bench).collect()} == want
+    assert {r.doc_id for r in latent.drop_leaks(docs, bench).collect()} == set(range(hot + 1, rows))
+
+
+@pytest.mark.parametrize("size", [20, 64, 90])
+def test_spans_in_order(size):
+    rng = np.random.default_rng(size)
+    item, hashes = rng.integers(0, 30, size).astype(np.uint64), rng.integers(0, 60, 900).astype(np.uint64)
+    low = np.arange(0, 900 - 3 * size, 7)
+    got = latent.spans_in_order(hashes, low, low + 3 * size, item, size / 2)
+    common = [latent.common_subsequence(item, hashes[a : a + 3 * size]) for a in low.tolist()]
+    want = [k for k, n in enumerate(common) if n >= size / 2]
+    assert set(want) <= set(got.tolist()) and (size > 64 or got.tolist() == want)
+
+
 def test_common_subsequence():
     rng = random.Random(6)
     for _ in range(50):
