@@ -1,8 +1,8 @@
 """License scans by sentence rules.
 
-Texts are cut into normalised sentences, each known sentence becomes its
-identifier, and the sequence of identifiers in a text is matched against ordered
-rules.  Only DataFrame functions are used; no text meets another, so the scan has
+Texts are cut into normalised sentences, each known sentence that stands in one of
+them becomes its identifier, and the sequence of identifiers in a text is matched
+against ordered rules.  Only DataFrame functions are used; no text meets another, so the scan has
 no shuffle beyond the small table of identifiers.
 """
 
@@ -41,24 +41,37 @@ RULES = [
     ("BSD", ["bsd-redistribution", "bsd-warranty"]),
 ]
 
-# A sentence ends at a line break, or at . ! ? ; : before white space or the end.
-SENTENCE_END = r"[\r\n]+|[.!?;:]+(?:\s|$)"
+# Further wordings of the sentences above.
+VERSIONS = {
+    "mit-notice": ["the above copyright notice and this permission notice including the next paragraph shall be included in all copies or substantial portions of the software"],
+    "bsd-warranty": [f"this software is provided by the {who} as is" for who in ("copyright holder and contributors", "author", "author and contributors", "regents and contributors")],
+}
+
+# A sentence ends at a blank line, or at . ! ? before white space or the end.
+SENTENCE_END = r"(?:\r?\n|\r(?!\n))[ \t\f\x0B]*(?:\r?\n|\r(?!\n))|[.!?]+(?:\s|$)"
+
+# What stands straight before a known sentence, in normal form, and turns it round.
+DENIED = r"\b(?:not|cannot|never|neither|nor|no longer|[a-z]{1,7}n t)(?: yet| currently| also)?(?: been| being| be)? "
 
 
 def sentence_ids(text: Column, known: dict[str, str]) -> Column:
     """Identifiers of the known sentences of a text, in their order.
 
     A sentence's normal form is lower case with every run of characters other than a-z
-    and 0-9 as one space.
+    and 0-9 as one space.  Known sentences are also found inside longer ones, unless
+    denied there, as in "not released under ...".
     """
-    table = F.create_map(*[F.lit(x) for name, s in known.items() for x in (s, name)])
-    # A filter on a cheap test first keeps the map lookups to plausible sentences.
-    firsts = sorted({s.split(" ")[0] for s in known.values()})
+    names = {form: name for name, s in known.items() for form in (s, *VERSIONS.get(name, []))}
+    table = F.create_map(*[F.lit(x) for form, name in names.items() for x in (form, name)])
+    # A filter on a cheap test first keeps the search to plausible sentences.
+    openings = sorted({"[^a-z0-9]+".join(form.split(" ")[:2]) for form in names})
     cut = F.split(F.lower(F.coalesce(text, F.lit(""))), SENTENCE_END)
-    opening = r"^[^a-z0-9]*(" + "|".join(firsts) + ")[^a-z0-9]"
-    plausible = F.filter(cut, lambda s: F.rlike(s, F.lit(opening)))
-    normal = F.transform(plausible, lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
-    return F.filter(F.transform(normal, lambda s: table[s]), lambda x: x.isNotNull())
+    plausible = F.filter(cut, lambda s: F.rlike(s, F.lit("(?<![a-z0-9])(?:" + "|".join(openings) + r")(?![a-z0-9])")))
+    normal = F.transform(plausible, lambda s: F.regexp_replace(s, "[^a-z0-9]+", " "))
+    # The longest first, where one form begins another.
+    forms = rf"\b(?<!{DENIED})(?:" + "|".join(sorted(names, key=lambda form: (-len(form), form))) + r")\b"
+    found = F.flatten(F.transform(normal, lambda s: F.regexp_extract_all(s, F.lit(forms), F.lit(0))))
+    return F.transform(found, lambda s: table[s])
 
 
 def scan_licences(

@@ -1,6 +1,7 @@
 """Operators against brute force on small random tables."""
 
 import random
+import textwrap
 import zlib
 from collections import Counter
 
@@ -436,3 +437,43 @@ def test_licence_rules(spark):
     got = {r.doc_id: (r.licences, r.sentence_ids) for r in licences.scan_licences(frame(spark, texts)).collect()}
     assert got[0] == (["MIT"], ["mit-released"]) and got[1] == (["MIT"], ["mit-grant", "mit-notice", "mit-warranty"])
     assert got[2][0] == [] and got[3][0] == ["Apache-2.0", "GPL-3.0"] and got[4] == ([], [])
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
+GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY ARE DISCLAIMED."""
+
+
+@pytest.mark.parametrize("end, lead", [(None, ""), ("\n", ""), ("\r\n", ""), ("\n", " * ")])
+def test_licence_headers_as_published(spark, end, lead):
+    def wrapped(text):
+        if end is None:
+            return text
+        return end.join(lead + line for part in text.split("\n") for line in textwrap.wrap(part, 70) or [""])
+
+    texts = [
+        *map(wrapped, (MIT, APACHE, GPL, BSD, BSD.replace("COPYRIGHT HOLDERS", "REGENTS"), GPL.replace("software:", "software;").replace("version 3", "version 2"))),
+        wrapped("The code was first _released under the MIT license_ by its authors"),
+        "It is unreleased under the MIT licenses",
+        "The code isn't released under the MIT license, and has never been released under the MIT license",
+        "Licensed under the Apache License,\n\nVersion 2.0",
+        "Licensed under CC. BY-NC 4.0",
+    ]
+    got = {r.doc_id: r for r in licences.scan_licences(frame(spark, texts)).collect()}
+    assert [got[i].licences for i in range(len(texts))] == [["MIT"], ["Apache-2.0"], ["GPL"], ["BSD"], ["BSD"], ["GPL"], ["MIT"], [], [], [], []]
+    assert got[1].sentence_ids == ["apache-short", "apache-may-not", "apache-copy", "apache-basis"] and got[1].n_rules == 2
