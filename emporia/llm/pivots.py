@@ -25,6 +25,7 @@ from emporia.llm.groups import by_group, in_blocks
 from emporia.llm.scratch import stored
 
 LIST_ROWS = "list long, cls long"
+RECALL, PROBES, FURTHEST = 0.95, 2000, 24
 
 
 def matrix(column: pa.Array, width: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -67,6 +68,23 @@ def near_pivots(unit: np.ndarray, pivots: np.ndarray, near: int) -> np.ndarray:
     return out
 
 
+def enough_near(pivots: np.ndarray, probes: np.ndarray, least: float, near: int) -> int:
+    """How many nearest pivots, ``near`` or more, a vector needs so that pairs with cosine
+    ``least`` share two of them with a probability of ``RECALL``: more pivots need more.
+    Measured on unit vectors ``probes``, each against itself turned in a random direction."""
+    most = min(len(pivots), max(near, FURTHEST))
+    if most <= near or not len(probes):
+        return min(near, len(pivots))
+    turn = np.random.default_rng(5).standard_normal(probes.shape)
+    turn -= (turn * probes).sum(axis=1, keepdims=True) * probes
+    turn /= np.maximum(np.linalg.norm(turn, axis=1, keepdims=True), 1e-12)
+    a, b = (near_pivots(v, pivots, most) for v in (probes, least * probes + math.sqrt(max(0, 1 - least * least)) * turn))
+    for k in range(near, most):
+        if np.mean((a[:, :k, None] == b[:, None, :k]).any(axis=2).sum(axis=1) >= 2) >= RECALL:
+            return k
+    return most
+
+
 def list_ids(orders: np.ndarray, pivots: int) -> np.ndarray:
     """The lists of each row: one for every two of its pivots."""
     a, b = np.triu_indices(orders.shape[1], 1)
@@ -138,11 +156,12 @@ def near_duplicates(
     """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding).
 
     A link is a pair of vectors with cosine >= ``least`` in double precision that shares
-    two of its ``near`` nearest pivots.  Pivots are rows with the smallest hashes, no
+    two of its nearest pivots: ``near`` of them, or as many more as a measurement with the
+    table's pivots finds necessary.  Pivots are rows with the smallest hashes, no
     two of them linked; their number follows the square root of the row count, so that
-    lists keep about ``list_rows`` rows, up to ``most_pivots``.  Vectors that are null,
-    zero, hold a null or non-finite component, or differ in length from the first
-    pivots link with nothing.  Rows that share a vec_id are one node, and n_links
+    lists keep about ``list_rows`` rows (more where more pivots are near), up to
+    ``most_pivots``.  Vectors that are null, zero, hold a null or non-finite component, or
+    differ in length from most others (of two, the longer) link with nothing.  Rows that share a vec_id are one node, and n_links
     adds the links of its different vectors.  Rows with a null vec_id link with
     nothing and are kept.  Other columns are not read.
     """
@@ -157,12 +176,16 @@ def near_duplicates(
     n = classes.count()
     lists = near * (near - 1) // 2
     pivots_wanted = min(most_pivots, max(2 * near, math.ceil(math.sqrt(2 * lists * n / list_rows))))
-    sample = classes.select("embedding", F.xxhash64("cls").alias("h")).orderBy("h").limit(2 * pivots_wanted).select("embedding").toArrow()
+    width = classes.groupBy(F.size("embedding").alias("width")).count().orderBy(F.desc("count"), F.desc("width")).first()
+    usual = classes.where(F.size("embedding") == (width["width"] if width else 0))
+    sample = usual.select("embedding", F.xxhash64("cls").alias("h")).orderBy("h").limit(2 * pivots_wanted).select("embedding").toArrow()
     pivots = choose_pivots(sample.column("embedding"), pivots_wanted, least) if n else np.empty((0, 0))
 
     if len(pivots) < 2:
         # One direction only: all that is alike is one list.
         pivots = np.vstack([pivots, -pivots, np.roll(pivots, 1, axis=1)])[:2] if len(pivots) else np.ones((2, 1))
+    # The last of the sample are the least likely to be pivots.
+    near = enough_near(pivots, matrix(sample.column("embedding"))[1][-PROBES:], least, near)
     placed = stored(classes.select("cls", "embedding").mapInArrow(_list_rows(pivots, near), LIST_ROWS), "lists")
     several = placed.groupBy("list").count().where("count > 1").select("list")
     full = in_blocks(placed.join(several, "list", "left_semi"), "list", "cls", block).join(classes, "cls")

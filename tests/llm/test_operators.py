@@ -425,6 +425,38 @@ def test_pivot_recall_and_counts(spark):
         assert len({got[i].component_id for i in range(600, 605)}) == 1
 
 
+def pairs_at(rng, count, dims, cosine):
+    a, turn = (rng.normal(size=(count, dims)) for _ in range(2))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    turn -= (turn * a).sum(axis=1, keepdims=True) * a
+    return a, cosine * a + np.sqrt(1 - cosine**2) * turn / np.linalg.norm(turn, axis=1, keepdims=True)
+
+
+def test_pivot_recall_at_the_threshold_with_many_pivots(spark):
+    rng = np.random.default_rng(14)
+    a, b = pairs_at(rng, 600, 64, 0.902)
+    rows = np.vstack([a, b, rng.normal(size=(12_000, 64))])
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(rows.tolist())], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.component_id for r in pivots.near_duplicates(df, 0.9, list_rows=0.05).collect()}
+    assert sum(got[i + 600] == i for i in range(600)) >= 0.95 * 600
+
+
+def test_pivots_near_enough_for_large_tables():
+    rng = np.random.default_rng(15)
+    (chosen, _), (probes, _) = (pairs_at(rng, n, 64, 1) for n in (7415, 1000))
+    near = pivots.enough_near(chosen, probes, 0.9, 6)
+    for cosine in (0.9, 0.92):
+        a, b = (pivots.near_pivots(v, chosen, near) for v in pairs_at(rng, 1000, 64, cosine))
+        assert np.mean((a[:, :, None] == b[:, None, :]).any(axis=2).sum(axis=1) >= 2) >= 0.93
+    assert pivots.enough_near(chosen[:153], probes, 0.9, 6) == 6
+
+
+def test_one_longer_vector_does_not_set_the_width(spark):
+    rows = [(i, [1.0, 2.0 + i / 1000]) for i in range(5)] + [(9, [1.0, 2.0, 3.0])]
+    got = {r.vec_id: r.n_links for r in pivots.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {**dict.fromkeys(range(5), 4), 9: 0}
+
+
 def test_licence_rules(spark):
     grant, notice, warranty = (licences.SENTENCES[k] for k in ("mit-grant", "mit-notice", "mit-warranty"))
     texts = [
