@@ -10,7 +10,7 @@ windows' borders.
 from __future__ import annotations
 
 import io
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -161,20 +161,47 @@ class GRU:
 
     def fit(self, texts: list[np.ndarray], rounds: int = 2, lanes: int = 48, rate: float = 0.01) -> None:
         """Truncated backpropagation through time with Adam; gradients are clipped."""
-        m, v, t = {k: np.zeros_like(x) for k, x in self.p.items()}, {k: np.zeros_like(x) for k, x in self.p.items()}, 0
+        m, v, t = *self.moments(), 0
         steps = rounds * max(1, sum(map(len, texts)) // (lanes * WINDOW))
         for _ in range(rounds):
             last = None
             for w in windows(texts, lanes):
                 g, last = self.gradient(w, self.next_state(w, last))
                 t += 1
-                norm = np.sqrt(sum(float((x * x).sum()) for x in g.values()))
-                pace = rate * max(0.05, 1 - t / (steps + 1))
-                for k in NAMES:
-                    x = g[k] * np.float32(min(1, 1 / (norm + 1e-9)))
-                    m[k] = 0.9 * m[k] + 0.1 * x
-                    v[k] = 0.99 * v[k] + 0.01 * x * x
-                    self.p[k] -= (pace * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.99**t)) + 1e-6)).astype(np.float32)
+                self.descend(g, m, v, t, rate * max(0.05, 1 - t / (steps + 1)))
+
+    def moments(self) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
+        return {k: np.zeros_like(x) for k, x in self.p.items()}, {k: np.zeros_like(x) for k, x in self.p.items()}
+
+    def descend(self, g: dict[str, np.ndarray], m: dict[str, np.ndarray], v: dict[str, np.ndarray], t: int, pace: float) -> None:
+        norm = np.sqrt(sum(float((x * x).sum()) for x in g.values()))
+        for k in NAMES:
+            x = g[k] * np.float32(min(1, 1 / (norm + 1e-9)))
+            m[k] = 0.9 * m[k] + 0.1 * x
+            v[k] = 0.99 * v[k] + 0.01 * x * x
+            self.p[k] -= (pace * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.99**t)) + 1e-6)).astype(np.float32)
+
+    def go_on(self, parts: Iterable[list[np.ndarray]], lanes: int = 128, rate: float = 0.01) -> int:
+        """Train once on every text of ``parts``, however many; the number of tokens.  The
+        pace falls with the steps taken, and windows of few tokens move the weights less."""
+        m, v, t = *self.moments(), 0
+        tokens = 0
+        for texts in parts:
+            last = None
+            for w in windows(texts, lanes):
+                g, last = self.gradient(w, self.next_state(w, last))
+                here, t = int((w.targets >= 0).sum()), t + 1
+                tokens += here
+                self.descend(g, m, v, t, rate / np.sqrt(1 + t / 20) * min(1, here / (16 * WINDOW)))
+        return tokens
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([self.p[k].ravel() for k in NAMES]).astype(np.float64)
+
+    def take(self, flat: np.ndarray) -> None:
+        cuts = np.cumsum([self.p[k].size for k in NAMES])[:-1]
+        for k, x in zip(NAMES, np.split(flat, cuts), strict=True):
+            self.p[k] = x.reshape(self.p[k].shape).astype(np.float32)
 
     def dump(self) -> bytes:
         out = io.BytesIO()

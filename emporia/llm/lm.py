@@ -14,6 +14,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +26,7 @@ from emporia.llm.words import slices, word_hashes, words_of
 FOLDS = 10
 FREQUENT = 262_144
 UNKNOWN = TOKENS - 2
+SPREAD = 32
 END_HASH = 0x0E4D  # stands for the end in the table of counts
 
 
@@ -80,7 +82,7 @@ class Frequent(NamedTuple):
 
 
 def train(docs: DataFrame, frequent: Frequent, texts: int = 1500, longest: int = 20_000, rounds: int = 2) -> bytes:
-    """Fit on the ``texts`` rows of ``docs`` (key, text) whose keys have the smallest hashes
+    """The start of the model: fitted on the ``texts`` rows of ``docs`` (key, text) whose keys have the smallest hashes
     among those of up to ``longest`` characters, which bounds the sample, equal rows
     once; one task, weights back."""
 
@@ -99,12 +101,55 @@ def train(docs: DataFrame, frequent: Frequent, texts: int = 1500, longest: int =
     # Keys are chosen first, so only the sample's few keys meet the texts.
     order = F.xxhash64("key", F.lit("lm"))
     short = docs.where(F.length("text") <= longest)
-    keys = short.select("key").orderBy(order).limit(texts).distinct()
+    keys = short.select("key").distinct().orderBy(order).limit(texts)
     sample = short.join(keys, "key").groupBy("key").agg(F.min("text").alias("text"))
     got = sample.repartition(1).sortWithinPartitions(order).mapInArrow(run, "model binary").first()
     return got["model"] if got else GRU(frequent.per_token).dump()
 
 
+def train_on(docs: DataFrame, frequent, model: bytes) -> bytes:
+    """``model`` trained on once over all rows of ``docs`` (text), long texts too, and
+    ``frequent``, a broadcast of the fields of ``Frequent``.  Every task goes on from
+    ``model`` with the rows it reads; the mean of their weights by tokens is taken, added
+    up in two steps from rows of a fixed size."""
+    schema = "some int, tokens long, weights binary"
+
+    def row(some: int, tokens: int, weights: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([some], pa.int32()), pa.array([tokens], pa.int64()), pa.array([weights.tobytes()], pa.binary())], names=["some", "tokens", "weights"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net, f = GRU.load(model), Frequent(*frequent.value)
+
+        def parts() -> Iterator[list[np.ndarray]]:
+            for batch in batches:
+                lanes: list[np.ndarray] = []
+                for t in slices(batch.column("text"), lower=True):
+                    w = words_of(t)
+                    ids = f.tokens(*f.find(word_hashes(t, w)))
+                    lanes += [np.append(ids[a:b], END).astype(np.int16) for a, b in zip(w.bounds[:-1].tolist(), w.bounds[1:].tolist(), strict=True)]
+                yield lanes
+
+        tokens = net.go_on(parts())
+        if tokens:
+            yield row(TaskContext.get().partitionId() % SPREAD, tokens, tokens * net.flat())
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, tuple[int, np.ndarray]] = {}
+        for batch in batches:
+            for some, tokens, weights in zip(*(batch.column(c) for c in ("some", "tokens", "weights")), strict=True):
+                n, total = sums.get(some.as_py(), (0, 0))
+                sums[some.as_py()] = (n + tokens.as_py(), total + np.frombuffer(weights.as_py()))
+        for some, (n, total) in sums.items():
+            yield row(some, n, total)
+
+    some = docs.select("text").mapInArrow(run, schema).repartition("some").mapInArrow(add, schema)
+    got = some.withColumn("some", F.lit(0)).repartition(1).mapInArrow(add, schema).first()
+    net = GRU.load(model)
+    if got:
+        net.take(np.frombuffer(got["weights"]) / got["tokens"])
+    return net.dump()
+
+
 ROWS = "key long, doc_id long, held_out boolean, n_tokens long, n_unknown long, known long, base double, unknown_base double, score double, rare_h array<long>, rare_n array<int>"
 
 
@@ -184,9 +229,9 @@ def score_texts(docs: DataFrame, sample_texts: int = 1500) -> DataFrame:
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"), F.coalesce(F.sum(F.when(F.col("h") == END_HASH, F.col("c"))), F.lit(0)).alias("texts")).first()
     top = counts.where(F.col("h") != END_HASH).orderBy(F.desc("c"), "h").limit(FREQUENT).toArrow()
     frequent = Frequent.of(top.column("h").to_numpy().view(np.uint64), top.column("c").to_numpy(), total["n"], total["texts"])
-    model = train(learned.select("key", "text"), frequent, sample_texts)
-
     shared = spark.sparkContext.broadcast(tuple(frequent))
+    model = train_on(learned, shared, train(learned.select("key", "text"), frequent, sample_texts))
+
     scored = stored(rows.mapInArrow(_score_rows(shared, model), ROWS), "scored")
     rare = scored.select("key", F.explode(F.arrays_zip("rare_h", "rare_n")).alias("w")).select("key", F.col("w.rare_h").alias("h"), F.col("w.rare_n").alias("n"))
     c = F.coalesce("c", F.lit(0))

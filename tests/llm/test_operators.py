@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from emporia.llm import bytecnn, components, gru, jaccard, latent, licences, lines, lm, mixing, pivots, substrings, tokens, words
 from emporia.llm.counttree import CountTree, Overlaps, counts, fold, needed, pack, spanning_links, unpack
@@ -154,6 +155,26 @@ def test_lm_rare_words_meet_their_counts(spark, monkeypatch):
         assert abs(got[i].base_score - want) < 1e-9
 
 
+def test_lm_learns_from_rows_beyond_the_sample(spark):
+    rng = random.Random(31)
+    row = lambda: " ".join(f"a{k} b{k} c{k}" for k in (rng.randrange(20) for _ in range(20)))
+    got = lm.score_texts(frame(spark, [row() for _ in range(12_000)]), sample_texts=1).where("held_out").collect()
+    assert sum(r.score for r in got) > 0.8 * sum(r.base_score for r in got)
+
+
+def test_lm_sample_is_not_filled_by_a_repeated_row(spark):
+    rows = [(0, "same")] * 200 + [(i, f"x{i}") for i in range(1, 30)]
+    seen = []
+    docs = spark.createDataFrame(rows, "key long, text string")
+    for k in range(5):  # whichever key has the smallest hash
+        many = docs.withColumn("key", docs.key + 1000 * k)
+        first = many.select("key").distinct().orderBy(F.xxhash64("key", F.lit("lm"))).first()["key"]
+        extra = spark.createDataFrame([(first, "x y z")] * 50, docs.schema)
+        f = lm.Frequent.of(np.array([], np.uint64), np.array([], np.int64), 0, 0)
+        seen.append(lm.train(many.union(extra), f, texts=20) != lm.train(extra, f, texts=20))
+    assert all(seen)
+
+
 def test_latent_finds_copies_and_paraphrases(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
     bench = spark.read.parquet(f"{small}/benchmark.parquet")
