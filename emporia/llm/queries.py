@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import bpe, bytecnn, jaccard, latent, licences, lines, lm, mixing, pivots, runs, substrings, tokens
+from emporia.llm import bpe, bytecnn, jaccard, latent, licences, lines, lm, mixing, pivots, repair, runs, substrings, tokens
 from emporia.llm.sql import JACCARD_SQL, LICENCE_SQL, LINES_SQL, MIX_SQL, SUBSTRING_SQL
 
 
@@ -85,6 +85,11 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.concat_ws("|", "sentence_ids").alias("sentence_ids"), F.concat_ws("|", "licences").alias("licences"), "n_rules")
 
 
+def op11_glr_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of damaged conversations and their cheapest repair to the role grammar."""
+    return repair.repair_digest(table(spark, sf_dir, "conversations"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words in every document, a tenth of which get one planted."""
     return runs.run_digest(runs.plant_runs(table(spark, sf_dir, "documents")))
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_pivot_neardup": op9_pivot_neardup,
     "op10_licence_scan": op10_licence_scan,
+    "op11_glr_repair": op11_glr_repair,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_rank_array_bpe": op13_rank_array_bpe,
 }
