@@ -33,8 +33,8 @@ from pyspark.sql import types as T
 from emporia.llm.tokens import process_memo
 
 SHORT = 64
-MOST_WORDS, WORD_BYTES = 300_000, 40_000_000
-SLICE = 4_000_000
+MOST_WORDS, WORD_BYTES = 200_000, 20_000_000
+SLICE = 2_000_000
 NONE = np.int32(2**31 - 1)
 
 # The byte-level pre-tokenizer's pattern.
