@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from emporia.operators.intervals import build_index, lookup
 
 
 def with_dimension(df: DataFrame, dim: DataFrame, on: str | list[str] | Column, how: str = "left") -> DataFrame:
@@ -55,23 +58,51 @@ def ipv4_to_long(ip) -> Column:
     return F.when(valid, number)
 
 
-def ip_region_join(df: DataFrame, ip_num: str, ranges: DataFrame, bucket_bits: int = 16) -> DataFrame:
-    """Left range join ``ip BETWEEN start_ip AND end_ip`` -> ``region``.
+def ip_binary(ip) -> Column:
+    """IPv6 or IPv4 text -> 16 bytes in network order, IPv4 as ``::ffff:a.b.c.d``; malformed
+    text -> null.  Bytes compare as addresses do."""
+    ip = F.lower(F.col(ip) if isinstance(ip, str) else ip)
+    v4 = ipv4_to_long(ip)
+    tail = ipv4_to_long(F.regexp_extract(ip, r":(\d+\.\d+\.\d+\.\d+)$", 1))
+    words = F.concat(F.hex(F.shiftright(tail, 16)), F.lit(":"), F.hex(tail.bitwiseAND(F.lit(0xFFFF))))
+    text = F.when(tail.isNotNull(), F.concat(F.regexp_extract(ip, r"^(.*:)[\d.]+$", 1), F.lower(words))).otherwise(ip)
+    halves = F.split(text, "::")
+    none = F.array().cast("array<string>")
+
+    def groups(half: Column) -> Column:
+        return F.when(half == "", none).otherwise(F.split(half, ":"))
+
+    left, right = groups(F.get(halves, 0)), F.coalesce(groups(F.get(halves, 1)), none)
+    count = F.size(left) + F.size(right)
+    zeros = F.array_repeat(F.lit("0"), F.greatest(8 - count, F.lit(0)))
+    every = F.concat(left, zeros, right)
+    whole = F.when(F.size(halves) == 2, count <= 7).otherwise((F.size(halves) == 1) & (count == 8))
+    valid = whole & F.forall(F.concat(left, right), lambda g: g.rlike("^[0-9a-f]{1,4}$"))
+    v6 = F.unhex(F.array_join(F.transform(every, lambda g: F.lpad(g, 4, "0")), ""))
+    return F.when(v4.isNotNull(), F.unhex(F.concat(F.lit("00000000000000000000ffff"), F.lpad(F.hex(v4), 8, "0")))).when(valid, v6)
+
+
+def ip_width(start: str, end: str) -> Column:
+    """How far apart two addresses are, as a value that orders ranges by width; 64-bit halves
+    of 16-byte addresses are subtracted with a borrow."""
 
-    A bare BETWEEN join is a nested loop.  Each range is copied into the
-    ``2^bucket_bits``-address buckets it overlaps, a bucket's ranges become one
-    row (narrowest first), and the join runs on the bucket alone.  A row
-    matches one bucket row, so overlapping ranges never copy it: the narrowest
-    range that holds the address wins (then the lowest start, then the region
-    text).  Rows without an address meet no bucket and are spread by a key of
-    their own instead of gathering under null.
+    def half(c: str, at: int) -> Column:
+        return F.conv(F.hex(F.substring(c, at, 8)), 16, 10).cast("decimal(20,0)")
+
+    low = half(end, 9) - half(start, 9)
+    borrow = F.when(low < 0, 1).otherwise(0)
+    return F.struct((half(end, 1) - half(start, 1) - borrow).alias("high"), (low + borrow * F.lit(str(2**64)).cast("decimal(20,0)")).alias("low"))
+
+
+def ip_region_join(df: DataFrame, ip: str, ranges: DataFrame) -> DataFrame:
+    """Left join of addresses to ``ranges`` (start_ip, end_ip, region) -> ``region``.
+
+    Addresses are numbers (``ipv4_to_long``) or 16 bytes (``ip_binary``), as the ranges'
+    bounds are.  Ranges may overlap: the narrowest that holds the address wins (then the
+    lowest start, then the region text).  They are cut into disjoint pieces first, and
+    an address finds its piece by binary search (``intervals``), so no row is copied and a
+    range over everything costs no more than another.
     """
-    bucketed = ranges.select(
-        F.explode(F.sequence(F.shiftright("start_ip", bucket_bits), F.shiftright("end_ip", bucket_bits))).alias("_b"),
-        F.struct((F.col("end_ip") - F.col("start_ip")).alias("width"), "start_ip", "end_ip", "region").alias("r"),
-    )
-    rows = bucketed.groupBy("_b").agg(F.array_sort(F.collect_set("r")).alias("_ranges"))
-    ip = F.col(ip_num)
-    left = df.withColumn("_b", F.coalesce(F.shiftright(ip, bucket_bits), -F.pmod(F.xxhash64(*df.columns), F.lit(1 << 20)) - 1))
-    hit = F.filter("_ranges", lambda r: (r["start_ip"] <= ip) & (ip <= r["end_ip"]))
-    return left.join(rows, "_b", "left").withColumn("region", F.get(hit, 0)["region"]).drop("_b", "_ranges")
+    binary = isinstance(ranges.schema["start_ip"].dataType, T.BinaryType)
+    width = ip_width("start_ip", "end_ip") if binary else F.col("end_ip") - F.col("start_ip")
+    return lookup(df, ip, build_index(ranges, "start_ip", "end_ip", "region", width), "region")

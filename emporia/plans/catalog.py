@@ -15,14 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporia.functions import time as tfn
+from emporia.operators.joins import ip_binary, ip_region_join, null_safe_on
 from emporia.plans import changes, gmv, inputs, links, logs, ods, reports
 from emporia.plans import warehouse as wh
 from emporia.session import scratch_path
-from emporia.sources import sinks
+from emporia.sources import landing, sinks
 from emporia.sources import tables as tbl
 from emporia.sources.streams import read_sales_stream
 from emporia.sources.tables import table
-from emporia.streaming import jobs, store
+from emporia.streaming import final, jobs, keyed, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -108,6 +109,44 @@ def q_device_users(spark, base):
     return logs.device_users(inputs.log_events(spark, base))
 
 
+@query("page_view_lines")
+def q_page_view_lines(spark, base):
+    """The source's day windows and printed lines."""
+    return logs.page_view_windows(inputs.log_events(spark, base))
+
+
+# ---- A2, A4, A5: running results, one row per input ----------------------------
+
+
+@query("keyword_running_counts")
+def q_keyword_running_counts(spark, base):
+    return logs.keyword_running_counts(inputs.log_events(spark, base), ("ts", "event_id"), search_type="click")
+
+
+@query("path_running_counts")
+def q_path_running_counts(spark, base):
+    return logs.path_running_counts(inputs.log_events(spark, base), ("ts", "event_id"))
+
+
+@query("device_user_arrivals")
+def q_device_user_arrivals(spark, base):
+    return logs.device_user_arrivals(inputs.log_events(spark, base), ("ts", "event_id"))
+
+
+# ---- J8: addresses in overlapping ranges ------------------------------------------
+
+
+@query("ip_interval_lookup")
+def q_ip_interval_lookup(spark, base):
+    return ip_region_join(inputs.address_rows(spark, base).drop("ip6"), "ip", inputs.wide_ranges(spark, base))
+
+
+@query("ip_interval_lookup_v6")
+def q_ip_interval_lookup_v6(spark, base):
+    rows = inputs.address_rows(spark, base).select("event_id", ip_binary("ip6").alias("ip"))
+    return ip_region_join(rows, "ip", inputs.wide_ranges_v6(spark, base)).select("event_id", F.lower(F.hex("ip")).alias("ip"), "region")
+
+
 # ---- R1-R5: report SQL over the GMV report table ----------------------------
 
 
@@ -162,6 +201,42 @@ def q_change_current_state(spark, base):
     return changes.current_state(_flat_changes(spark, base), ["user_id"])
 
 
+def _handover(spark, base):
+    """The users' rows at a log position as the snapshot, and the whole log, which overlaps
+    it: C2 and S4."""
+    at = inputs.taken_at(spark, base)
+    log = changes.parse_changes(inputs.change_log(spark, base), CHANGE_ROW)
+    earlier = changes.flatten_change(log.filter(F.col("source.lsn") <= at), CHANGE_ROW)
+    snapshot = changes.current_state(earlier, ["user_id"]).select(*CHANGE_ROW.names)
+    both = changes.handover([(snapshot, "public", "events", at)], log)
+    return changes.flatten_change(changes.filter_tables(both, "public", "events"), CHANGE_ROW)
+
+
+@query("change_handover")
+def q_change_handover(spark, base):
+    """C2/S4 through C3 and C1: the snapshot's rows, then the changes behind it."""
+    return _handover(spark, base)
+
+
+@query("change_handover_state")
+def q_change_handover_state(spark, base):
+    return changes.current_state(_handover(spark, base), ["user_id"]).select("user_id", "event_type", "value")
+
+
+# ---- S7: incremental landing -------------------------------------------------------
+
+
+@query("ods_incremental_users")
+def q_ods_incremental_users(spark, base):
+    """Each user's last event, landed in two loads, the second of them twice: its full day."""
+    dest = scratch_path(spark, f"ods-{uuid.uuid4().hex}")
+    rows = inputs.events(spark, base).select("user_id", "event_id", "event_type", "value", (F.col("event_type") == "error").alias("gone"))
+    first = rows.filter(F.col("event_id") <= inputs.taken_at(spark, base))
+    for source, dt in ((first, "2024-01-15"), (rows, "2024-01-16"), (rows, "2024-01-16")):
+        landing.land_increment(source, dest, dt, ["user_id"], "event_id", deleted="gone")
+    return landing.read_full(spark, dest, "2024-01-16").drop("gone")
+
+
 # ---- H1-H32: layered warehouse --------------------------------------------------
 
 
@@ -282,6 +357,8 @@ WAREHOUSE = {
     "dim_sku": lambda L: L.sku(),
     "dim_user": lambda L: L.users(),
     "dwd_order_detail": lambda L: L.detail(),
+    "dwd_order_info": lambda L: wh.dwd_order_info(L.orders(), L.lines(), ods.ods_payment_info(L.spark, L.base)),
+    "dwd_payment_info": lambda L: wh.dwd_payment_info(ods.ods_payment_info(L.spark, L.base), L.orders()),
     "dwd_log_detail": lambda L: L.page_log(),
     "dwd_comment_detail": lambda L: L.comments(),
     "dwd_cart_detail": lambda L: wh.dwd_action_detail(L.page_log(), "click"),
@@ -317,9 +394,30 @@ WAREHOUSE = {
     "drilldown_summary": lambda L: wh.drilldown_summary(L.detail()),
     "drilldown_detail": lambda L: wh.drilldown_detail(L.detail(), DRILL_DAY),
 }
+
+
+def _span(L, day_table, count):
+    """Visitors of a span of days by store and source, from the stored day table alone."""
+    dims = ["store_id", "source_type"]
+    stored = L._land("dws", day_table.__name__, day_table(L.page_log(), dims))
+    return count(stored, dims, *SPAN)
+
+
+def _visitors_checked(L):
+    """The sketches' counts beside the exact ones: whether they are within 2 %, or 1."""
+    about = _span(L, wh.dws_visitor_sketch_day, wh.visitors_about).withColumnRenamed("visitors", "about")
+    exact = _span(L, wh.dws_visitor_bitmap_day, wh.visitors_exactly)
+    both = null_safe_on(exact, about, ["store_id", "source_type"], "full_outer")
+    close = F.abs(F.col("about") - F.col("visitors")) <= F.greatest(F.lit(1.0), F.col("visitors") * 0.02)
+    return both.select("store_id", "source_type", "visitors", close.alias("sketch_close"))
+
+
+SPAN = ("2024-01-08", "2024-01-21")
+WAREHOUSE["visitor_span"] = lambda L: _span(L, wh.dws_visitor_bitmap_day, wh.visitors_exactly)
+WAREHOUSE["visitor_span_sketch"] = _visitors_checked
 for _name, _fn in WAREHOUSE.items():
     QUERIES[_name] = _wh(_fn)
-for _name in ["ads_wide", "price_metrics", "drilldown_summary", "drilldown_detail"]:
+for _name in ["ads_wide", "price_metrics", "drilldown_summary", "drilldown_detail", "visitor_span", "visitor_span_sketch"]:
     QUERIES[_name] = _wh(WAREHOUSE[_name], StoredLayers)
 for _name in ["ads_wide", "one_shot_ads", "audience_ratio", "dws_store_source_daycount", "dws_store_category_daycount"]:
     QUERIES[f"{_name}_nulls"] = _wh(WAREHOUSE[_name], NullLayers)
@@ -423,6 +521,64 @@ def q_stream_change_current_state(spark, base):
                    lambda o: jobs.read_current_state(spark, o, ["user_id"]))
 
 
+# ---- streams that write each result once, or one for each input ----------------------
+
+
+def _in_lots(spark, rows, lot, count, starter):
+    """Rows land in ``count`` lots; after each the stream goes on from its checkpoint and
+    stops.  Returns the folder of its results."""
+    root = scratch_path(spark, f"lots-{uuid.uuid4().hex}")
+    for k in range(count):
+        rows.filter(F.col(lot) == k).drop(lot).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(rows.drop(lot).schema).parquet(f"{root}/in")
+        q = starter(stream, f"{root}/out", f"{root}/checkpoint")
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+    return f"{root}/out"
+
+
+@query("stream_gmv_final")
+def q_stream_gmv_final(spark, base):
+    """Only windows that the watermark has closed, each written once; late rows count
+    in the windows of their day that are still open."""
+    out = _in_lots(spark, inputs.sales_lots(spark, base), "lot", inputs.LOTS, final.start_gmv_final)
+    return final.read_gmv_final(spark, out)
+
+
+@query("stream_arrival_paths")
+def q_stream_arrival_paths(spark, base):
+    """Paths by time of arrival, flushed every 15 seconds, with the printed line."""
+    rows = inputs.arrival_logs(spark, base).withColumn("lot", F.when(F.col("event_id") < 0, 1).otherwise(0))
+    out = _in_lots(spark, rows, "lot", 2, lambda s, o, c: final.start_arrival_paths(s, o, c, seq="event_id"))
+    return final.read_arrival_paths(spark, out)
+
+
+@query("stream_keyword_daily_once")
+def q_stream_keyword_daily_once(spark, base):
+    """List state and a timer, a day's Top-10 given once."""
+    root = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    q = keyed.start_keyword_once(inputs.log_rows(inputs.events_stream(spark, base)), f"{root}/out", f"{root}/checkpoint", 10, "click", wait_s=1.0)
+    keyed.stop_when_quiet(q, quiet_s=4.0)
+    return keyed.read_keyword_once(spark, f"{root}/out", 10)
+
+
+@query("stream_device_user_arrivals")
+def q_stream_device_user_arrivals(spark, base):
+    """A row per new user, state kept by day, over two lots and a restart."""
+    rows = inputs.log_events(spark, base).withColumn("lot", F.when(F.col("event_id") <= inputs.taken_at(spark, base), 0).otherwise(1))
+    out = _in_lots(spark, rows, "lot", 2, lambda s, o, c: keyed.start_device_user_arrivals(s, o, c, seq="event_id"))
+    return keyed.read_device_user_arrivals(spark, out).withColumnRenamed("seq", "event_id")
+
+
+@query("stream_page_view_lines")
+def q_stream_page_view_lines(spark, base):
+    """T7/F21 on a stream, running counts by day window."""
+    lines = logs.page_view_windows(inputs.log_rows(inputs.events_stream(spark, base)))
+    return _stream(spark, lambda o, c: jobs._start(lines, lambda b, e: store.append_epoch(b, o, e), c, "update", None, None),
+                   lambda o: store.latest(spark, o, ["log_date", "log_type"]))
+
+
 # ---- E10-E12, S11-S12: views, preview and full scan -------------------------------
 
 

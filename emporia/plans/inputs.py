@@ -45,13 +45,14 @@ def sales_events(spark: SparkSession, base: str) -> DataFrame:
     return sales_rows(events(spark, base))
 
 
-def sales_rows(ev: DataFrame) -> DataFrame:
+def sales_rows(ev: DataFrame, *more: str) -> DataFrame:
     """Purchases as sales rows: id = user_id, product = k, amount = value."""
     return ev.filter(F.col("event_type") == "purchase").select(
         F.col("user_id").cast("string").alias("id"),
         _k().cast("string").alias("product_id"),
         F.col("value").alias("total_amount"),
         F.col("ts").alias("event_time"),
+        *more,
     )
 
 
@@ -238,3 +239,65 @@ def change_rows(ev: DataFrame) -> DataFrame:
 # Change ops given to events for the sales view (E10), and the day it keeps.
 SALES_OPS = {"purchase": "r", "view": "+I", "click": "+U", "signup": "-U", "error": "-D"}
 SALES_DAY = "2024-01-15"
+
+
+# ---- arrivals, snapshots, ranges ----------------------------------------------------
+
+LOTS = 4
+
+
+def sales_lots(spark: SparkSession, base: str) -> DataFrame:
+    """Sales rows with ``lot``, the ten days in which they arrive: every 13th event a day after
+    it happened, every 101st nine days after, the others at once."""
+    ev = events(spark, base).filter(F.col("event_type") == "purchase")
+    late = F.when(F.pmod("event_id", F.lit(101)) == 0, 9).when(F.pmod("event_id", F.lit(13)) == 0, 1).otherwise(0)
+    lot = F.least(F.floor((F.datediff("ts", F.lit("2024-01-01").cast("date")) + late) / 10).cast("int"), F.lit(LOTS - 1))
+    return sales_rows(ev.withColumn("lot", lot), "lot")
+
+
+def arrival_logs(spark: SparkSession, base: str) -> DataFrame:
+    """Log rows with ``arrived``, 20 a second in the order of their ids, and a last row a day
+    later that stands for the end of the input (its type is null, so it is in no path)."""
+    start = F.lit("2024-03-01 00:00:00").cast("timestamp")
+    rows = log_rows(events(spark, base)).select("event_id", "ts", "log_type", "user_id", F.timestamp_add("MILLISECOND", F.col("event_id") * 50, start).alias("arrived"))
+    last = rows.agg(F.max("arrived").alias("arrived")).select(
+        F.lit(-1).cast("long").alias("event_id"), F.lit(0).cast("long").alias("ts"), F.lit(None).cast("string").alias("log_type"), F.lit("end").alias("user_id"),
+        F.timestamp_add("DAY", F.lit(1), F.col("arrived")).alias("arrived"),
+    )
+    return rows.unionByName(last)
+
+
+def taken_at(spark: SparkSession, base: str) -> int:
+    """The log position at which the snapshot of the change log is taken: half way."""
+    return (events(spark, base).agg(F.max("event_id")).first()[0] or 0) // 2
+
+
+def wide_ranges(spark: SparkSession, base: str) -> DataFrame:
+    """Overlapping ranges, one per part, of widths from 1 to 2^31, and one over all addresses."""
+    p = table(spark, base, "part", ["p_partkey"])
+    key = F.col("p_partkey").cast("long")
+    start = F.pmod(key * F.lit(IP_HASH), F.lit(1 << 32))
+    end = F.least(start + F.expr("shiftleft(1L, int(p_partkey % 32))") - 1, F.lit((1 << 32) - 1))
+    rows = p.select(start.alias("start_ip"), end.alias("end_ip"), F.concat(F.lit("r"), key.cast("string")).alias("region"))
+    return rows.unionByName(spark.range(1).select(F.lit(0).cast("long").alias("start_ip"), F.lit((1 << 32) - 1).alias("end_ip"), F.lit("all").alias("region")))
+
+
+def hex16(high: Column, fill: str) -> Column:
+    """16 bytes: ``high`` (not negative) and eight bytes of one hexadecimal digit."""
+    return F.concat(F.lpad(F.hex(high), 16, "0"), F.lit(fill * 16))
+
+
+def wide_ranges_v6(spark: SparkSession, base: str) -> DataFrame:
+    """IPv6 ranges from those of ``wide_ranges``: prefixes 2001:db8::/32 and on."""
+    r = wide_ranges(spark, base)
+    top = F.lit(0x20010DB8 << 32)
+    return r.select(F.unhex(hex16(top + F.col("start_ip"), "0")).alias("start_ip"), F.unhex(hex16(top + F.col("end_ip"), "F")).alias("end_ip"), "region")
+
+
+def address_rows(spark: SparkSession, base: str) -> DataFrame:
+    """(event_id, ip, ip6): an IPv4 address as a number, an IPv6 one as text; every 7th event
+    has none."""
+    ev = table(spark, base, "events", ["event_id"])
+    n = F.when(F.pmod("event_id", F.lit(7)) != 0, F.pmod((F.col("event_id") + 17) * F.lit(IP_HASH), F.lit(1 << 32)))
+    ip6 = F.concat(F.lit("2001:db8:"), F.lower(F.hex(F.shiftright(n, 16))), F.lit(":"), F.lower(F.hex(F.pmod(n, F.lit(65536)))), F.lit("::"), F.lower(F.hex(F.pmod("event_id", F.lit(65536)))))
+    return ev.select("event_id", n.alias("ip"), ip6.alias("ip6"))

@@ -9,12 +9,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from emporia.functions.text import PATH_ARROW, region_parts
-from emporia.functions.time import DEFAULT_TZ, epoch_ms, local_date
+from emporia.functions.time import DEFAULT_TZ, daily_window, epoch_ms, local_date, wall_clock
 from emporia.operators.generators import explode_keywords
-from emporia.operators.joins import ip_region_join, ipv4_to_long
+from emporia.operators.joins import ip_binary, ip_region_join, ipv4_to_long
 from emporia.operators.ranking import top_n
+from emporia.operators.running import running_sum
+from emporia.operators.sequence import transitions
 
 
 def normalise(df: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
@@ -43,6 +46,18 @@ def page_views(df: DataFrame, tz: str = DEFAULT_TZ, lateness: str | None = None)
     return rows.groupBy(*day, "log_type").agg(F.count(F.lit(1)).alias("pv")).drop("_day_ts")
 
 
+def page_view_windows(df: DataFrame, tz: str = DEFAULT_TZ, lateness: str | None = None) -> DataFrame:
+    """M1 as the source prints it (T7, F21): PV per type in one-day event-time windows aligned
+    to local midnight, with the printed line.  With ``lateness`` (streams) a day is written
+    once, when the watermark has passed its end.  Columns: log_date, log_type, pv, line."""
+    rows = normalise(df, tz).withColumn("_t", F.timestamp_millis("ts"))
+    rows = rows.withWatermark("_t", lateness) if lateness else rows
+    counts = rows.groupBy(daily_window("_t", tz).alias("_w"), "log_type").agg(F.count(F.lit(1)).alias("pv"))
+    day = F.to_date(wall_clock(F.col("_w.start"), tz))
+    out = counts.select(day.alias("log_date"), "log_type", "pv")
+    return out.withColumn("line", F.format_string("日期: %s, 页面: %s, PV: %d", F.col("log_date").cast("string"), "log_type", "pv"))
+
+
 def keyword_counts(
     df: DataFrame, search_type: str = "search", tz: str = DEFAULT_TZ, lateness: str | None = None
 ) -> DataFrame:
@@ -52,6 +67,17 @@ def keyword_counts(
     return rows.groupBy(*day, "keyword").agg(F.count(F.lit(1)).alias("cnt")).drop("_day_ts")
 
 
+def keyword_running_counts(df: DataFrame, order: tuple[str, ...] = ("ts",), search_type: str = "search", tz: str = DEFAULT_TZ) -> DataFrame:
+    """A2 as the source emits it: a row per keyword seen, with how often its day has had
+    the keyword by then.  ``order`` tells rows apart (e.g. ts and an event id); the
+    keywords of one row count in their order there.  Columns: log_date, keyword,
+    ``order``, pos, cnt."""
+    rows = normalise(df.filter(F.col("log_type") == search_type), tz)
+    words = rows.select("log_date", *order, F.posexplode("keywords").alias("pos", "keyword"))
+    words = words.withColumn("keyword", F.trim("keyword")).filter(F.length("keyword") > 0)
+    return running_sum(words, ["log_date", "keyword"], [F.col(c) for c in (*order, "pos")], F.lit(1).cast("long"), "cnt")
+
+
 def keyword_top_n(df: DataFrame, n: int = 10, search_type: str = "search", tz: str = DEFAULT_TZ) -> DataFrame:
     """Top-``n`` search words per day by count desc, then word asc.
 
@@ -63,9 +89,11 @@ def keyword_top_n(df: DataFrame, n: int = 10, search_type: str = "search", tz: s
     )
 
 
-def with_region(df: DataFrame, ranges: DataFrame, bucket_bits: int = 16) -> DataFrame:
-    """J8 + F15-F19: province, city and full_region for ``gis.ip``."""
-    located = ip_region_join(df.withColumn("_ip", ipv4_to_long(F.col("gis.ip"))), "_ip", ranges, bucket_bits)
+def with_region(df: DataFrame, ranges: DataFrame) -> DataFrame:
+    """J8 + F15-F19: province, city and full_region for ``gis.ip``; IPv4 where the bounds of
+    ``ranges`` are numbers, IPv6 too where they are 16 bytes."""
+    as_range = ip_binary if isinstance(ranges.schema["start_ip"].dataType, T.BinaryType) else ipv4_to_long
+    located = ip_region_join(df.withColumn("_ip", as_range(F.col("gis.ip"))), "_ip", ranges)
     province, city, full = region_parts("region")
     return located.withColumns({"province": province, "city": city, "full_region": full}).drop("_ip", "region")
 
@@ -75,7 +103,6 @@ def login_regions(
     ranges: DataFrame,
     login_type: str = "login",
     tz: str = DEFAULT_TZ,
-    bucket_bits: int = 16,
     lateness: str | None = None,
 ) -> DataFrame:
     """M3: logins per (log_date, full_region).
@@ -86,10 +113,21 @@ def login_regions(
     """
     rows = normalise(df.filter(F.col("log_type") == login_type), tz)
     rows = rows.filter(F.col("gis").isNotNull() & F.col("gis.ip").isNotNull() & (F.col("gis.ip") != ""))
-    located, day = _by_day(with_region(rows.select("log_date", "gis"), ranges, bucket_bits), lateness)
+    located, day = _by_day(with_region(rows.select("log_date", "gis"), ranges), lateness)
     return located.groupBy(*day, "full_region").agg(F.count(F.lit(1)).alias("logins")).drop("_day_ts")
 
 
+def path_running_counts(df: DataFrame, order: tuple[str, ...] = ("ts",), tz: str = DEFAULT_TZ, bucket_ms: int = 3_600_000) -> DataFrame:
+    """A4 as the source emits it: a row per page-type change, with how often its day has
+    had the path by then.  Columns: log_date, path, ``order``, cnt.  ``order`` tells
+    rows apart."""
+    rows = normalise(df.filter(F.col("user_id").isNotNull()), tz).select("user_id", "log_type", "log_date", *order)
+    paired = transitions(rows, "user_id", list(order), "log_type", F.floor(F.col("ts") / bucket_ms))
+    path = F.concat("prev", F.lit(PATH_ARROW), "log_type").alias("path")
+    moves = paired.filter(F.col("prev") != F.col("log_type")).select("log_date", path, *order)
+    return running_sum(moves, ["log_date", "path"], [F.col(c) for c in order], F.lit(1).cast("long"), "cnt")
+
+
 def path_transitions(
     df: DataFrame,
     tz: str = DEFAULT_TZ,
@@ -134,6 +172,26 @@ def count_moves(paired: DataFrame) -> DataFrame:
     )
 
 
+DEVICE = ["dt", "plat", "brand", "platv"]
+
+
+def device_rows(df: DataFrame, *more: str, tz: str = DEFAULT_TZ) -> DataFrame:
+    """Rows of M5: dt, plat, brand, platv, userkey and ``more``; no null userkey or plat."""
+    device = F.col("device")
+    rows = normalise(df, tz).filter(device.isNotNull() & F.col("device.userkey").isNotNull() & F.col("device.plat").isNotNull())
+    return rows.select(F.col("log_date").alias("dt"), "device.plat", "device.brand", "device.platv", "device.userkey", *more)
+
+
+def device_user_arrivals(df: DataFrame, order: tuple[str, ...] = ("ts",), tz: str = DEFAULT_TZ) -> DataFrame:
+    """A5 as the source emits it: a row per new user of a (dt, plat, brand, platv), with the
+    number of users it has had by then.  ``order`` tells rows apart.  Columns: dt, plat,
+    brand, platv, userkey, ``order``, users."""
+    rows = device_rows(df, *order, tz=tz)
+    firsts = rows.groupBy(*DEVICE, "userkey").agg(F.min(F.struct(*order)).alias("_first"))
+    firsts = firsts.select(*DEVICE, "userkey", *[F.col(f"_first.{c}").alias(c) for c in order])
+    return running_sum(firsts, DEVICE, [*[F.col(c) for c in order], F.col("userkey")], F.lit(1).cast("long"), "users")
+
+
 def device_users(df: DataFrame, tz: str = DEFAULT_TZ, approx_rsd: float | None = None) -> DataFrame:
     """M5: exact distinct users per (dt, plat, brand, platv).
 

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from emporia.operators.joins import null_safe_on, with_dimension
 from emporia.operators.ranking import latest_by
+from emporia.operators.running import ranked
 
 PAGE_LOG = T.StructType(
     [
@@ -33,6 +34,7 @@ PAGE_LOG = T.StructType(
 CHANNELS = ["app", "pc", "wx", "h5"]
 # Behaviour stages of the customer-insight report and the log action for each.
 STAGES = {"search": "click", "visit": "view", "pay": "purchase"}
+ORDER_STATUS = {"O": "open", "P": "partial", "F": "finished"}
 RATING = {"1": "good", "2": "neutral", "3": "bad"}
 
 
@@ -129,6 +131,46 @@ def dwd_order_detail(
     )
 
 
+def dwd_order_info(orders: DataFrame, lines: DataFrame, payments: DataFrame) -> DataFrame:
+    """H6: one clean row per order: its latest version, its status as a word, the number
+    and amount of its clean lines (as in ``dwd_order_detail``; 0 without any), what was paid
+    for it and whether that is all.
+
+    Orders without an id are dropped.  Lines and payments are summed by order before they
+    are joined, so an order of any number of lines is a row a task in the shuffle.
+    """
+    current = latest_by(orders.filter(F.col("order_id").isNotNull()), ["order_id"], ["created_at"])
+    clean = lines.filter(F.col("order_id").isNotNull() & (F.col("quantity") > 0) & F.col("amount").isNotNull()).dropDuplicates()
+    sums = clean.groupBy("order_id").agg(F.count(F.lit(1)).alias("line_num"), F.sum("quantity").alias("item_num"), money_sum("amount").alias("amount"))
+    paid = dwd_payment_info(payments, orders).groupBy("order_id").agg(money_sum("amount").alias("paid_amount"))
+    word = F.create_map(*[F.lit(x) for kv in ORDER_STATUS.items() for x in kv])[F.col("status")]
+    out = current.join(sums, "order_id", "left").join(paid, "order_id", "left")
+    return out.select(
+        "order_id",
+        "user_id",
+        F.coalesce(word, F.lit("unknown")).alias("status"),
+        F.coalesce("line_num", F.lit(0)).alias("line_num"),
+        F.coalesce("item_num", F.lit(0)).alias("item_num"),
+        F.coalesce("amount", F.lit(0)).cast("decimal(38,4)").alias("amount"),
+        F.coalesce("paid_amount", F.lit(0)).cast("decimal(38,2)").alias("paid_amount"),
+        F.col("paid_amount").isNotNull().alias("is_paid"),
+        F.to_date("created_at").alias("dt"),
+    )
+
+
+def dwd_payment_info(payments: DataFrame, orders: DataFrame) -> DataFrame:
+    """H6: one clean row per payment, joined to its order: the latest version by payment id,
+    positive amounts of done payments only, with the order's buyer and day.  A payment
+    without an order keeps nulls there."""
+    done = payments.filter(F.col("payment_id").isNotNull() & (F.col("amount") > 0) & (F.col("status") == "paid"))
+    current = latest_by(done, ["payment_id"], ["paid_at"])
+    bought = latest_by(orders.filter(F.col("order_id").isNotNull()), ["order_id"], ["created_at"])
+    bought = bought.select("order_id", F.col("user_id").alias("buyer_id"), F.to_date("created_at").alias("order_dt"))
+    return current.join(bought, "order_id", "left").select(
+        "payment_id", "order_id", "user_id", "buyer_id", F.col("amount").cast("decimal(18,2)").alias("amount"), "order_dt", F.to_date("paid_at").alias("dt")
+    )
+
+
 def dwd_page_log(raw: DataFrame, sku: DataFrame, col: str = "line") -> DataFrame:
     """H8: JSON log lines -> typed page log with the sku's shop and category.
 
@@ -276,6 +318,46 @@ def dws_keyword_traffic_analysis(page_log: DataFrame) -> DataFrame:
     )
 
 
+# ---- DWS: distinct counts that merge -------------------------------------------
+#
+# A distinct count of two days is not the sum of their counts.  The day tables below
+# hold what can be merged instead: any span of days is counted from them, without
+# reading the log again.
+
+LG_K = 14
+
+
+def dws_visitor_sketch_day(page_log: DataFrame, dims: list[str], action: str = "view", lg_k: int = LG_K) -> DataFrame:
+    """Per (dt, dims) an HLL sketch of the visitors, for ids of any type.
+
+    A sketch is a few KB, whatever the day's size, and is built map-side.  The relative
+    standard error of a count is about 0.83 / sqrt(2^lg_k): 0.65 % with 14.
+    """
+    rows = page_log.filter((F.col("action") == action) & F.col("user_id").isNotNull())
+    return rows.groupBy("dt", *dims).agg(F.hll_sketch_agg("user_id", lg_k).alias("visitors"))
+
+
+def visitors_about(day_table: DataFrame, dims: list[str], start: str, end: str) -> DataFrame:
+    """(dims, visitors): about how many visitors the days ``start`` to ``end`` have together."""
+    days = day_table.filter(F.col("dt").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    return days.groupBy(*dims).agg(F.hll_sketch_estimate(F.hll_union_agg("visitors")).alias("visitors"))
+
+
+def dws_visitor_bitmap_day(page_log: DataFrame, dims: list[str], action: str = "view") -> DataFrame:
+    """Per (dt, dims, bucket) a bitmap of the visitors whose ids (not negative) lie in the bucket
+    of 32,768: exact, at most 4 KB a row, built map-side."""
+    rows = page_log.filter((F.col("action") == action) & F.col("user_id").isNotNull())
+    bucket = F.bitmap_bucket_number(F.col("user_id")).alias("bucket")
+    return rows.groupBy("dt", *dims, bucket).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("user_id"))).alias("visitors"))
+
+
+def visitors_exactly(day_table: DataFrame, dims: list[str], start: str, end: str) -> DataFrame:
+    """(dims, visitors): how many visitors the days ``start`` to ``end`` have together."""
+    days = day_table.filter(F.col("dt").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    merged = days.groupBy(*dims, "bucket").agg(F.bitmap_count(F.bitmap_or_agg("visitors")).alias("_n"))
+    return merged.groupBy(*dims).agg(F.sum("_n").alias("visitors"))
+
+
 # ---- ADS ----------------------------------------------------------------------
 
 
@@ -370,15 +452,18 @@ def core_summary(store_category: DataFrame) -> DataFrame:
 
 def product_ranking(detail: DataFrame, category3_id: str | None = None, n: int | None = None) -> DataFrame:
     """Skus of a shop's category ranked by paid amount (rank, ties
-    share a rank).  ``category3_id`` None ranks every category; ``n`` keeps the first
-    ranks only, which Spark cuts in every task before the shuffle."""
+    share a rank).  ``category3_id`` None ranks every category, none of which meets in one
+    task; ``n`` keeps the first ranks only, which Spark cuts in every task before the
+    shuffle."""
     paid = detail.filter("is_paid")
     if category3_id is not None:
         paid = paid.filter(F.col("category3_id") == category3_id)
     agg = paid.groupBy("store_id", "category3_id", "sku_id").agg(money_sum("amount").alias("payment_amount"))
-    w = Window.partitionBy("store_id", "category3_id").orderBy(F.desc("payment_amount"))
-    ranked = agg.withColumn("rk", F.rank().over(w))
-    return ranked.filter(F.col("rk") <= n) if n else ranked
+    keys = ["store_id", "category3_id"]
+    if n is None:
+        return ranked(agg, keys, "payment_amount")
+    w = Window.partitionBy(*keys).orderBy(F.desc("payment_amount"))
+    return agg.withColumn("rk", F.rank().over(w)).filter(F.col("rk") <= n)
 
 
 def month_of(d: Column) -> Column:
@@ -412,7 +497,7 @@ def category_rank(detail: DataFrame, month: str) -> DataFrame:
     end = (start.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
     paid = detail.filter("is_paid").filter((F.col("dt") >= F.lit(start)) & (F.col("dt") < F.lit(end)))
     agg = paid.groupBy("store_id", "category3_id").agg(money_sum("amount").alias("payment_amount"))
-    return agg.withColumn("rk", F.rank().over(Window.partitionBy("store_id").orderBy(F.desc("payment_amount"))))
+    return ranked(agg, ["store_id"], "payment_amount")
 
 
 def source_share(source_daycount: DataFrame) -> DataFrame:

@@ -121,19 +121,91 @@ def latest_snapshots(spark: SparkSession, path: str, part: str) -> DataFrame:
     return rows.join(newest, [part, EPOCH], "left_semi").drop(EPOCH)
 
 
+def _folders(spark: SparkSession, path: str, name: str) -> tuple:
+    """(file system, {value: path}) of the folders ``name=value`` directly below ``path``."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return files, {}
+    found = [f.getPath() for f in files.listStatus(root) if f.isDirectory()]
+    return files, {p.getName().split("=", 1)[1]: p for p in found if p.getName().startswith(f"{name}=")}
+
+
 def drop_superseded(spark: SparkSession, path: str, part: str, keep: int = 2) -> int:
     """Retention: delete all but the newest ``keep`` snapshots of every partition; returns
     how many.  Two are needed at least: a replayed batch reads the one before its own."""
     if keep < 2:
         raise ValueError("keep at least two snapshots")
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, days = _folders(spark, path, part)
     gone = 0
-    for day in files.listStatus(root):
-        if day.isDirectory() and day.getPath().getName().startswith(f"{part}="):
-            epochs = {int(e.getPath().getName().split("=")[1]): e.getPath() for e in files.listStatus(day.getPath()) if e.getPath().getName().startswith(f"{EPOCH}=")}
-            for e in sorted(epochs)[:-keep]:
-                files.delete(epochs[e], True)
-                gone += 1
+    for day in days.values():
+        _, epochs = _folders(spark, day.toString(), EPOCH)
+        for e in sorted(epochs, key=int)[:-keep]:
+            files.delete(epochs[e], True)
+            gone += 1
     return gone
+
+
+def drop_partitions(spark: SparkSession, path: str, part: str, before: str) -> int:
+    """Retention: delete the partitions whose value (a date as text, say) is below ``before``."""
+    files, found = _folders(spark, path, part)
+    old = [p for v, p in found.items() if v < before]
+    for p in old:
+        files.delete(p, True)
+    return len(old)
+
+
+def drop_epochs(spark: SparkSession, path: str, before: int) -> None:
+    """Retention: delete what batches before ``before`` wrote below ``path``."""
+    files, epochs = _folders(spark, path, EPOCH)
+    for e, folder in epochs.items():
+        if int(e) < before:
+            files.delete(folder, True)
+
+
+# ---- compaction -----------------------------------------------------------------
+
+
+def compact(spark: SparkSession, path: str, keys: list[str], epoch_id: int, order: list[str] | None = None, every: int = 20) -> bool:
+    """Merge the batches of a ``latest`` store into one row a key, at every ``every``-th batch.
+
+    ``path`` holds deltas (``append_epoch``).  The rows of all batches up to ``epoch_id`` are
+    written as that batch's own, then the folders of the batches before go, but for the
+    newest two: a replayed batch writes its own folder again from what is left, and
+    finds the same.  Readers always see every key, at most twice."""
+    if epoch_id == 0 or epoch_id % every:
+        return False
+    files, epochs = _folders(spark, path, EPOCH)
+    older = [e for e in epochs if int(e) < epoch_id]
+    if len(older) < every:
+        return False
+    rows = spark.read.parquet(path).filter(F.col(EPOCH) <= epoch_id)
+    merged = latest_by(rows, keys, order or [EPOCH]).withColumn(EPOCH, F.lit(int(epoch_id)))
+    side = f"{path.rstrip('/')}-compact"
+    merged.write.mode("overwrite").parquet(side)
+    append_epoch(spark.read.parquet(side).drop(EPOCH), path, epoch_id)
+    for e in sorted(older, key=int)[:-2]:
+        files.delete(epochs[e], True)
+    return True
+
+
+# ---- progress -----------------------------------------------------------------
+
+
+def read_progress(spark: SparkSession, path: str, epoch_id: int) -> dict | None:
+    """What the newest batch before ``epoch_id`` wrote with ``write_progress``."""
+    try:
+        rows = spark.read.parquet(path).filter(F.col(EPOCH) < int(epoch_id))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    found = rows.orderBy(F.desc(EPOCH)).limit(1).collect()
+    return found[0].asDict() if found else None
+
+
+def write_progress(spark: SparkSession, path: str, epoch_id: int, row: dict, schema: str, keep: int = 5) -> None:
+    """One row a batch; a replayed batch replaces its own, and old ones go."""
+    append_epoch(spark.createDataFrame([row], schema).coalesce(1), path, epoch_id)
+    drop_epochs(spark, path, epoch_id - keep)

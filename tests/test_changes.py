@@ -36,7 +36,7 @@ def test_union_snapshot_changes(spark):
     snap = spark.createDataFrame([(1, "a", 1.0)], CHANGE_ROW)
     chg = changes.parse_changes(_log(spark, [env("u", 9, 1, after={"user_id": 1, "event_type": "b", "value": 2.0})]),
                                 CHANGE_ROW)
-    both = changes.union_snapshot_changes(snap, chg)
+    both = changes.union_snapshot_changes(snap, chg, "public", "t")
     assert sorted(r.op for r in both.collect()) == ["r", "u"]
     flat = changes.flatten_change(both, CHANGE_ROW)
     assert changes.current_state(flat, ["user_id"]).first().event_type == "b"

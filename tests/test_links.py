@@ -39,3 +39,39 @@ def test_links_behind_other_elements_and_odd_attributes(spark):
         (3, "https://s.example/first", "Second"),
         (4, "https://s.example/bare", "Bare"),
     }
+
+
+def own_links(spark, html):
+    pages = spark.createDataFrame([(1, "https://s.example/", html)], "page_id long, url string, html string")
+    return [(r.pos, r.href, r.title) for r in links.extract_links(pages, require_blank_target=False, require_title=False).orderBy("pos").collect()]
+
+
+def test_only_anchors_directly_in_the_item_count(spark):
+    nested = "<ul><li><div><div>x</div><a href='/in'>no</a></div><a href='/own'>yes</a></li></ul>"
+    assert own_links(spark, nested) == [(0, "https://s.example/own", "yes")]
+    comment = "<li><!-- <a href='/old'>no</a> --><a href='/new'>yes</a></li>"
+    assert own_links(spark, comment) == [(0, "https://s.example/new", "yes")]
+    inner_list = "<ul><li><ul><li><a href='/inner'>i</a></li></ul><a href='/outer'>o</a></li></ul>"
+    assert own_links(spark, inner_list) == [(0, "https://s.example/outer", "o"), (1, "https://s.example/inner", "i")]
+
+
+def test_scripts_paragraphs_and_open_ends(spark):
+    assert own_links(spark, "<li><script>'<a href=\"/js\">'</script><style><a href='/css'></style><a href='/x'>x<b>y</b></a></li>") == [(0, "https://s.example/x", "xy")]
+    # A paragraph ends at a block, so the anchor behind that stands in the item.
+    assert own_links(spark, "<li><p>text<div>d</div><a href='/x'>x</a>") == [(0, "https://s.example/x", "x")]
+    assert own_links(spark, "<li><br><img src=x><input/><a href='/x'>x<li><a href='/y'>y") == [(0, "https://s.example/x", "x"), (1, "https://s.example/y", "y")]
+    assert own_links(spark, "<a href='/x'>no item</a></li><li>no anchor</li><li><a title='t'>no href</a>") == []
+    assert own_links(spark, "<li><a href='/x'>x</a><a href=\"/never closed") == [(0, "https://s.example/x", "x")]
+
+
+def test_a_scan_takes_time_in_proportion(spark):
+    import time
+
+    t0 = time.monotonic()
+    for piece in ("<li><a href='", "<!-- ", "<script>", "<li><div><a href=x>", "<a \"", "</div>", "<b></i>"):
+        links.list_items(piece * 40_000)
+    assert time.monotonic() - t0 < 20
+
+
+def test_null_and_empty_pages(spark):
+    assert own_links(spark, None) == [] and own_links(spark, "") == []

@@ -87,7 +87,7 @@ def test_ip_region_join_matches_brute_force(spark):
     r = spark.createDataFrame(ranges, "start_ip long, end_ip long, region string")
     ips = [(i, rnd.randint(0, lo + 1000)) for i in range(500)] + [(999, None)]
     df = spark.createDataFrame(ips, "id int, ip long")
-    got = dict(ip_region_join(df, "ip", r, bucket_bits=16).select("id", "region").collect())
+    got = dict(ip_region_join(df, "ip", r).select("id", "region").collect())
 
     def find(ip):
         for a, b, name in ranges:
