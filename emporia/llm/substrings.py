@@ -7,26 +7,94 @@ one, which is the same for equal full windows wherever they stand.  Only full
 windows whose anchor repeats are extended to the full length and compared there;
 ``longer_repeats`` goes on doubling until nothing repeats.
 
-Both levels send rows by hash.  Before that, every batch keeps one row a hash and
-answers the others itself, so a passage in a third of all documents costs one row
-a batch.  Answered rows travel under a key of their own.
+Both levels send hashes by ranges of the hash.  Before that, every batch keeps one place a
+hash and answers the others itself, so a passage in a third of all documents costs one
+place a batch.  Answered places travel to ranges of their own.  What a batch sends to a
+range is one row: sorted hashes as differences, places and documents, compressed.
+Texts travel compressed too.
 """
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporia.llm.scratch import stored
-from emporia.llm.words import Texts, Words, gram_hashes, slices, word_hashes, words_of
+from emporia.llm.words import Texts, Words, gram_hashes, mix, slices, word_hashes, words_of
 
-# ``place`` packs the row's tag, the word and whether the row is answered already.
-ROWS = "h long, doc_id long, place long"
-TAG, WORD = 1 << 40, 2
+BLOBS = "range int, blob binary"
+SLICE = 4_000_000
+
+
+def pack_places(h: np.ndarray, row: np.ndarray, at: np.ndarray, known: np.ndarray, docs: np.ndarray, tags: np.ndarray) -> bytes:
+    """Places (hash, row of ``docs`` and ``tags``, word, answered already) as compressed bytes."""
+    by = np.argsort(h, kind="stable")
+    h, at, known = h[by], at[by], known[by]
+    used, row = np.unique(row[by], return_inverse=True)
+    rows, row = np.stack([docs[used], tags[used]]), row.astype(np.uint32)
+    # Byte planes: the high bytes of differences and numbers are mostly zero.
+    planes = [np.diff(h, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T, row.view(np.uint8).reshape(-1, 4).T, (at * 2 + known).astype(np.uint32).view(np.uint8).reshape(-1, 4).T]
+    body = b"".join(np.ascontiguousarray(p).tobytes() for p in planes) + rows.astype(np.int64).tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(struct.pack("<QQ", len(h), rows.shape[1]) + body)
+
+
+def unpack_places(blob: bytes) -> tuple[np.ndarray, ...]:
+    body = zstandard.ZstdDecompressor().decompress(blob)
+    n, m = struct.unpack_from("<QQ", body)
+
+    def plane(start: int, width: int, kind: type) -> np.ndarray:
+        return np.ascontiguousarray(np.frombuffer(body, np.uint8, n * width, 16 + n * start).reshape(width, n).T).view(kind).reshape(-1)
+
+    h, row, at = np.cumsum(plane(0, 8, np.uint64), dtype=np.uint64), plane(8, 4, np.uint32), plane(12, 4, np.uint32)
+    doc, tag = np.frombuffer(body, np.int64, 2 * m, 16 + 16 * n).reshape(2, m)
+    return h, doc[row], tag[row], (at >> 1).astype(np.int64), (at & 1).astype(bool)
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, ...] | None:
+    parts = [unpack_places(b) for batch in batches for b in batch.column("blob").to_pylist()]
+    return tuple(np.concatenate(c) for c in zip(*parts, strict=True)) if parts else None
+
+
+def _send(h: np.ndarray, row: np.ndarray, at: np.ndarray, known: np.ndarray, docs: np.ndarray, tags: np.ndarray, ranges: int) -> pa.RecordBatch:
+    """One row a range of the hash; answered places go by document and word, so that they
+    don't gather."""
+    key = np.where(known, mix(docs[row].astype(np.uint64) * np.uint64(31) + at.astype(np.uint64)), h)
+    to = ((key >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
+    by = np.argsort(to, kind="stable")
+    cuts = np.flatnonzero(np.append(True, np.diff(to[by]) != 0)) if len(by) else by
+    blobs = [pack_places(h[i], row[i], at[i], known[i], docs, tags) for i in np.split(by, cuts[1:])] if len(by) else []
+    return pa.RecordBatch.from_arrays([pa.array(to[by][cuts], pa.int32()), pa.array(blobs, pa.binary())], names=["range", "blob"])
+
+
+def pack_texts(rows: DataFrame) -> DataFrame:
+    """(doc_id, tag, packed) of (doc_id, tag, text); a null text stays null."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            texts = batch.column("text").cast(pa.large_binary())
+            packed = [packer.compress(t.as_py()) if t.is_valid else None for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tag"), pa.array(packed, pa.binary())], names=["doc_id", "tag", "packed"])
+
+    return rows.mapInArrow(run, "doc_id long, tag long, packed binary")
+
+
+def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
+    """(first row, texts) of a batch, about ``SLICE`` bytes at a time."""
+    unpacker = zstandard.ZstdDecompressor()
+    first, held, size = 0, [], 0
+    for k, x in enumerate(batch.column("packed")):
+        held.append(unpacker.decompress(x.as_py()) if x.is_valid else b"")
+        size += len(held[-1])
+        if size >= SLICE or k == batch.num_rows - 1:
+            yield first, held
+            first, held, size = k + 1, [], 0
 
 
 def window_anchors(texts: Texts, words: Words, hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -46,10 +114,6 @@ def window_anchors(texts: Texts, words: Words, hashes: np.ndarray, length: int)
     return windows, anchor[windows], grams
 
 
-def _rows(h: np.ndarray, doc: np.ndarray, place: np.ndarray, known: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(doc), pa.array(place + known)], names=["h", "doc_id", "place"])
-
-
 def _first_of(h: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted by hash and ``order``: the sorting, and where each run of a hash begins for each row."""
     by = np.lexsort((order, h))
@@ -65,7 +129,7 @@ def _runs(first: np.ndarray) -> np.ndarray:
     return ends[np.searchsorted(ends, np.arange(len(first)))]
 
 
-def _anchor_rows(length: int):
+def _anchor_places(length: int, ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs, tags = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "tag"))
@@ -75,128 +139,131 @@ def _anchor_rows(length: int):
                 _, anchors, grams = window_anchors(t, w, word_hashes(t, w), length)
                 at = np.unique(anchors)
                 owner = np.searchsorted(w.bounds, at, side="right") - 1
-                parts.append((grams[at], t.first + owner, (at - w.bounds[owner]) * WORD))
+                parts.append((grams[at], t.first + owner, at - w.bounds[owner]))
             if not parts:
                 continue
-            h, row, place = map(np.concatenate, zip(*parts, strict=True))
+            h, row, at = map(np.concatenate, zip(*parts, strict=True))
             if not len(h):
                 continue
             by, first = _first_of(h, row)
-            h, row, place = h[by], row[by], place[by]
+            h, row, at = h[by], row[by], at[by]
             # A hash with two rows of this batch repeats; its first row also asks the others.
             many = row[first] != row[_runs(first)]
-            lead = many & (first == np.arange(len(h)))
-            doc, place = docs[row], place + tags[row] * TAG
-            yield _rows(h, doc, place, many & ~lead)
-            yield _rows(h[lead], doc[lead], place[lead], np.ones(int(lead.sum()), np.int64))
+            lead = np.flatnonzero(many & (first == np.arange(len(h))))
+            known = np.append(many, np.zeros(len(lead), bool))
+            known[lead] = False
+            known[len(h) :] = True
+            both = np.append(np.arange(len(h)), lead)
+            yield _send(h[both], row[both], at[both], known, docs, tags, ranges)
 
     return run
 
 
-def _window_rows(length: int):
+def _window_places(length: int, ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs, tags = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "tag"))
             lists = batch.column("ats")
             bounds, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
-            parts = []
-            for t in slices(batch.column("text")):
-                w = words_of(t)
-                hashes = word_hashes(t, w)
-                windows, anchors, _ = window_anchors(t, w, hashes, length)
-                n = len(t.offsets) - 1
-                repeats = np.zeros(len(hashes) + 1, bool)
-                own = np.diff(bounds[t.first : t.first + n + 1])
-                repeats[values[bounds[t.first] : bounds[t.first + n]] + np.repeat(w.bounds[:-1], own)] = True
-                windows = windows[repeats[anchors]]
-                owner = np.searchsorted(w.bounds, windows, side="right") - 1
-                parts.append((gram_hashes(hashes, length)[windows], t.first + owner, (windows - w.bounds[owner]) * WORD))
-            if not parts:
-                continue
-            h, row, place = map(np.concatenate, zip(*parts, strict=True))
-            if len(h):
-                doc, place = docs[row], place + tags[row] * TAG
-                by, first = _first_of(h, doc)
-                h, doc, place = h[by], doc[by], place[by]
-                yield _rows(h, doc, place, doc > doc[first])
+            for begin, texts in _unpacked(batch):
+                parts = []
+                for t in slices(pa.array(texts, pa.large_binary())):
+                    w = words_of(t)
+                    hashes = word_hashes(t, w)
+                    windows, anchors, _ = window_anchors(t, w, hashes, length)
+                    n, low = len(t.offsets) - 1, begin + t.first
+                    repeats = np.zeros(len(hashes) + 1, bool)
+                    own = np.diff(bounds[low : low + n + 1])
+                    repeats[values[bounds[low] : bounds[low + n]] + np.repeat(w.bounds[:-1], own)] = True
+                    windows = windows[repeats[anchors]]
+                    owner = np.searchsorted(w.bounds, windows, side="right") - 1
+                    parts.append((gram_hashes(hashes, length)[windows], low + owner, windows - w.bounds[owner]))
+                if not parts:
+                    continue
+                h, row, at = map(np.concatenate, zip(*parts, strict=True))
+                if len(h):
+                    by, first = _first_of(h, docs[row])
+                    h, row, at = h[by], row[by], at[by]
+                    yield _send(h, row, at, docs[row] > docs[row[first]], docs, tags, ranges)
 
     return run
 
 
-def _whole(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
-    got = [b for b in batches if b.num_rows]
-    return pa.Table.from_batches(got).combine_chunks() if got else None
+def _answers(doc: np.ndarray, tag: np.ndarray, at: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(tag), pa.array(at.astype(np.int32)), pa.array(h.view(np.int64))], names=["doc_id", "tag", "at", "h"])
 
 
-def _answers(doc: np.ndarray, place: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
-    tag, at = place // TAG, (place % TAG // WORD).astype(np.int32)
-    return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(tag), pa.array(at), pa.array(h)], names=["doc_id", "tag", "at", "h"])
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places of a hash that stands in two rows of the table, and places that are known to
+    be such.  A place that asks for known ones counts like them."""
+    places = _places(batches)
+    if places is None:
+        return
+    h, doc, tag, at, known = places
+    # Sorted by doc_id, then tag: a run that begins and ends with one row has no other.
+    asks = np.flatnonzero(~known)
+    asks = asks[np.lexsort((tag[asks], doc[asks], h[asks]))]
+    first = _begins(h[asks])
+    last = _runs(first)
+    many = (doc[asks[first]] != doc[asks[last]]) | (tag[asks[first]] != tag[asks[last]])
+    yield from _lists(doc, tag, at, np.append(np.flatnonzero(known), asks[many]))
+
+
+def _begins(h: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins, for each of the sorted ``h``."""
+    new = np.ones(len(h), bool)
+    new[1:] = h[1:] != h[:-1]
+    return np.maximum.accumulate(np.where(new, np.arange(len(h)), 0)) if len(h) else np.empty(0, np.int64)
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a hash that stands in two rows of the table, and rows that are known to
-    be such.  A row that asks for known ones counts like them."""
-    table = _whole(batches)
-    if table is None:
+def _lists(doc: np.ndarray, tag: np.ndarray, at: np.ndarray, keep: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One row a (doc_id, tag) of the places ``keep``, their words as a list."""
+    if not len(keep):
         return
-    h, doc, place = (table.column(c).to_numpy() for c in ("h", "doc_id", "place"))
-    known = place % WORD == 1
-    yield _answers(doc[known], place[known], h[known])
-    h, doc, place = h[~known], doc[~known], place[~known]
-    if len(h):
-        # Sorted by doc_id, then tag: a run that begins and ends with one row has no other.
-        by = np.lexsort((place // TAG, doc, h))
-        h, doc, place = h[by], doc[by], place[by]
-        new = np.append(True, h[1:] != h[:-1])
-        first = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
-        last = _runs(first)
-        many = (doc[first] != doc[last]) | (place[first] // TAG != place[last] // TAG)
-        yield _answers(doc[many], place[many], h[many])
+    keep = keep[np.lexsort((at[keep], tag[keep], doc[keep]))]
+    doc, tag, at = doc[keep], tag[keep], at[keep]
+    new = np.append(True, (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]))
+    cuts = np.append(np.flatnonzero(new), len(doc))
+    lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(at, pa.int32()))
+    yield pa.RecordBatch.from_arrays([pa.array(doc[new]), pa.array(tag[new]), lists], names=["doc_id", "tag", "ats"])
 
 
 def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose hash also has a smaller doc_id, and rows that are known to be such."""
-    table = _whole(batches)
-    if table is None:
+    """Places whose hash also has a smaller doc_id, and places that are known to be such."""
+    places = _places(batches)
+    if places is None:
         return
-    h, doc, place = (table.column(c).to_numpy() for c in ("h", "doc_id", "place"))
-    known = place % WORD == 1
-    yield _answers(doc[known], place[known], h[known])
-    h, doc, place = h[~known], doc[~known], place[~known]
-    if len(h):
-        by, first = _first_of(h, doc)
-        h, doc, place = h[by], doc[by], place[by]
-        later = doc > doc[first]
-        yield _answers(doc[later], place[later], h[later])
+    h, doc, tag, at, known = places
+    asks = np.flatnonzero(~known)
+    asks = asks[np.lexsort((doc[asks], h[asks]))]
+    later = asks[doc[asks] > doc[asks[_begins(h[asks])]]] if len(asks) else asks
+    keep = np.append(np.flatnonzero(known), later)
+    yield _answers(doc[keep], tag[keep], at[keep], h[keep])
 
 
 ANSWERS = "doc_id long, tag long, at int, h long"
+LISTS = "doc_id long, tag long, ats array<int>"
 
 
 def tagged(docs: DataFrame) -> DataFrame:
-    """(doc_id, tag, text); the tag, 23 bits of the text's hash, tells rows apart that
-    share a doc_id."""
-    tag = F.coalesce(F.xxhash64("text"), F.lit(0)).bitwiseAND(F.lit((1 << 23) - 1))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), tag.alias("tag"), "text")
-
+    """(doc_id, tag, text); the tag, the text's hash, tells rows apart that share a doc_id."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("tag"), "text")
 
-def _dealt(rows: DataFrame) -> DataFrame:
-    """By hash; answered rows anywhere, so that they don't gather."""
-    return rows.repartition(F.when(F.col("place") % WORD == 1, F.xxhash64("doc_id", "place")).otherwise(F.col("h")))
 
+def _ranges(docs: DataFrame) -> int:
+    return 3 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-def _by_row(answers: DataFrame) -> DataFrame:
-    return answers.groupBy("doc_id", "tag").agg(F.collect_list("at").alias("ats"))
 
-
-def repeated_windows(docs: DataFrame, length: int = 13) -> DataFrame:
+def repeated_windows(rows: DataFrame, length: int = 13) -> DataFrame:
     """(doc_id, tag, at, h): windows of ``length`` words, from word ``at`` on, whose words
-    also start in a row with a smaller doc_id.  ``docs`` is what ``tagged`` returns."""
-    usable = docs.where("doc_id is not null")
-    anchors = _dealt(usable.mapInArrow(_anchor_rows(length), ROWS)).mapInArrow(_repeated, ANSWERS)
-    # Written, so that the rows sent by hash need not be kept for what follows.
-    candidates = usable.join(stored(_by_row(anchors), "anchors"), ["doc_id", "tag"])
-    return _dealt(candidates.mapInArrow(_window_rows(length), ROWS)).mapInArrow(_later, ANSWERS)
+    also start in a row with a smaller doc_id.  ``rows`` is what ``tagged`` returns."""
+    usable, ranges = rows.where("doc_id is not null"), _ranges(rows)
+    anchors = usable.mapInArrow(_anchor_places(length, ranges), BLOBS).repartition("range").mapInArrow(_repeated, LISTS)
+    anchors = anchors.groupBy("doc_id", "tag").agg(F.flatten(F.collect_list("ats")).alias("ats"))
+    # Written, so that what was sent by hash need not be kept for what follows.
+    anchors = stored(anchors, "anchors")
+    candidates = pack_texts(usable).join(anchors.hint("merge"), ["doc_id", "tag"])
+    return candidates.mapInArrow(_window_places(length, ranges), BLOBS).repartition("range").mapInArrow(_later, ANSWERS)
 
 
 def longer_repeats(windows: DataFrame, length: int = 13) -> DataFrame:
@@ -218,19 +285,21 @@ def longer_repeats(windows: DataFrame, length: int = 13) -> DataFrame:
 def _kept(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple[int, int, str]] = []
-            for text, ats in zip(batch.column("text").cast(pa.large_binary()), batch.column("ats"), strict=True):
-                words = (text.as_py() or b"").split()
-                total = len(words)
-                if ats.is_valid and len(ats):
-                    change = np.zeros(total + 1, np.int64)
-                    at = np.unique(ats.values.to_numpy(zero_copy_only=False))
-                    np.add.at(change, at, 1)
-                    np.add.at(change, at + length, -1)
-                    words = [words[i] for i in np.flatnonzero(np.cumsum(change[:-1]) == 0)]
-                out.append((total, total - len(words), b" ".join(words).decode()))
-            counts = [pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *counts, pa.array([x[2] for x in out], pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
+            lists = batch.column("ats")
+            for first, texts in _unpacked(batch):
+                out: list[tuple[int, int, str]] = []
+                for ats, text in zip(lists[first : first + len(texts)], texts, strict=True):
+                    words = text.split()
+                    total = len(words)
+                    if ats.is_valid and len(ats):
+                        change = np.zeros(total + 1, np.int64)
+                        at = np.unique(ats.values.to_numpy(zero_copy_only=False))
+                        np.add.at(change, at, 1)
+                        np.add.at(change, at + length, -1)
+                        words = [words[i] for i in np.flatnonzero(np.cumsum(change[:-1]) == 0)]
+                    out.append((total, total - len(words), b" ".join(words).decode()))
+                counts = [pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[first : first + len(out)], *counts, pa.array([x[2] for x in out], pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
 
     return run
 
@@ -245,5 +314,5 @@ def drop_repeats(docs: DataFrame, length: int = 13) -> DataFrame:
     takes no part and keeps all words.  Other columns are not read.
     """
     rows = tagged(docs)
-    gone = stored(_by_row(repeated_windows(rows, length)), "gone")
-    return rows.join(gone, ["doc_id", "tag"], "left").mapInArrow(_kept(length), "doc_id long, n_words long, n_removed long, kept string")
+    gone = repeated_windows(rows, length).groupBy("doc_id", "tag").agg(F.collect_list("at").alias("ats"))
+    return pack_texts(rows).join(stored(gone, "gone").hint("merge"), ["doc_id", "tag"], "left").mapInArrow(_kept(length), "doc_id long, n_words long, n_removed long, kept string")
