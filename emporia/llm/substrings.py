@@ -206,7 +206,8 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     first = _begins(h[asks])
     last = _runs(first)
     many = (doc[asks[first]] != doc[asks[last]]) | (tag[asks[first]] != tag[asks[last]])
-    yield from _lists(doc, tag, at, np.append(np.flatnonzero(known), asks[many]))
+    keep = np.append(np.flatnonzero(known), asks[many])
+    yield pa.RecordBatch.from_arrays([pa.array(doc[keep]), pa.array(tag[keep]), pa.array(at[keep].astype(np.int32))], names=["doc_id", "tag", "at"])
 
 
 def _begins(h: np.ndarray) -> np.ndarray:
@@ -216,18 +217,6 @@ def _begins(h: np.ndarray) -> np.ndarray:
     return np.maximum.accumulate(np.where(new, np.arange(len(h)), 0)) if len(h) else np.empty(0, np.int64)
 
 
-def _lists(doc: np.ndarray, tag: np.ndarray, at: np.ndarray, keep: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """One row a (doc_id, tag) of the places ``keep``, their words as a list."""
-    if not len(keep):
-        return
-    keep = keep[np.lexsort((at[keep], tag[keep], doc[keep]))]
-    doc, tag, at = doc[keep], tag[keep], at[keep]
-    new = np.append(True, (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]))
-    cuts = np.append(np.flatnonzero(new), len(doc))
-    lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(at, pa.int32()))
-    yield pa.RecordBatch.from_arrays([pa.array(doc[new]), pa.array(tag[new]), lists], names=["doc_id", "tag", "ats"])
-
-
 def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Places whose hash also has a smaller doc_id, and places that are known to be such."""
     places = _places(batches)
@@ -242,7 +231,7 @@ def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 ANSWERS = "doc_id long, tag long, at int, h long"
-LISTS = "doc_id long, tag long, ats array<int>"
+ANCHORS = "doc_id long, tag long, at int"
 
 
 def tagged(docs: DataFrame) -> DataFrame:
@@ -258,8 +247,8 @@ def repeated_windows(rows: DataFrame, length: int = 13) -> DataFrame:
     """(doc_id, tag, at, h): windows of ``length`` words, from word ``at`` on, whose words
     also start in a row with a smaller doc_id.  ``rows`` is what ``tagged`` returns."""
     usable, ranges = rows.where("doc_id is not null"), _ranges(rows)
-    anchors = usable.mapInArrow(_anchor_places(length, ranges), BLOBS).repartition("range").mapInArrow(_repeated, LISTS)
-    anchors = anchors.groupBy("doc_id", "tag").agg(F.flatten(F.collect_list("ats")).alias("ats"))
+    anchors = usable.mapInArrow(_anchor_places(length, ranges), BLOBS).repartition("range").mapInArrow(_repeated, ANCHORS)
+    anchors = anchors.groupBy("doc_id", "tag").agg(F.collect_list("at").alias("ats"))
     # Written, so that what was sent by hash need not be kept for what follows.
     anchors = stored(anchors, "anchors")
     candidates = pack_texts(usable).join(anchors.hint("merge"), ["doc_id", "tag"])
