@@ -60,8 +60,16 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=-1, keepdims=True))
+    # Rows need no shift where no exponential can over- or underflow.
+    if x.size and max(float(x.max()), -float(x.min())) > 50:
+        x = x - x.max(axis=-1, keepdims=True)
+    return x - np.log(np.exp(x) @ np.ones((x.shape[-1], 1), x.dtype))
+
+
+def by_class(cls: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """The sorting of tokens by class, and where each class begins and the last ends."""
+    by = np.argsort(cls.astype(np.int8), kind="stable")
+    return by, np.searchsorted(cls[by], np.arange(CLASSES + 1)).tolist()
 
 
 class GRU:
@@ -82,19 +90,22 @@ class GRU:
         }
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
 
-    def run(self, w: Window, h: np.ndarray) -> tuple[np.ndarray, list]:
-        """States after each step from ``h``, and what the backward pass needs."""
+    def run(self, w: Window, h: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+        """States after each step from ``h``, and what the backward pass needs: the states
+        before, the gates, the new values and what the reset gate scales."""
         p, (steps, lanes) = self.p, w.inputs.shape
-        x, states, memo = p["input"][w.inputs], np.empty((steps, lanes, HIDDEN), np.float32), []
+        x = p["input"][w.inputs]
+        states, gates = np.empty((steps + 1, lanes, HIDDEN), np.float32), np.empty((steps, lanes, 2 * HIDDEN), np.float32)
+        new, held = np.empty((steps, lanes, HIDDEN), np.float32), np.empty((steps, lanes, HIDDEN), np.float32)
+        states[0] = h
         for t in range(steps):
-            g = h @ p["state"] + p["bias"]
-            gates = sigmoid(x[t, :, : 2 * HIDDEN] + g[:, : 2 * HIDDEN])
-            z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-            n = np.tanh(x[t, :, 2 * HIDDEN :] + r * g[:, 2 * HIDDEN :])
-            memo.append((h, z, r, n, g[:, 2 * HIDDEN :]))
-            h = n + z * (h - n)
-            states[t] = h
-        return states, memo
+            g = states[t] @ p["state"] + p["bias"]
+            gates[t] = sigmoid(x[t, :, : 2 * HIDDEN] + g[:, : 2 * HIDDEN])
+            held[t] = g[:, 2 * HIDDEN :]
+            z, r = gates[t, :, :HIDDEN], gates[t, :, HIDDEN:]
+            new[t] = np.tanh(x[t, :, 2 * HIDDEN :] + r * held[t])
+            states[t + 1] = new[t] + z * (states[t] - new[t])
+        return states[1:], (states[:-1], gates, new, held)
 
     def next_state(self, w: Window, last: np.ndarray | None) -> np.ndarray:
         h = np.zeros((len(w.kept), HIDDEN), np.float32)
@@ -107,13 +118,17 @@ class GRU:
         """Natural log probabilities of ``targets`` (flat) after ``states`` (rows)."""
         cls = targets // SIZE
         out = log_softmax(states @ self.p["cls"] + self.p["cls_bias"])[np.arange(len(targets)), cls]
-        by = np.argsort(cls, kind="stable")
-        cut = np.searchsorted(cls[by], np.arange(CLASSES + 1))
-        for k in range(CLASSES):
-            rows = by[cut[k] : cut[k + 1]]
-            if len(rows):
-                inner = log_softmax(states[rows] @ self.p["word"][k] + self.p["word_bias"][k])
-                out[rows] += inner[np.arange(len(rows)), targets[rows] - k * SIZE]
+        by, cut = by_class(cls)
+        inner = log_softmax(self.word_scores(states[by], cls[by], cut))
+        out[by] += inner[np.arange(len(by)), targets[by] % SIZE]
+        return out
+
+    def word_scores(self, states: np.ndarray, cls: np.ndarray, cut: list[int]) -> np.ndarray:
+        """Scores of the words of each row's class; rows are sorted by class."""
+        out = self.p["word_bias"][cls]
+        for k, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
+            if b > a:
+                out[a:b] += states[a:b] @ self.p["word"][k]
         return out
 
     def score(self, texts: list[np.ndarray], lanes: int = 512) -> np.ndarray:
@@ -124,39 +139,51 @@ class GRU:
             last = states[-1]
             inside = w.targets >= 0
             owner = np.broadcast_to(w.text, w.targets.shape)[inside]
-            np.add.at(total, owner, self.log_probs(states[inside], w.targets[inside]).astype(np.float64))
+            total += np.bincount(owner, self.log_probs(states[inside], w.targets[inside]), len(texts))
         return total
 
     def gradient(self, w: Window, h: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
-        p, (states, memo) = self.p, self.run(w, h)
+        p, (states, (before, gates, new, held)) = self.p, self.run(w, h)
         inside = w.targets >= 0
-        s, y = states[inside], w.targets[inside]
-        cls, scale = y // SIZE, np.float32(1 / max(1, len(y)))
+        y = w.targets[inside]
+        # Sorted by class, a class is a slice.
+        by, cut = by_class(y // SIZE)
+        s, y = states[inside][by], y[by]
+        cls, row, scale = y // SIZE, np.arange(len(y)), np.float32(1 / max(1, len(y)))
         d = np.exp(log_softmax(s @ p["cls"] + p["cls_bias"])) * scale
-        d[np.arange(len(y)), cls] -= scale
-        g = {k: np.zeros_like(v) for k, v in p.items()}
-        g["cls"], g["cls_bias"] = s.T @ d, d.sum(axis=0)
+        d[row, cls] -= scale
+        e = np.exp(log_softmax(self.word_scores(s, cls, cut))) * scale
+        e[row, y % SIZE] -= scale
+        g = {"cls": s.T @ d, "cls_bias": d.sum(axis=0), "word": np.zeros_like(p["word"]), "word_bias": np.zeros_like(p["word_bias"])}
         ds = d @ p["cls"].T
-        for k in np.unique(cls).tolist():
-            rows = np.flatnonzero(cls == k)
-            e = np.exp(log_softmax(s[rows] @ p["word"][k] + p["word_bias"][k])) * scale
-            e[np.arange(len(rows)), y[rows] - k * SIZE] -= scale
-            g["word"][k], g["word_bias"][k] = s[rows].T @ e, e.sum(axis=0)
-            ds[rows] += e @ p["word"][k].T
+        for k, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
+            if b > a:
+                g["word"][k], g["word_bias"][k] = s[a:b].T @ e[a:b], np.ones(b - a, e.dtype) @ e[a:b]
+                ds[a:b] += e[a:b] @ p["word"][k].T
         dstates = np.zeros_like(states)
-        dstates[inside] = ds
-        dx, dh = np.empty((*w.inputs.shape, 3 * HIDDEN), np.float32), np.zeros_like(h)
-        for t in range(len(memo) - 1, -1, -1):
-            before, z, r, n, gn = memo[t]
-            dh = dh + dstates[t]
-            da = dh * (1 - z) * (1 - n * n)
-            dz, dr = dh * (before - n) * z * (1 - z), da * gn * r * (1 - r)
-            dg = np.concatenate([dz, dr, da * r], axis=1)
-            dx[t] = np.concatenate([dz, dr, da], axis=1)
-            g["state"] += before.T @ dg
-            g["bias"] += dg.sum(axis=0)
-            dh = dh * z + dg @ p["state"].T
-        np.add.at(g["input"], w.inputs.ravel(), dx.reshape(-1, 3 * HIDDEN))
+        dstates[tuple(x[by] for x in np.nonzero(inside))] = ds
+        steps, lanes = w.inputs.shape
+        dx, dg = np.empty((steps, lanes, 3 * HIDDEN), np.float32), np.empty((steps, lanes, 3 * HIDDEN), np.float32)
+        z, r = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
+        # What does not depend on the later steps, for all steps at once.
+        by_new, by_gate, by_reset = (1 - z) * (1 - new * new), (before - new) * z * (1 - z), held * r * (1 - r)
+        dh, state = np.zeros_like(h), np.ascontiguousarray(p["state"].T)
+        for t in range(steps - 1, -1, -1):
+            dh += dstates[t]
+            da = dh * by_new[t]
+            dx[t, :, :HIDDEN] = dh * by_gate[t]
+            dx[t, :, HIDDEN : 2 * HIDDEN] = da * by_reset[t]
+            dx[t, :, 2 * HIDDEN :] = da
+            dg[t, :, : 2 * HIDDEN] = dx[t, :, : 2 * HIDDEN]
+            dg[t, :, 2 * HIDDEN :] = da * r[t]
+            dh = dh * z[t] + dg[t] @ state
+        flat = dg.reshape(-1, 3 * HIDDEN)
+        g["state"], g["bias"] = before.reshape(-1, HIDDEN).T @ flat, np.ones(len(flat), flat.dtype) @ flat
+        inputs = w.inputs.ravel()
+        order = np.argsort(inputs, kind="stable")
+        first = np.flatnonzero(np.append(True, np.diff(inputs[order]) != 0))
+        g["input"] = np.zeros_like(p["input"])
+        g["input"][inputs[order][first]] = np.add.reduceat(dx.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
         return g, states[-1]
 
     def fit(self, texts: list[np.ndarray], rounds: int = 2, lanes: int = 48, rate: float = 0.01) -> None:

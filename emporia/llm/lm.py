@@ -9,6 +9,7 @@ in the base; as there, all words that training never saw are one type.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -26,7 +27,6 @@ from emporia.llm.words import slices, word_hashes, words_of
 FOLDS = 10
 FREQUENT = 262_144
 UNKNOWN = TOKENS - 2
-SPREAD = 32
 END_HASH = 0x0E4D  # stands for the end in the table of counts
 
 
@@ -111,7 +111,9 @@ def train_on(docs: DataFrame, frequent, model: bytes) -> bytes:
     """``model`` trained on once over all rows of ``docs`` (text), long texts too, and
     ``frequent``, a broadcast of the fields of ``Frequent``.  Every task goes on from
     ``model`` with the rows it reads; the mean of their weights by tokens is taken, added
-    up in two steps from rows of a fixed size."""
+    up in two steps from rows of a fixed size, each of about as many as the square root
+    of the tasks."""
+    spread = math.isqrt(docs.rdd.getNumPartitions()) + 1
     schema = "some int, tokens long, weights binary"
 
     def row(some: int, tokens: int, weights: np.ndarray) -> pa.RecordBatch:
@@ -131,7 +133,7 @@ def train_on(docs: DataFrame, frequent, model: bytes) -> bytes:
 
         tokens = net.go_on(parts())
         if tokens:
-            yield row(TaskContext.get().partitionId() % SPREAD, tokens, tokens * net.flat())
+            yield row(TaskContext.get().partitionId() % spread, tokens, tokens * net.flat())
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, tuple[int, np.ndarray]] = {}

@@ -530,3 +530,28 @@ def test_licence_headers_as_published(spark, end, lead):
     got = {r.doc_id: r for r in licences.scan_licences(frame(spark, texts)).collect()}
     assert [got[i].licences for i in range(len(texts))] == [["MIT"], ["Apache-2.0"], ["GPL"], ["BSD"], ["BSD"], ["GPL"], ["MIT"], [], [], [], []]
     assert got[1].sentence_ids == ["apache-short", "apache-may-not", "apache-copy", "apache-basis"] and got[1].n_rules == 2
+
+
+def test_model_and_shares_sum_to_one():
+    """Over the known words, the end, and all other words by their smoothed counts and the
+    one type never seen, the probabilities after any state sum to 1."""
+    rng = np.random.default_rng(3)
+    model = gru.GRU(rng.integers(1, 50, gru.TOKENS).astype(float))
+    model.p = {k: v + rng.normal(0, 0.3, v.shape).astype(np.float32) for k, v in model.p.items()}
+    states = rng.normal(0, 1, (5, gru.HIDDEN)).astype(np.float32)
+    every = np.arange(gru.TOKENS)
+    logs = np.array([model.log_probs(np.repeat(s[None], gru.TOKENS, axis=0), every) for s in states], np.float64)
+    known = np.delete(np.exp(logs), lm.UNKNOWN, axis=1).sum(axis=1)
+    # As score_texts puts it together: the unknown token times a word's smoothed share.
+    counts = np.array([7, 3, 1, 1])
+    total, types = counts.sum(), len(counts)
+    shares = np.append((counts + 0.1), 0.1) / (total + 0.1 * (types + 1))
+    unknown = np.exp(logs[:, lm.UNKNOWN])[:, None] * shares
+    assert np.allclose(known + unknown.sum(axis=1), 1, atol=1e-4)
+
+
+def test_softmax_of_large_scores():
+    x = np.array([[0.0, 1.0, 200.0], [-300.0, -301.0, -299.0]], np.float32)
+    want = x - x.max(axis=1, keepdims=True)
+    want -= np.log(np.exp(want.astype(np.float64)).sum(axis=1, keepdims=True))
+    assert np.allclose(gru.log_softmax(x), want, atol=1e-5)
