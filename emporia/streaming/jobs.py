@@ -95,7 +95,7 @@ def start_page_views(log_stream: DataFrame, out: str, checkpoint: str, tz: str =
     Read the result with ``store.latest(spark, out, ['log_date', 'log_type'])``.
     """
     counts = logs.page_views(log_stream, tz, lateness)
-    return _start(counts, lambda b, e: store.append_epoch(b, out, e), checkpoint, "update", trigger, None)
+    return _start(counts, lambda b, e: store.append_latest(b, out, e, ["log_date", "log_type"]), checkpoint, "update", trigger, None)
 
 
 # ---- M2: keyword Top-N, flushed per day ---------------------------------------------
@@ -116,6 +116,7 @@ def start_keyword_top_n(log_stream: DataFrame, out: str, checkpoint: str, n: int
         cur = store.merge_snapshot(batch, count_path, "log_date", ["keyword"], epoch)
         if cur is None:
             return
+        store.drop_superseded(batch.sparkSession, count_path, "log_date")
         ranked = top_n(cur, ["log_date"], [F.desc("cnt"), F.asc("keyword")], n, "rn")
         (ranked.select("log_date", F.col("rn").cast("int").alias("rn"), "keyword", "cnt")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("log_date").parquet(top_path))
@@ -136,7 +137,7 @@ def start_login_regions(log_stream: DataFrame, ranges: DataFrame, out: str, chec
     """M3/T14 on a stream: running logins per (log_date, full_region), earlier days
     included; ``ranges`` is a static table.  Read with ``store.latest``."""
     counts = logs.login_regions(log_stream, ranges, login_type, tz, lateness=lateness)
-    return _start(counts, lambda b, e: store.append_epoch(b, out, e), checkpoint, "update", trigger, None)
+    return _start(counts, lambda b, e: store.append_latest(b, out, e, ["log_date", "full_region"]), checkpoint, "update", trigger, None)
 
 
 # ---- M5: distinct device users ---------------------------------------------------------
@@ -168,7 +169,7 @@ def device_user_counts(log_stream: DataFrame, tz: str = DEFAULT_TZ, lateness: st
 
 def start_device_users(log_stream: DataFrame, out: str, checkpoint: str, tz: str = DEFAULT_TZ,
                        trigger: dict | None = None, lateness: str | None = None) -> StreamingQuery:
-    return _start(device_user_counts(log_stream, tz, lateness), lambda b, e: store.append_epoch(b, out, e), checkpoint,
+    return _start(device_user_counts(log_stream, tz, lateness), lambda b, e: store.append_latest(b, out, e, logs.DEVICE), checkpoint,
                   "update", trigger, None)
 
 
@@ -332,6 +333,7 @@ def start_gmv_report(sales: DataFrame, out: str, checkpoint: str, id_col: str =
         cur = store.merge_snapshot(rows, pane_path, "day", keys, epoch)
         if cur is None:
             return
+        store.drop_superseded(batch.sparkSession, pane_path, "day")
         report = gmv.report_from_panes(cur.drop("day"), id_col, product_col, n, step_s, DAY)
         (report.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("order_date").parquet(report_path))
@@ -364,7 +366,7 @@ def start_current_state(flat_changes: DataFrame, out: str, checkpoint: str, keys
     def flush(batch: DataFrame, epoch: int) -> None:
         from emporia.operators.ranking import latest_by
 
-        store.append_epoch(latest_by(batch, keys, list(order)), out, epoch)
+        store.append_latest(latest_by(batch, keys, list(order)), out, epoch, keys, list(order))
 
     return _start(flat_changes, flush, checkpoint, "append", trigger, None)
 

@@ -168,28 +168,36 @@ def drop_epochs(spark: SparkSession, path: str, before: int) -> None:
 
 
 def compact(spark: SparkSession, path: str, keys: list[str], epoch_id: int, order: list[str] | None = None, every: int = 20) -> bool:
-    """Merge the batches of a ``latest`` store into one row a key, at every ``every``-th batch.
-
-    ``path`` holds deltas (``append_epoch``).  The rows of all batches up to ``epoch_id`` are
-    written as that batch's own, then the folders of the batches before go, but for the
-    newest two: a replayed batch writes its own folder again from what is left, and
-    finds the same.  Readers always see every key, at most twice."""
+    """Merge the deltas of a ``latest`` store; to be called before batch ``epoch_id`` appends
+    its own, and does its work at every ``every``-th batch.
+
+    The newest folder before the batch is of a finished batch, which never runs again.  To
+    it are added the latest rows of the keys it lacks; then the older folders go.  A key
+    has one row from then on, plus one for each later batch that touches it, so what a
+    reader reads does not grow with the number of batches.  If the work is cut short, rows
+    stand twice until it is done again; none is lost.
+    """
     if epoch_id == 0 or epoch_id % every:
         return False
     files, epochs = _folders(spark, path, EPOCH)
-    older = [e for e in epochs if int(e) < epoch_id]
-    if len(older) < every:
+    done = sorted(int(e) for e in epochs if int(e) < epoch_id)
+    if len(done) < 2:
         return False
-    rows = spark.read.parquet(path).filter(F.col(EPOCH) <= epoch_id)
-    merged = latest_by(rows, keys, order or [EPOCH]).withColumn(EPOCH, F.lit(int(epoch_id)))
-    side = f"{path.rstrip('/')}-compact"
-    merged.write.mode("overwrite").parquet(side)
-    append_epoch(spark.read.parquet(side).drop(EPOCH), path, epoch_id)
-    for e in sorted(older, key=int)[:-2]:
-        files.delete(epochs[e], True)
+    newest = done[-1]
+    rows = latest_by(spark.read.parquet(path).filter(F.col(EPOCH) <= newest), keys, order or [EPOCH])
+    older = rows.filter(F.col(EPOCH) < newest).withColumn(EPOCH, F.lit(newest))
+    older.write.mode("append").partitionBy(EPOCH).parquet(path)
+    for e in done[:-1]:
+        files.delete(epochs[str(e)], True)
     return True
 
 
+def append_latest(batch: DataFrame, path: str, epoch_id: int, keys: list[str], order: list[str] | None = None, every: int = 20) -> None:
+    """``append_epoch`` for a store that is read with ``latest``, kept short by ``compact``."""
+    compact(batch.sparkSession, path, keys, epoch_id, order, every)
+    append_epoch(batch, path, epoch_id)
+
+
 # ---- progress -----------------------------------------------------------------
 
 
