@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,8 @@ from emporia.llm.groups import by_group, in_blocks
 from emporia.llm.scratch import stored
 
 LIST_ROWS = "list long, cls long"
+CLASS = ["cls", "vec_id", "weight", "embedding"]
+DESCRIBED = "cls long, vec_id long, weight long, embedding array<double>, orders array<int>"
 RECALL, PROBES, FURTHEST = 0.95, 2000, 24
 
 
@@ -92,27 +95,48 @@ def list_ids(orders: np.ndarray, pivots: int) -> np.ndarray:
     return low * pivots + high
 
 
-def _list_rows(pivots: np.ndarray, near: int):
+def _describe(pivots: np.ndarray, near: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, unit = matrix(batch.column("embedding"), pivots.shape[1])
             if len(rows):
-                ids = list_ids(near_pivots(unit, pivots, near), len(pivots))
-                cls = np.repeat(batch.column("cls").to_numpy()[rows], ids.shape[1])
+                orders = near_pivots(unit, pivots, near)
+                cuts = np.arange(len(rows) + 1, dtype=np.int32) * orders.shape[1]
+                kept = batch.take(pa.array(rows))
+                lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(orders.ravel().astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*(kept.column(c) for c in CLASS), lists], names=[*CLASS, "orders"])
+
+    return run
+
+
+def _list_rows(pivots: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                ids = list_ids(_orders(batch.column("orders")), pivots)
+                cls = np.repeat(batch.column("cls").to_numpy(), ids.shape[1])
                 yield pa.RecordBatch.from_arrays([pa.array(ids.ravel()), pa.array(cls)], names=["list", "cls"])
 
     return run
 
 
-def _links(pivots: np.ndarray, near: int, least: float):
+def _orders(column: pa.Array) -> np.ndarray:
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return column.flatten().to_numpy().astype(np.int64).reshape(len(column), -1)
+
+
+def _links(pivots: int, least: float):
     """Per list (or pair of its blocks): links by class as (class, class, links), and
-    links that connect the same vectors as (vec_id, vec_id, 0)."""
+    links that connect the same vectors as (vec_id, vec_id, 0).  Without pivots, a list holds
+    all vectors that may link with one another."""
 
     def each(group: pa.Table) -> Iterator[tuple]:
         n = group.num_rows
         if n < 2:
             return
-        _, unit = matrix(group.column("embedding"), pivots.shape[1])
+        _, unit = matrix(group.column("embedding"))
+        orders = _orders(group.column("orders")) if pivots else None
         vec, cls, weight, own = (group.column(c).to_numpy() for c in ("vec_id", "cls", "weight", "own"))
         here, low, high = (group.column(c)[0].as_py() for c in ("list", "low", "high"))
         part, links = np.arange(n), np.zeros(n, np.int64)
@@ -123,14 +147,13 @@ def _links(pivots: np.ndarray, near: int, least: float):
             i, j = i[keep], j[keep]
             if not len(i):
                 continue
-            # The pair belongs to the list of its two smallest shared pivots.
-            both, back = np.unique(np.concatenate([i, j]), return_inverse=True)
-            orders = near_pivots(unit[both], pivots, near)[back]
-            mine_i, mine_j = orders[: len(i)], orders[len(i) :]
-            shared = (mine_i[:, :, None] == mine_j[:, None, :]).any(axis=2)
-            ranked = np.sort(np.where(shared, mine_i, len(pivots)), axis=1)
-            mine = ranked[:, 0] * len(pivots) + ranked[:, 1] == here
-            i, j = i[mine], j[mine]
+            if pivots:
+                # The pair belongs to the list of its two smallest shared pivots.
+                mine_i, mine_j = orders[i], orders[j]
+                shared = (mine_i[:, :, None] == mine_j[:, None, :]).any(axis=2)
+                ranked = np.sort(np.where(shared, mine_i, pivots), axis=1)
+                mine = ranked[:, 0] * pivots + ranked[:, 1] == here
+                i, j = i[mine], j[mine]
             np.add.at(links, i, weight[j])
             np.add.at(links, j, weight[i])
             for a in np.unique(i).tolist():
@@ -145,6 +168,26 @@ def _links(pivots: np.ndarray, near: int, least: float):
     return each
 
 
+def _indexed_links(classes: DataFrame, least: float, near: int, list_rows: int, most_pivots: int, block: int) -> DataFrame:
+    """Links of ``classes``, stored rows of one length, through the index."""
+    n = classes.count()
+    lists = near * (near - 1) // 2
+    pivots_wanted = min(most_pivots, max(2 * near, math.ceil(math.sqrt(2 * lists * n / list_rows))))
+    sample = classes.select("embedding", F.xxhash64("cls").alias("h")).orderBy("h").limit(2 * pivots_wanted).select("embedding").toArrow()
+    pivots = choose_pivots(sample.column("embedding"), pivots_wanted, least) if n else np.empty((0, 0))
+    if len(pivots) < 2:
+        # One direction only: all that is alike is one list.
+        pivots = np.vstack([pivots, -pivots, np.roll(pivots, 1, axis=1)])[:2] if len(pivots) else np.ones((2, 1))
+    # The last of the sample are the least likely to be pivots.
+    near = enough_near(pivots, matrix(sample.column("embedding"))[1][-PROBES:], least, near)
+    # Written with their pivots, so that a pair sees the same ones in all its lists.
+    described = stored(classes.select(*CLASS).mapInArrow(_describe(pivots, near), DESCRIBED), "described")
+    placed = stored(described.select("cls", "orders").mapInArrow(_list_rows(len(pivots)), LIST_ROWS), "lists")
+    several = placed.groupBy("list").count().where("count > 1").select("list")
+    full = in_blocks(placed.join(several, "list", "left_semi"), "list", "cls", block).join(described, "cls")
+    return by_group(full, ["list", "low", "high"], _links(len(pivots), least), "a long, b long, n long")
+
+
 def near_duplicates(
     vectors: DataFrame,
     least: float = 0.9,
@@ -155,15 +198,17 @@ def near_duplicates(
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding).
 
-    A link is a pair of vectors with cosine >= ``least`` in double precision that shares
-    two of its nearest pivots: ``near`` of them, or as many more as a measurement with the
-    table's pivots finds necessary.  Pivots are rows with the smallest hashes, no
-    two of them linked; their number follows the square root of the row count, so that
-    lists keep about ``list_rows`` rows (more where more pivots are near), up to
-    ``most_pivots``.  Vectors that are null, zero, hold a null or non-finite component, or
-    differ in length from most others (of two, the longer) link with nothing.  Rows that share a vec_id are one node, and n_links
-    adds the links of its different vectors.  Rows with a null vec_id link with
-    nothing and are kept.  Other columns are not read.
+    A link is a pair of vectors of one length with cosine >= ``least`` in double precision
+    that shares two of its nearest pivots: ``near`` of them, or as many more as a
+    measurement with the table's pivots finds necessary.  Pivots are rows with the
+    smallest hashes, no two of them linked; their number follows the square root of the
+    row count, so that lists keep about ``list_rows`` rows (more where more pivots are
+    near), up to ``most_pivots``.  Every length of more than ``block`` different vectors,
+    and the usual one, has an index of its own; of other lengths, all vectors are one
+    list.  Vectors that are null, zero, or hold a null or non-finite component link with
+    nothing.  Rows that share a vec_id are one node, and n_links adds the links of its
+    different vectors.  Rows with a null vec_id link with nothing and are kept.  Other
+    columns are not read.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     usable = F.expr("embedding is not null and size(embedding) > 0 and not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('infinity')) and exists(embedding, x -> x <> 0)")
@@ -173,23 +218,15 @@ def near_duplicates(
         "vectors",
     )
     member = good.withColumn("cls", F.xxhash64("embedding")).select("vec_id", "cls").join(classes.select("cls", F.col("vec_id").alias("rep"), "weight"), "cls").distinct()
-    n = classes.count()
-    lists = near * (near - 1) // 2
-    pivots_wanted = min(most_pivots, max(2 * near, math.ceil(math.sqrt(2 * lists * n / list_rows))))
-    width = classes.groupBy(F.size("embedding").alias("width")).count().orderBy(F.desc("count"), F.desc("width")).first()
-    usual = classes.where(F.size("embedding") == (width["width"] if width else 0))
-    sample = usual.select("embedding", F.xxhash64("cls").alias("h")).orderBy("h").limit(2 * pivots_wanted).select("embedding").toArrow()
-    pivots = choose_pivots(sample.column("embedding"), pivots_wanted, least) if n else np.empty((0, 0))
-
-    if len(pivots) < 2:
-        # One direction only: all that is alike is one list.
-        pivots = np.vstack([pivots, -pivots, np.roll(pivots, 1, axis=1)])[:2] if len(pivots) else np.ones((2, 1))
-    # The last of the sample are the least likely to be pivots.
-    near = enough_near(pivots, matrix(sample.column("embedding"))[1][-PROBES:], least, near)
-    placed = stored(classes.select("cls", "embedding").mapInArrow(_list_rows(pivots, near), LIST_ROWS), "lists")
-    several = placed.groupBy("list").count().where("count > 1").select("list")
-    full = in_blocks(placed.join(several, "list", "left_semi"), "list", "cls", block).join(classes, "cls")
-    found = stored(by_group(full, ["list", "low", "high"], _links(pivots, near, least), "a long, b long, n long"), "links")
+    width = F.size("embedding")
+    widths = classes.groupBy(width.alias("width")).count().orderBy(F.desc("count"), F.desc("width"))
+    usual = widths.limit(1).collect()
+    large = {r["width"] for r in usual} | {r["width"] for r in widths.where(F.col("count") > block).collect()}
+    links = [_indexed_links(classes.where(width == w), least, near, list_rows, most_pivots, block) for w in sorted(large)]
+    rest = stored(classes.where(~width.isin(*large)).select(width.cast("long").alias("list"), "cls"), "other-lengths") if large else None
+    if rest is not None and not rest.isEmpty():
+        links.append(by_group(in_blocks(rest, "list", "cls", block).join(classes, "cls"), ["list", "low", "high"], _links(0, least), "a long, b long, n long"))
+    found = stored(reduce(DataFrame.union, links) if links else vectors.sparkSession.createDataFrame([], "a long, b long, n long"), "links")
     more = found.where("a = b").groupBy("a").agg(F.sum("n").alias("more"))
     roots = components(found.where("a <> b").select("a", "b").union(member.select(F.col("vec_id").alias("a"), F.col("rep").alias("b"))))
     per_node = (

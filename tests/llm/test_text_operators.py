@@ -555,3 +555,36 @@ def test_softmax_of_large_scores():
     want = x - x.max(axis=1, keepdims=True)
     want -= np.log(np.exp(want.astype(np.float64)).sum(axis=1, keepdims=True))
     assert np.allclose(gru.log_softmax(x), want, atol=1e-5)
+
+
+def brute_links(vectors, least=0.9):
+    out = Counter()
+    for i, a in enumerate(vectors):
+        for j, b in enumerate(vectors):
+            if i != j and len(a) == len(b) and np.dot(a, b) / np.linalg.norm(a) / np.linalg.norm(b) >= least:
+                out[i] += 1
+    return out
+
+
+def test_vectors_of_other_lengths_link_with_their_like(spark):
+    rng = np.random.default_rng(16)
+    rows = [[1.0, 2.0, 3.0], [1.0, 2.0, 3.05], [3.0, -1.0, 0.0], [1.0], [2.0], [-1.0], [1.0, 1.0], [1.0, 1.01], [-1.0, -1.0]]
+    rows += [(b + rng.normal(size=6) * 0.1).tolist() for b in rng.normal(size=(12, 6)) for _ in range(3)]
+    df = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")
+    want = brute_links(rows)
+    # With blocks of two, the six-component vectors and others have indexes of their own.
+    for block in (2, 4096):
+        got = {r.vec_id: r.n_links for r in pivots.near_duplicates(df, block=block).collect()}
+        assert {i: got[i] for i in range(9)} == {i: want[i] for i in range(9)}
+
+
+def test_equal_scores_link_alike_in_any_partition(spark):
+    """Components of -1, 0 and 1 tie with many pivots; a pair is counted once all the same."""
+    rng = np.random.default_rng(17)
+    base = rng.integers(-1, 2, (60, 64)).astype(float)
+    rows = [v.tolist() for b in base for v in (b, np.where(rng.random(64) < 0.03, 0, b))]
+    df = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")
+    got = [{r.vec_id: r.n_links for r in pivots.near_duplicates(df.repartition(n)).collect()} for n in (1, 7)]
+    assert got[0] == got[1]
+    want = brute_links(rows)
+    assert all(got[0][i] <= want[i] for i in got[0]) and sum(got[0].values()) >= 0.95 * sum(want.values())
