@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from emporia.llm.licences import RULES, SENTENCES
+from emporia.llm.licences import DENIED, RULES, SENTENCES, known_forms
 
 
 def mix_sql(documents: str = "documents", seed: str = "mix") -> str:
@@ -24,14 +24,23 @@ MIX_SQL = f"WITH {mix_sql()} SELECT doc_id, size, source_size, target, copies *
 
 
 def licence_sql() -> str:
-    known = "MAP {" + ", ".join(f"'{s}': '{name}'" for name, s in SENTENCES.items()) + "}"
+    """Sentences end at blank lines and at . ! ? before white space or the end.  Known forms are
+    found anywhere in them; a match that takes in a denial before it is dropped."""
+    forms = known_forms(SENTENCES)
+    known = "MAP {" + ", ".join(f"'{form}': '{name}'" for form, name in forms.items()) + "}"
+    denied = DENIED.removeprefix(r"\b")
+    found = rf"\b({denied})?({'|'.join(forms)})\b"
     held = ", ".join(f"CASE WHEN contains(joined, '|{'|'.join(ids)}|') THEN '{name}' END" for name, ids in RULES)
     return rf"""
-WITH cut AS (SELECT doc_id, list_transform(regexp_split_to_array(lower(coalesce(text, '')), '[\r\n]+|[.!?;:]+(?:\s|$)'), lambda s: trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g'))) AS s FROM documents),
-ids AS (SELECT doc_id, list_filter(list_transform(s, lambda x: {known}[x]), lambda x: x IS NOT NULL) AS ids FROM cut),
-rules AS (SELECT doc_id, array_to_string(ids, '|') AS sentence_ids, list_filter([{held}], lambda x: x IS NOT NULL) AS held
-    FROM (SELECT doc_id, ids, '|' || array_to_string(ids, '|') || '|' AS joined FROM ids))
-SELECT doc_id, sentence_ids, array_to_string(list_sort(list_distinct(held)), '|') AS licences, CAST(len(held) AS BIGINT) AS n_rules FROM rules"""
+WITH numbered AS (SELECT row_number() OVER () AS row, doc_id, text FROM documents),
+cut AS (SELECT row, unnest(regexp_split_to_array(regexp_replace(lower(coalesce(text, '')), '\r\n?', chr(10), 'g'), '\n[ \t\f\x0B]*\n|[.!?]+(?:[\s\x0B]|$)')) AS s,
+    generate_subscripts(regexp_split_to_array(regexp_replace(lower(coalesce(text, '')), '\r\n?', chr(10), 'g'), '\n[ \t\f\x0B]*\n|[.!?]+(?:[\s\x0B]|$)'), 1) AS place FROM numbered),
+normal AS (SELECT row, place, regexp_replace(s, '[^a-z0-9]+', ' ', 'g') AS s FROM cut),
+hits AS (SELECT row, place, list_filter(list_zip(regexp_extract_all(s, '{found}', 1), regexp_extract_all(s, '{found}', 2)), lambda x: coalesce(x[1], '') = '') AS hits FROM normal),
+ids AS (SELECT row, flatten(list(list_transform(hits, lambda x: {known}[x[2]]) ORDER BY place)) AS ids FROM hits GROUP BY row),
+joined AS (SELECT row, array_to_string(ids, '|') AS sentence_ids, '|' || array_to_string(ids, '|') || '|' AS joined FROM ids),
+rules AS (SELECT row, sentence_ids, list_filter([{held}], lambda x: x IS NOT NULL) AS held FROM joined)
+SELECT doc_id, sentence_ids, array_to_string(list_sort(list_distinct(held)), '|') AS licences, CAST(len(held) AS BIGINT) AS n_rules FROM numbered JOIN rules USING (row)"""
 
 
 LICENCE_SQL = licence_sql()

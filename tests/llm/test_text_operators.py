@@ -5,12 +5,13 @@ import textwrap
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from emporia.llm import bytecnn, components, gru, jaccard, latent, licences, lines, lm, mixing, pivots, substrings, tokens, words
+from emporia.llm import bytecnn, components, gru, jaccard, latent, licences, lines, lm, mixing, pivots, sql, substrings, tokens, words
 from emporia.llm.counttree import CountTree, Overlaps, counts, fold, needed, pack, spanning_links, unpack
 from emporia.llm.queries import tokenizer_json
 
@@ -530,6 +531,33 @@ def test_licence_headers_as_published(spark, end, lead):
     got = {r.doc_id: r for r in licences.scan_licences(frame(spark, texts)).collect()}
     assert [got[i].licences for i in range(len(texts))] == [["MIT"], ["Apache-2.0"], ["GPL"], ["BSD"], ["BSD"], ["GPL"], ["MIT"], [], [], [], []]
     assert got[1].sentence_ids == ["apache-short", "apache-may-not", "apache-copy", "apache-basis"] and got[1].n_rules == 2
+    # The SQL says the same of these texts.
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [*enumerate(texts), (99, None), (100, "")])
+    said = {i: (ids, held, n) for i, ids, held, n in con.execute(sql.LICENCE_SQL).fetchall()}
+    assert said.pop(99) == said.pop(100) == ("", "", 0)
+    assert said == {i: ("|".join(r.sentence_ids), "|".join(r.licences), r.n_rules) for i, r in got.items()}
+
+
+HEADERS = {
+    "BSD-3-Clause": BSD.replace("THIS SOFTWARE", "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n\nTHIS SOFTWARE"),
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "LGPL": GPL.replace("program", "library").replace("GNU General", "GNU Lesser General"),
+    "AGPL": GPL.replace("GNU General", "GNU Affero General"),
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES.",
+    "Unlicense": "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary.",
+    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages.\n\nPermission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+}
+
+
+def test_each_header_has_its_licence_alone(spark):
+    names = list(HEADERS)
+    got = {r.doc_id: r.licences for r in licences.scan_licences(frame(spark, ["\n".join(textwrap.wrap(p, 60)) if "\n" not in p else p for p in HEADERS.values()])).collect()}
+    assert [got[i] for i in range(len(names))] == [[n] for n in names]
 
 
 def test_model_and_shares_sum_to_one():
