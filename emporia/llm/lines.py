@@ -32,9 +32,8 @@ def tagged(docs: DataFrame) -> DataFrame:
 
 
 def line_ids(rows: DataFrame) -> DataFrame:
-    """(doc_id, tag, at, left, h, size): the lines of ``rows`` that are not blank, ``at``
-    their place in the row's sequence, ``left`` how many lines it has from there on,
-    ``size`` their characters.
+    """(doc_id, tag, at, left, h): the lines of ``rows`` that are not blank, ``at`` their
+    place in the row's sequence, ``left`` how many lines it has from there on.
 
     A line ends at a line feed; blanks at its ends count for nothing.  Rows equal in
     doc_id and text are one sequence; a null doc_id has none.
@@ -42,7 +41,7 @@ def line_ids(rows: DataFrame) -> DataFrame:
     cut = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.btrim(x, F.lit(BLANKS)))
     full = rows.where("doc_id is not null").select(*ROW, F.filter(cut, lambda x: x != "").alias("lines"))
     lines = full.select(*ROW, F.size("lines").alias("total"), F.posexplode("lines").alias("at", "line"))
-    return lines.select(*ROW, "at", (F.col("total") - F.col("at")).alias("left"), F.xxhash64("line").alias("h"), F.length("line").alias("size")).distinct()
+    return lines.select(*ROW, "at", (F.col("total") - F.col("at")).alias("left"), F.xxhash64("line").alias("h")).distinct()
 
 
 def running(counts: DataFrame, keys: list[str]) -> DataFrame:
@@ -84,41 +83,52 @@ def suffix_intervals(lines: DataFrame) -> DataFrame:
         suffixes, length = stored(suffixes.where("not open").union(renewed), "suffixes"), 2 * length
 
 
-def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for text, gone, longest in zip(*(batch.column(c).to_pylist() for c in ("text", "gone", "longest")), strict=True):
-            drop, at, kept = set(gone or ()), 0, []
-            for line in (text or "").split("\n"):
-                blank = not line.strip(BLANKS)
-                if blank or at not in drop:
-                    kept.append(line)
-                at += not blank
-            out.append((at, len(drop), longest or 0, "\n".join(kept)))
-        counts = [pa.array([x[k] for x in out], pa.int64()) for k in range(3)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *counts, pa.array([x[3] for x in out], pa.string())], names=["doc_id", "n_lines", "n_removed", "longest_shared", "kept"])
-
-
-def drop_line_copies(docs: DataFrame, min_lines: int = 2, min_chars: int = 100) -> DataFrame:
+def _assemble(min_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text, runs, alone, longest in zip(*(batch.column(c).to_pylist() for c in ("text", "runs", "alone", "longest")), strict=True):
+                lines = (text or "").split("\n")
+                full = [bool(x.strip(BLANKS)) for x in lines]
+                drop, single, only = set(runs or ()), set(alone or ()), sum(full) == 1
+                at, gone, kept = 0, 0, []
+                for line, counts in zip(lines, full, strict=True):
+                    if counts and (at in drop or at in single and (only or len(line.encode().split()) >= min_words)):
+                        gone += 1
+                    else:
+                        kept.append(line)
+                    at += counts
+                out.append((at, gone, longest or 0, "\n".join(kept)))
+            counts = [pa.array([x[k] for x in out], pa.int64()) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *counts, pa.array([x[3] for x in out], pa.string())], names=["doc_id", "n_lines", "n_removed", "longest_shared", "kept"])
+
+    return run
+
+
+def drop_line_copies(docs: DataFrame, min_lines: int = 2, min_words: int = 3) -> DataFrame:
     """(doc_id, n_lines, n_removed, longest_shared, kept) for every row of ``docs``
     (doc_id, text).
 
-    A line goes if it lies in a run of at least ``min_lines`` lines (a power of two), or
-    is a line of at least ``min_chars`` characters, that also stands at an earlier place:
-    in a smaller doc_id, or before in the same one.  Blank lines are no part of runs
-    and stay.  ``longest_shared`` is the largest power of two of lines that an earlier
-    place shares.  A null text has no lines; a row with a null doc_id keeps all lines
-    and takes no part; rows equal in doc_id and text are handled alike.  Other columns
-    are not read.
+    A line goes if it also stands at an earlier place (in a smaller doc_id, or before in
+    the same one) and lies in a run of at least ``min_lines`` lines (a power of two) that
+    does, or has at least ``min_words`` words, or is its text's only line: short lines
+    such as headings or brackets between other neighbours stay.  Blank lines are no part
+    of runs and stay.  ``longest_shared`` is the largest power of two of lines that an
+    earlier place shares.  A null text has no lines; a row with a null doc_id keeps all
+    lines and takes no part; rows equal in doc_id and text are handled alike.  Other
+    columns are not read.
     """
     if min_lines < 1 or min_lines & (min_lines - 1):
         raise ValueError("min_lines must be a power of two")
     rows = tagged(docs)
     lines = stored(line_ids(rows), "lines")
     later = suffix_intervals(lines).where("later")
-    runs = later.where(F.col("length") == min_lines).select(*ROW, F.explode(F.sequence("at", F.col("at") + min_lines - 1)).alias("at"))
-    alone = later.where("length = 1").join(lines.where(F.col("size") >= min_chars).select(*ROW, "at"), [*ROW, "at"], "left_semi").select(*ROW, "at")
-    gone = runs.union(alone).groupBy(*ROW).agg(F.collect_set("at").alias("gone"))
+    gone = later.where(F.col("length").isin(1, min_lines)).select(
+        *ROW, "length", F.explode(F.when(F.col("length") == min_lines, F.sequence("at", F.col("at") + min_lines - 1)).otherwise(F.array("at"))).alias("at")
+    )
+    gone = gone.groupBy(*ROW).agg(
+        F.collect_set(F.when(F.col("length") == min_lines, F.col("at"))).alias("runs"), F.collect_set(F.when(F.col("length") == 1, F.col("at"))).alias("alone")
+    )
     longest = later.groupBy(*ROW).agg(F.max("length").alias("longest"))
     full = rows.join(longest.join(gone, ROW, "left"), ROW, "left")
-    return full.select("doc_id", "text", "gone", "longest").mapInArrow(_assemble, "doc_id long, n_lines long, n_removed long, longest_shared long, kept string")
+    return full.select("doc_id", "text", "runs", "alone", "longest").mapInArrow(_assemble(min_words), "doc_id long, n_lines long, n_removed long, longest_shared long, kept string")

@@ -70,10 +70,10 @@ SELECT t.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id
 LINES_SQL = r"""
 WITH t AS (SELECT doc_id, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(11) || chr(12) || chr(13))), lambda x: x <> '') AS l,
     string_split(coalesce(text, ''), chr(10)) AS raw FROM documents),
-w AS (SELECT doc_id, i AS pos, k.len, md5(array_to_string(l[i : i + k.len - 1], chr(10))) AS h, length(l[i]) AS size
+w AS (SELECT doc_id, i AS pos, k.len, md5(array_to_string(l[i : i + k.len - 1], chr(10))) AS h, len(l) = 1 OR len(regexp_extract_all(l[i], '[^\x20\x09-\x0D]+')) >= 3 AS counts
     FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM t) s, (SELECT CAST(pow(2, range) AS BIGINT) AS len FROM range(16)) k WHERE i + k.len - 1 <= len(l)),
-later AS (SELECT doc_id, pos, len, size FROM (SELECT *, row_number() OVER (PARTITION BY len, h ORDER BY doc_id, pos) AS r FROM w) x WHERE r > 1),
-gone AS (SELECT DISTINCT doc_id, pos + j.j AS pos FROM later, range(2) j(j) WHERE len = 2 OR (len = 1 AND size >= 100 AND j.j = 0)),
+later AS (SELECT doc_id, pos, len, counts FROM (SELECT *, row_number() OVER (PARTITION BY len, h ORDER BY doc_id, pos) AS r FROM w) x WHERE r > 1),
+gone AS (SELECT DISTINCT doc_id, pos + j.j AS pos FROM later, range(2) j(j) WHERE len = 2 OR (len = 1 AND counts AND j.j = 0)),
 longest AS (SELECT doc_id, max(len) AS len FROM later GROUP BY doc_id),
 line AS (SELECT doc_id, i AS place, raw[i] AS line, trim(raw[i], ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> '' AS full_line FROM (SELECT doc_id, raw, unnest(range(1, len(raw) + 1)) AS i FROM t)),
 ranked AS (SELECT doc_id, place, line, full_line, sum(CASE WHEN full_line THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY place) AS pos FROM line),

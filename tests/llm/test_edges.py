@@ -101,7 +101,7 @@ def test_tokens(docs, none):
 
 
 def test_lines(docs, none):
-    got = by_id(lines.drop_line_copies(docs, min_chars=20), "n_lines", "n_removed", "kept")
+    got = by_id(lines.drop_line_copies(docs), "n_lines", "n_removed", "kept")
     assert (5, 1, 0, SAME) in got and got.count((6, 1, 1, "")) == 2 and (None, 1, 0, SAME) in got
     kept = {(i, n, r) for i, n, r, _ in got}
     assert kept >= {(1, 0, 0), (2, 0, 0), (3, 0, 0), (4, 1, 0), (5, 1, 0), (6, 1, 1), (6, 2, 0), (7, 1, 0)}

@@ -370,9 +370,9 @@ def test_token_shards_round_trip(spark, tmp_path):
 
 def test_line_runs(spark):
     rng = random.Random(10)
-    pool = [f"line {i}" for i in range(25)] + ["x" * 150, ""]
+    pool = [f"line {i}" for i in range(25)] + ["x" * 150, "one more\tline", " three short words ", ""]
     texts = ["\n".join(rng.choice(pool) for _ in range(rng.randrange(0, 30))) for _ in range(60)]
-    texts += [texts[3], texts[4] + "\n" + texts[5], "a\nb\na\nb\na\nb"]
+    texts += [texts[3], texts[4] + "\n" + texts[5], "a\nb\na\nb\na\nb", "only", "\nonly \n"]
     got = {r.doc_id: r for r in lines.drop_line_copies(frame(spark, texts)).collect()}
     seqs = [[x.strip() for x in t.split("\n") if x.strip()] for t in texts]
     first, longest, gone = {}, Counter(), [set() for _ in seqs]
@@ -384,7 +384,7 @@ def test_line_runs(spark):
                 run = tuple(s[i : i + n])
                 if run in seen:
                     longest[d] = max(longest[d], n)
-                    if n == 2 or n == 1 and len(run[0]) >= 100:
+                    if n == 2 or n == 1 and (len(run[0].split()) >= 3 or len(s) == 1):
                         gone[d].update(range(i, i + n))
                 seen.setdefault(run, (d, i))
     for d, s in enumerate(seqs):
