@@ -105,18 +105,17 @@ def start_keyword_top_n(log_stream: DataFrame, out: str, checkpoint: str, n: int
                         tz: str = DEFAULT_TZ, trigger: dict | None = None,
                         lateness: str | None = None) -> StreamingQuery:
     """True keyword counts kept by the streaming aggregate; each
-    batch merges its updated counts into the touched days' snapshots
-    (``out/counts``), re-ranks only those days and overwrites their
+    batch appends its updated counts to the touched days (``out/counts``),
+    re-ranks only those days and overwrites their
     partitions of ``out/top`` (one current Top-N per day).  ``read_keyword_top_n``
     gives the sorted flush: days ascending, ranks within."""
     counts = logs.keyword_counts(log_stream, search_type, tz, lateness)
     count_path, top_path = f"{out}/counts", f"{out}/top"
 
     def flush(batch: DataFrame, epoch: int) -> None:
-        cur = store.merge_snapshot(batch, count_path, "log_date", ["keyword"], epoch)
+        cur = store.append_keyed(batch, count_path, "log_date", ["keyword"], epoch)
         if cur is None:
             return
-        store.drop_superseded(batch.sparkSession, count_path, "log_date")
         ranked = top_n(cur, ["log_date"], [F.desc("cnt"), F.asc("keyword")], n, "rn")
         (ranked.select("log_date", F.col("rn").cast("int").alias("rn"), "keyword", "cnt")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("log_date").parquet(top_path))
@@ -237,45 +236,64 @@ def transition_rows(log_stream: DataFrame, tz: str = DEFAULT_TZ, seq: str | None
     )
 
 
+def touched_rows(spark, out: str, batch: DataFrame, epoch: int):
+    """Stored rows of the users and days that ``batch`` has rows of, this batch's included.
+    Only the folders of those days and users' parts are read."""
+    folders = batch.groupBy("log_date").agg(F.collect_set("user_part").alias("parts")).collect()
+    rows = spark.read.parquet(f"{out}/rows")
+    where = F.lit(False)
+    for f in folders:
+        where = where | ((F.col("log_date") == F.lit(f["log_date"])) & F.col("user_part").isin(f["parts"]))
+    users = batch.select("log_date", "user_part", "user_id").distinct()
+    return rows.filter(where & (F.col(store.EPOCH) <= epoch)).join(users, ["log_date", "user_part", "user_id"], "left_semi")
+
+
 def start_path_transitions(log_stream: DataFrame, out: str, checkpoint: str, tz: str = DEFAULT_TZ,
-                           seq: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+                           seq: str | None = None, trigger: dict | None = None, user_parts: int = 8) -> StreamingQuery:
     """M4 on a stream, the same as in batch whatever order rows arrive in.
 
-    Each batch stores its rows by day (``out/rows``) and recomputes the days it touched:
-    transitions inside a user's day (``out/inside``) and the user's first and last row
-    of the day (``out/edges``).  Read with ``read_path_transitions``, which joins
-    the days of a user from their edges.  Both writes replace whole days, so a
-    replayed batch changes nothing.
+    Each batch stores its rows by day and ``user_parts`` of the users (``out/rows``; more
+    where a day has many rows and a batch few users) and looks again
+    at the days of the users it has rows of: by how much their transitions differ from
+    those without the batch (``out/inside``, to be summed), and the users' first and last
+    rows of the day (``out/edges``, the latest counts).  Read with
+    ``read_path_transitions``, which joins the days of a user from their edges.  A batch
+    writes below its own number and compares with the batches before it, so a replayed
+    batch changes nothing.  Rows without a user have no path.
     """
-    rows = logs.normalise(log_stream, tz).select(
-        "user_id", "ts", (F.col(seq) if seq else F.lit(0)).cast("long").alias("seq"), "log_type", "log_date"
+    rows = logs.normalise(log_stream.filter(F.col("user_id").isNotNull()), tz).select(
+        "user_id", "ts", (F.col(seq) if seq else F.lit(0)).cast("long").alias("seq"), "log_type", "log_date",
+        F.pmod(F.xxhash64("user_id"), F.lit(user_parts)).cast("int").alias("user_part"),
     )
 
+    def inside(stored: DataFrame) -> DataFrame:
+        keyed = stored.withColumn("user_day", F.struct("user_id", "log_date"))
+        return logs.count_moves(transitions(keyed, "user_day", ["ts", "seq"], "log_type", F.floor(F.col("ts") / 3_600_000)))
+
     def flush(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        store.append_epoch(batch, f"{out}/rows", epoch, ("log_date",))
-        days = store.touched(batch, "log_date")
-        if not days:
+        store.append_epoch(batch.repartition("log_date", "user_part"), f"{out}/rows", epoch, ("log_date", "user_part"))
+        own = batch.sparkSession.read.parquet(f"{out}/rows").filter(F.col(store.EPOCH) == epoch)
+        if own.isEmpty():
             return
-        stored = spark.read.parquet(f"{out}/rows").filter(F.col("log_date").isin(days))
+        stored = touched_rows(batch.sparkSession, out, own, epoch)
         edge = F.struct("ts", "seq", "log_type")
         edges = stored.groupBy("user_id", "log_date").agg(F.min(edge).alias("first"), F.max(edge).alias("last"))
-        keyed = stored.withColumn("user_day", F.struct("user_id", "log_date"))
-        inside = logs.count_moves(transitions(keyed, "user_day", ["ts", "seq"], "log_type", F.floor(F.col("ts") / 3_600_000)))
-        for df, name in ((edges, "edges"), (inside, "inside")):
-            df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("log_date").parquet(f"{out}/{name}")
+        before = inside(stored.filter(F.col(store.EPOCH) < epoch)).withColumn("cnt", -F.col("cnt"))
+        change = inside(stored).unionByName(before).groupBy("log_date", "path").agg(F.sum("cnt").alias("cnt")).filter("cnt <> 0")
+        for df, name in ((edges, "edges"), (change, "inside")):
+            store.append_epoch(df, f"{out}/{name}", epoch, ("log_date",))
 
     return _start(rows, flush, checkpoint, "append", trigger, None)
 
 
 def read_path_transitions(spark, out: str) -> DataFrame:
     """Counts per (log_date, path), sorted by day, falling count and path."""
-    inside = spark.read.parquet(f"{out}/inside")
+    inside = store.summed(spark, f"{out}/inside", ["log_date", "path"], ["cnt"])
     day = Window.partitionBy("user_id").orderBy("log_date")
-    edges = spark.read.parquet(f"{out}/edges").withColumn("prev", F.lag("last").over(day)["log_type"])
+    edges = store.latest(spark, f"{out}/edges", ["user_id", "log_date"]).withColumn("prev", F.lag("last").over(day)["log_type"])
     across = logs.count_moves(edges.select("log_date", "prev", F.col("first.log_type").alias("log_type")))
     total = inside.select("log_date", "path", "cnt").unionByName(across).groupBy("log_date", "path").agg(F.sum("cnt").alias("cnt"))
-    return total.orderBy("log_date", F.desc("cnt"), "path")
+    return total.filter("cnt <> 0").orderBy("log_date", F.desc("cnt"), "path")
 
 
 # ---- T1-T5: cumulative GMV report ---------------------------------------------------------
@@ -303,9 +321,9 @@ def start_gmv_report(sales: DataFrame, out: str, checkpoint: str, id_col: str =
                      amount_col: str = "total_amount", trigger: dict | None = None, tz: str | None = None,
                      day: str | None = None, ops: tuple[str, ...] | None = None,
                      json_sink: dict | None = None) -> StreamingQuery:
-    """T2-T5 on a stream.  Updated pane totals are merged into per-day
-    snapshots in ``out/panes``; the touched days' cumulative rows are
-    recomputed from their snapshot and overwrite those days in
+    """T2-T5 on a stream.  Updated pane totals are appended by day to
+    ``out/panes``; the touched days' cumulative rows are recomputed from
+    their latest totals and overwrite those days in
     ``out/report`` (partitioned by order_date).  A late row corrects every
     later window of its day.
 
@@ -330,10 +348,9 @@ def start_gmv_report(sales: DataFrame, out: str, checkpoint: str, id_col: str =
             product_col,
             "amt",
         ).withColumn("day", F.to_date("window_start"))
-        cur = store.merge_snapshot(rows, pane_path, "day", keys, epoch)
+        cur = store.append_keyed(rows, pane_path, "day", keys, epoch)
         if cur is None:
             return
-        store.drop_superseded(batch.sparkSession, pane_path, "day")
         report = gmv.report_from_panes(cur.drop("day"), id_col, product_col, n, step_s, DAY)
         (report.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("order_date").parquet(report_path))

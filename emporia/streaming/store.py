@@ -169,7 +169,7 @@ def drop_epochs(spark: SparkSession, path: str, before: int) -> None:
 
 def compact(spark: SparkSession, path: str, keys: list[str], epoch_id: int, order: list[str] | None = None, every: int = 20) -> bool:
     """Merge the deltas of a ``latest`` store; to be called before batch ``epoch_id`` appends
-    its own, and does its work at every ``every``-th batch.
+    its own, and does its work once ``every`` batches have left theirs.
 
     The newest folder before the batch is of a finished batch, which never runs again.  To
     it are added the latest rows of the keys it lacks; then the older folders go.  A key
@@ -177,11 +177,9 @@ def compact(spark: SparkSession, path: str, keys: list[str], epoch_id: int, orde
     reader reads does not grow with the number of batches.  If the work is cut short, rows
     stand twice until it is done again; none is lost.
     """
-    if epoch_id == 0 or epoch_id % every:
-        return False
     files, epochs = _folders(spark, path, EPOCH)
     done = sorted(int(e) for e in epochs if int(e) < epoch_id)
-    if len(done) < 2:
+    if len(done) < max(2, every):
         return False
     newest = done[-1]
     rows = latest_by(spark.read.parquet(path).filter(F.col(EPOCH) <= newest), keys, order or [EPOCH])
@@ -198,6 +196,25 @@ def append_latest(batch: DataFrame, path: str, epoch_id: int, keys: list[str], o
     append_epoch(batch, path, epoch_id)
 
 
+def append_keyed(batch: DataFrame, path: str, part: str, keys: list[str], epoch_id: int, every: int = 20) -> DataFrame | None:
+    """Append a batch's rows, which carry full values for their keys, and return the latest row
+    of every key of the partitions it touches; None for an empty batch.
+
+    What is written follows the batch, not the partition; what is read is a partition's
+    merged rows and at most ``every`` deltas.  A batch that runs again replaces its own
+    delta and reads none that came later.
+    """
+    spark = batch.sparkSession
+    values = [str(v) for v in touched(batch, part)]
+    if not values:
+        return None
+    for v in values:
+        compact(spark, f"{path.rstrip('/')}/{part}={v}", keys, epoch_id, every=every)
+    append_epoch(batch, path, epoch_id, (part,))
+    rows = spark.read.parquet(path).filter(F.col(part).cast("string").isin(values) & (F.col(EPOCH) <= int(epoch_id)))
+    return latest_by(rows.select(*batch.columns, EPOCH), [part, *keys], [EPOCH]).drop(EPOCH)
+
+
 # ---- progress -----------------------------------------------------------------
 
 
