@@ -31,23 +31,28 @@ from emporia.streaming.jobs import _start
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BUCKETS = 64
+SHUFFLE = "spark.sql.shuffle.partitions"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 @contextmanager
 def keyed_state(spark: SparkSession) -> Iterator[None]:
-    """A query started inside keeps its state in RocksDB, as keyed state needs; a query
-    takes its settings when it starts."""
-    old = spark.conf.get(PROVIDER, None)
+    """A query started inside keeps its state in RocksDB, as keyed state needs, in at most two
+    partitions a core: each is a task with a Python worker in every batch.  A query takes
+    its settings when it starts, and a checkpoint keeps the number of partitions."""
+    parts = min(int(spark.conf.get(SHUFFLE)), 2 * spark.sparkContext.defaultParallelism)
+    old = {k: spark.conf.get(k, None) for k in (PROVIDER, SHUFFLE)}
     spark.conf.set(PROVIDER, ROCKSDB)
+    spark.conf.set(SHUFFLE, str(parts))
     try:
         yield
     finally:
-        if old is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, old)
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 # ---- T10/T11: list state, a timer, once a day -------------------------------------
