@@ -26,8 +26,8 @@ RANK, EXTRA = 96, 8
 PASSAGE = 64
 STEP = 4
 WINDOWS = (16, 32, 64, 128)  # windows begin a quarter of their width apart
-SAMPLE = 20_000
 SLICE = 500_000
+SUMMED = 2_000_000  # slices of the passes that add up
 BLOCKS, SPREAD = 16, 32
 WEIGHED = 1 / 3  # an item with a smaller share of words that have a weight is searched for word by word
 
@@ -48,27 +48,46 @@ def passages(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     return dims, np.cumsum(place % PASSAGE == 0) - 1
 
 
-def frequencies(texts: Texts) -> np.ndarray:
-    """Columns: number of passages, and how many of them have each dimension."""
+def frequencies(texts: Texts, total: np.ndarray) -> None:
+    """Adds to the columns of ``total``: number of passages, and how many of them have each
+    dimension."""
     dims, passage = passages(texts)
-    n = int(passage[-1]) + 1 if len(passage) else 0
-    return np.column_stack([np.full(DIMS, n), np.bincount(np.unique(passage * DIMS + dims) % DIMS, minlength=DIMS)]).astype(float)
+    if len(dims):
+        pairs = np.sort((passage * DIMS + dims).astype(np.int64 if passage[-1] >= 2**31 // DIMS else np.int32))
+        first = np.append(True, pairs[1:] != pairs[:-1])
+        total[:, 0] += passage[-1] + 1
+        total[:, 1] += np.bincount(pairs[first] % DIMS, minlength=DIMS)
+
 
+def sketch(texts: Texts, weighted: np.ndarray, total: np.ndarray) -> None:
+    """Adds B'A directions to ``total``, A being the TF-IDF rows of these texts' passages and
+    B their word counts; ``weighted`` are the directions times the inverse frequencies, and
+    a last row of zeros.
 
-def sketch(texts: Texts, idf: np.ndarray, directions: np.ndarray) -> np.ndarray:
-    """A'A directions, A being the TF-IDF rows of these texts' passages."""
+    Passages lie beside each other and are added up word by word, then by dimension, in
+    blocks that stay in a core's cache.
+    """
     dims, passage = passages(texts)
-    used = idf[dims] > 0
+    used = weighted.any(axis=1)[dims]
     dims, passage = dims[used], passage[used]
-    total = np.zeros((DIMS, directions.shape[1]))
-    if len(dims):
-        begins = np.append(True, passage[1:] != passage[:-1])
-        row, at = np.cumsum(begins) - 1, np.flatnonzero(begins)
-        projected = np.add.reduceat((directions * idf[:, None]).astype(np.float32)[dims], at, axis=0)
-        by = np.argsort(dims, kind="stable")
-        cut = np.flatnonzero(np.append(True, dims[by][1:] != dims[by][:-1]))
-        total[dims[by][cut]] = np.add.reduceat(projected[row[by]], cut, axis=0) * idf[dims[by][cut], None]
-    return total
+    if not len(dims):
+        return
+    begins = np.append(True, passage[1:] != passage[:-1])
+    row, at = np.cumsum(begins) - 1, np.flatnonzero(begins)
+    words = np.full((PASSAGE, len(at)), DIMS)
+    words[np.arange(len(dims)) - at[row], row] = dims
+    projected = np.zeros((len(at), weighted.shape[1]), np.float32)
+    for low in range(0, len(at), 256):
+        part = projected[low : low + 256]
+        for k in range(PASSAGE):
+            part += weighted[words[k, low : low + 256]]
+    by = np.argsort(dims.astype(np.uint16), kind="stable")
+    dims, row = dims[by], row[by]
+    cut = np.flatnonzero(np.append(True, dims[1:] != dims[:-1]))
+    ends = np.append(cut, len(dims))
+    for k in range(0, len(cut), 64):
+        some = cut[k : k + 64]
+        total[dims[some]] += np.add.reduceat(projected[row[some[0] : ends[k + len(some)]]], some - some[0], axis=0)
 
 
 class Latent(NamedTuple):
@@ -83,7 +102,7 @@ class Latent(NamedTuple):
 
 
 def added_up(docs: DataFrame, columns: int, each) -> np.ndarray:
-    """The sum of ``each`` (slice of texts) -> DIMS rows by ``columns``, over all ``docs``.
+    """DIMS rows by ``columns`` to which ``each`` (slice of texts, sum) adds, over all ``docs``.
 
     Tasks add up what they read, blocks of dimensions of some tasks meet in a row each,
     and those in one row a block; every row has a fixed size, and only the last
@@ -100,8 +119,9 @@ def added_up(docs: DataFrame, columns: int, each) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = np.zeros((DIMS, columns)), False
         for batch in batches:
-            for t in slices(batch.column("text"), lower=True, size=SLICE):
-                total, seen = total + each(t), True
+            for t in slices(batch.column("text"), lower=True, size=SUMMED):
+                each(t, total)
+                seen = True
         if seen:
             mine = TaskContext.get().partitionId() % SPREAD
             yield rows({(k, mine): total[k * step : (k + 1) * step] for k in range(BLOCKS)})
@@ -133,17 +153,13 @@ def idf_of(table: np.ndarray, max_share: float) -> np.ndarray:
 
 
 def fit(docs: DataFrame, max_share: float = 0.03, seed: int = 3) -> Latent:
-    """Randomised SVD of TF-IDF passages: one pass over all ``docs`` (text) for the
-    frequencies, one for the sketch.  The sketch takes texts by their hash, all or
-    about ``SAMPLE`` of them, which bounds its work; frequencies and search take all.
-    """
+    """Randomised SVD of the TF-IDF passages of all ``docs`` (text): one pass for the
+    frequencies, one for the sketch."""
     texts = docs.select("text")
     idf = idf_of(added_up(texts, 2, frequencies), max_share)
-    rows = texts.count()
-    if rows > SAMPLE:
-        texts = texts.where(F.pmod(F.xxhash64("text", F.lit("svd")), F.lit(rows)) < SAMPLE)
     directions = random_directions(seed)
-    return solve(idf, added_up(texts, RANK + EXTRA, lambda t: sketch(t, idf, directions)), directions)
+    weighted = np.vstack([directions * idf[:, None], np.zeros(RANK + EXTRA)]).astype(np.float32)
+    return solve(idf, added_up(texts, RANK + EXTRA, lambda t, total: sketch(t, weighted, total)) * idf[:, None], directions)
 
 
 def solve(idf: np.ndarray, y: np.ndarray, directions: np.ndarray) -> Latent:

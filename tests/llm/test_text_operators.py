@@ -246,6 +246,43 @@ def test_svd_matches_numpy():
     assert np.allclose(got.singular[:40], np.linalg.svd(a, compute_uv=False)[:40], rtol=1e-3)
 
 
+def test_svd_is_of_every_text(spark):
+    """50 words, each alone in 500 of 25,000 texts: singular values follow from the counts."""
+    docs = spark.range(25_000, numPartitions=4).select(F.concat(F.lit("w"), F.col("id") % 50).alias("text"))
+    got = latent.fit(docs)
+    dims = latent.dims_of(words.word_hashes(*first_words([f"w{i}" for i in range(50)])))
+    per_dim = np.bincount(dims, minlength=latent.DIMS) * 500
+    idf = np.where(per_dim, np.log(25_001 / (per_dim + 1)) + 1e-3, 0)
+    want = np.sort(np.sqrt(per_dim) * idf)[::-1]
+    assert np.allclose(got.singular[:50], want[:50], rtol=1e-4)
+
+
+def first_words(texts):
+    t = next(words.slices(pa.array(texts), lower=True, size=10**6))
+    return t, words.words_of(t)
+
+
+def test_sketch_matches_numpy():
+    """Texts of several passages, repeated words, words without weight and texts without words."""
+    rng = random.Random(8)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.4)) % 900}" for _ in range(rng.choice([0, 1, 63, 64, 65, 200]))) for _ in range(700)]
+    t, _ = first_words(texts)
+    table = np.zeros((latent.DIMS, 2))
+    latent.frequencies(t, table)
+    parts = [text.split()[k : k + 64] for text in texts for k in range(0, len(text.split()), 64)]
+    a = np.zeros((len(parts), latent.DIMS))
+    for i, part in enumerate(parts):
+        np.add.at(a[i], latent.dims_of(words.word_hashes(*first_words([" ".join(part)]))), 1)
+    assert (table[:, 0] == len(parts)).all() and (table[:, 1] == (a > 0).sum(axis=0)).all()
+    idf, w = latent.idf_of(table, 0.03), latent.random_directions()
+    assert (idf == 0).any()
+    got = np.zeros((latent.DIMS, w.shape[1]))
+    latent.sketch(t, np.vstack([w * idf[:, None], np.zeros(w.shape[1])]).astype(np.float32), got)
+    want = a.T @ (a @ (idf[:, None] * w))
+    want[idf == 0] = 0
+    assert np.allclose(got, want, rtol=1e-4, atol=1e-3 * np.abs(want).max())
+
+
 def waterfill(sizes, weights, most):
     target, free = {}, set(sizes)
     total = sum(sizes.values())
