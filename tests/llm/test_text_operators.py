@@ -1,5 +1,6 @@
 """Operators against brute force on small random tables."""
 
+import math
 import random
 import textwrap
 import zlib
@@ -257,6 +258,13 @@ def test_svd_is_of_every_text(spark):
     assert np.allclose(got.singular[:50], want[:50], rtol=1e-4)
 
 
+def test_svd_has_no_switch_by_size(spark):
+    """The same texts twice over only scale the model."""
+    docs = spark.range(12_000, numPartitions=4).select(F.concat(F.lit("w"), F.col("id") % 60).alias("text"))
+    once, twice = latent.fit(docs), latent.fit(docs.union(docs))
+    assert np.allclose(twice.singular[:50], math.sqrt(2) * once.singular[:50], rtol=2e-3)
+
+
 def first_words(texts):
     t = next(words.slices(pa.array(texts), lower=True, size=10**6))
     return t, words.words_of(t)
