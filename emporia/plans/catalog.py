@@ -504,8 +504,10 @@ def q_stream_sales_report(spark, base):
     """Sales rows as JSON lines, read back as the sales stream in several
     micro-batches, reported by the wall clock in Shanghai for live ops, Top-3."""
     folder = scratch_path(spark, f"sales-{uuid.uuid4().hex}")
-    inputs.sales_json(spark, base).repartition(3, "value").write.text(folder)
-    sales = read_sales_stream(spark, {"format": "text", "path": folder, "maxFilesPerTrigger": 1})
+    # Three batches at any size, of files of about a million rows.
+    files = 1 + inputs.events(spark, base).count() // 3_000_000
+    inputs.sales_json(spark, base).repartition(3 * files, "value").write.text(folder)
+    sales = read_sales_stream(spark, {"format": "text", "path": folder, "maxFilesPerTrigger": files})
     return _stream(
         spark,
         lambda o, c: jobs.start_gmv_report(sales, o, c, n=3, tz="Asia/Shanghai", ops=gmv.LIVE_OPS, json_sink={"path": f"{o}/json"}),

@@ -111,9 +111,10 @@ def start_keyword_top_n(log_stream: DataFrame, out: str, checkpoint: str, n: int
     gives the sorted flush: days ascending, ranks within."""
     counts = logs.keyword_counts(log_stream, search_type, tz, lateness)
     count_path, top_path = f"{out}/counts", f"{out}/top"
+    session = log_stream.sparkSession
 
     def flush(batch: DataFrame, epoch: int) -> None:
-        cur = store.append_keyed(batch, count_path, "log_date", ["keyword"], epoch)
+        cur = store.append_keyed(batch, count_path, "log_date", ["keyword"], epoch, session=session)
         if cur is None:
             return
         ranked = top_n(cur, ["log_date"], [F.desc("cnt"), F.asc("keyword")], n, "rn")
@@ -338,6 +339,7 @@ def start_gmv_report(sales: DataFrame, out: str, checkpoint: str, id_col: str =
     panes = pane_stream(sales, time_col, amount_col, id_col, product_col, step_s, watermark)
     pane_path, report_path = f"{out}/panes", f"{out}/report"
     keys = ["window_start", "pane", id_col, product_col]
+    session = sales.sparkSession
 
     def flush(batch: DataFrame, epoch: int) -> None:
         start = wall_clock(F.col("_w.start"), _session_tz(batch))
@@ -348,15 +350,16 @@ def start_gmv_report(sales: DataFrame, out: str, checkpoint: str, id_col: str =
             product_col,
             "amt",
         ).withColumn("day", F.to_date("window_start"))
-        cur = store.append_keyed(rows, pane_path, "day", keys, epoch)
+        cur = store.append_keyed(rows, pane_path, "day", keys, epoch, session=session)
         if cur is None:
             return
         report = gmv.report_from_panes(cur.drop("day"), id_col, product_col, n, step_s, DAY)
-        (report.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        # A day's rows, one a window, go to one file.
+        (report.repartition("order_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("order_date").parquet(report_path))
         if json_sink:
-            send_json(read_gmv_report(batch.sparkSession, out, n).filter(F.col("order_date").isin(
-                [str(d) for d in store.touched(rows, "day")])), json_sink)
+            days = store.written(session, pane_path, "day", epoch)
+            send_json(read_gmv_report(session, out, n).filter(F.col("order_date").isin(days)), json_sink)
 
     return _start(panes, flush, checkpoint, "update", trigger, None)
 

@@ -168,8 +168,8 @@ def drop_epochs(spark: SparkSession, path: str, before: int) -> None:
 
 
 def compact(spark: SparkSession, path: str, keys: list[str], epoch_id: int, order: list[str] | None = None, every: int = 20) -> bool:
-    """Merge the deltas of a ``latest`` store; to be called before batch ``epoch_id`` appends
-    its own, and does its work once ``every`` batches have left theirs.
+    """Merge the deltas of a ``latest`` store from before batch ``epoch_id``; does its work once
+    ``every`` batches have left theirs.
 
     The newest folder before the batch is of a finished batch, which never runs again.  To
     it are added the latest rows of the keys it lacks; then the older folders go.  A key
@@ -196,21 +196,33 @@ def append_latest(batch: DataFrame, path: str, epoch_id: int, keys: list[str], o
     append_epoch(batch, path, epoch_id)
 
 
-def append_keyed(batch: DataFrame, path: str, part: str, keys: list[str], epoch_id: int, every: int = 20) -> DataFrame | None:
+def written(spark: SparkSession, path: str, part: str, epoch_id: int) -> list:
+    """Values, as text, of a partition column in what batch ``epoch_id`` wrote: from the folders
+    alone, so the batch itself need not run again."""
+    rows = spark.read.schema(f"{part} string, {EPOCH} int").parquet(path)
+    return [r[0] for r in rows.filter(F.col(EPOCH) == int(epoch_id)).select(part).distinct().collect()]
+
+
+def append_keyed(
+    batch: DataFrame, path: str, part: str, keys: list[str], epoch_id: int, every: int = 20, session: SparkSession | None = None, spread: int = 8
+) -> DataFrame | None:
     """Append a batch's rows, which carry full values for their keys, and return the latest row
     of every key of the partitions it touches; None for an empty batch.
 
     What is written follows the batch, not the partition; what is read is a partition's
     merged rows and at most ``every`` deltas.  A batch that runs again replaces its own
-    delta and reads none that came later.
+    delta and reads none that came later.  The batch's plan, with its state, runs once, and
+    writes at most ``spread`` files a partition.  Stored rows are read by ``session``: that
+    of a micro-batch has no adaptive execution, the one the stream was started from may.
     """
-    spark = batch.sparkSession
-    values = [str(v) for v in touched(batch, part)]
+    spark = session or batch.sparkSession
+    batch_rows = batch.repartition(part, F.pmod(F.xxhash64(*keys), F.lit(spread)))
+    append_epoch(batch_rows, path, epoch_id, (part,))
+    values = [str(v) for v in written(spark, path, part, epoch_id)]
     if not values:
         return None
     for v in values:
         compact(spark, f"{path.rstrip('/')}/{part}={v}", keys, epoch_id, every=every)
-    append_epoch(batch, path, epoch_id, (part,))
     rows = spark.read.parquet(path).filter(F.col(part).cast("string").isin(values) & (F.col(EPOCH) <= int(epoch_id)))
     return latest_by(rows.select(*batch.columns, EPOCH), [part, *keys], [EPOCH]).drop(EPOCH)
 

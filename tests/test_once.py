@@ -189,6 +189,23 @@ def test_keyed_deltas_give_the_latest_rows(spark, tmp_path):
     assert store.append_keyed(spark.createDataFrame([], "day string, k long, v long"), path, "day", ["k"], 12) is None
 
 
+def test_append_keyed_runs_a_batch_once_into_few_files(spark, tmp_path):
+    """400 rows of 40 tasks and two days: no row is computed twice, and a day has 8 files at most."""
+    seen, path = spark.sparkContext.accumulator(0), f"{tmp_path}/rows"
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = spark.range(400, numPartitions=40).selectExpr("if(id < 200, '2024-01-01', '2024-01-02') day", "id k", "id * 3 v")
+    got = store.append_keyed(rows.mapInArrow(counted, rows.schema), path, "day", ["k"], 0)
+    assert sorted(store.written(spark, path, "day", 0)) == ["2024-01-01", "2024-01-02"]
+    assert sorted((str(r.day), r.k, r.v) for r in got.collect()) == [("2024-01-01" if k < 200 else "2024-01-02", k, k * 3) for k in range(400)]
+    assert seen.value == 400
+    assert len(spark.read.parquet(path).inputFiles()) <= 16
+
+
 def test_page_view_windows_follow_local_midnight(spark):
     # 15:59:59 and 16:00:00 UTC are two days in Shanghai.
     rows = spark.createDataFrame([(1_704_124_799, "home"), (1_704_124_800, "home"), (1_704_124_800_000, None)], "ts long, log_type string")
