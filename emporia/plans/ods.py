@@ -129,8 +129,12 @@ def ods_comment_info(lines: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def ods_page_log(spark: SparkSession, base: str) -> DataFrame:
-    """Raw behaviour log as JSON text (column ``line``)."""
-    ev = table(spark, base, "events", ["event_id", "ts", "user_id", "event_type", "props"])
+    """Raw behaviour log as JSON text (column ``line``).
+
+    The rows are dealt out first: a file of few row groups would be written as JSON, and
+    parsed by what reads it, in as few tasks.
+    """
+    ev = table(spark, base, "events", ["event_id", "ts", "user_id", "event_type", "props"]).repartition("event_id", "ts")
     k = _k()
     rec = F.struct(
         F.col("user_id").alias("user_id"),

@@ -4,6 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from emporia.plans import ods
 from emporia.functions.time import daily_window, day_window_offset
 from emporia.schemas import LOG_EVENT
 from emporia.sources import jdbc, sinks, streams
@@ -131,3 +132,21 @@ def test_read_change_events_stream(spark, tmp_path):
     q.awaitTermination()
     rows = spark.sql("SELECT * FROM chg_fixture").collect()
     assert [(r.user_id, r.op, r.ts_ms, r.source_table) for r in rows] == [(1, "c", 5, "t")]
+
+
+def test_page_log_of_one_row_group_is_dealt_out(spark, tmp_path):
+    """Events of a single file and row group are written as JSON in several tasks, each once."""
+    rows = spark.range(1000).selectExpr(
+        "id event_id", "timestamp_ntz'2024-01-01 00:00:00' ts", "if(id % 7 = 0, null, id) user_id", "'view' event_type", "concat('{\"k\": ', id, '}') props"
+    )
+    rows.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    lines = ods.ods_page_log(spark, str(tmp_path))
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the rows are few
+    try:
+        parts = [r[0] for r in lines.select(F.spark_partition_id()).distinct().collect()]
+        found = [r[0] for r in lines.selectExpr("cast(get_json_object(line, '$.sku_id') as long)").collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    assert len(parts) > 1
+    assert sorted(found) == list(range(1000))
