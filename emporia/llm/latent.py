@@ -27,7 +27,9 @@ PASSAGE = 64
 STEP = 4
 WINDOWS = (16, 32, 64, 128)  # windows begin a quarter of their width apart
 SLICE = 500_000
+CHUNK = 2048  # blocks of STEP words whose sums are taken at once; a multiple of every step of windows
 SUMMED = 2_000_000  # slices of the passes that add up
+LARGE = 256  # members of a group from which on it is added up alone
 BLOCKS, SPREAD = 16, 32
 WEIGHED = 1 / 3  # an item with a smaller share of words that have a weight is searched for word by word
 
@@ -59,35 +61,45 @@ def frequencies(texts: Texts, total: np.ndarray) -> None:
         total[:, 1] += np.bincount(pairs[first] % DIMS, minlength=DIMS)
 
 
+def group_sums(table: np.ndarray, index: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """Sums of ``table``'s rows at ``index``, a group beginning at each place of ``cut``.
+
+    Groups of like sizes lie beside each other and are added up member by member, in
+    blocks that stay in a core's cache; large groups are added up one by one.
+    """
+    sizes = np.diff(np.append(cut, len(index)))
+    order = np.argsort(-sizes, kind="stable")
+    large = int(np.count_nonzero(sizes > LARGE))
+    sums = np.zeros((len(cut), table.shape[1]), table.dtype)
+    for g in order[:large].tolist():
+        for low in range(cut[g], cut[g] + sizes[g], 1024):
+            sums[g] += table.take(index[low : min(low + 1024, cut[g] + sizes[g])], axis=0).sum(axis=0)
+    for low in range(large, len(cut), 256):
+        some = order[low : low + 256]
+        first, size = cut[some], sizes[some]
+        part = table.take(index[first], axis=0)
+        having = len(some) - np.cumsum(np.bincount(size))  # how many have more than k members
+        for k in range(1, int(size[0])):
+            part[: having[k]] += table.take(index[first[: having[k]] + k], axis=0)
+        sums[some] = part
+    return sums
+
+
 def sketch(texts: Texts, weighted: np.ndarray, total: np.ndarray) -> None:
     """Adds B'A directions to ``total``, A being the TF-IDF rows of these texts' passages and
     B their word counts; ``weighted`` are the directions times the inverse frequencies, and
-    a last row of zeros.
-
-    Passages lie beside each other and are added up word by word, then by dimension, in
-    blocks that stay in a core's cache.
-    """
+    a last row of zeros."""
     dims, passage = passages(texts)
     used = weighted.any(axis=1)[dims]
     dims, passage = dims[used], passage[used]
     if not len(dims):
         return
     begins = np.append(True, passage[1:] != passage[:-1])
-    row, at = np.cumsum(begins) - 1, np.flatnonzero(begins)
-    words = np.full((PASSAGE, len(at)), DIMS)
-    words[np.arange(len(dims)) - at[row], row] = dims
-    projected = np.zeros((len(at), weighted.shape[1]), np.float32)
-    for low in range(0, len(at), 256):
-        part = projected[low : low + 256]
-        for k in range(PASSAGE):
-            part += weighted[words[k, low : low + 256]]
+    projected = group_sums(weighted, dims, np.flatnonzero(begins))
     by = np.argsort(dims.astype(np.uint16), kind="stable")
-    dims, row = dims[by], row[by]
+    dims, row = dims[by], (np.cumsum(begins) - 1)[by]
     cut = np.flatnonzero(np.append(True, dims[1:] != dims[:-1]))
-    ends = np.append(cut, len(dims))
-    for k in range(0, len(cut), 64):
-        some = cut[k : k + 64]
-        total[dims[some]] += np.add.reduceat(projected[row[some[0] : ends[k + len(some)]]], some - some[0], axis=0)
+    total[dims[cut]] += group_sums(projected, row, cut)
 
 
 class Latent(NamedTuple):
@@ -277,69 +289,87 @@ def signatures(dims: np.ndarray, idf: np.ndarray) -> np.ndarray:
 def candidates(hashes: np.ndarray, bounds: np.ndarray, latent: Latent, items: Items, search: Search) -> Iterator[tuple[int, int, int, int, float]]:
     """(text, item, first word, last word, cosine) of windows that are close enough.
 
-    Windows are sums of blocks of STEP words, doubled up to each width; texts are set
-    apart by empty blocks.  A pair that is close enough must also share some of the
+    Windows are sums of blocks of STEP words, doubled up to each width, of which only
+    those stay at which wider windows begin; texts are set apart by empty blocks, so that
+    each begins where the widest may.  Sums are taken CHUNK blocks at a time, which stay
+    in a core's cache.  A pair that is close enough must also share some of the
     item's less frequent words, by the bits of their dimensions.  An item that has too few
     of those, as when its copies are what makes its words frequent, is compared word by
     word with all windows.
     """
     sizes, widest = np.diff(bounds), int(items.window.max())
-    blocks = -(-sizes // STEP)
-    begin = np.concatenate([[0], np.cumsum(blocks + widest // STEP)])
+    unit = max(1, widest // 4 // STEP)
+    blocks = np.where(sizes > 0, np.maximum(widest // STEP, -(-sizes // (unit * STEP)) * unit), 0)
+    begin = np.concatenate([[0], np.cumsum(blocks)])
     dims = np.full(int(begin[-1]) * STEP, DIMS)
     dims[np.repeat(begin[:-1] * STEP - bounds[:-1], sizes) + np.arange(len(hashes))] = dims_of(hashes)
-    quarter = [dims[k::STEP] for k in range(STEP)]
-    sums = latent.words[quarter[0]]
-    bits = signatures(quarter[0], latent.idf)
-    for q in quarter[1:]:
-        sums = sums + latent.words[q]
-        bits = bits | signatures(q, latent.idf)
-    width = STEP
-    while width < widest:
-        k = width // STEP
-        sums, bits, width = sums[:-k] + sums[k:], bits[:-k] | bits[k:], 2 * width
-        if not (items.window == width).any():
-            continue
+    signature = signatures(np.arange(DIMS + 1), latent.idf)
+    levels = {}
+    for width in np.unique(items.window).tolist():
         step = width // 4 // STEP
         count = np.where(sizes > 0, np.maximum(0, -(-(sizes - width) // (step * STEP))) + 1, 0)
         owner = np.repeat(np.arange(len(sizes)), count)
         place = (np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)) * step
-        at = begin[:-1][owner] + place
+        first = bounds[owner] + place * STEP
+        last = np.minimum(first + width, bounds[owner + 1])
+        spans = [np.zeros((2, 0), np.int64)]
         for j in np.flatnonzero((items.window == width) & items.exact).tolist():
             mine = items.hashes[j]
-            first = bounds[owner] + place * STEP
-            last = np.minimum(first + width, bounds[owner + 1])
             low, high = np.maximum(bounds[owner], first - len(mine)), np.minimum(bounds[owner + 1], last + len(mine))
-            for x in spans_in_order(hashes, low, high, mine, search.with_answer * len(mine)).tolist():
-                v = sums[at[x]]
-                yield int(owner[x]), j, int(first[x]), int(last[x]), float(v @ items.vectors[j] / max(np.linalg.norm(v), 1e-12))
+            x = spans_in_order(hashes, low, high, mine, search.with_answer * len(mine))
+            spans.append(np.stack([x, np.full(len(x), j)]))
+        exact = np.concatenate(spans, axis=1)
         mine = np.flatnonzero((items.window == width) & ~items.exact)
         wanted = np.bitwise_count(items.bits[mine]).sum(axis=1)
-        for low in range(0, len(at) if len(mine) else 0, 4096):
-            some = at[low : low + 4096]
-            v = sums[some]
+        levels[width] = owner, begin[:-1][owner] + place, first, last, exact[:, np.argsort(exact[0], kind="stable")], mine, wanted
+    for base in range(0, int(begin[-1]), CHUNK):
+        words = dims[base * STEP : (base + CHUNK + widest // STEP) * STEP]
+        sums, bits = latent.words.take(words[::STEP], axis=0), signature.take(words[::STEP], axis=0)
+        for k in range(1, STEP):
+            sums += latent.words.take(words[k::STEP], axis=0)
+            bits |= signature.take(words[k::STEP], axis=0)
+        width, apart = STEP, 1  # a row's words, and the blocks from one row to the next
+        while width < widest:
+            k, width = width // STEP // apart, 2 * width
+            thin = max(1, width // 4 // STEP) // apart
+            sums, bits, apart = sums[:-k:thin] + sums[k::thin], bits[:-k:thin] | bits[k::thin], apart * thin
+            if width not in levels:
+                continue
+            owner, at, first, last, exact, mine, wanted = levels[width]
+            low, high = np.searchsorted(at, [base, base + CHUNK]).tolist()
+            rows = (at[low:high] - base) // apart
+            v = sums.take(rows, axis=0)
+            for x, j in exact[:, slice(*np.searchsorted(exact[0], [low, high]))].T.tolist():
+                u = v[x - low]
+                yield int(owner[x]), j, int(first[x]), int(last[x]), float(u @ items.vectors[j] / max(np.linalg.norm(u), 1e-12))
+            if low == high or not len(mine):
+                continue
             v /= np.maximum(np.sqrt(np.einsum("ij,ij->i", v, v)), 1e-12)[:, None]
             near = v @ items.vectors[mine].T
-            i, j = np.nonzero(near >= search.cosine)
-            shared = np.bitwise_count(bits[some[i]] & items.bits[mine[j]]).sum(axis=1)
-            for x in np.flatnonzero(shared >= search.bits * wanted[j]).tolist():
-                t, first = int(owner[low + i[x]]), int(place[low + i[x]]) * STEP
-                yield t, int(mine[j[x]]), int(bounds[t]) + first, int(min(bounds[t] + first + width, bounds[t + 1])), float(near[i[x], j[x]])
+            i, j = np.divmod(np.flatnonzero(near.ravel() >= search.cosine), len(mine))
+            shared = np.bitwise_count(bits.take(rows[i], axis=0) & items.bits[mine[j]]).sum(axis=1)
+            good = np.flatnonzero(shared >= search.bits * wanted[j])
+            i, j = i[good], j[good]
+            some = low + i
+            yield from zip(owner[some].tolist(), mine[j].tolist(), first[some].tolist(), last[some].tolist(), near[i, j].tolist(), strict=True)
 
 
 def leaks(column: pa.Array, latent: Latent, items: Items, search: Search) -> Iterator[tuple[int, int, int, bool, float]]:
     """(text, item, common words, answer found, cosine): the best of each text and item."""
+    distinct = [np.unique(mine) for mine in items.hashes]
     for t, w, h in normal(column):
         best: dict[tuple[int, int], tuple[int, bool, float]] = {}
+        bounds = w.bounds.tolist()
         for text, item, a, b, cosine in candidates(h, w.bounds, latent, items, search) if len(items.ids) else ():
-            mine = items.hashes[item]
+            mine, known = items.hashes[item], distinct[item]
             n = len(mine)
-            low, high = max(int(w.bounds[text]), a - n), min(int(w.bounds[text + 1]), b + n)
-            span = h[low:high]
-            inside = span[np.isin(span, mine)]
+            span = h[max(bounds[text], a - n) : min(bounds[text + 1], b + n)]
+            inside = span[known.take(known.searchsorted(span), mode="clip") == span]
             if len(inside) < search.with_answer * n:
                 continue
             common = common_subsequence(mine, inside)
+            if common < min(search.share, search.with_answer) * n:
+                continue
             tail = mine[items.answer[item] :]
             answer = common_subsequence(tail, inside) >= 0.8 * len(tail)
             if common >= search.share * n or (answer and common >= search.with_answer * n):

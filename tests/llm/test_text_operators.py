@@ -3,6 +3,7 @@
 import math
 import random
 import textwrap
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -291,6 +292,72 @@ def test_sketch_matches_numpy():
     assert np.allclose(got, want, rtol=1e-4, atol=1e-3 * np.abs(want).max())
 
 
+def test_group_sums():
+    """Groups of one row, of more rows than are added up side by side, and of equal sizes."""
+    rng = np.random.default_rng(5)
+    table = rng.normal(size=(90, 7)).astype(np.float32)
+    sizes = np.concatenate([rng.integers(1, 40, 700), [1, latent.LARGE, latent.LARGE + 1, 5000, 1]])
+    index, cut = rng.integers(0, 90, sizes.sum()), np.cumsum(sizes) - sizes
+    got = latent.group_sums(table, index, cut)
+    assert np.allclose(got, np.add.reduceat(table[index].astype(float), cut, axis=0), atol=1e-3)
+
+
+def windows_case():
+    """Random word vectors, items for every width, and texts of many sizes that hold parts of them."""
+    rng = random.Random(12)
+    idf = np.random.default_rng(12).uniform(0.1, 3, latent.DIMS)
+    idf[::5] = 0
+    vectors = np.random.default_rng(13).normal(size=(latent.DIMS, latent.RANK)) * idf[:, None]
+    model = latent.Latent(idf, np.vstack([vectors, np.zeros(latent.RANK)]).astype(np.float32), np.ones(latent.RANK))
+    word = lambda n: [f"w{rng.randrange(4000)}" for _ in range(n)]
+    asked = [word(n) for n in (7, 14, 30, 40, 70, 130, 140)]
+    texts = []
+    for k in range(400):
+        host = word(rng.choice([0, 1, 15, 16, 17, 31, 63, 64, 65, 127, 128, 129, 200, 330]))
+        at = rng.randrange(len(host) + 1)
+        texts.append(" ".join([*host[:at], *rng.choice(asked)[: rng.choice([0, 5, 20, 200])], *host[at:]]))
+    return texts, model, latent.prepare_items([(i, " ".join(w)) for i, w in enumerate(asked)], model)
+
+
+@pytest.mark.parametrize("only", [None, 16, 32, 64, 128])
+def test_windows_match_brute_force(only):
+    texts, model, items = windows_case()
+    if only:
+        keep = np.flatnonzero(items.window == only)
+        pick = lambda v: v[keep] if isinstance(v, np.ndarray) else [v[k] for k in keep]
+        items = latent.Items(*map(pick, items))
+    t, w = first_words(texts)
+    hashes, bounds, search = words.word_hashes(t, w), w.bounds.tolist(), latent.Search()
+    assert len(hashes) > 2 * latent.CHUNK * latent.STEP and not items.exact.any()
+    want = {}
+    for text, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+        for j, width in enumerate(items.window.tolist()):
+            for first in range(a, max(b - width, a) + width // 4 if b > a else a, width // 4):
+                dims = latent.dims_of(hashes[first : min(first + width, b)])
+                v = model.words[dims].astype(float).sum(axis=0)
+                cosine = v @ items.vectors[j] / np.linalg.norm(v) if v.any() else 0.0
+                shared = np.bitwise_count(np.bitwise_or.reduce(latent.signatures(dims, model.idf)) & items.bits[j]).sum()
+                if shared >= search.bits * np.bitwise_count(items.bits[j]).sum():
+                    want[text, j, first, min(first + width, b)] = cosine
+    got = {tuple(x[:4]): x[4] for x in latent.candidates(hashes, w.bounds, model, items, search)}
+    assert len(got) > 20 and all(abs(want[k] - x) < 1e-4 for k, x in got.items())
+    assert {k for k, x in want.items() if x >= search.cosine + 1e-4} <= set(got)
+
+
+def test_windows_are_summed_a_part_at_a_time():
+    """Short texts take no room for the widest window each, and sums don't grow with the slice."""
+    _, model, items = windows_case()
+    rng = random.Random(14)
+    t, w = first_words([" ".join(f"w{rng.randrange(4000)}" for _ in range(rng.choice([40, 300]))) for _ in range(500)])
+    hashes = words.word_hashes(t, w)
+    tracemalloc.start()
+    for _ in latent.candidates(hashes, w.bounds, model, items, latent.Search()):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < len(hashes) // latent.STEP * latent.RANK * 4  # one vector for each block of words
+
+
 def waterfill(sizes, weights, most):
     target, free = {}, set(sizes)
     total = sum(sizes.values())
