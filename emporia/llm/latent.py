@@ -31,6 +31,7 @@ CHUNK = 2048  # blocks of STEP words whose sums are taken at once; a multiple of
 SUMMED = 2_000_000  # slices of the passes that add up
 LARGE = 256  # members of a group from which on it is added up alone
 BLOCKS, SPREAD = 16, 32
+NOISE = 1e-3  # smaller singular values, of the largest, are rounding: the sketch is summed in single precision
 WEIGHED = 1 / 3  # an item with a smaller share of words that have a weight is searched for word by word
 
 
@@ -184,7 +185,7 @@ def solve(idf: np.ndarray, y: np.ndarray, directions: np.ndarray) -> Latent:
     half = np.linalg.cholesky((inner + inner.T) / 2 + 1e-12 * np.trace(inner) * np.eye(len(inner)))
     u, s, _ = np.linalg.svd(np.linalg.solve(half, y.T).T, full_matrices=False)
     singular = np.sqrt(np.maximum(s[:RANK] ** 2 - shift, 0))
-    kept = singular > 1e-6 * max(singular.max(initial=0), 1e-300)
+    kept = singular > NOISE * max(singular.max(initial=0), 1e-300)
     words = idf[:, None] * u[:, :RANK] * np.where(kept, 1 / np.where(kept, singular, 1), 0)
     return Latent(idf, np.vstack([words, np.zeros(RANK)]).astype(np.float32), singular)
 

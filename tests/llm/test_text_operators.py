@@ -266,6 +266,19 @@ def test_svd_has_no_switch_by_size(spark):
     assert np.allclose(twice.singular[:50], math.sqrt(2) * once.singular[:50], rtol=2e-3)
 
 
+@pytest.mark.parametrize("copies", [1, 40, 2000])
+def test_leaks_do_not_depend_on_the_number_of_rows(spark, copies):
+    """Twelve texts have fewer passages than the model has directions, however often they are repeated."""
+    rng = random.Random(31)
+    word = lambda n: " ".join(f"w{rng.randrange(20_000)}" for _ in range(n))
+    items = [word(n) for n in (18, 30, 45, 59, 100)]
+    texts = [" ".join([word(150), *items[k : k + 1], word(200)]) for k in range(12)]
+    docs = frame(spark, texts).crossJoin(spark.range(copies).select(F.col("id").alias("copy")))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = latent.drop_leaks(docs, bench).groupBy("doc_id").count().collect()
+    assert {r.doc_id: r["count"] for r in got} == dict.fromkeys(range(5, 12), copies)
+
+
 def first_words(texts):
     t = next(words.slices(pa.array(texts), lower=True, size=10**6))
     return t, words.words_of(t)
