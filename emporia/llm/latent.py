@@ -29,7 +29,6 @@ WINDOWS = (16, 32, 64, 128)  # windows begin a quarter of their width apart
 SLICE = 500_000
 CHUNK = 2048  # blocks of STEP words whose sums are taken at once; a multiple of every step of windows
 SUMMED = 2_000_000  # slices of the passes that add up
-LARGE = 256  # members of a group from which on it is added up alone
 BLOCKS, SPREAD = 16, 32
 NOISE = 1e-3  # smaller singular values, of the largest, are rounding: the sketch is summed in single precision
 WEIGHED = 1 / 3  # an item with a smaller share of words that have a weight is searched for word by word
@@ -62,45 +61,35 @@ def frequencies(texts: Texts, total: np.ndarray) -> None:
         total[:, 1] += np.bincount(pairs[first] % DIMS, minlength=DIMS)
 
 
-def group_sums(table: np.ndarray, index: np.ndarray, cut: np.ndarray) -> np.ndarray:
-    """Sums of ``table``'s rows at ``index``, a group beginning at each place of ``cut``.
-
-    Groups of like sizes lie beside each other and are added up member by member, in
-    blocks that stay in a core's cache; large groups are added up one by one.
-    """
-    sizes = np.diff(np.append(cut, len(index)))
-    order = np.argsort(-sizes, kind="stable")
-    large = int(np.count_nonzero(sizes > LARGE))
-    sums = np.zeros((len(cut), table.shape[1]), table.dtype)
-    for g in order[:large].tolist():
-        for low in range(cut[g], cut[g] + sizes[g], 1024):
-            sums[g] += table.take(index[low : min(low + 1024, cut[g] + sizes[g])], axis=0).sum(axis=0)
-    for low in range(large, len(cut), 256):
-        some = order[low : low + 256]
-        first, size = cut[some], sizes[some]
-        part = table.take(index[first], axis=0)
-        having = len(some) - np.cumsum(np.bincount(size))  # how many have more than k members
-        for k in range(1, int(size[0])):
-            part[: having[k]] += table.take(index[first[: having[k]] + k], axis=0)
-        sums[some] = part
-    return sums
-
-
 def sketch(texts: Texts, weighted: np.ndarray, total: np.ndarray) -> None:
     """Adds B'A directions to ``total``, A being the TF-IDF rows of these texts' passages and
     B their word counts; ``weighted`` are the directions times the inverse frequencies, and
-    a last row of zeros."""
+    a last row of zeros.
+
+    Passages lie beside each other and are added up word by word, then by dimension, in
+    blocks that stay in a core's cache.
+    """
     dims, passage = passages(texts)
     used = weighted.any(axis=1)[dims]
     dims, passage = dims[used], passage[used]
     if not len(dims):
         return
     begins = np.append(True, passage[1:] != passage[:-1])
-    projected = group_sums(weighted, dims, np.flatnonzero(begins))
+    row, at = np.cumsum(begins) - 1, np.flatnonzero(begins)
+    words = np.full((PASSAGE, len(at)), DIMS)
+    words[np.arange(len(dims)) - at[row], row] = dims
+    projected = np.zeros((len(at), weighted.shape[1]), np.float32)
+    for low in range(0, len(at), 256):
+        part = projected[low : low + 256]
+        for k in range(PASSAGE):
+            part += weighted.take(words[k, low : low + 256], axis=0)
     by = np.argsort(dims.astype(np.uint16), kind="stable")
-    dims, row = dims[by], (np.cumsum(begins) - 1)[by]
+    dims, row = dims[by], row[by]
     cut = np.flatnonzero(np.append(True, dims[1:] != dims[:-1]))
-    total[dims[cut]] += group_sums(projected, row, cut)
+    ends = np.append(cut, len(dims))
+    for k in range(0, len(cut), 64):
+        some = cut[k : k + 64]
+        total[dims[some]] += np.add.reduceat(projected.take(row[some[0] : ends[k + len(some)]], axis=0), some - some[0], axis=0)
 
 
 class Latent(NamedTuple):
